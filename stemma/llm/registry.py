@@ -6,12 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import packing, sharding, wavelet
+from stemma.llm import chunkdedup, packing, quality, sharding, simhash, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_substring_dedup": chunkdedup.op2_substring_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op4_packing": packing.op4_packing,
     "op5_token_output": wavelet.op5_token_output,
+    "op8_quality_classifier": quality.op8_quality_classifier,
+    "op9_simhash": simhash.op9_simhash,
 }
 
 ORACLES: dict[str, str] = {}
