@@ -9,14 +9,22 @@ from __future__ import annotations
 
 import os
 import re
-
-import numpy as np
+from array import array
+from itertools import compress, repeat
+from operator import is_
 
 #: A space where a text may be cut: after other than white space, or before it.
 _CUT = re.compile(r"(?<!\s) | (?=\S)")
-#: A space inside or at the end of a run of white space, where a plain split would cut wrongly.
-_RUN = re.compile(r"\s (?=\s|$)")
-MOST_WORDS, LONG_WORD, CHUNK = 400_000, 64, 20_000
+#: Where white space runs together; elsewhere a line feed is a unit and the word after it begins anew.
+_RUN = re.compile(r"\s\s")
+MOST_WORDS, LONG_WORD, CHUNK = 1_200_000, 48, 20_000
+#: Marks that the pre-tokeniser never joins to the letters before them.
+_MARKS = ".,;:!?%&$*#|)"
+
+
+#: The byte alphabet: printable Latin-1 as it is, the other bytes in order from U+0100.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTES = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(0x100, 0x200)))
 
 
 class Encoder:
@@ -28,31 +36,108 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.words: dict[str, bytes] = {}
-
-    def _learn(self, units: set[str], into: dict[str, bytes]) -> None:
-        order = list(units)
-        for at in range(0, len(order), CHUNK):
-            some = order[at : at + CHUNK]
-            for unit, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                into[unit] = np.array(e.ids, "<u4").tobytes()
+        self.model = Tokenizer.from_file(path)
+        self.model.pre_tokenizer = None
+        self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
+        self.feed = array("I", [self.line_feed]).tobytes()
+        self.words: dict[str, bytes] = {}  # with a space before them
+        self.marks: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # at the start of a text
+
+    def _ask(self, units: list[str]) -> list[bytes]:
+        out = []
+        for at in range(0, len(units), CHUNK):
+            found = self.tokenizer.encode_batch_fast(units[at : at + CHUNK], add_special_tokens=False)
+            out += [array("I", e.ids).tobytes() for e in found]
+        return out
+
+    def _ask_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, after a space or (marked by a line feed) without one.
+
+        Each is one unit of the byte-level pre-tokeniser.
+
+        They go to the library's model already mapped to the byte alphabet, with a line feed between
+        each two, whose id no word has.
+        """
+        out: list[bytes] = []
+        for at in range(0, len(words), CHUNK):
+            units = []
+            for w in words[at : at + CHUNK]:
+                mapped = w if w.isascii() else w.encode().decode("latin-1").translate(_BYTES)
+                units += (mapped[1:] if w[0] == "\n" else "\u0120" + mapped, "\u010a")
+            ids = self.model.encode_batch_fast([units], add_special_tokens=False, is_pretokenized=True)[0].ids
+            flat = array("I", ids)
+            data, start = flat.tobytes(), 0
+            for end in compress(range(len(flat)), map(self.line_feed.__eq__, ids)):
+                out.append(data[4 * start : 4 * end])
+                start = end + 1
+        return out
+
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Encodings of words: letters and the marks that follow them apart.
+
+        A word stands after a space; one that begins with a line feed stands after that alone; one
+        that begins with a space is a part of a text with runs of white space, and is whole.
+        """
+        known, tails, words, other = self.words, [], set(), []
+        for w in missing:
+            if w.isalpha():
+                words.add(w)
+                continue
+            base = w.rstrip(_MARKS)
+            if base and base[-1] < "\u0250" and (base.isalpha() or (base[0] == "\n" and base[1:].isalpha())):
+                tails.append((w, base))
+                if base not in known:
+                    words.add(base)
+            else:
+                other.append(w)
+        order = list(words)
+        new = dict(zip(order, self._ask_words(order), strict=True))
+        feed = self.feed
+        for w in order:
+            if w[0] == "\n":
+                new[w] = feed + new[w]
+        new.update(zip(other, self._ask([w if w[:1] in ("\n", " ") else " " + w for w in other]), strict=True))
+        for w, base in tails:
+            mark = w[len(base) :]
+            if not mark:
+                continue
+            if mark not in self.marks:
+                self.marks[mark] = self._ask([mark])[0]
+            new[w] = (new.get(base) or known[base]) + self.marks[mark]
+        if max(map(len, new), default=0) <= LONG_WORD:
+            known.update(new)
+        else:
+            known.update((w, ids) for w, ids in new.items() if len(w) <= LONG_WORD)
+        return new
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as bytes, four for each id."""
-        if len(self.words) > MOST_WORDS:
-            self.words.clear()
-        parts = []
+        for held in (self.words, self.marks, self.heads):
+            if len(held) > MOST_WORDS:
+                held.clear()
+        get, parts, missing = self.words.get, [], set()
         for t in texts:
-            words = _CUT.split(t) if _RUN.search(t) else t.split(" ")
-            parts.append([words[0], *[" " + w for w in words[1:]]])
-        missing = set().union(*parts).difference(self.words)
-        long = {w for w in missing if len(w) > LONG_WORD}
-        known, extra = self.words, {}
-        self._learn(missing - long, known)
-        if not long:
-            return [b"".join(map(known.__getitem__, p)) for p in parts]
-        self._learn(long, extra)
-        return [b"".join([known[w] if w in known else extra[w] for w in p]) for p in parts]
+            if _RUN.search(t):
+                head, *words = _CUT.split(t)
+                words = [" " + w for w in words]
+            else:
+                words = t.replace("\n", " \n").split(" ")
+                head = words.pop(0)
+            found = list(map(get, words))
+            gaps = list(compress(range(len(found)), map(is_, found, repeat(None))))
+            missing.update([words[i] for i in gaps])
+            parts.append((head, words, found, gaps))
+        new = self._learn(missing)
+        heads = list({p[0] for p in parts}.difference(self.heads))
+        fresh = dict(zip(heads, self._ask(heads), strict=True))
+        out = []
+        for head, words, found, gaps in parts:
+            for i in gaps:
+                found[i] = new[words[i]]
+            out.append((fresh.get(head) or self.heads.get(head) or b"") + b"".join(found))
+        self.heads.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
