@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import chunkdedup, embeddings, neighbours, packing, quality, sharding, simhash, wavelet
+from stemma.llm import chunkdedup, embeddings, neighbours, packing, quality, sharding, simhash, suffixes, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_substring_dedup": chunkdedup.op2_substring_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op4_packing": packing.op4_packing,
     "op5_token_output": wavelet.op5_token_output,
+    "op6_suffix_dedup": suffixes.op6_suffix_dedup,
     "op7_embedding_dedup": embeddings.op7_embedding_dedup,
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_simhash": simhash.op9_simhash,
