@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import chunkdedup, embeddings, neighbours, packing, quality, sharding, simhash, suffixes, wavelet
+from stemma.llm import chunkdedup, embeddings, neighbours, packing, pieces, quality, sharding, simhash, suffixes, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_sentencepiece": pieces.op1_sentencepiece,
     "op2_substring_dedup": chunkdedup.op2_substring_dedup,
     "op3_sharding": sharding.op3_sharding,
     "op4_packing": packing.op4_packing,
