@@ -154,6 +154,12 @@ def held_out() -> Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
 
 
+def learn(stats: DataFrame, labels: DataFrame) -> Model:
+    """The model from the labelled rows of ``stats(doc_id, x)`` that are not held out."""
+    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("y"))
+    return fit(materialize(stats.join(known.where(~held_out()), "doc_id").select("x", "y"), "training"))
+
+
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score) of every document; learns from labelled ones that are not held out.
 
@@ -163,8 +169,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rows or, without labels, 0.5 for all.
     """
     stats = materialize(document_statistics(docs), "statistics")
-    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("quality").cast("double").alias("y"))
-    model = fit(materialize(stats.join(known.where(~held_out()), "doc_id").select("x", "y"), "training"))
+    model = learn(stats, labels)
     schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -175,6 +180,26 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return scores.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), F.least(F.greatest("score", F.lit(0.0)), F.lit(1.0)).alias("score"))
 
 
+def keep_good_documents(docs: DataFrame, labels: DataFrame, least: float) -> DataFrame:
+    """The rows of ``docs``, all columns, that score at least ``least``; cases as in ``score_documents``.
+
+    The statistics are taken again while filtering, which costs less than shuffling the texts to
+    their scores.
+    """
+    model = learn(materialize(document_statistics(docs), "statistics"), labels)
+    names = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                x = np.array([statistics(t) for t in text_bytes(batch.column(0))])
+                yield pa.RecordBatch.from_arrays(batch.columns[1:], names=names).filter(pa.array(model.score(x) >= least))
+
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
+    columns = [F.col(f"`{c}`") for c in names]
+    return docs.select(F.col("text").cast("string").alias("_text"), *columns).mapInArrow(run, kinds)
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents, trained on the labels that are not held out."""
     rows = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
