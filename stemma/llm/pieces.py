@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import heapq
 import re
+import zlib
 from array import array
 from collections.abc import Iterator
 from itertools import compress, repeat
@@ -25,7 +26,7 @@ SPACE = "▁"
 MULTIPLY, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x243F6A8885A308D3)
 UNKNOWN_PENALTY = 10.0
 #: Characters of one batch, of a word whose merges run in the batch, and words remembered.
-CELLS, LONG, MOST_WORDS = 120_000, 48, 500_000
+CELLS, LONG, MOST_WORDS = 40_000, 48, 450_000
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
 _MARKS = ".,;:!?%&$*#|)"
 
@@ -35,7 +36,13 @@ def keys_of(chars: np.ndarray) -> np.ndarray:
     h = np.full(chars.shape[0], START)
     for k in range(chars.shape[1]):
         h = h * MULTIPLY + chars[:, k].astype(np.uint64)
-    return h
+    return spread(h)
+
+
+def spread(h: np.ndarray) -> np.ndarray:
+    """The same hashes with even leading bits."""
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
 
 
 def characters(words: list[str]) -> np.ndarray:
@@ -69,6 +76,9 @@ class PieceModel:
         self.keys, self.ids = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(self.keys)
         self.keys, self.ids = self.keys[order], self.ids[order]
+        #: Where the keys with each leading 16 bits begin, and the most that share them.
+        self.bucket = np.searchsorted(self.keys >> np.uint64(48), np.arange(1 << 16, dtype=np.uint64)).astype(np.int32)
+        self.deepest = int(np.bincount((self.keys >> np.uint64(48)).astype(np.int64)).max())
         self.scores = np.full(len(proto.pieces) + 1, -np.inf)
         for i, _, score in normal:
             self.scores[i] = score
@@ -94,59 +104,70 @@ class PieceModel:
         w, n = chars.shape
         out = np.full((w, n, min(n, self.longest)), -1, np.int32)
         h = np.full((w, n), START)
+        last = len(self.keys) - 1
         for k in range(out.shape[2]):
             h = h[:, : n - k] * MULTIPLY + chars[:, k:].astype(np.uint64)
-            at = np.minimum(np.searchsorted(self.keys, h.ravel()), len(self.keys) - 1)
-            hit = self.keys[at] == h.ravel()
-            out[:, : n - k, k] = np.where(hit, self.ids[at], -1).reshape(w, n - k)
+            flat = spread(h.ravel())
+            at = self.bucket[(flat >> np.uint64(48)).astype(np.int64)]
+            for step in range(self.deepest):
+                place = np.minimum(at + step, last)
+                hit = np.flatnonzero(self.keys[place] == flat)
+                row, start = np.divmod(hit, n - k)
+                out[row, start, k] = self.ids[place[hit]]
         return out
 
-    def viterbi(self, found: np.ndarray) -> list[list[tuple[int, int, int]]]:
-        """Of each word the pieces (start, end, id or -1) with the largest sum of scores; ties: the longest last piece."""
-        w, n = found.shape[:2]
+    def viterbi(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces with the largest sum of scores, of all words at once; ties: the longest last piece.
+
+        Returns [word, position]: the size of the piece that begins there, else 0; and its id or -1.
+        """
+        w, n, most = found.shape
         score = self.scores[found]
         score[:, :, 0] = np.where(found[:, :, 0] < 0, self.unknown, score[:, :, 0])
         best, back = np.full((w, n + 1), -np.inf), np.zeros((w, n + 1), np.int32)
         best[:, 0] = 0
         for end in range(1, n + 1):
-            sizes = np.arange(min(end, found.shape[2]), 0, -1)  # the longest first
+            sizes = np.arange(min(end, most), 0, -1)  # the longest first
             ways = best[:, end - sizes] + score[:, end - sizes, sizes - 1]
             pick = ways.argmax(1)
             best[:, end] = ways[np.arange(w), pick]
             back[:, end] = sizes[pick]
-        out = []
-        for row in range(w):
-            path, end, steps = [], n, back[row].tolist()
-            while end:
-                start = end - steps[end]
-                path.append((start, end, int(found[row, start, end - start - 1])))
-                end = start
-            out.append(path[::-1])
-        return out
-
-    def merges(self, found: np.ndarray) -> list[list[tuple[int, int, int]]]:
-        """Of each word the pieces left when the pair with the best score, the leftmost first, is merged again and again."""
+        size, row, end = np.zeros((w, n), np.int32), np.arange(w), np.full(w, n)
+        while len(row):
+            step = back[row, end]
+            end = end - step
+            size[row, end] = step
+            row, end = row[end > 0], end[end > 0]
+        return size, self._ids_at(found, size)
+
+    def merges(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """What is left when the pair with the best score, the leftmost first, is merged again and again."""
         w, n, most = found.shape
-        start = np.tile(np.arange(n + 1), (w, 1))  # start[:, k]: where symbol k begins; beyond the last: n
+        score = self.scores[found].astype(np.float32).ravel()
+        start = np.tile(np.arange(n + 2, dtype=np.int32), (w, 1))  # where symbol k begins; beyond the last: n
+        start[:, n + 1] = n
         live = np.arange(w)
+        columns = np.arange(n + 2)
         while len(live) and n > 1:
             s = start[live]
-            size = s[:, 2:] - s[:, :-2]
-            real = (s[:, 1:-1] < n) & (size <= most)
-            ids = found[live[:, None], np.minimum(s[:, :-2], n - 1), np.clip(size, 1, most) - 1]
-            score = np.where(real & (ids >= 0), self.scores[ids], -np.inf)
-            pick = score.argmax(1)
-            some = score[np.arange(len(live)), pick] > -np.inf
+            size = s[:, 2 : n + 1] - s[:, : n - 1]
+            good = (s[:, 1:n] < n) & (size <= most)
+            place = ((live * n)[:, None] + np.minimum(s[:, : n - 1], n - 1)) * most + np.clip(size, 1, most) - 1
+            pair = np.where(good, score.take(place), -np.inf)
+            pick = pair.argmax(1)
+            some = pair[np.arange(len(live)), pick] > -np.inf
             live, s, pick = live[some], s[some], pick[some]
-            if not len(live):
-                break
-            drop = np.arange(n + 1)[None, :] + (np.arange(n + 1)[None, :] > pick[:, None])
-            start[live] = np.take_along_axis(np.hstack([s, np.full((len(s), 1), n)]), drop, 1)
-        out = []
-        for row, line in zip(range(w), start.tolist(), strict=True):
-            ends = line[1:]
-            out.append([(a, b, int(found[row, a, b - a - 1]) if b - a <= most else -1) for a, b in zip(line, ends, strict=False) if a < b])
-        return out
+            shift = np.minimum(columns[None, :] + (columns[None, :] > pick[:, None]), n + 1)
+            start[live] = np.take_along_axis(s, shift, 1)
+        size = np.zeros((w, n), np.int32)
+        real = start[:, :n] < n
+        row, k = np.nonzero(real)
+        size[row, start[row, k]] = start[row, k + 1] - start[row, k]
+        return size, self._ids_at(found, size)
+
+    @staticmethod
+    def _ids_at(found: np.ndarray, size: np.ndarray) -> np.ndarray:
+        return np.where(size > 0, np.take_along_axis(found, np.maximum(size - 1, 0)[:, :, None], 2)[:, :, 0], 0)
 
     def merge_one(self, word: str) -> list[tuple[int, int, int]]:
         """The same for one long word, with a heap."""
@@ -189,13 +210,25 @@ class PieceModel:
             for at in range(0, len(where) if n else 0, step):
                 some = where[at : at + step]
                 found = self.lattice(characters([atoms[i] for i in some]))
-                best = self.viterbi(found)
+                words = [atoms[i] for i in some]
+                best = self._bytes(words, *self.viterbi(found))
                 if self.unigram:
                     own = best
+                elif n > LONG:
+                    own = [self._ids(x, self.merge_one(x)) for x in words]
                 else:
-                    own = [self.merge_one(atoms[i]) for i in some] if n > LONG else self.merges(found)
+                    own = self._bytes(words, *self.merges(found))
                 for i, x, y in zip(some, own, best, strict=True):
-                    out[i] = self._ids(atoms[i], x), self._ids(atoms[i], y)
+                    out[i] = x, y
+        return out
+
+    def _bytes(self, words: list[str], size: np.ndarray, ids: np.ndarray) -> list[bytes]:
+        taken = size > 0
+        flat, ends = ids[taken].astype("<u4").tobytes(), (4 * np.cumsum(taken.sum(1))).tolist()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for row in np.flatnonzero((ids < 0).any(1)).tolist():  # characters without a piece
+            starts = np.flatnonzero(taken[row]).tolist()
+            out[row] = self._ids(words[row], [(a, a + int(size[row, a]), int(ids[row, a])) for a in starts])
         return out
 
     def _ids(self, word: str, path: list[tuple[int, int, int]]) -> bytes:
@@ -291,27 +324,39 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str | None = None, digest: bool = False) -> DataFrame:
     """(doc_id, text, ids, best_ids): the model's own ids of each whole text, and the best-scoring segmentation.
 
     ``ids`` follow the model's kind and equal the library's; ``best_ids`` are the Viterbi pass over the
     same pieces and scores, which for a unigram model is the same.  Reads ``doc_id`` and ``text`` only.
     A null or empty text gives no ids; U+2581 counts as a space, as in the library; a null doc_id stays
-    null; ties and repeated rows are encoded alike; an empty table gives no rows.  No shuffle.
+    null; ties and repeated rows are encoded alike; an empty table gives no rows.  No shuffle.  With
+    ``digest`` the ids are decoded where they are made, and their numbers and unsigned crc32 and
+    ``round_trip``, whether the text came back, take the place of texts and ids.
     """
     small_batches(docs.sparkSession)
     path = model or default_model()
-    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("best_ids", pa.binary())])
+    coded = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("ids", pa.binary()), ("best_ids", pa.binary())])
+    longs = ["doc_id", "n_tokens", "ids_crc32", "n_best_tokens", "best_ids_crc32"]
+    digests = pa.schema([*((k, pa.int64()) for k in longs), ("round_trip", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model_at(path)
-        for batch in batches:
-            texts = texts_of(batch.column(1))
-            ids, best = pieces.encode_both(texts)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(best, pa.binary())], schema=schema)
+        for whole in batches:
+            for at in range(0, len(whole), 256):
+                batch = whole.slice(at, 256)
+                texts = texts_of(batch.column(1))
+                ids, best = pieces.encode_both(texts)
+                if not digest:
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(best, pa.binary())], schema=coded)
+                    continue
+                numbers = [pa.array(x, pa.int64()) for x in ([len(x) // 4 for x in ids], map(zlib.crc32, ids), [len(x) // 4 for x in best], map(zlib.crc32, best))]
+                same = [pieces.decode(x) == t.replace(SPACE, " ") for x, t in zip(ids, texts, strict=True)]
+                yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(same)], schema=digests)
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return rows.mapInArrow(run, "doc_id bigint, text string, ids binary, best_ids binary")
+    kinds = ", ".join(f"{k} bigint" for k in longs) + ", round_trip boolean"
+    return rows.mapInArrow(run, kinds if digest else "doc_id bigint, text string, ids binary, best_ids binary")
 
 
 def decode_documents(coded: DataFrame, model: str | None = None) -> DataFrame:
@@ -332,13 +377,4 @@ def decode_documents(coded: DataFrame, model: str | None = None) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encodes all documents, decodes them again, and returns digests of both."""
-    coded = encode_documents(table(spark, sf_dir, "documents"))
-    back = decode_documents(coded)
-    return back.select(
-        "doc_id",
-        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-        (F.octet_length("best_ids") / 4).cast("bigint").alias("n_best_tokens"),
-        F.crc32("best_ids").alias("best_ids_crc32"),
-        (F.col("decoded") == F.coalesce(F.translate("text", SPACE, " "), F.lit(""))).alias("round_trip"),
-    )
+    return encode_documents(table(spark, sf_dir, "documents"), digest=True)

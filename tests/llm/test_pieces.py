@@ -67,10 +67,10 @@ def test_viterbi_is_best_by_brute_force():
         return top[-1]
 
     for word in ["▁thing", "▁unbelievable", "▁the梦x", "qqq"]:
-        path = own.viterbi(own.lattice(pieces.characters([word])))[0]
-        total = sum(own.scores[i] if i >= 0 else own.unknown for _, _, i in path)
-        assert total == best(word)
-        assert [p[0] for p in path][1:] == [p[1] for p in path][:-1]
+        size, ids = own.viterbi(own.lattice(pieces.characters([word])))
+        starts = np.flatnonzero(size[0])
+        assert sum(own.scores[i] if i >= 0 else own.unknown for i in ids[0, starts]) == best(word)
+        assert [0, *np.cumsum(size[0, starts])] == [*starts, len(word)]
 
 
 @pytest.mark.parametrize("make", [hard_docs, clash_docs, empty_docs])
@@ -80,3 +80,6 @@ def test_query_on_hard_rows(spark, tmp_path, make):
     want = sorted((str(r.doc_id), len(i := sp.encode(r.text or "")), zlib.crc32(as_bytes(i))) for r in docs.collect())
     assert sorted((str(r.doc_id), r.n_tokens, r.ids_crc32) for r in rows) == want
     assert all(r.round_trip for r in rows)
+    back = pieces.decode_documents(pieces.encode_documents(docs)).collect()
+    assert sorted((str(r.doc_id), r.decoded) for r in back) == sorted((str(r.doc_id), r.text or "") for r in docs.collect())
+    assert sorted(len(r.best_ids) // 4 for r in back) == sorted(r.n_best_tokens for r in rows)
