@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.plans import profiles
+from stemma.plans import composed, profiles, shared_sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_profile": profiles.author_profile_query,
+    **composed.QUERIES,
+    **shared_sql.QUERIES,
 }
 
-ORACLES: dict[str, str] = {"author_profile": profiles.PROFILE_SQL}
+ORACLES: dict[str, str] = {"author_profile": profiles.PROFILE_SQL, **composed.ORACLES, **shared_sql.ORACLES}

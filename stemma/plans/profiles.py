@@ -83,8 +83,8 @@ def author_profile_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 AUTH_SQL = """
 auth AS (SELECT l_orderkey AS paper_id, l_suppkey AS author_id, min(l_linenumber) AS position
          FROM lineitem GROUP BY 1, 2),
-ends AS (SELECT paper_id, arg_min(author_id, position * 1000000000 + author_id) AS first_author_id,
-                arg_max(author_id, position * 1000000000 + author_id) AS last_author_id
+ends AS (SELECT paper_id, arg_min(author_id, CAST(position AS BIGINT) * 1000000000 + author_id) AS first_author_id,
+                arg_max(author_id, CAST(position AS BIGINT) * 1000000000 + author_id) AS last_author_id
          FROM auth GROUP BY 1),
 paper AS (SELECT o_orderkey AS paper_id, CAST(year(o_orderdate) AS INTEGER) AS year,
                  CAST(floor(o_totalprice / 1000) AS BIGINT) AS citations FROM orders)
