@@ -183,6 +183,8 @@ LISTS = WIDE // 8 // KEY_BYTES
 AGREE = 0.838
 #: Expected shared positional bytes there: 512 * 0.838^8 = 124; less four deviations.
 MIN_TALLY = 85
+#: Postings a task remembers.
+REMEMBERED = 3_000_000
 
 
 def wide_fingerprints(texts: list[bytes], k: int) -> np.ndarray:
@@ -233,7 +235,7 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Postings (list, key, a, null) and links inside the task (null, null, a, b)."""
-        first: dict[int, int] = {}
+        known, first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
             rids = batch.column(0).to_numpy()
             fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(rids), -1)
@@ -242,11 +244,15 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
             flat, owner = keys.ravel(), np.repeat(rids, LISTS)
             unique, at, back = np.unique(flat, return_index=True, return_inverse=True)
             lead = owner[at]
-            old = np.fromiter((first.get(x, -1) for x in unique.tolist()), np.int64, len(unique))
-            fresh = old < 0
-            lead = np.where(fresh, lead, old)
-            if len(first) < 3_000_000:  # beyond that, later rows post for themselves: more rows, the same links
-                first.update(zip(unique[fresh].tolist(), lead[fresh].tolist(), strict=True))
+            if len(known):
+                near = np.minimum(np.searchsorted(known, unique), len(known) - 1)
+                fresh = known[near] != unique
+                lead = np.where(fresh, lead, first[near])
+            else:
+                fresh = np.ones(len(unique), bool)
+            if len(known) < REMEMBERED:  # beyond that, later rows post for themselves: more rows, the same links
+                place = np.searchsorted(known, unique[fresh])
+                known, first = np.insert(known, place, unique[fresh]), np.insert(first, place, lead[fresh])
             a = lead[back]
             links = np.unique(np.stack([a, owner])[:, a != owner], axis=1)
             yield pa.RecordBatch.from_arrays(
