@@ -19,7 +19,7 @@ from stemma.llm.common import materialize, small_batches, table, text_bytes
 
 LENGTH, GRAM = 400, 100
 #: Bytes looked at together, bytes of one suffix array, and classes of a minimiser beyond which windows are counted by digest.
-BLOCK, ARRAY_BYTES, MANY = 1 << 19, 1 << 21, 2000
+BLOCK, ARRAY_BYTES, MANY = 1 << 19, 1 << 19, 2000
 _rng = np.random.default_rng(400)
 TABLE = _rng.integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
