@@ -10,14 +10,18 @@ from __future__ import annotations
 import os
 import re
 from array import array
-from itertools import compress, repeat
-from operator import is_
+from itertools import compress
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A space where a text may be cut: after other than white space, or before it.
 _CUT = re.compile(r"(?<!\s) | (?=\S)")
 #: Where white space runs together; elsewhere a line feed is a unit and the word after it begins anew.
-_RUN = re.compile(r"\s\s")
-MOST_WORDS, LONG_WORD, CHUNK = 1_200_000, 48, 20_000
+_SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_RUN = f"{_SPACES}{_SPACES}"
+MOST_WORDS, LONG_WORD, CHUNK = 1_000_000, 48, 20_000
 #: Marks that the pre-tokeniser never joins to the letters before them.
 _MARKS = ".,;:!?%&$*#|)"
 
@@ -27,6 +31,18 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTES = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(0x100, 0x200)))
 
 
+class Words(dict):
+    """Encodings by word; a word that is asked for the first time gets an empty slot, to be filled."""
+
+    def __init__(self) -> None:
+        self.open: list[str] = []
+
+    def __missing__(self, word: str) -> bytearray:
+        self.open.append(word)
+        slot = self[word] = bytearray()
+        return slot
+
+
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts."""
 
@@ -40,9 +56,9 @@ class Encoder:
         self.model.pre_tokenizer = None
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.feed = array("I", [self.line_feed]).tobytes()
-        self.words: dict[str, bytes] = {}  # with a space before them
-        self.marks: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}  # at the start of a text
+        self.words = Words()  # after a space, or as marked
+        self.marks = Words()
+        self.heads = Words()  # at the start of a text
 
     def _ask(self, units: list[str]) -> list[bytes]:
         out = []
@@ -73,72 +89,93 @@ class Encoder:
                 start = end + 1
         return out
 
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Encodings of words: letters and the marks that follow them apart.
+    def _fill(self) -> None:
+        """Fills the open slots: letters and the marks that follow them apart.
 
         A word stands after a space; one that begins with a line feed stands after that alone; one
         that begins with a space is a part of a text with runs of white space, and is whole.
         """
-        known, tails, words, other = self.words, [], set(), []
-        for w in missing:
+        known, marks, tails, words, other = self.words, self.marks, [], [], []
+        for w in known.open:  # grows by the words without their marks
             if w.isalpha():
-                words.add(w)
+                words.append(w)
                 continue
             base = w.rstrip(_MARKS)
-            if base and base[-1] < "\u0250" and (base.isalpha() or (base[0] == "\n" and base[1:].isalpha())):
-                tails.append((w, base))
-                if base not in known:
-                    words.add(base)
+            if len(base) < len(w) and base and base[-1] < "\u0250" and (base.isalpha() or (base[0] == "\n" and base[1:].isalpha())):
+                tails.append((w, known[base], marks[w[len(base) :]]))
+            elif w[0:1] == "\n" and w[1:].isalpha():
+                known[w] += self.feed
+                words.append(w)
             else:
                 other.append(w)
-        order = list(words)
-        new = dict(zip(order, self._ask_words(order), strict=True))
-        feed = self.feed
-        for w in order:
-            if w[0] == "\n":
-                new[w] = feed + new[w]
-        new.update(zip(other, self._ask([w if w[:1] in ("\n", " ") else " " + w for w in other]), strict=True))
-        for w, base in tails:
-            mark = w[len(base) :]
-            if not mark:
-                continue
-            if mark not in self.marks:
-                self.marks[mark] = self._ask([mark])[0]
-            new[w] = (new.get(base) or known[base]) + self.marks[mark]
-        if max(map(len, new), default=0) <= LONG_WORD:
-            known.update(new)
-        else:
-            known.update((w, ids) for w, ids in new.items() if len(w) <= LONG_WORD)
-        return new
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as bytes, four for each id."""
+        for w, ids in zip(words, self._ask_words(words), strict=True):
+            known[w] += ids
+        for w, ids in zip(other, self._ask([w if w[:1] in ("\n", " ") else " " + w for w in other]), strict=True):
+            known[w] += ids
+        for held in (marks, self.heads):
+            for w, ids in zip(held.open, self._ask(held.open), strict=True):
+                held[w] += ids
+        for w, base, mark in tails:
+            slot = known[w]
+            slot += base
+            slot += mark
+
+    def _forget(self) -> None:
+        """Closes the slots; long words are not kept, and a full cache starts again."""
         for held in (self.words, self.marks, self.heads):
             if len(held) > MOST_WORDS:
                 held.clear()
-        get, parts, missing = self.words.get, [], set()
+            elif any(len(w) > LONG_WORD for w in held.open):
+                for w in held.open:
+                    if len(w) > LONG_WORD:
+                        del held[w]
+            held.open.clear()
+
+    def _encode_runs(self, texts: list[str]) -> list[bytes]:
+        """Texts with runs of white space."""
+        parts = []
         for t in texts:
-            if _RUN.search(t):
-                head, *words = _CUT.split(t)
-                words = [" " + w for w in words]
-            else:
-                words = t.replace("\n", " \n").split(" ")
-                head = words.pop(0)
-            found = list(map(get, words))
-            gaps = list(compress(range(len(found)), map(is_, found, repeat(None))))
-            missing.update([words[i] for i in gaps])
-            parts.append((head, words, found, gaps))
-        new = self._learn(missing)
-        heads = list({p[0] for p in parts}.difference(self.heads))
-        fresh = dict(zip(heads, self._ask(heads), strict=True))
-        out = []
-        for head, words, found, gaps in parts:
-            for i in gaps:
-                found[i] = new[words[i]]
-            out.append((fresh.get(head) or self.heads.get(head) or b"") + b"".join(found))
-        self.heads.update((w, ids) for w, ids in fresh.items() if len(w) <= LONG_WORD)
+            head, *words = _CUT.split(t)
+            parts.append([self.heads[head], *[self.words[" " + w] for w in words]])
+        self._fill()
+        out = list(map(b"".join, parts))
+        self._forget()
         return out
 
+    def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
+        """The ids of each text as bytes, four for each id; null is empty.
+
+        Arrow splits the texts and numbers their different words; only those are looked up, and numpy
+        puts the ids of all words in a row.
+        """
+        texts = pc.fill_null(texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string()), "")
+        runs = pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False)
+        if runs.any():
+            some = pa.array(runs)
+            slow, fast = iter(self._encode_runs(texts.filter(some).to_pylist())), iter(self.encode(texts.filter(pc.invert(some))) if not runs.all() else ())
+            return [next(slow if r else fast) for r in runs.tolist()]
+        if not len(texts):
+            return []
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        first = np.append(0, ends[:-1])  # places of the texts' first words
+        flat = lists.flatten()
+        heads = list(map(self.heads.__getitem__, flat.take(pa.array(first)).to_pylist()))
+        coded = flat.dictionary_encode()
+        words = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
+        self._fill()
+        known = np.frombuffer(b"".join(words + heads), "<u4")
+        sizes = np.fromiter(map(len, words + heads), np.int64, len(words) + len(heads)) // 4
+        begins = np.cumsum(sizes) - sizes
+        self._forget()
+        which = coded.indices.to_numpy().astype(np.int64)
+        which[first] = len(words) + np.arange(len(heads))
+        size = sizes[which]
+        total = np.cumsum(size)
+        ids = known[np.repeat(begins[which] - (total - size), size) + np.arange(total[-1])].tobytes()
+        cuts = (4 * total[ends - 1]).tolist()
+        return [ids[a:b] for a, b in zip([0, *cuts], cuts, strict=False)]
+
 
 _encoders: dict[str, Encoder] = {}
 

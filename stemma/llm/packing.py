@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stemma.llm.bpe import default_vocabulary, encoder
-from stemma.llm.common import part_id, small_batches, table, texts_of
+from stemma.llm.common import part_id, small_batches, table
 
 END = b"\0\0\0\0"
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -137,17 +137,14 @@ def pack_documents(
             held = {x[1]: held[x[1]] for x in packer.pool}
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            texts = texts_of(batch.column(1))
-            for at in range(0, len(ids), 256):
-                for doc_id, coded in zip(ids[at : at + 256], enc.encode(texts[at : at + 256]), strict=True):
-                    held[number] = (doc_id, coded + END)
-                    packer.add(number, len(coded) // 4 + 1)
-                    waiting += len(coded) // 4 + 1
-                    number += 1
-                    if waiting >= group_tokens:
-                        yield from emit(False)
-                        waiting = 0
+            for doc_id, coded in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1)), strict=True):
+                held[number] = (doc_id, coded + END)
+                packer.add(number, len(coded) // 4 + 1)
+                waiting += len(coded) // 4 + 1
+                number += 1
+                if waiting >= group_tokens:
+                    yield from emit(False)
+                    waiting = 0
         yield from emit(True)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)

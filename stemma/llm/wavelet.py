@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import struct
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stemma.llm.bpe import default_vocabulary, encoder
-from stemma.llm.common import materialize, part_id, small_batches, table, texts_of
+from stemma.llm.common import materialize, part_id, small_batches, table
 
 MAGIC, BLOCK = b"WVMX1", 512
 END = b"\0\0\0\0"
@@ -19,10 +20,8 @@ SHARDS = "part int, seq int, n_docs bigint, n_tokens bigint, payload binary"
 SHARDS_ARROW = pa.schema(
     [("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64()), ("payload", pa.binary())]
 )
-DOCS = "part int, seq int, doc_id bigint, start_in_shard bigint, ids binary"
-DOCS_ARROW = pa.schema(
-    [("part", pa.int32()), ("seq", pa.int32()), ("doc_id", pa.int64()), ("start_in_shard", pa.int64()), ("ids", pa.binary())]
-)
+DOCS = "part int, seq int, doc_id bigint, start_in_shard bigint, n_tokens bigint"
+DOCS_ARROW = [("part", pa.int32()), ("seq", pa.int32()), ("doc_id", pa.int64()), ("start_in_shard", pa.int64()), ("n_tokens", pa.int64())]
 
 
 def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> bytes:
@@ -36,9 +35,9 @@ def build(ids: np.ndarray, doc_ids: list[int | None], lengths: list[int]) -> byt
         packed = np.pad(packed, (0, -len(packed) % (BLOCK // 8)))
         ones = np.bitwise_count(packed.view("<u8")).reshape(-1, BLOCK // 64).sum(1, dtype="<u4")
         planes.append((packed.tobytes(), np.cumsum(ones, dtype="<u4").tobytes()))
-        low = seq[~one]
+        low = seq.take(np.flatnonzero(~one))
         zeros.append(len(low))
-        seq = np.concatenate([low, seq[one]])
+        seq = np.concatenate([low, seq.take(np.flatnonzero(one))])
     null = np.array([x is None for x in doc_ids], np.uint8)
     docs = np.array([x or 0 for x in doc_ids], "<i8").tobytes() + np.array(lengths, "<i8").tobytes() + null.tobytes()
     body = docs + b"".join(p + c for p, c in planes)
@@ -133,8 +132,8 @@ class WaveletShard:
         for level in range(self.levels - 1, -1, -1):
             one = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             out = np.empty(self.n, kind)
-            out[~one] = seq[: self.zeros[level]]
-            out[one] = seq[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
+            out[np.flatnonzero(~one)] = seq[: self.zeros[level]]
+            out[np.flatnonzero(one)] = seq[self.zeros[level] :] | kind(1 << (self.levels - 1 - level))
             seq = out
         return seq
 
@@ -164,14 +163,12 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: i
             return pa.RecordBatch.from_pydict(row, schema=SHARDS_ARROW)
 
         for batch in batches:
-            keys, texts = batch.column(0).to_pylist(), texts_of(batch.column(1))
-            for at in range(0, len(keys), 256):
-                for key, coded in zip(keys[at : at + 256], enc.encode(texts[at : at + 256]), strict=True):
-                    ids.append(coded + END)
-                    names.append(key)
-                    held += len(coded) // 4 + 1
-                    if held >= shard_tokens:
-                        yield close()
+            for key, coded in zip(batch.column(0).to_pylist(), enc.encode(batch.column(1)), strict=True):
+                ids.append(coded + END)
+                names.append(key)
+                held += len(coded) // 4 + 1
+                if held >= shard_tokens:
+                    yield close()
         if ids:
             yield close()
 
@@ -181,17 +178,21 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: i
     return ordered.select("doc_id", "text").mapInArrow(run, SHARDS)
 
 
-def read_shards(shards: DataFrame) -> DataFrame:
-    """(doc_id, start, ids) of every document in the shards; ids little-endian unsigned 32-bit.
+def read_shards(shards: DataFrame, digest: bool = False) -> DataFrame:
+    """(doc_id, start, n_tokens, ids) of every document in the shards; ids little-endian unsigned 32-bit.
 
-    ``start`` counts the ids of all documents before it: sums by part, then within a part.
+    ``start`` counts the ids of all documents before it: sums by part, then within a part.  With
+    ``digest`` the reader gives ``ids_crc32``, unsigned, instead of the ids.
     """
+    value, kind = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
+    schema = pa.schema([*DOCS_ARROW, (value, kind)])
+    of = zlib.crc32 if digest else bytes
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, seq, payload in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
                 shard = WaveletShard(payload)
-                ids, ends = shard.decode().astype("<u4").tobytes(), np.cumsum(shard.lengths)
+                ids, ends = memoryview(shard.decode().astype("<u4").tobytes()), np.cumsum(shard.lengths)
                 starts = ends - shard.lengths
                 yield pa.RecordBatch.from_pydict(
                     {
@@ -199,9 +200,10 @@ def read_shards(shards: DataFrame) -> DataFrame:
                         "seq": [seq] * len(ends),
                         "doc_id": [None if x else d for x, d in zip(shard.null.tolist(), shard.doc_ids.tolist(), strict=True)],
                         "start_in_shard": starts,
-                        "ids": [ids[4 * a : 4 * b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
+                        "n_tokens": shard.lengths,
+                        value: [of(ids[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)],
                     },
-                    schema=DOCS_ARROW,
+                    schema=schema,
                 )
 
     parts = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
@@ -211,15 +213,12 @@ def read_shards(shards: DataFrame) -> DataFrame:
         "part", "seq", F.coalesce(F.sum("n_tokens").over(up.partitionBy("part").orderBy("seq")), F.lit(0)).alias("s")
     )
     before = inside.join(parts, "part").select("part", "seq", (F.col("p") + F.col("s")).alias("before"))
-    docs = shards.select("part", "seq", "payload").mapInArrow(run, DOCS)
-    docs = docs.select(
-        "part", "seq", "doc_id", "start_in_shard", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
-    )
+    docs = shards.select("part", "seq", "payload").mapInArrow(run, f"{DOCS}, {value} {'bigint' if digest else 'binary'}")
     return docs.join(before, ["part", "seq"]).select(
-        "doc_id", (F.col("before") + F.col("start_in_shard")).cast("bigint").alias("start"), "n_tokens", "ids_crc32"
+        "doc_id", (F.col("before") + F.col("start_in_shard")).cast("bigint").alias("start"), "n_tokens", value
     )
 
 
 def op5_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Writes all documents as wavelet shards to the shared folder, reads the files back."""
-    return read_shards(materialize(write_shards(table(spark, sf_dir, "documents")), "wavelet"))
+    return read_shards(materialize(write_shards(table(spark, sf_dir, "documents")), "wavelet"), digest=True)
