@@ -97,11 +97,14 @@ def build_authorships(names: DataFrame, candidates: DataFrame) -> DataFrame:
     )
 
 
-def joined_in_order(value: str, order: str) -> Column:
-    """Distinct values that are not empty, in the order first seen, with commas; null without any."""
-    seen = F.array_sort(F.collect_list(F.when(F.col(value) != "", F.struct(F.col(order), F.col(value)))))
-    text = F.array_join(F.array_distinct(F.transform(seen, lambda x: x[value])), ",")
-    return F.nullif(text, F.lit(""))
+def joined_in_order(rows: DataFrame, by: str, value: str, order: str, name: str) -> DataFrame:
+    """(by, name): the distinct values that are not empty, in the order first seen, with commas; null without any.
+
+    Values are made distinct first, so a list is as long as there are values, not rows.
+    """
+    first = rows.where(F.col(value) != "").groupBy(by, value).agg(F.min(order).alias("_o"))
+    listed = F.array_sort(F.collect_list(F.struct("_o", value)))
+    return first.groupBy(by).agg(F.array_join(F.transform(listed, lambda x: x[value]), ",").alias(name))
 
 
 def author_profiles(rows: DataFrame, as_of_year: int) -> DataFrame:
@@ -112,7 +115,8 @@ def author_profiles(rows: DataFrame, as_of_year: int) -> DataFrame:
     """
     most = F.lit(2147483647)
     flag = lambda c: F.count_if(c).cast("int")
-    out = rows.where(F.col("author_name").isNotNull()).groupBy("author_name").agg(
+    rows = rows.where(F.col("author_name").isNotNull())
+    out = rows.groupBy("author_name").agg(
         F.count("*").alias("n"),
         F.coalesce(F.sum("influential"), F.lit(0)).cast("bigint").alias("cites"),
         F.min("year").alias("first_year"),
@@ -120,9 +124,9 @@ def author_profiles(rows: DataFrame, as_of_year: int) -> DataFrame:
         flag(F.col("author_id") == F.col("first_id")).alias("first_author_count"),
         flag(F.col("author_id") == F.col("last_id")).alias("last_author_count"),
         flag(F.col("year") >= as_of_year - 3).alias("recent"),
-        joined_in_order("author_id", "ord").alias("author_ids"),
-        joined_in_order("matched_name", "ord").alias("matched_names"),
     )
+    out = out.join(joined_in_order(rows, "author_name", "author_id", "ord", "author_ids"), "author_name", "left")
+    out = out.join(joined_in_order(rows, "author_name", "matched_name", "ord", "matched_names"), "author_name", "left")
     n, first, last = F.col("n").cast("double"), F.col("first_author_count"), F.col("last_author_count")
     career = F.when(F.col("first_year") != 0, F.lit(as_of_year) - F.col("first_year") + 1)
     has_id = F.col("author_ids").isNotNull()
