@@ -21,16 +21,18 @@ def ring(spark: SparkSession, n_shards: int, vnodes: int, cell_bits: int) -> Dat
     nodes = nodes.groupBy("hi").agg(F.min("shard").alias("shard"))
     order = Window.orderBy("hi")
     nodes = nodes.select(
-        "shard", "hi", (F.row_number().over(order) - 1).alias("arc"), F.lag("hi").over(order).alias("prev")
+        "shard",
+        "hi",
+        (F.row_number().over(order) - 1).alias("arc"),
+        F.lag("hi").over(order).alias("prev"),
+        F.max("hi").over(Window.partitionBy()).alias("last"),
     )
     low, high, shift = -(2**63), 2**63 - 1, 64 - cell_bits
-    last = nodes.agg(F.max("hi").alias("last"))
     arcs = nodes.select(
         "arc", "shard", F.lit(1).alias("part"), F.when(F.col("prev").isNull(), F.lit(low)).otherwise(F.col("prev") + 1).alias("lo"), "hi"
     )
     wrap = (
         nodes.where("arc = 0")
-        .crossJoin(F.broadcast(last))  # one row each
         .where(F.col("last") < high)
         .select("arc", "shard", F.lit(0).alias("part"), (F.col("last") + 1).alias("lo"), F.lit(high).alias("hi"))
     )
