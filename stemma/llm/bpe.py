@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Callable
 from itertools import compress
 
 import numpy as np
@@ -21,7 +22,7 @@ _CUT = re.compile(r"(?<!\s) | (?=\S)")
 #: Where white space runs together; elsewhere a line feed is a unit and the word after it begins anew.
 _SPACES = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 _RUN = f"{_SPACES}{_SPACES}"
-MOST_WORDS, LONG_WORD, CHUNK = 1_000_000, 48, 20_000
+MOST_WORDS, LONG_WORD, CHUNK, ROWS = 1_300_000, 48, 20_000, 2000
 #: Marks that the pre-tokeniser never joins to the letters before them.
 _MARKS = ".,;:!?%&$*#|)"
 
@@ -31,22 +32,11 @@ _PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
 _BYTES = dict(zip([b for b in range(256) if b not in _PRINTABLE], range(0x100, 0x200)))
 
 
-class Words(dict):
-    """Encodings by word; a word that is asked for the first time gets an empty slot, to be filled."""
-
-    def __init__(self) -> None:
-        self.open: list[str] = []
-
-    def __missing__(self, word: str) -> bytearray:
-        self.open.append(word)
-        slot = self[word] = bytearray()
-        return slot
-
-
 class Encoder:
     """Little-endian unsigned 32-bit ids of texts."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most_words: int = MOST_WORDS):
+        self.most_words = most_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -56,9 +46,9 @@ class Encoder:
         self.model.pre_tokenizer = None
         self.line_feed = self.tokenizer.encode("\n", add_special_tokens=False).ids[0]
         self.feed = array("I", [self.line_feed]).tobytes()
-        self.words = Words()  # after a space, or as marked
-        self.marks = Words()
-        self.heads = Words()  # at the start of a text
+        self.words: dict[str, bytes] = {}  # after a space, or as marked
+        self.marks: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # at the start of a text
 
     def _ask(self, units: list[str]) -> list[bytes]:
         out = []
@@ -89,58 +79,67 @@ class Encoder:
                 start = end + 1
         return out
 
-    def _fill(self) -> None:
-        """Fills the open slots: letters and the marks that follow them apart.
+    def _learn(self, missing: list[str]) -> dict[str, bytes]:
+        """Encodings of different words: letters and the marks that follow them apart.
 
         A word stands after a space; one that begins with a line feed stands after that alone; one
         that begins with a space is a part of a text with runs of white space, and is whole.
         """
-        known, marks, tails, words, other = self.words, self.marks, [], [], []
-        for w in known.open:  # grows by the words without their marks
+        known, new, tails, words, other = self.words, {}, [], [], []
+        for w in missing:
             if w.isalpha():
                 words.append(w)
                 continue
             base = w.rstrip(_MARKS)
-            if len(base) < len(w) and base and base[-1] < "\u0250" and (base.isalpha() or (base[0] == "\n" and base[1:].isalpha())):
-                tails.append((w, known[base], marks[w[len(base) :]]))
-            elif w[0:1] == "\n" and w[1:].isalpha():
-                known[w] += self.feed
-                words.append(w)
+            if base and base[-1] < "\u0250" and (base.isalpha() or (base[0] == "\n" and base[1:].isalpha())):
+                tails.append((w, base))
+                if base not in known:
+                    words.append(base)
             else:
                 other.append(w)
-        for w, ids in zip(words, self._ask_words(words), strict=True):
-            known[w] += ids
-        for w, ids in zip(other, self._ask([w if w[:1] in ("\n", " ") else " " + w for w in other]), strict=True):
-            known[w] += ids
-        for held in (marks, self.heads):
-            for w, ids in zip(held.open, self._ask(held.open), strict=True):
-                held[w] += ids
-        for w, base, mark in tails:
-            slot = known[w]
-            slot += base
-            slot += mark
-
-    def _forget(self) -> None:
-        """Closes the slots; long words are not kept, and a full cache starts again."""
-        for held in (self.words, self.marks, self.heads):
-            if len(held) > MOST_WORDS:
+        words = list(dict.fromkeys(words))
+        new.update(zip(words, self._ask_words(words), strict=True))
+        for w in words:
+            if w[0] == "\n":
+                new[w] = self.feed + new[w]
+        new.update(zip(other, self._ask([w if w[:1] in ("\n", " ") else " " + w for w in other]), strict=True))
+        for w, base in tails:
+            if len(base) < len(w):
+                mark = w[len(base) :]
+                if mark not in self.marks:
+                    self.marks[mark] = self._ask([mark])[0]
+                new[w] = (new.get(base) or known[base]) + self.marks[mark]
+        return new
+
+    def _found(self, words: list[str], held: dict[str, bytes], learn: Callable[[list[str]], dict[str, bytes]]) -> list[bytes]:
+        """The encodings of ``words``; long words are not kept, and a full cache starts again."""
+        out = list(map(held.get, words))
+        gaps = [i for i, ids in enumerate(out) if ids is None]
+        if gaps:
+            new = learn([words[i] for i in gaps])
+            for i in gaps:
+                out[i] = new[words[i]]
+            if len(held) > self.most_words:
                 held.clear()
-            elif any(len(w) > LONG_WORD for w in held.open):
-                for w in held.open:
-                    if len(w) > LONG_WORD:
-                        del held[w]
-            held.open.clear()
+            if max(map(len, new)) > LONG_WORD:
+                new = {w: ids for w, ids in new.items() if len(w) <= LONG_WORD}
+            held.update(new)
+        return out
+
+    def _found_heads(self, heads: list[str]) -> list[bytes]:
+        def learn(some: list[str]) -> dict[str, bytes]:
+            some = list(dict.fromkeys(some))
+            return dict(zip(some, self._ask(some), strict=True))
+
+        return self._found(heads, self.heads, learn)
 
     def _encode_runs(self, texts: list[str]) -> list[bytes]:
         """Texts with runs of white space."""
-        parts = []
-        for t in texts:
-            head, *words = _CUT.split(t)
-            parts.append([self.heads[head], *[self.words[" " + w] for w in words]])
-        self._fill()
-        out = list(map(b"".join, parts))
-        self._forget()
-        return out
+        parts = [_CUT.split(t) for t in texts]
+        heads = self._found_heads([p[0] for p in parts])
+        words = list(dict.fromkeys(" " + w for p in parts for w in p[1:]))
+        ids = dict(zip(words, self._found(words, self.words, self._learn), strict=True))
+        return [head + b"".join([ids[" " + w] for w in p[1:]]) for head, p in zip(heads, parts, strict=True)]
 
     def encode(self, texts: pa.Array | list[str | None]) -> list[bytes]:
         """The ids of each text as bytes, four for each id; null is empty.
@@ -154,20 +153,20 @@ class Encoder:
             some = pa.array(runs)
             slow, fast = iter(self._encode_runs(texts.filter(some).to_pylist())), iter(self.encode(texts.filter(pc.invert(some))) if not runs.all() else ())
             return [next(slow if r else fast) for r in runs.tolist()]
+        if len(texts) > ROWS:
+            return [ids for at in range(0, len(texts), ROWS) for ids in self.encode(texts.slice(at, ROWS))]
         if not len(texts):
             return []
         lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
         ends = np.cumsum(lists.value_lengths().to_numpy())
         first = np.append(0, ends[:-1])  # places of the texts' first words
         flat = lists.flatten()
-        heads = list(map(self.heads.__getitem__, flat.take(pa.array(first)).to_pylist()))
+        heads = self._found_heads(flat.take(pa.array(first)).to_pylist())
         coded = flat.dictionary_encode()
-        words = list(map(self.words.__getitem__, coded.dictionary.to_pylist()))
-        self._fill()
+        words = self._found(coded.dictionary.to_pylist(), self.words, self._learn)
         known = np.frombuffer(b"".join(words + heads), "<u4")
         sizes = np.fromiter(map(len, words + heads), np.int64, len(words) + len(heads)) // 4
         begins = np.cumsum(sizes) - sizes
-        self._forget()
         which = coded.indices.to_numpy().astype(np.int64)
         which[first] = len(words) + np.arange(len(heads))
         size = sizes[which]
@@ -180,10 +179,10 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
-def encoder(path: str) -> Encoder:
-    """One for each worker process and vocabulary."""
+def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
+    """One for each worker process and vocabulary; ``most_words`` are remembered, some 230 bytes each."""
     if path not in _encoders:
-        _encoders[path] = Encoder(path)
+        _encoders[path] = Encoder(path, most_words)
     return _encoders[path]
 
 

@@ -12,7 +12,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from stemma.llm.bpe import default_vocabulary, encoder
-from stemma.llm.common import materialize, part_id, small_batches, table
+from stemma.llm.common import materialize, part_id, small_batches, table, trimmed
 
 MAGIC, BLOCK = b"WVMX1", 512
 END = b"\0\0\0\0"
@@ -175,7 +175,7 @@ def write_shards(docs: DataFrame, vocabulary: str | None = None, shard_tokens: i
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = rows.withColumn("tie", F.xxhash64("text"))
     ordered = rows.repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie")
-    return ordered.select("doc_id", "text").mapInArrow(run, SHARDS)
+    return ordered.select("doc_id", "text").mapInArrow(trimmed(run), SHARDS)
 
 
 def read_shards(shards: DataFrame, digest: bool = False) -> DataFrame:
