@@ -9,13 +9,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import small_batches, table, text_bytes
+from stemma.llm.common import small_batches, table, text_bytes, trimmed
 
 WINDOW, REACH, MOST = 16, 24, 256
 GEAR = np.random.default_rng(20240607).integers(0, 1 << 32, 256, dtype=np.uint32)
 NONE = np.uint32(0xFFFFFFFF)
 #: Digests a task remembers; beyond, later repeats are found by the shuffle instead.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -117,10 +117,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
             good = same | known
             yield pa.RecordBatch.from_arrays([pa.array(rid[good]), pa.array(ord_[good])], schema=gone_schema)
 
-    posted = docs.select("rid", "text").mapInArrow(post, "h1 bigint, h2 bigint, rid bigint, ord int, known boolean")
+    posted = docs.select("rid", "text").mapInArrow(trimmed(post), "h1 bigint, h2 bigint, rid bigint, ord int, known boolean")
     # known repeats need no partner: they are spread by their row
     dealt = posted.repartition(F.when(F.col("known"), F.xxhash64("rid", "ord")).otherwise(F.col("h1")))
-    return dealt.sortWithinPartitions("known", "h1", "h2", "rid", "ord").mapInArrow(later, "rid bigint, ord int")
+    return dealt.sortWithinPartitions("known", "h1", "h2", "rid", "ord").mapInArrow(trimmed(later), "rid bigint, ord int")
 
 
 def cut_repeats(joined: DataFrame, min_run: int) -> DataFrame:
@@ -153,7 +153,7 @@ def cut_repeats(joined: DataFrame, min_run: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=["text", "spans", *rest])
 
     types = ", ".join(f"`{c}` {joined.schema[c].dataType.simpleString()}" for c in rest)
-    return joined.select("text", "ords", *[F.col(f"`{c}`") for c in rest]).mapInArrow(run, f"text string, spans {kind}, {types}")
+    return joined.select("text", "ords", *[F.col(f"`{c}`") for c in rest]).mapInArrow(trimmed(run), f"text string, spans {kind}, {types}")
 
 
 def dedup_chunks(docs: DataFrame, min_run: int = 64) -> DataFrame:

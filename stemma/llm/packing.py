@@ -9,8 +9,8 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.bpe import default_vocabulary, encoder
-from stemma.llm.common import part_id, small_batches, table
+from stemma.llm.bpe import MOST_WORDS, default_vocabulary, encoder
+from stemma.llm.common import part_id, small_batches, table, trimmed
 
 END = b"\0\0\0\0"
 SCHEMA = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -102,6 +102,7 @@ def pack_documents(
     tiers: tuple[int, ...] = (128, 256, 512, 1024),
     group_tokens: int = 1 << 18,
     step_tokens: int = 1 << 15,
+    most_words: int = MOST_WORDS,
 ) -> DataFrame:
     """One row for each piece: where its ids lie in the document and in its sequence, and the ids.
 
@@ -109,13 +110,14 @@ def pack_documents(
     repeated rows are documents like any other; a null doc_id stays null; an empty table gives no
     rows.  No shuffle: each task packs its own documents, ``group_tokens`` at a time, and holds that
     many ids and one document at most.  ``step_id`` groups sequences into training steps of nearly
-    ``step_tokens`` ids each.
+    ``step_tokens`` ids each.  A worker remembers the ids of ``most_words`` words, which is memory
+    against time only.
     """
     small_batches(docs.sparkSession)
     vocabulary = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, packer = encoder(vocabulary), Packer(tiers, step_tokens)
+        enc, packer = encoder(vocabulary, most_words), Packer(tiers, step_tokens)
         held: dict[int, tuple[int | None, bytes]] = {}
         base, sequences, steps, number, waiting = part_id() << 40, 0, 0, 0, 0
 
@@ -147,7 +149,7 @@ def pack_documents(
                     waiting = 0
         yield from emit(True)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, SCHEMA)
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(trimmed(run), SCHEMA)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import materialize, small_batches, table, text_bytes
+from stemma.llm.common import materialize, small_batches, table, text_bytes, trimmed
 
 FEATURES, BINS, SEED = 256, 2000, 11
 #: Raw ridge scores are binned between these for calibration.
@@ -56,7 +56,7 @@ def document_statistics(docs: DataFrame) -> DataFrame:
             x = pa.array([statistics(t) for t in text_bytes(batch.column(1))], pa.list_(pa.float64()))
             yield pa.RecordBatch.from_arrays([batch.column(0), x], schema=schema)
 
-    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(run, "doc_id bigint, x array<double>")
+    return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(trimmed(run), "doc_id bigint, x array<double>")
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -131,7 +131,7 @@ def fit(rows: DataFrame, ridge: float = 1.0) -> Model:
                 total[row] = total.get(row, 0.0) + np.frombuffer(sums_)
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([v.tobytes() for v in total.values()], pa.binary())], schema=part)
 
-    partial = rows.select("x", "y").mapInArrow(products, "row int, sums binary").repartition("row").mapInArrow(add, "row int, sums binary")
+    partial = rows.select("x", "y").mapInArrow(trimmed(products), "row int, sums binary").repartition("row").mapInArrow(add, "row int, sums binary")
     normal = np.zeros((size, size + 1))
     for r in partial.collect():
         normal[r.row] = np.frombuffer(r.sums)
@@ -197,7 +197,7 @@ def keep_good_documents(docs: DataFrame, labels: DataFrame, least: float) -> Dat
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     columns = [F.col(f"`{c}`") for c in names]
-    return docs.select(F.col("text").cast("string").alias("_text"), *columns).mapInArrow(run, kinds)
+    return docs.select(F.col("text").cast("string").alias("_text"), *columns).mapInArrow(trimmed(run), kinds)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

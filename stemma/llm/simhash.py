@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import connected_components, materialize, small_batches, table, text_bytes
+from stemma.llm.common import connected_components, materialize, small_batches, table, text_bytes, trimmed
 
 SEED = 42
 #: Row b: the bits of byte value b, lowest first.
@@ -230,7 +230,7 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
                 rid = batch.column(0).slice(at, len(some))
                 yield pa.RecordBatch.from_arrays([rid, pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
 
-    prints = materialize(docs.select("rid", "text").mapInArrow(make, "rid bigint, fp binary"), "wide")
+    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, fp binary"), "wide")
     post_schema = pa.schema([("list", pa.int32()), ("key", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,10 +280,10 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
             links = np.unique(np.stack([head, a])[:, head != a], axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], schema=schema)
 
-    posted = materialize(prints.mapInArrow(post, "list int, key int, a bigint, b bigint"), "posted")
+    posted = materialize(prints.mapInArrow(trimmed(post), "list int, key int, a bigint, b bigint"), "posted")
     inside = posted.where("list IS NULL").select("a", "b")
     dealt = posted.where("list IS NOT NULL").select("list", "key", "a").repartition("list", "key")
-    across = dealt.sortWithinPartitions("list", "key", "a").mapInArrow(pair, "a bigint, b bigint")
+    across = dealt.sortWithinPartitions("list", "key", "a").mapInArrow(trimmed(pair), "a bigint, b bigint")
     found = inside.unionAll(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,7 +298,7 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
 
     with_a = found.join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
     both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(verify, "a bigint, b bigint")
+    return both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint")
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = 5) -> DataFrame:
