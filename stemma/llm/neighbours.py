@@ -59,7 +59,7 @@ def search(
     is_query: Column | str = "vec_id % 20 = 0",
     k: int = 20,
     lists: int = 64,
-    probes: int = 48,
+    probes: int = 62,
     spaces: int = 16,
     rerank: int = 100,
     sample_rows: int = 10_000,
