@@ -183,25 +183,24 @@ LISTS = WIDE // 8 // KEY_BYTES
 AGREE = 0.838
 #: Expected shared positional bytes there: 512 * 0.838^8 = 124; less four deviations.
 MIN_TALLY = 85
-#: Postings a task remembers.
-REMEMBERED = 3_000_000
+#: Rows of a posting list that are compared in one task, at about twice as many.
+BLOCK = 1024
 
 
-def wide_fingerprints(texts: list[bytes], k: int) -> np.ndarray:
-    """4,096-bit SimHash of each text's set of shingles, as rows of 512 bytes.
+def wide_fingerprints(sets: list[np.ndarray]) -> np.ndarray:
+    """4,096-bit SimHash of each set of shingle hashes, as rows of 512 bytes.
 
     Each shingle's hash gives four signed places in a sketch of 4,096 counts; a Walsh-Hadamard
     transform turns the sketch into 4,096 random projections, whose signs are the bits.
     """
-    sketch = np.zeros((len(texts), WIDE), np.float32)
-    for row, text in zip(sketch, texts, strict=True):
-        h = np.unique(shingle_hashes(text, k))
+    sketch = np.zeros((len(sets), WIDE), np.float32)
+    for row, h in zip(sketch, sets, strict=True):
         for shift in (0, 13, 26, 39):
             sign = 1.0 - 2.0 * ((h >> np.uint64(shift + 12)) & np.uint64(1)).astype(np.float64)
             row += np.bincount(((h >> np.uint64(shift)) & np.uint64(WIDE - 1)).astype(np.int64), sign, WIDE).astype(np.float32)
     step = 1
     while step < WIDE:
-        pairs = sketch.reshape(len(texts), -1, 2, step)
+        pairs = sketch.reshape(len(sets), -1, 2, step)
         a = pairs[:, :, 0] + pairs[:, :, 1]
         np.subtract(pairs[:, :, 0], pairs[:, :, 1], out=pairs[:, :, 1])
         pairs[:, :, 0] = a
@@ -209,96 +208,127 @@ def wide_fingerprints(texts: list[bytes], k: int) -> np.ndarray:
     return np.packbits(sketch > 0, axis=1, bitorder="little")
 
 
+def _close(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of two arrays of wide fingerprints, one of which may be a single row, agree in enough bits and bytes."""
+    good = np.bitwise_count(x.view("<u8") ^ y.view("<u8")).sum(1, dtype=np.int64) <= (1 - AGREE) * WIDE
+    good[good] = (x[good] == (y if len(y) == 1 else y[good])).sum(1) >= MIN_TALLY
+    return good
+
+
+def _wide(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE // 8)
+
+
+def _pairs_of_lists(rows: DataFrame) -> DataFrame:
+    """(a, b): close pairs with different ``c`` in the lists of ``rows(g, b, c, fp, blocks)``.
+
+    A list of many blocks is dealt as pairs of blocks, so no task holds more than two of them.
+    """
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def out(g: np.ndarray, rid: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            """Rows of ``g``: list, two blocks, own block, component."""
+            ends = np.append(np.flatnonzero((g[1:, :3] != g[:-1, :3]).any(1)) + 1, len(g))
+            start, left, right = 0, [], []
+            for end in ends.tolist():
+                one = g[start, 1] == g[start, 2]
+                for r in range(start, end - 1):
+                    other = g[r + 1 : end, 4] != g[r, 4]
+                    if not one:
+                        other &= g[r + 1 : end, 3] != g[r, 3]
+                    at = np.flatnonzero(other) + r + 1
+                    at = at[_close(fp[at], fp[r : r + 1])]
+                    left.append(np.minimum(rid[at], rid[r]))
+                    right.append(np.maximum(rid[at], rid[r]))
+                start = end
+            if left:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], schema=schema)
+
+        for batch in batches:
+            new = [np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1), batch.column(5).to_numpy(), _wide(batch.column(6))]
+            g, rid, fp = (np.concatenate(x) for x in zip(held, new, strict=True)) if held else new
+            last = np.flatnonzero((g[:, :3] != g[-1, :3]).any(1))
+            cut = last[-1] + 1 if len(last) else 0
+            if cut:
+                yield from out(g[:cut], rid[:cut], fp[:cut])
+            held = [g[cut:], rid[cut:], fp[cut:]]
+        if held:
+            yield from out(*held)
+
+    own = rows.withColumn("k", F.pmod(F.xxhash64("b"), F.col("blocks"))).withColumn("l", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = own.select("g", F.least("k", "l").alias("i"), F.greatest("k", "l").alias("j"), "k", "c", "b", "fp")
+    return dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(trimmed(compare), "a bigint, b bigint").distinct()
+
+
 def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
     """(a, b): row numbers of texts whose sets of k-word shingles have Jaccard similarity of about 0.8 or more.
 
-    ``docs(rid, text)``.  Candidates share one of 170 sets of three positional bytes of the wide
-    fingerprint; at similarity 0.8 a pair shares one with probability 0.96, at 0.85 with 0.998.  A
-    list is combined in each task before the shuffle: rows of one task link to the first of them, and
-    only that one is posted, so a list has at most one row for each task however many copies there
-    are.  Candidates need ``MIN_TALLY`` shared positional bytes and then agree in ``AGREE`` of the bits.
+    ``docs(rid, text)``.  Texts with equal sets are one class.  Candidates share one of 170 sets of
+    three positional bytes of the wide fingerprint; at similarity 0.8 a pair shares one with
+    probability 0.96, at 0.85 with 0.998.  Candidates need ``AGREE`` of the bits and ``MIN_TALLY``
+    shared positional bytes.  First each row of a list is compared with the list's first; then, in
+    lists whose other rows these links leave in different components, every two rows of different
+    components.  So all pairs of every list count, but pairs that links already join are left out:
+    the components are those of all pairs.
     """
     small_batches(docs.sparkSession)
-    prints_schema = pa.schema([("rid", pa.int64()), ("fp", pa.binary())])
+    prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("fp", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = text_bytes(batch.column(1))
             for at in range(0, len(texts), 256):
-                some = [i for i in range(at, min(at + 256, len(texts)))]
-                fps = wide_fingerprints([texts[i] for i in some], k)
-                rid = batch.column(0).slice(at, len(some))
-                yield pa.RecordBatch.from_arrays([rid, pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
-
-    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, fp binary"), "wide")
-    post_schema = pa.schema([("list", pa.int32()), ("key", pa.int32()), ("a", pa.int64()), ("b", pa.int64())])
+                sets = [np.unique(shingle_hashes(t, k)) for t in texts[at : at + 256]]
+                fps = wide_fingerprints(sets)
+                rid = batch.column(0).slice(at, len(sets))
+                same = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
+                yield pa.RecordBatch.from_arrays([rid, pa.array(same, pa.binary()), pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
+
+    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, same binary, fp binary"), "wide")
+    low = prints.groupBy("same").agg(F.min("rid").alias("a"))
+    copies = materialize(prints.select("rid", "same").join(low, "same").where("rid <> a").select("a", F.col("rid").alias("b")), "copies")
+    heads = prints.select("rid", "fp").join(copies.select(F.col("b").alias("rid")), "rid", "left_anti")
+    post_schema = pa.schema([("g", pa.int64()), ("rid", pa.int64())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Postings (list, key, a, null) and links inside the task (null, null, a, b)."""
-        known, first = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for batch in batches:
-            rids = batch.column(0).to_numpy()
-            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(rids), -1)
-            parts = fps[:, : LISTS * KEY_BYTES].reshape(len(rids), LISTS, KEY_BYTES).astype(np.int64)
+            parts = _wide(batch.column(1))[:, : LISTS * KEY_BYTES].reshape(len(batch), LISTS, KEY_BYTES).astype(np.int64)
             keys = parts[:, :, 0] | parts[:, :, 1] << 8 | parts[:, :, 2] << 16 | np.arange(LISTS) << 24
-            flat, owner = keys.ravel(), np.repeat(rids, LISTS)
-            unique, at, back = np.unique(flat, return_index=True, return_inverse=True)
-            lead = owner[at]
-            if len(known):
-                near = np.minimum(np.searchsorted(known, unique), len(known) - 1)
-                fresh = known[near] != unique
-                lead = np.where(fresh, lead, first[near])
-            else:
-                fresh = np.ones(len(unique), bool)
-            if len(known) < REMEMBERED:  # beyond that, later rows post for themselves: more rows, the same links
-                place = np.searchsorted(known, unique[fresh])
-                known, first = np.insert(known, place, unique[fresh]), np.insert(first, place, lead[fresh])
-            a = lead[back]
-            links = np.unique(np.stack([a, owner])[:, a != owner], axis=1)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array((unique[fresh] >> 24).astype(np.int32)),
-                    pa.array((unique[fresh] & 0xFFFFFF).astype(np.int32)),
-                    pa.array(lead[fresh]),
-                    pa.nulls(int(fresh.sum()), pa.int64()),
-                ],
-                schema=post_schema,
-            )
-            none = pa.nulls(links.shape[1], pa.int32())
-            yield pa.RecordBatch.from_arrays([none, none, pa.array(links[0]), pa.array(links[1])], schema=post_schema)
-
-    def pair(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by list, key, a: each row of a list with the first one."""
-        schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
-        lead = (-1, -1, -1)
+            yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), LISTS))], schema=post_schema)
+
+    def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by list and row number: each row of a list but the first, with the first."""
+        schema = pa.schema([("g", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+        last = (-1, -1)
         for batch in batches:
-            lists, keys, a = (batch.column(i).to_numpy() for i in range(3))
-            new = np.append((lists[0], keys[0]) != lead[:2], (lists[1:] != lists[:-1]) | (keys[1:] != keys[:-1]))
-            start = np.maximum.accumulate(np.where(new, np.arange(len(a)), -1))
-            head = np.where(start >= 0, a[start], lead[2])
-            lead = (int(lists[-1]), int(keys[-1]), int(head[-1]))
-            links = np.unique(np.stack([head, a])[:, head != a], axis=1)
-            yield pa.RecordBatch.from_arrays([pa.array(links[0]), pa.array(links[1])], schema=schema)
-
-    posted = materialize(prints.mapInArrow(trimmed(post), "list int, key int, a bigint, b bigint"), "posted")
-    inside = posted.where("list IS NULL").select("a", "b")
-    dealt = posted.where("list IS NOT NULL").select("list", "key", "a").repartition("list", "key")
-    across = dealt.sortWithinPartitions("list", "key", "a").mapInArrow(trimmed(pair), "a bigint, b bigint")
-    found = inside.unionAll(across).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            g, rid = (batch.column(i).to_numpy() for i in range(2))
+            new = np.append(g[0] != last[0], g[1:] != g[:-1])
+            start = np.maximum.accumulate(np.where(new, np.arange(len(g)), -1))
+            head = np.where(start >= 0, rid[start], last[1])
+            last = (int(g[-1]), int(head[-1]))
+            yield pa.RecordBatch.from_arrays([pa.array(x[~new]) for x in (g, head, rid)], schema=schema)
+
+    posted = heads.mapInArrow(trimmed(post), "g bigint, rid bigint").repartition("g").sortWithinPartitions("g", "rid")
+    members = materialize(posted.mapInArrow(trimmed(lead), "g bigint, a bigint, b bigint"), "members")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(len(batch), -1) for i in (2, 3))
-            good = (x == y).sum(1) >= MIN_TALLY
-            apart = np.zeros(len(batch), np.int64)
-            apart[good] = np.bitwise_count(x[good] ^ y[good]).sum(1)
-            good &= apart <= (1 - AGREE) * WIDE
-            rows = pa.array(good)
+            rows = pa.array(_close(_wide(batch.column(2)), _wide(batch.column(3))))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(rows), batch.column(1).filter(rows)], names=["a", "b"])
 
-    with_a = found.join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
+    with_a = members.select("a", "b").distinct().join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
     both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint")
+    first = materialize(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), "first-links")
+
+    near = connected_components(first).select(F.col("node").alias("b"), "component")
+    rest = materialize(members.select("g", "b").join(near, "b", "left").select("g", "b", F.coalesce("component", "b").alias("c")), "rest")
+    unlike = rest.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    unlike = unlike.select("g", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks"))
+    rows = rest.join(unlike, "g").join(prints.select(F.col("rid").alias("b"), "fp"), "b")
+    return copies.unionAll(first).unionAll(_pairs_of_lists(rows))
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = 5) -> DataFrame:

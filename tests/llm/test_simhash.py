@@ -99,6 +99,24 @@ def test_near_copies_found_and_others_left(spark):
     assert all(jaccard(texts[a], texts[b]) >= 0.72 for a, b in got)
 
 
+def test_near_copies_inside_a_template(spark, monkeypatch):
+    """Each text is similar by 0.7 to all others and by 0.84 to one; long lists go in several blocks."""
+    monkeypatch.setattr(simhash, "BLOCK", 8)
+    rng = random.Random(4)
+    template, texts = words(rng, 165).split(), []
+    for i in range(400):
+        own = [f"{rng.getrandbits(40):x}" for _ in range(40)]
+        texts += [" ".join(template + own), " ".join(template + own[:-17] + [f"{i}x{j}" for j in range(17)])]
+    pairs = [(i, i + 1) for i in range(0, len(texts), 2)]
+    assert all(jaccard(texts[a], texts[b]) > 0.83 for a, b in pairs) and jaccard(texts[0], texts[2]) < 0.72
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    df = spark.createDataFrame([(order[i], t) for i, t in enumerate(texts)], "rid bigint, text string").repartition(4)
+    got = {(r.a, r.b) for r in simhash.near_copy_links(df).collect()}
+    want = {tuple(sorted((order[a], order[b]))) for a, b in pairs}
+    assert got <= want and len(got) >= 0.97 * len(want)
+
+
 @pytest.mark.parametrize("make", [hard_docs, clash_docs, empty_docs])
 def test_one_of_each_group_stays(spark, tmp_path, make):
     sf = folder(spark, tmp_path, make(spark).repartition(3))
