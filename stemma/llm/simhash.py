@@ -177,12 +177,17 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- wide fingerprints: Jaccard similarity 0.8 of 5-word shingles -----------------------------------
 
 WIDE, KEY_BYTES = 4096, 3
-#: Postings of three bytes each; 170 of them.
-LISTS = WIDE // 8 // KEY_BYTES
-#: Bit agreement at the cosine 2J/(1+J) that Jaccard 0.8 guarantees is 0.849; less two deviations of 4,096 bits.
-AGREE = 0.838
-#: Expected shared positional bytes there: 512 * 0.838^8 = 124; less four deviations.
+#: Postings of three bytes each: 170 of neighbouring bytes and 170 of bytes in a mixed order.
+PLACES = np.concatenate([order[: WIDE // 8 // KEY_BYTES * KEY_BYTES] for order in (np.arange(WIDE // 8), np.arange(WIDE // 8) * 205 % (WIDE // 8))])
+LISTS = len(PLACES) // KEY_BYTES
+#: Pairs with at least 4/5 of all their shingles in common link.
+SHARED, OF_ALL = 4, 5
+#: Bit agreement at the cosine 2J/(1+J) that Jaccard 0.8 guarantees is 0.849; less five deviations of 4,096 bits.
+AGREE = 0.82
+#: Expected shared positional bytes at 0.849 are 138; less five deviations.
 MIN_TALLY = 85
+#: Rows of an Arrow batch with two sets of shingles each.
+SET_ROWS = 200
 #: Rows of a posting list that are compared in one task, at about twice as many.
 BLOCK = 1024
 
@@ -263,16 +268,50 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
     return dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(trimmed(compare), "a bigint, b bigint").distinct()
 
 
+def _similar(pairs: DataFrame, docs: DataFrame, k: int, tag: str) -> DataFrame:
+    """The rows of ``pairs(a, b)`` whose texts in ``docs(rid, text)`` have Jaccard similarity 0.8 or more, exactly."""
+    spark = docs.sparkSession
+    schema = pa.schema([("rid", pa.int64()), ("shingles", pa.binary())])
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, k)).tobytes() for t in text_bytes(batch.column(1))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], schema=schema)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = np.zeros(len(batch), bool)
+            for i in range(len(batch)):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), "<u8") for c in (2, 3))
+                if SHARED * max(len(x), len(y)) <= OF_ALL * min(len(x), len(y)):
+                    both = len(np.intersect1d(x, y, assume_unique=True))
+                    good[i] = OF_ALL * both >= SHARED * (len(x) + len(y) - both)
+            rows = pa.array(good)
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(rows), batch.column(1).filter(rows)], names=["a", "b"])
+
+    pairs = materialize(pairs, f"{tag}-pairs")
+    used = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
+    small_batches(spark, SET_ROWS)
+    sets = docs.select("rid", "text").join(used, "rid", "left_semi").mapInArrow(trimmed(make), "rid bigint, shingles binary")
+    sets = materialize(sets, f"{tag}-sets")
+    with_a = pairs.join(sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x")), "a")
+    both = with_a.join(sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y")), "b")
+    found = materialize(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), tag)
+    small_batches(spark)
+    return found
+
+
 def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
-    """(a, b): row numbers of texts whose sets of k-word shingles have Jaccard similarity of about 0.8 or more.
-
-    ``docs(rid, text)``.  Texts with equal sets are one class.  Candidates share one of 170 sets of
-    three positional bytes of the wide fingerprint; at similarity 0.8 a pair shares one with
-    probability 0.96, at 0.85 with 0.998.  Candidates need ``AGREE`` of the bits and ``MIN_TALLY``
-    shared positional bytes.  First each row of a list is compared with the list's first; then, in
-    lists whose other rows these links leave in different components, every two rows of different
-    components.  So all pairs of every list count, but pairs that links already join are left out:
-    the components are those of all pairs.
+    """(a, b): row numbers of texts whose sets of k-word shingles have Jaccard similarity 0.8 or more.
+
+    ``docs(rid, text)`` must give the same rows each time.  Texts with equal sets are one class.
+    Candidates share one of 340 sets of three positional bytes of the wide fingerprint; at similarity
+    0.8 a pair shares one with probability 0.999, and what shares none is not found.  Candidates with
+    ``AGREE`` of the bits and ``MIN_TALLY`` shared positional bytes are verified on the sets
+    themselves, so no link is below 0.8.  First each row of a list is compared with the list's first;
+    then, in lists whose other rows these links leave in different components, every two rows of
+    different components.  So all pairs of every list count, but pairs that links already join are
+    left out: the components are those of all pairs.
     """
     small_batches(docs.sparkSession)
     prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("fp", pa.binary())])
@@ -295,7 +334,7 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = _wide(batch.column(1))[:, : LISTS * KEY_BYTES].reshape(len(batch), LISTS, KEY_BYTES).astype(np.int64)
+            parts = _wide(batch.column(1))[:, PLACES].reshape(len(batch), LISTS, KEY_BYTES).astype(np.int64)
             keys = parts[:, :, 0] | parts[:, :, 1] << 8 | parts[:, :, 2] << 16 | np.arange(LISTS) << 24
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), LISTS))], schema=post_schema)
 
@@ -321,14 +360,14 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
 
     with_a = members.select("a", "b").distinct().join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
     both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
-    first = materialize(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), "first-links")
+    first = _similar(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), docs, k, "first-links")
 
     near = connected_components(first).select(F.col("node").alias("b"), "component")
     rest = materialize(members.select("g", "b").join(near, "b", "left").select("g", "b", F.coalesce("component", "b").alias("c")), "rest")
     unlike = rest.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     unlike = unlike.select("g", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks"))
     rows = rest.join(unlike, "g").join(prints.select(F.col("rid").alias("b"), "fp"), "b")
-    return copies.unionAll(first).unionAll(_pairs_of_lists(rows))
+    return copies.unionAll(first).unionAll(_similar(_pairs_of_lists(rows), docs, k, "list-links"))
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = 5) -> DataFrame:

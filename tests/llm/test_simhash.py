@@ -117,6 +117,25 @@ def test_near_copies_inside_a_template(spark, monkeypatch):
     assert got <= want and len(got) >= 0.97 * len(want)
 
 
+@pytest.mark.parametrize("kind", ["equal sizes", "one contains the other"])
+def test_near_copies_at_the_threshold(spark, kind):
+    """Similarities from just below 0.8 to exactly 0.8 and just above: only those of 0.8 link, and nearly all of them."""
+    rng = random.Random(6)
+    texts = []
+    for i in range(600):
+        n = 180 if kind == "equal sizes" else 160
+        off = i % 5 - 2  # shingles more or fewer than at exactly 0.8
+        w = [f"{rng.getrandbits(40):x}" for _ in range(n + 4)]
+        more = [f"{rng.getrandbits(40):x}" for _ in range((20 if n == 180 else 40) - off)]
+        texts += [" ".join(w), " ".join((w[len(more) :] if n == 180 else w) + more)]
+    df = spark.createDataFrame(list(enumerate(texts)), "rid bigint, text string").repartition(4)
+    got = {(r.a, r.b) for r in simhash.near_copy_links(df).collect()}
+    sims = {(i, i + 1): jaccard(texts[i], texts[i + 1]) for i in range(0, len(texts), 2)}
+    assert min(sims.values()) > 0.77 and sum(j == 0.8 for j in sims.values()) >= 100
+    want = {p for p, j in sims.items() if j >= 0.8}
+    assert got <= want and len(got) >= 0.985 * len(want)
+
+
 @pytest.mark.parametrize("make", [hard_docs, clash_docs, empty_docs])
 def test_one_of_each_group_stays(spark, tmp_path, make):
     sf = folder(spark, tmp_path, make(spark).repartition(3))
