@@ -287,9 +287,9 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 # --- authors ---------------------------------------------------------------------------------
 
 
-def _bylines(spark: Session, sf: str) -> tuple[DataFrame, DataFrame]:
+def _bylines(spark: Session, sf: str, papers: str = "l_orderkey % 4 = 0") -> tuple[DataFrame, DataFrame]:
     """Names of papers and candidates, both from lines: the candidates in another order and spelling."""
-    auth = table(spark, sf, "lineitem").where("l_orderkey % 4 = 0").groupBy(F.col("l_orderkey").alias("paper_id"), F.col("l_suppkey").alias("s")).agg(F.min("l_linenumber").alias("p"))
+    auth = table(spark, sf, "lineitem").where(papers).groupBy(F.col("l_orderkey").alias("paper_id"), F.col("l_suppkey").alias("s")).agg(F.min("l_linenumber").alias("p"))
     pos = lambda o: (F.row_number().over(Window.partitionBy("paper_id").orderBy(*o)) - 1).cast("int")
     name = F.concat(F.lit("Ann Bo"), (F.col("s") % 7).cast("string"), F.lit(" Li"), (F.col("s") % 5).cast("string"))
     short = F.concat(F.lit("A. B. Li"), (F.col("s") % 5).cast("string"))
@@ -338,8 +338,8 @@ UNION ALL SELECT n3.paper_id, n3.name_pos, c3.cand_pos, 'initials' AS tier FROM
 
 
 def authorships(spark: Session, sf: str) -> DataFrame:
-    """MT1, MT2, T6, T7: all tiers and the unmatched, one row for each name of a paper."""
-    return authors.build_authorships(*_bylines(spark, sf))
+    """MT1, MT2, T6, T7: all tiers and the unmatched, one row for each name of every paper."""
+    return authors.build_authorships(*_bylines(spark, sf, papers="true"))
 
 
 def match_statistics(spark: Session, sf: str) -> DataFrame:

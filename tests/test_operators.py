@@ -156,3 +156,11 @@ def test_comparing_published_values(spark):
     assert got == {"a": True, "b": True, "c": False}
     rules = {"x is there": F.col("x").isNotNull(), "y below 3": F.col("y") < 3}
     assert {tuple(r) for r in verify.violations(df, rules).collect()} == {("x is there", 1), ("y below 3", 1)}
+
+
+def test_every_paper_has_its_authorships(spark, tmp_path):
+    from stemma.plans import composed
+
+    lines = [(k, k % 5 + s, s) for k in range(1, 9) for s in (1, 2)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert {r.paper_id for r in composed.authorships(spark, str(tmp_path)).collect()} == set(range(1, 9))
