@@ -101,7 +101,7 @@ def venue_codes(spark: Session, sf: str) -> DataFrame:
     low, code = F.lower("text"), F.lit("the")
     return table(spark, sf, "documents").where("lang = 'en'").select(
         "doc_id", tx.whole_word(low, code).alias("has_code"), tx.has_context(F.col("text")).alias("has_context"),
-        tx.has_year(F.concat(F.lit("the 2024 "), F.left(low, F.lit(50))), F.lit("the")).alias("has_year"), tx.is_short(F.lit("the")).alias("is_short"),
+        tx.has_year(F.concat(F.lit("the 2024 "), low), F.lit("the")).alias("has_year"), tx.is_short(F.lit("the")).alias("is_short"),
     )
 
 
@@ -266,10 +266,10 @@ SELECT a.doc_id AS paper_id, min(b.doc_id) AS corpus_id FROM t a JOIN t b ON a.y
 
 
 def tier_cascade(spark: Session, sf: str) -> DataFrame:
-    """MT10-MT14, JN16: exact, similar and no match of even documents against odd ones."""
-    t = _titles(spark, sf)
-    papers = t.where("doc_id % 2 = 0").withColumnRenamed("doc_id", "paper_id")
-    return linking.link_cascade(papers, t.where("doc_id % 2 = 1").withColumnRenamed("doc_id", "corpus_id"))
+    """MT10-MT14, JN16: exact, similar and no match of even parts against odd ones of their size, by whole names."""
+    t = table(spark, sf, "part").select("p_partkey", F.col("p_size").alias("year"), F.col("p_name").alias("title"))
+    papers = t.where("p_partkey % 2 = 0").withColumnRenamed("p_partkey", "paper_id")
+    return linking.link_cascade(papers, t.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "corpus_id"))
 
 
 def completeness_score(spark: Session, sf: str) -> DataFrame:

@@ -164,3 +164,13 @@ def test_every_paper_has_its_authorships(spark, tmp_path):
     lines = [(k, k % 5 + s, s) for k in range(1, 9) for s in (1, 2)]
     spark.createDataFrame(lines, "l_orderkey bigint, l_suppkey bigint, l_linenumber int").write.parquet(f"{tmp_path}/lineitem.parquet")
     assert {r.paper_id for r in composed.authorships(spark, str(tmp_path)).collect()} == set(range(1, 9))
+
+
+def test_names_that_differ_after_character_60_are_no_exact_titles(spark, tmp_path):
+    from stemma.plans import composed
+
+    same = "alpha " * 12
+    rows = [(1, 7, same + "left"), (2, 7, same + "right"), (3, 7, same + "left"), (4, 7, same + "left")]
+    spark.createDataFrame(rows, "p_partkey bigint, p_size int, p_name string").write.parquet(f"{tmp_path}/part.parquet")
+    got = {r.paper_id: (r.corpus_id, float(r.match_confidence)) for r in composed.tier_cascade(spark, str(tmp_path)).collect()}
+    assert got[4] == (1, 1.0) and got[2][1] < 1.0
