@@ -186,8 +186,10 @@ SHARED, OF_ALL = 4, 5
 AGREE = 0.82
 #: Expected shared positional bytes at 0.849 are 138; less five deviations.
 MIN_TALLY = 85
-#: Rows of an Arrow batch with two sets of shingles each.
-SET_ROWS = 200
+#: Differing bits of the 64 that are compared first: 10 are expected at 0.849, and five deviations more.
+MAX_APART = 26
+#: Rows of an Arrow batch with two texts each.
+TEXT_ROWS = 200
 #: Rows of a posting list that are compared in one task, at about twice as many.
 BLOCK = 1024
 
@@ -269,36 +271,42 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, k: int, tag: str) -> DataFrame:
-    """The rows of ``pairs(a, b)`` whose texts in ``docs(rid, text)`` have Jaccard similarity 0.8 or more, exactly."""
-    spark = docs.sparkSession
-    schema = pa.schema([("rid", pa.int64()), ("shingles", pa.binary())])
+    """Pairs of ``pairs(a, b)`` whose texts in ``docs(rid, text)`` have Jaccard similarity 0.8 or more, exactly.
 
-    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.unique(shingle_hashes(t, k)).tobytes() for t in text_bytes(batch.column(1))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], schema=schema)
+    One pair of each ``b`` comes first; of the others those that it leaves in different components.
+    """
+    spark = docs.sparkSession
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = np.zeros(len(batch), bool)
-            for i in range(len(batch)):
-                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), "<u8") for c in (2, 3))
+            left, right = (text_bytes(batch.column(i)) for i in (2, 3))
+            for i, both in enumerate(zip(left, right, strict=True)):
+                x, y = (np.unique(shingle_hashes(t, k)) for t in both)
                 if SHARED * max(len(x), len(y)) <= OF_ALL * min(len(x), len(y)):
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    good[i] = OF_ALL * both >= SHARED * (len(x) + len(y) - both)
+                    n = len(np.intersect1d(x, y, assume_unique=True))
+                    good[i] = OF_ALL * n >= SHARED * (len(x) + len(y) - n)
             rows = pa.array(good)
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(rows), batch.column(1).filter(rows)], names=["a", "b"])
 
     pairs = materialize(pairs, f"{tag}-pairs")
-    used = pairs.select(F.explode(F.array("a", "b")).alias("rid")).distinct()
-    small_batches(spark, SET_ROWS)
-    sets = docs.select("rid", "text").join(used, "rid", "left_semi").mapInArrow(trimmed(make), "rid bigint, shingles binary")
-    sets = materialize(sets, f"{tag}-sets")
-    with_a = pairs.join(sets.select(F.col("rid").alias("a"), F.col("shingles").alias("x")), "a")
-    both = with_a.join(sets.select(F.col("rid").alias("b"), F.col("shingles").alias("y")), "b")
-    found = materialize(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), tag)
-    small_batches(spark)
-    return found
+    used = pairs.select(F.col("a").alias("rid")).unionAll(pairs.select("b")).distinct()
+    texts = materialize(docs.select("rid", "text").join(used, "rid", "left_semi"), f"{tag}-texts")
+
+    def exact(some: DataFrame) -> DataFrame:
+        small_batches(spark, TEXT_ROWS)
+        with_a = some.join(texts.select(F.col("rid").alias("a"), F.col("text").alias("x")), "a")
+        both = with_a.join(texts.select(F.col("rid").alias("b"), F.col("text").alias("y")), "b")
+        found = materialize(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), tag)
+        small_batches(spark)
+        return found
+
+    found = exact(pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b"))
+    near = connected_components(found)
+    for c in "ab":
+        pairs = pairs.join(near.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")), c, "left")
+    rest = pairs.where(F.coalesce("of_a", "a") != F.coalesce("of_b", "b")).select("a", "b")
+    return found.unionAll(exact(rest))
 
 
 def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
@@ -307,14 +315,14 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
     ``docs(rid, text)`` must give the same rows each time.  Texts with equal sets are one class.
     Candidates share one of 340 sets of three positional bytes of the wide fingerprint; at similarity
     0.8 a pair shares one with probability 0.999, and what shares none is not found.  Candidates with
-    ``AGREE`` of the bits and ``MIN_TALLY`` shared positional bytes are verified on the sets
+    ``AGREE`` of the bits and ``MIN_TALLY`` shared positional bytes are verified on the texts
     themselves, so no link is below 0.8.  First each row of a list is compared with the list's first;
     then, in lists whose other rows these links leave in different components, every two rows of
     different components.  So all pairs of every list count, but pairs that links already join are
     left out: the components are those of all pairs.
     """
     small_batches(docs.sparkSession)
-    prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("fp", pa.binary())])
+    prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("w", pa.int64()), ("fp", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -324,9 +332,10 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
                 fps = wide_fingerprints(sets)
                 rid = batch.column(0).slice(at, len(sets))
                 same = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
-                yield pa.RecordBatch.from_arrays([rid, pa.array(same, pa.binary()), pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
+                some = pa.array(np.ascontiguousarray(fps[:, 5::64]).view("<i8").ravel())
+                yield pa.RecordBatch.from_arrays([rid, pa.array(same, pa.binary()), some, pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
 
-    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, same binary, fp binary"), "wide")
+    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, same binary, w bigint, fp binary"), "wide")
     low = prints.groupBy("same").agg(F.min("rid").alias("a"))
     copies = materialize(prints.select("rid", "same").join(low, "same").where("rid <> a").select("a", F.col("rid").alias("b")), "copies")
     heads = prints.select("rid", "fp").join(copies.select(F.col("b").alias("rid")), "rid", "left_anti")
@@ -358,7 +367,11 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
             rows = pa.array(_close(_wide(batch.column(2)), _wide(batch.column(3))))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(rows), batch.column(1).filter(rows)], names=["a", "b"])
 
-    with_a = members.select("a", "b").distinct().join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
+    found = members.select("a", "b").distinct()
+    for c in "ab":
+        found = found.join(prints.select(F.col("rid").alias(c), F.col("w").alias(f"w_{c}")), c)
+    found = found.where(F.bit_count(F.col("w_a").bitwiseXOR(F.col("w_b"))) <= MAX_APART).select("a", "b")
+    with_a = found.join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
     both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
     first = _similar(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), docs, k, "first-links")
 
