@@ -11,23 +11,28 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from array import array
 from collections.abc import Iterator
-from itertools import compress, repeat
-from operator import is_
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import small_batches, table, texts_of
+from stemma.llm.bpe import ends_of
+from stemma.llm.common import small_batches, table
+from stemma.llm.ragged import Ragged, WordCache
 
 SPACE = "▁"
 MULTIPLY, START = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x243F6A8885A308D3)
 UNKNOWN_PENALTY = 10.0
 #: Characters of one batch, of a word whose merges run in the batch, and words remembered.
 CELLS, LONG, MOST_WORDS = 40_000, 48, 450_000
+#: Texts encoded together.
+SOME = 400
 _WORD = re.compile(f"{SPACE}+[^{SPACE}]*")
+#: Spaces that are no single space between two words.
+_RUN = "^[ \n]| $|  | \n"
 _MARKS = ".,;:!?%&$*#|)"
 
 
@@ -93,9 +98,10 @@ class PieceModel:
                 self.surface[i] = b"" if p.type == pb.ModelProto.SentencePiece.CONTROL else proto.trainer_spec.unk_surface.encode()
         #: Characters that stand side by side in some piece; elsewhere a word can be cut.
         self.pairs = {p[k : k + 2] for _, p, _ in normal for k in range(len(p) - 1)}
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.marks: dict[str, tuple[bytes, bytes]] = {}
-        self.feed = array("I", [self.byte_ids[10]]).tobytes()
+        self.of_byte = np.array([self.byte_ids[b] for b in range(256)], np.int32)
+        self.bytes_of = np.array(self.surface, object)
+        self.sizes = np.array([len(x) for x in self.surface], np.int64)
+        self.words = WordCache(2, MOST_WORDS, LONG)  # the model's own ids and the best-scoring ones
 
     # --- equal-length words together
 
@@ -196,117 +202,160 @@ class PieceModel:
                 offer(before[a])
         return [(a, end[a], self.id_of.get(word[a : end[a]], -1)) for a in range(n) if alive[a]]
 
-    def segment(self, atoms: list[str]) -> list[tuple[bytes, bytes]]:
-        """Of each atom the model's own ids and the best-scoring ones, four bytes an id.
+    def segment(self, atoms: pa.Array) -> tuple[Ragged, Ragged]:
+        """A row for each atom: the model's own ids, and the best-scoring ones.
 
         Characters without a piece become byte pieces.
         """
-        out = [(b"", b"")] * len(atoms)
-        by_length: dict[int, list[int]] = {}
-        for i, a in enumerate(atoms):
-            by_length.setdefault(len(a), []).append(i)
-        for n, where in by_length.items():
+        text = "".join(atoms.to_pylist())
+        points = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        length = pc.utf8_length(atoms).to_numpy().astype(np.int64)
+        start = np.cumsum(length) - length
+        order = np.argsort(length, kind="stable")
+        cuts = np.append(np.flatnonzero(np.diff(length[order], prepend=-1)), len(order)).tolist()
+        own, best = Ragged(), Ragged()
+        for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+            n = int(length[order[lo]])
             step = max(1, CELLS // max(1, n))
-            for at in range(0, len(where) if n else 0, step):
-                some = where[at : at + step]
-                found = self.lattice(characters([atoms[i] for i in some]))
-                words = [atoms[i] for i in some]
-                best = self._bytes(words, *self.viterbi(found))
-                if self.unigram:
-                    own = best
-                elif n > LONG:
-                    own = [self._ids(x, self.merge_one(x)) for x in words]
+            for at in range(lo, hi, step):
+                some = order[at : min(hi, at + step)]
+                if not n:
+                    rows = best_rows = (np.zeros(0, np.int32), np.zeros(len(some), np.int64))
                 else:
-                    own = self._bytes(words, *self.merges(found))
-                for i, x, y in zip(some, own, best, strict=True):
-                    out[i] = x, y
+                    chars = points[start[some][:, None] + np.arange(n)]
+                    found = self.lattice(chars)
+                    rows = best_rows = self._flat(chars, *self.viterbi(found))
+                    if not self.unigram:
+                        rows = self._flat(chars, *(self._merge_long(chars) if n > LONG else self.merges(found)))
+                own.add(*rows)
+                best.add(*best_rows)
+        back = np.empty(len(order), np.int64)
+        back[order] = np.arange(len(order))
+        out = Ragged(), Ragged()
+        for store, given in zip(out, (own, best), strict=True):
+            store.add(*given.take(back))
         return out
 
-    def _bytes(self, words: list[str], size: np.ndarray, ids: np.ndarray) -> list[bytes]:
-        taken = size > 0
-        flat, ends = ids[taken].astype("<u4").tobytes(), (4 * np.cumsum(taken.sum(1))).tolist()
-        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-        for row in np.flatnonzero((ids < 0).any(1)).tolist():  # characters without a piece
-            starts = np.flatnonzero(taken[row]).tolist()
-            out[row] = self._ids(words[row], [(a, a + int(size[row, a]), int(ids[row, a])) for a in starts])
-        return out
-
-    def _ids(self, word: str, path: list[tuple[int, int, int]]) -> bytes:
-        ids = array("I")
-        for a, b, i in path:
-            if i >= 0:
-                ids.append(i)
-            else:
-                ids.extend(self.byte_ids[x] for x in word[a:b].encode())
-        return ids.tobytes()
+    def _flat(self, chars: np.ndarray, size: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words in a row, and how many each has; a character without a piece gives its bytes."""
+        row, at = np.nonzero(size)
+        flat, counts = ids[row, at], np.bincount(row, minlength=len(size)).astype(np.int64)
+        gaps = np.flatnonzero(flat < 0)
+        if len(gaps):
+            c = chars[row[gaps], at[gaps]]
+            n = 1 + (c >= 0x80).astype(np.int64) + (c >= 0x800) + (c >= 0x10000)
+            times = np.ones(len(flat), np.int64)
+            times[gaps] = n
+            counts = np.bincount(row, times, len(size)).astype(np.int64)
+            flat = np.repeat(flat, times)
+            flat[flat < 0] = self.of_byte[np.frombuffer(c.astype("<u4").tobytes().decode("utf-32-le").encode(), np.uint8)]
+        return flat, counts
+
+    def _merge_long(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """As ``merges``, for words that are too long for it."""
+        size, ids = np.zeros(chars.shape, np.int32), np.zeros(chars.shape, np.int32)
+        for row in range(len(chars)):
+            for a, b, i in self.merge_one(chars[row].tobytes().decode("utf-32-le")):
+                size[row, a], ids[row, a] = b - a, i
+        return size, ids
 
     # --- texts
 
-    def _learn(self, missing: set[str]) -> dict[str, tuple[bytes, bytes]]:
-        """A word stands for SPACE and itself, unless it begins with SPACE or with a line feed.
+    def _learn(self, missing: pa.Array) -> None:
+        """Rows of different words in both stores.
 
-        Marks at its end are apart where no piece has the two characters at the border.
+        A word stands for SPACE and itself, unless it begins with SPACE or with a line feed; an empty
+        one has no ids.  Marks at its end are apart where no piece has the two characters at the border.
         """
-        known, tails, whole = self.words, [], set()
-        for w in missing:
-            base = w.rstrip(_MARKS)
-            if len(base) < len(w) and base and w[len(base) - 1 : len(base) + 1] not in self.pairs:
-                tails.append((w, base))
-                if base not in known:
-                    whole.add(base)
-            else:
-                whole.add(w)
-        atoms: dict[str, int] = {}
-        cut = {w: (w if w[:1] in ("\n", SPACE) else SPACE + w).split("\n") for w in whole}
-        for parts in cut.values():
-            for atom in parts:
-                atoms.setdefault(atom, len(atoms))
-        ids, feed, new = self.segment(list(atoms)), self.feed, {}
-        for w, parts in cut.items():
-            if len(parts) == 1:
-                new[w] = ids[atoms[parts[0]]]
-            else:
-                new[w] = tuple(feed.join([ids[atoms[x]][k] for x in parts]) for k in (0, 1))
-        for w, base in tails:
-            mark = w[len(base) :]
-            if mark not in self.marks:
-                self.marks[mark] = self.segment([mark])[0]
-            a, b = new.get(base) or known[base], self.marks[mark]
-            new[w] = a[0] + b[0], a[1] + b[1]
-        known.update((w, x) for w, x in new.items() if len(w) <= LONG)
-        return new
-
-    def encode_both(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
-        """Of each text the model's own ids and the best-scoring ones, little-endian unsigned 32-bit."""
-        known = self.words
-        if len(known) > MOST_WORDS:
-            known.clear()
-        parts, missing = [], set()
-        for t in texts:
-            t = t.replace(SPACE, " ")
-            words = t.replace("\n", " \n").split(" ") if t else []
-            if "" in words:
-                words = _WORD.findall(SPACE + t.replace(" ", SPACE))
-            found = list(map(known.get, words))
-            gaps = list(compress(range(len(found)), map(is_, found, repeat(None))))
-            missing.update([words[i] for i in gaps])
-            parts.append((words, found, gaps))
-        new = self._learn(missing)
-        own, best = [], []
-        for words, found, gaps in parts:
-            for i in gaps:
-                found[i] = new[words[i]]
-            own.append(b"".join([x[0] for x in found]))
-            best.append(b"".join([x[1] for x in found]))
-        return own, best
+        base = pc.utf8_rtrim(missing, characters=_MARKS)
+        mark = ends_of(missing, base)
+        border = pc.binary_join_element_wise(pc.utf8_slice_codeunits(base, -1), pc.utf8_slice_codeunits(mark, 0, 1), "").dictionary_encode()
+        free = pa.array([len(x) == 2 and x not in self.pairs for x in border.dictionary.to_pylist()], pa.bool_()).take(border.indices)
+        free = pc.and_(free, pc.not_equal(base, ""))
+        atoms = pc.if_else(free, base, missing).dictionary_encode()
+        marks = pc.if_else(free, mark, "").dictionary_encode()
+        listed = atoms.dictionary.to_pylist()
+        known = np.fromiter(map(self.words.number.get, listed, repeat(-1)), np.int64, len(listed))
+        have, fresh = np.flatnonzero(known >= 0), np.flatnonzero(known < 0)
+        row = np.empty(len(listed), np.int64)
+        row[have], row[fresh] = np.arange(len(have)), len(have) + np.arange(len(fresh))
+        asked = self._whole(atoms.dictionary.take(pa.array(fresh)))
+        ends = self.segment(marks.dictionary)
+        pair = np.stack([row[atoms.indices.to_numpy()], len(listed) + marks.indices.to_numpy()], 1).ravel()
+        for store, new, end in zip(self.words.stores, asked, ends, strict=True):
+            parts = Ragged()
+            parts.add(*store.take(known[have]))
+            parts.add(*new.take(np.arange(new.rows)))
+            parts.add(*end.take(np.arange(end.rows)))
+            ids, size = parts.take(pair)
+            store.add(ids, size.reshape(-1, 2).sum(1))
+
+    def _whole(self, words: pa.Array) -> tuple[Ragged, Ragged]:
+        """Rows of words that are not known: line feeds are bytes of their own between atoms."""
+        bare = pc.invert(pc.match_substring_regex(words, f"^$|^{SPACE}|\n"))
+        simple = pc.binary_join_element_wise(SPACE, words.filter(bare), "")
+        cut = [(w if w[:1] in ("", "\n", SPACE) else SPACE + w).split("\n") for w in words.filter(pc.invert(bare)).to_pylist()]
+        found = self.segment(pa.concat_arrays([simple, pa.array([x for parts in cut for x in parts], pa.string()), pa.array(["\n"])]))
+        feed, at, places, sizes = len(simple) + sum(map(len, cut)), len(simple), [], []
+        for parts in cut:
+            for k in range(len(parts)):
+                places += [at + k] if not k else [feed, at + k]
+            at += len(parts)
+            sizes.append(2 * len(parts) - 1)
+        where = np.empty(len(words), np.int64)
+        flags = bare.to_numpy(zero_copy_only=False)
+        where[flags], where[~flags] = np.arange(len(simple)), len(simple) + np.arange(len(cut))
+        edges = np.append(0, np.cumsum(sizes, dtype=np.int64))
+        out = Ragged(), Ragged()
+        for store, given in zip(out, found, strict=True):
+            both = Ragged()
+            both.add(*given.take(np.arange(len(simple))))
+            ids, size = given.take(np.array(places, np.int64))
+            total = np.append(0, np.cumsum(size))
+            both.add(ids, np.diff(total[edges]))
+            store.add(*both.take(where))
+        return out
+
+    def encode_both(self, texts: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The model's own ids of all texts and the best-scoring ones: ids in a row, and how many each text has."""
+        if self.words.full():
+            self.words.clear()
+        texts = pc.replace_substring(pc.fill_null(texts, ""), SPACE, " ")
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        runs = pc.match_substring_regex(texts, _RUN).to_numpy(zero_copy_only=False)
+        if runs.any():
+            listed = lists.to_pylist()
+            for i in np.flatnonzero(runs).tolist():
+                listed[i] = _WORD.findall(SPACE + texts[i].as_py().replace(" ", SPACE))
+            lists = pa.array(listed, pa.list_(pa.string()))
+        ends = np.cumsum(lists.value_lengths().to_numpy())
+        coded = lists.flatten().dictionary_encode()
+        rows = self.words.find(coded.dictionary, self._learn)[coded.indices.to_numpy()]
+        out = []
+        for store in self.words.stores:
+            ids, size = store.take(rows)
+            total = np.append(0, np.cumsum(size))
+            out.append((ids, np.diff(total[ends], prepend=0)))
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        return self.encode_both(texts)[0]
+        return rows_of(*self.encode_both(pa.array(texts, pa.string()))[0])
+
+    def decode_all(self, ids: np.ndarray, size: np.ndarray) -> list[bytes]:
+        """UTF-8 of the texts of ids in a row, without the space that encoding put in front."""
+        data = b"".join(self.bytes_of[ids].tolist())
+        ends = np.append(0, np.cumsum(self.sizes[ids]))[np.append(0, np.cumsum(size))].tolist()
+        return [data[a + (data[a : a + 1] == b" " and a < b) : b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
     def decode(self, ids: bytes) -> str:
-        """The text of the ids, without the space that encoding put in front."""
-        text = b"".join(map(self.surface.__getitem__, memoryview(ids).cast("I")))
-        return (text[1:] if text[:1] == b" " else text).decode("utf-8", "replace")
+        found = np.frombuffer(ids, "<u4")
+        return self.decode_all(found, np.array([len(found)]))[0].decode("utf-8", "replace")
+
+
+def rows_of(ids: np.ndarray, size: np.ndarray) -> list[bytes]:
+    """Each row's ids as bytes, four for each id."""
+    data, ends = ids.astype("<u4").tobytes(), (4 * np.cumsum(size)).tolist()
+    return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
 
 
 _models: dict[str, PieceModel] = {}
@@ -343,15 +392,16 @@ def encode_documents(docs: DataFrame, model: str | None = None, digest: bool = F
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model_at(path)
         for whole in batches:
-            for at in range(0, len(whole), 256):
-                batch = whole.slice(at, 256)
-                texts = texts_of(batch.column(1))
-                ids, best = pieces.encode_both(texts)
+            for at in range(0, len(whole), SOME):
+                batch = whole.slice(at, SOME)
+                own, best = pieces.encode_both(batch.column(1))
+                ids, best_ids = rows_of(*own), rows_of(*best)
                 if not digest:
-                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(best, pa.binary())], schema=coded)
+                    yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(ids, pa.binary()), pa.array(best_ids, pa.binary())], schema=coded)
                     continue
-                numbers = [pa.array(x, pa.int64()) for x in ([len(x) // 4 for x in ids], map(zlib.crc32, ids), [len(x) // 4 for x in best], map(zlib.crc32, best))]
-                same = [pieces.decode(x) == t.replace(SPACE, " ") for x, t in zip(ids, texts, strict=True)]
+                numbers = [pa.array(x, pa.int64()) for x in (own[1], map(zlib.crc32, ids), best[1], map(zlib.crc32, best_ids))]
+                plain = pc.replace_substring(pc.fill_null(batch.column(1), ""), SPACE, " ").cast(pa.binary()).to_pylist()
+                same = [x == t for x, t in zip(pieces.decode_all(*own), plain, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(same)], schema=digests)
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
