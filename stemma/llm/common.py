@@ -5,52 +5,111 @@ from __future__ import annotations
 import atexit
 import ctypes
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_written: list[tuple[SparkSession, str]] = []
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a local one only where the cluster names none."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        found = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: ``spark.checkpoint.dir``.  Only a local master may do without it."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = f"file://{tempfile.mkdtemp(prefix='stemma-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def materialize(df: DataFrame, tag: str) -> DataFrame:
+class _Written(threading.local):
+    """The tables that each open ``scratch`` block of this thread has written; the first list is of none."""
+
+    def __init__(self) -> None:
+        self.blocks: list[list[str]] = [[]]
+
+
+_written = _Written()
+_left: list[tuple[SparkSession, list[str]]] = []
+
+
+def _delete(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+    paths.clear()
+
+
+def materialize(df: DataFrame, tag: str, outlive: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The files go when the driver's interpreter ends.
+    The files go when the ``scratch`` block that they were written in ends, with ``outlive`` when the
+    one around it does; outside of blocks, when the driver's interpreter ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    _written.append((spark, path))
+    blocks = _written.blocks
+    blocks[-2 if outlive and len(blocks) > 1 else -1].append(path)
+    if not any(x is blocks[0] for _, x in _left):
+        _left.append((spark, blocks[0]))
     return spark.read.schema(schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that are written inside go at the end, but those that outlive the block.
+
+    The driver's memory is collected too: Spark removes the shuffle files of plans that are gone.
+    """
+    _written.blocks.append([])
+    try:
+        yield
+    finally:
+        _delete(spark, _written.blocks.pop())
+        spark.sparkContext._jvm.System.gc()
+
+
 @atexit.register
 def _clean() -> None:
-    for spark, path in _written:
-        try:
-            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-        except Exception:  # the session may have ended
-            return
+    for spark, paths in _left:
+        if spark.sparkContext._jsc is not None:  # the session may have ended
+            _delete(spark, paths)
+
+
+def numbered(docs: DataFrame, name: str = "_rid") -> DataFrame:
+    """``docs`` with a row number that every plan over the same files gives alike, however it splits them.
+
+    Rows count on from file to file in the order of their paths, and inside a file by their place in
+    it.  The driver holds one path and one count for each file.  ``docs`` is a scan of files, perhaps
+    with columns chosen; rows that come from no file are written to the shared folder first.
+    """
+    spark = docs.sparkSession
+    if not docs.inputFiles():
+        docs = materialize(docs, "rows")
+    where = F.col("_metadata.file_path")
+    files = docs.select(where.alias("path")).groupBy("path").count().collect()
+    first, bases = 0, []
+    for r in sorted(files):
+        bases.append((r.path, first))
+        first += r[1]
+    base = spark.createDataFrame(bases, f"`{name}_path` string, `{name}_base` bigint")
+    placed = docs.withColumn(f"{name}_file", where).withColumn(name, F.col("_metadata.row_index"))
+    placed = placed.join(F.broadcast(base) if len(bases) <= MOST_FILES else base, F.col(f"{name}_file") == F.col(f"{name}_path"))
+    return placed.select(*[F.col(f"`{c}`") for c in docs.columns], (F.col(name) + F.col(f"{name}_base")).alias(name))
+
+
+#: Files whose first numbers are broadcast: some 100 bytes each.
+MOST_FILES = 100_000
 
 
 def small_batches(spark: SparkSession, rows: int = 2000) -> None:

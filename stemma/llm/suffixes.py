@@ -8,18 +8,19 @@ small, independent and built by two-stage sorting.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import materialize, small_batches, table, text_bytes
+from stemma.llm.common import materialize, numbered, scratch, small_batches, table, text_bytes
 
 LENGTH, GRAM = 400, 100
-#: Bytes looked at together, bytes of one suffix array, and classes of a minimiser beyond which windows are counted by digest.
-BLOCK, ARRAY_BYTES, MANY = 1 << 19, 1 << 19, 2000
+#: Bytes looked at together, and bytes of one suffix array.
+BLOCK, ARRAY_BYTES = 1 << 19, 1 << 19
 _rng = np.random.default_rng(400)
 TABLE = _rng.integers(0, 1 << 63, 257, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -57,7 +58,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 
 def minimiser_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Runs of windows with one minimiser: start of the first window, number of windows, hash of the minimiser.
+    """Runs of windows with one minimiser: start of the first window, number of windows, place and hash of the minimiser.
 
     ``begin`` and ``end`` bound the texts in ``data``; no window crosses them.
     """
@@ -75,11 +76,14 @@ def minimiser_runs(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tupl
     place = (key[start] & np.uint64(0xFFFFFFFF)).astype(np.int64)
     new = np.append(True, (place[1:] != place[:-1]) | (start[1:] != start[:-1] + 1)) if len(place) else np.zeros(0, bool)
     at = np.flatnonzero(new)
-    return start[at], np.diff(np.append(at, len(place))), grams[place[at]]
+    return start[at], np.diff(np.append(at, len(place))), place[at], grams[place[at]]
 
 
 def runs_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
-    """(row, start in the text, windows, minimiser, digest) of all runs; long texts in blocks of windows."""
+    """(row, start in the text, windows, minimiser's distance from there, its hash, digest) of all runs.
+
+    Long texts go in blocks of windows.
+    """
     units = [(i, s, min(s + BLOCK, len(t) - LENGTH + 1)) for i, t in enumerate(texts) for s in range(0, len(t) - LENGTH + 1, BLOCK)]
     at = 0
     while at < len(units):
@@ -92,12 +96,12 @@ def runs_of(texts: list[bytes]) -> Iterator[tuple[np.ndarray, ...]]:
         joined = b"".join(x[2] for x in some)
         end = np.cumsum([len(x[2]) for x in some])
         begin = np.append(0, end[:-1])
-        start, windows, gram = minimiser_runs(np.frombuffer(joined, np.uint8), begin, end)
+        start, windows, place, gram = minimiser_runs(np.frombuffer(joined, np.uint8), begin, end)
         unit = np.searchsorted(end, start, "right")
         digest = xxhash.xxh3_128_digest
         d = np.frombuffer(b"".join([digest(joined[a:b]) for a, b in zip(start.tolist(), (start + windows + LENGTH - 1).tolist(), strict=True)]), "<i8").reshape(-1, 2)
         shift = np.array([x[1] for x in some]) - begin
-        yield np.array([x[0] for x in some])[unit], start + shift[unit], windows, gram.view(np.int64), d
+        yield np.array([x[0] for x in some])[unit], start + shift[unit], windows, place - start, gram.view(np.int64), d
 
 
 # --- two-stage suffix sorting --------------------------------------------------------------------
@@ -227,109 +231,170 @@ def ranges(flags: np.ndarray) -> list[dict]:
 RANGES = "array<struct<lo:int,hi:int>>"
 RANGES_ARROW = pa.list_(pa.struct([("lo", pa.int32()), ("hi", pa.int32())]))
 CLASS = [("g", pa.int64()), ("d1", pa.int64()), ("d2", pa.int64())]
+#: A part of a class's run: its first window, the common string of its windows (place and hash), and its bytes.
+PART = [*CLASS, ("n", pa.int64()), ("lo", pa.int32()), ("k0", pa.int32()), ("k1", pa.int32()), ("key", pa.int64())]
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans``: see the module's head.
+def ddl(fields: list[tuple[str, pa.DataType]]) -> str:
+    names = {pa.int64(): "bigint", pa.int32(): "int", pa.binary(): "binary", RANGES_ARROW: RANGES}
+    return ", ".join(f"{k} {names[v]}" for k, v in fields)
 
-    Bytes are the UTF-8 of ``text``; a null or empty text has none, and texts under 400 bytes keep all.
-    Matches never cross documents; a string that starts twice in one text counts, overlaps too, and
-    repeated rows remove each other.  Strings are judged on the input.  All columns stay; an empty
-    table gives no rows.  Windows are equal when 128-bit digests of their surroundings are, or 64-bit
-    hashes of adjacent suffixes inside one suffix array.  ``docs`` must be a scan: row numbers are
-    given several times and must agree.
 
-    Runs of windows around one minimiser fall into classes of equal bytes; the windows of a class with
-    two members repeat.  Of other classes with the same minimiser one member's bytes go to a suffix
-    array.  A minimiser with over ``MANY`` classes is not gathered: its windows are counted by digest.
-    """
-    small_batches(docs.sparkSession, 1000)
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    texts = numbered.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
-    run_schema = pa.schema([("rid", pa.int64()), ("a", pa.int32()), ("m", pa.int32()), *CLASS])
+def halves(k0: int, k1: int, m: int) -> Iterator[tuple[int, int, int, int]]:
+    """(first window, end of windows, k0, k1): the windows around a common string, by a longer one.
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rid = batch.column(0).to_numpy()
-            for row, a, m, g, d in runs_of(text_bytes(batch.column(1))):
-                columns = (rid[row], a.astype(np.int32), m.astype(np.int32), g, d[:, 0].copy(), d[:, 1].copy())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=run_schema)
+    All ``m`` windows hold the string k0 to k1.  Those that reach far enough to the left of it hold it
+    and half of the bytes that it lacks to a whole window, before it; the others, the rest behind it.
+    Equal windows hold the string at one place, so they come to one half and one longer string.
+    """
+    free = LENGTH - (k1 - k0)
+    half = (free + 1) // 2
+    cut = min(max(k0 - half + 1, 0), m)
+    if cut:
+        yield 0, cut, k0 - half, k1
+    if cut < m:
+        yield cut, m, k0 - cut, k1 + free - half + 1 - cut
 
-    runs = materialize(texts.mapInArrow(scan, "rid bigint, a int, m int, g bigint, d1 bigint, d2 bigint"), "runs")
-    twice = runs.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g")
-    runs = materialize(runs.join(twice, "g"), "repeated-runs")
-    classes = runs.groupBy("g", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "a", "m")).alias("one"))
-    classes = materialize(classes, "run-classes")
-    mixed_grams = classes.groupBy("g").agg(F.count("*").alias("c"), F.min("n").alias("least")).where("c > 1 AND least = 1")
-    wanted = classes.join(mixed_grams.select("g", "c"), "g").select("one.rid", F.struct("one.a", "one.m", "g", "d1", "d2", "n", "c").alias("w"))
-    wanted = wanted.groupBy("rid").agg(F.collect_list("w").alias("wanted"))
-    segment_schema = pa.schema([*CLASS, ("n", pa.int64()), ("c", pa.int64()), ("bytes", pa.binary())])
 
-    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows: dict[str, list] = {k: [] for k in segment_schema.names}
-            for text, wanted_ in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
-                for w in wanted_:
-                    for k in ("g", "d1", "d2", "n", "c"):
-                        rows[k].append(w[k])
-                    rows["bytes"].append(text[w["a"] : w["a"] + w["m"] + LENGTH - 1])
-            yield pa.RecordBatch.from_pydict(rows, schema=segment_schema)
+def array_flags(parts: DataFrame) -> DataFrame:
+    """(g, d1, d2, ranges): windows of parts with n = 1 that stand at another place of the parts with their key.
 
-    segments = texts.join(wanted, "rid").select("text", "wanted").mapInArrow(extract, "g bigint, d1 bigint, d2 bigint, n bigint, c bigint, bytes binary")
-    segments = materialize(segments, "segments")
-    found_schema = pa.schema([*CLASS, ("ranges", RANGES_ARROW)])
+    ``parts`` holds the columns of ``PART`` and ``bytes``, and at most ``ARRAY_BYTES`` for each key.
+    """
+    schema = pa.schema([*CLASS, ("ranges", RANGES_ARROW)])
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by g; whole minimisers together, about ARRAY_BYTES at a time."""
+        """Rows sorted by key; whole keys together, about ARRAY_BYTES at a time."""
         held: list[tuple] = []
         size = 0
 
         def flush() -> Iterator[pa.RecordBatch]:
-            rows: dict[str, list] = {k: [] for k in found_schema.names}
-            for row, flags in zip(held, repeated_windows([r[4] for r in held]), strict=True):
-                if row[3] == 1 and flags.any():
-                    for k, v in zip(rows, (*row[:3], ranges(flags)), strict=True):
+            rows: dict[str, list] = {k: [] for k in schema.names}
+            for row, flags in zip(held, repeated_windows([r[6] for r in held]), strict=True):
+                if row[4] == 1 and flags.any():
+                    spans = [{"lo": x["lo"] + row[5], "hi": x["hi"] + row[5]} for x in ranges(flags)]
+                    for k, v in zip(rows, (*row[1:4], spans), strict=True):
                         rows[k].append(v)
-            yield pa.RecordBatch.from_pydict(rows, schema=found_schema)
+            yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in (0, 1, 2, 3, 4)), strict=True):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7)), strict=True):
                 if size > ARRAY_BYTES and held[-1][0] != row[0]:
                     yield from flush()
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[6])
         if held:
             yield from flush()
 
-    few = segments.where(F.col("c") <= MANY).select("g", "d1", "d2", "n", "bytes")
-    by_array = few.repartition("g").sortWithinPartitions("g").mapInArrow(arrays, f"g bigint, d1 bigint, d2 bigint, ranges {RANGES}")
-    window_schema = pa.schema([*CLASS, ("at", pa.int32()), ("w1", pa.int64()), ("w2", pa.int64())])
+    few = parts.select("key", "g", "d1", "d2", "n", "lo", "bytes")
+    return few.repartition("key").sortWithinPartitions("key").mapInArrow(arrays, ddl(list(zip(schema.names, schema.types))))
 
-    def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = xxhash.xxh3_128_digest
+
+def split_parts(parts: DataFrame) -> DataFrame:
+    """Parts by their longer common strings (``halves``), with a digest (e1, e2) of each one's bytes."""
+    schema = pa.schema([*PART, ("e1", pa.int64()), ("e2", pa.int64()), ("bytes", pa.binary())])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for g, d1, d2, data in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
-                m = len(data) - LENGTH + 1
-                w = np.frombuffer(b"".join([digest(data[i : i + LENGTH]) for i in range(m)]), "<i8").reshape(-1, 2)
-                columns = (np.full(m, g), np.full(m, d1), np.full(m, d2), np.arange(m, dtype=np.int32), w[:, 0].copy(), w[:, 1].copy())
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=window_schema)
-
-    many = segments.where(F.col("c") > MANY)
-    windows = many.select("g", "d1", "d2", "bytes").mapInArrow(digests, "g bigint, d1 bigint, d2 bigint, at int, w1 bigint, w2 bigint")
-    counted = windows.groupBy("w1", "w2").agg(F.count("*").alias("k")).where("k > 1").select("w1", "w2")
-    by_digest = windows.join(counted, ["w1", "w2"]).groupBy("g", "d1", "d2").agg(
-        F.transform(F.array_sort(F.collect_list("at")), lambda x: F.struct(x.alias("lo"), (x + 1).alias("hi"))).alias("ranges")
-    )
-    single = classes.where("n = 1").select("g", "d1", "d2")
-    whole = classes.where("n > 1").select("g", "d1", "d2", F.expr("array(struct(0 AS lo, one.m AS hi))").alias("ranges"))
-    flagged = whole.unionAll(by_array).unionAll(by_digest.join(single, ["g", "d1", "d2"], "left_semi"))
-    spans = runs.join(flagged, ["g", "d1", "d2"]).groupBy("rid").agg(
-        F.array_sort(
-            F.flatten(F.collect_list(F.expr(f"transform(ranges, r -> struct(a + r.lo AS lo, a + r.hi + {LENGTH - 1} AS hi))")))
-        ).alias("spans")
-    )
-    joined = numbered.join(spans.withColumnRenamed("rid", "_rid"), "_rid", "left")
+            out: dict[str, list] = {k: [] for k in schema.names}
+            for g, d1, d2, n, lo, k0, k1, data in zip(*(batch.column(i).to_pylist() for i in range(8)), strict=True):
+                for a, b, x, y in halves(k0, k1, len(data) - LENGTH + 1):
+                    some = data[a : b + LENGTH - 1]
+                    key = int.from_bytes(xxhash.xxh3_64_digest(some[x:y]), "little", signed=True)
+                    e1, e2 = np.frombuffer(xxhash.xxh3_128_digest(some), "<i8").tolist()
+                    for k, v in zip(out, (g, d1, d2, n, lo + a, x, y, key, e1, e2, some), strict=True):
+                        out[k].append(v)
+            yield pa.RecordBatch.from_pydict(out, schema=schema)
+
+    return parts.select("g", "d1", "d2", "n", "lo", "k0", "k1", "bytes").mapInArrow(split, ddl(list(zip(schema.names, schema.types))))
+
+
+def repeated_ranges(parts: DataFrame) -> DataFrame:
+    """(g, d1, d2, ranges) for the classes of ``parts``: the windows that stand in another part with the same key.
+
+    Keys with at most ``ARRAY_BYTES`` go to a suffix array.  The parts of the others are cut in two by
+    a longer common string, as often as it takes: nine times at most, then that string is the window.
+    What has equal bytes after a cut repeats whole, and one of it goes on.
+    """
+    found = []
+    while True:
+        found.append(materialize(array_flags(parts.where(F.col("total") <= ARRAY_BYTES)), "array-flags"))
+        hot = parts.where(F.col("total") > ARRAY_BYTES)
+        if hot.isEmpty():
+            return functools.reduce(DataFrame.unionAll, found)
+        cut = materialize(split_parts(hot), "parts")
+        part = F.struct(*[name for name, _ in PART if name not in ("n", "key")], "bytes")
+        classes = cut.groupBy("key", "e1", "e2").agg(F.count("*").alias("k"), F.min("n").alias("least"), F.first(part).alias("r"))
+        classes = materialize(classes, "part-classes")
+        whole = cut.where("n = 1").join(classes.where("k > 1").select("key", "e1", "e2"), ["key", "e1", "e2"])
+        last = F.col("lo") + F.octet_length("bytes") - (LENGTH - 1)
+        found.append(materialize(whole.select("g", "d1", "d2", F.array(F.struct("lo", last.alias("hi"))).cast(RANGES).alias("ranges")), "array-flags"))
+        one = F.when(F.col("k") > 1, F.lit(2).cast("bigint")).otherwise(F.col("least"))
+        classes = classes.select("r.*", one.alias("n"), "key")
+        parts = materialize(with_totals(classes, F.octet_length("bytes")), "hot-parts")
+
+
+def with_totals(classes: DataFrame, size: Column) -> DataFrame:
+    """``classes`` whose key others share, where one is alone of its bytes, with ``total`` bytes of the key."""
+    keys = classes.groupBy("key").agg(F.count("*").alias("c"), F.min("n").alias("least"), F.sum(size.cast("bigint")).alias("total"))
+    return classes.join(materialize(keys.where("c > 1 AND least = 1").select("key", "total"), "keys"), "key")
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``kept`` (binary), ``n_bytes``, ``n_removed``, ``n_spans``: see the module's head.
+
+    Bytes are the UTF-8 of ``text``; a null or empty text has none, and texts under 400 bytes keep all.
+    Matches never cross documents; a string that starts twice in one text counts, overlaps too, and
+    repeated rows remove each other.  Strings are judged on the input.  All columns stay; an empty
+    table gives no rows.  Windows are equal when 128-bit digests of their surroundings are, or 64-bit
+    hashes of adjacent suffixes inside one suffix array.
+
+    Runs of windows around one minimiser fall into classes of equal bytes; the windows of a class with
+    two members repeat.  Of other classes with the same minimiser one member's bytes go to a suffix
+    array; a minimiser with too many different classes for one is made longer (``repeated_ranges``).
+    """
+    small_batches(docs.sparkSession, 1000)
+    with_ids = numbered(docs)
+    texts = with_ids.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
+    run_fields = [("rid", pa.int64()), ("a", pa.int32()), ("m", pa.int32()), ("o", pa.int32()), *CLASS]
+    run_schema = pa.schema(run_fields)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rid = batch.column(0).to_numpy()
+            for row, a, m, o, g, d in runs_of(text_bytes(batch.column(1))):
+                columns = (rid[row], a.astype(np.int32), m.astype(np.int32), o.astype(np.int32), g, d[:, 0].copy(), d[:, 1].copy())
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=run_schema)
+
+    part_schema = pa.schema([*PART, ("total", pa.int64()), ("bytes", pa.binary())])
+
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows: dict[str, list] = {k: [] for k in part_schema.names}
+            for text, wanted_ in zip(text_bytes(batch.column(0)), batch.column(1).to_pylist(), strict=True):
+                for w in wanted_:
+                    for k, v in zip(rows, (w["g"], w["d1"], w["d2"], w["n"], 0, w["o"], w["o"] + GRAM, w["g"], w["total"], text[w["a"] : w["a"] + w["m"] + LENGTH - 1]), strict=True):
+                        rows[k].append(v)
+            yield pa.RecordBatch.from_pydict(rows, schema=part_schema)
+
+    with scratch(docs.sparkSession):
+        runs = materialize(texts.mapInArrow(scan, ddl(run_fields)), "runs")
+        twice = materialize(runs.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "repeated-grams")
+        runs = materialize(runs.join(twice, "g"), "repeated-runs")
+        classes = runs.groupBy("g", "d1", "d2").agg(F.count("*").alias("n"), F.min(F.struct("rid", "a", "m", "o")).alias("one"))
+        classes = materialize(classes, "run-classes")
+        wanted = with_totals(classes.withColumn("key", F.col("g")), F.col("one.m") + LENGTH - 1)
+        wanted = wanted.select("one.rid", F.struct("one.a", "one.m", "one.o", "g", "d1", "d2", "n", "total").alias("w"))
+        wanted = wanted.groupBy("rid").agg(F.collect_list("w").alias("wanted"))
+        parts = texts.join(wanted, "rid").select("text", "wanted").mapInArrow(extract, ddl(list(zip(part_schema.names, part_schema.types))))
+        by_array = repeated_ranges(materialize(parts, "segments"))
+        whole = classes.where("n > 1").select("g", "d1", "d2", F.expr("array(struct(0 AS lo, one.m AS hi))").alias("ranges"))
+        spans = runs.join(whole.unionAll(by_array), ["g", "d1", "d2"]).groupBy("rid").agg(
+            F.array_sort(F.flatten(F.collect_list(F.expr(f"transform(ranges, r -> struct(a + r.lo AS lo, a + r.hi + {LENGTH - 1} AS hi))")))).alias("spans")
+        )
+        spans = materialize(spans.withColumnRenamed("rid", "_rid"), "spans", outlive=True)
+    joined = with_ids.join(spans, "_rid", "left")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rest_type = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()
 

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from stemma.llm import suffixes
-from tests.llm.cases import clash_docs, empty_docs, folder, hard_docs, words
+from tests.llm.cases import SF, clash_docs, empty_docs, folder, hard_docs, words
 
 
 def brute(texts, n=400):
@@ -37,16 +37,56 @@ def repeats(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("many", [2, 2000])
-def test_repeats_equal_brute_force(spark, tmp_path, monkeypatch, many):
-    monkeypatch.setattr(suffixes, "MANY", many)
-    texts = repeats(many)
+@pytest.mark.parametrize("most", [2000, 1 << 19])
+def test_repeats_equal_brute_force(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(suffixes, "ARRAY_BYTES", most)
+    texts = repeats(most)
     sf = folder(spark, tmp_path, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3))
     got = {r.doc_id: tuple(r)[1:] for r in suffixes.op6_suffix_dedup(spark, sf).collect()}
     want = dict(enumerate(brute([t.encode() for t in texts])))
     assert got == want
 
 
+def test_one_minimiser_in_very_many_runs(spark, tmp_path, monkeypatch):
+    """A passage in 1,500 different texts, of which some also share what stands beside it: no key fits an array at first."""
+    monkeypatch.setattr(suffixes, "ARRAY_BYTES", 20_000)
+    rng = random.Random(8)
+    passage, left, right = (words(rng, 200)[:n] for n in (330, 80, 75))
+    texts = [words(rng, 70)[:200] + (left if i % 7 == 0 else "") + passage + (right if i % 11 == 0 else "") + words(rng, 70)[:200] for i in range(1500)]
+    sf = folder(spark, tmp_path, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(3))
+    got = {r.doc_id: tuple(r)[1:] for r in suffixes.op6_suffix_dedup(spark, sf).collect()}
+    assert got == dict(enumerate(brute([t.encode() for t in texts])))
+    assert sum(r[1] > 0 for r in got.values()) > 200
+
+
+def test_rows_are_numbered_alike_in_every_plan(spark, tmp_path, monkeypatch):
+    """Splits that change between two reads of a table do not change which bytes go."""
+    from stemma.llm import common
+
+    texts = repeats(5)
+    sf = folder(spark, tmp_path, spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(6))
+    write = common.materialize
+
+    def other_splits(*args, **named):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", str(2000 + 500 * random.randrange(40)))
+        spark.conf.set("spark.sql.files.openCostInBytes", "100")
+        return write(*args, **named)
+
+    monkeypatch.setattr(suffixes, "materialize", other_splits)
+    try:
+        got = {r.doc_id: tuple(r)[1:] for r in suffixes.op6_suffix_dedup(spark, sf).collect()}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert got == dict(enumerate(brute([t.encode() for t in texts])))
+
+
+def test_whole_table_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    got = {r.doc_id: tuple(r)[1:] for r in suffixes.op6_suffix_dedup(spark, SF).collect()}
+    assert got == {r.doc_id: x for r, x in zip(rows, brute([(r.text or "").encode() for r in rows]))}
+
+
 @pytest.mark.parametrize("make", [hard_docs, clash_docs, empty_docs])
 def test_hard_rows(spark, tmp_path, make):
     docs = make(spark)
@@ -60,7 +100,7 @@ def test_long_text_in_blocks(monkeypatch):
     monkeypatch.setattr(suffixes, "BLOCK", 700)
     rng = random.Random(1)
     text = words(rng, 900).encode()
-    seen = sorted((int(a), int(m)) for _, a, m, _, _ in ((r, *x) for y in suffixes.runs_of([text]) for r, *x in zip(*y)))
+    seen = sorted((int(a), int(m)) for _, a, m, *_ in ((r, *x) for y in suffixes.runs_of([text]) for r, *x in zip(*y)))
     at = 0
     for a, m in seen:
         assert a == at
