@@ -22,6 +22,10 @@ def title_similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([title_ratio(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+#: Not deterministic for the planner only: a filter on the score must not bring a second evaluation.
+title_similarity = title_similarity.asNondeterministic()
+
+
 def common_subsequence(a: str, b: str) -> int:
     """Length of the longest common subsequence, by bits of one big integer."""
     places: dict[str, int] = {}

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import pandas as pd
@@ -11,72 +12,82 @@ from stemma.functions.similarity import name_score
 from stemma.functions.text import initials_key, person_name
 
 
-def rank_join(left: DataFrame, right: DataFrame, key: Column | str, tier: str) -> DataFrame:
-    """Matches the k-th name of a paper with a key to the k-th candidate with it.
+#: Tiers of the matcher, in order, and their places.
+TIERS = {"exact": 1, "initials": 3, "similar": 4}
 
-    This is what greedy one-to-one assignment by equality does, as two windows and one equi-join.
-    ``left(paper_id, name_pos, norm, ...)``, ``right(paper_id, cand_pos, norm, ...)``.
-    """
 
-    def ranked(df: DataFrame, pos: str) -> DataFrame:
-        df = df.withColumn("_key", key(F.col("norm")) if callable(key) else F.col(key)).where(F.col("_key").isNotNull())
-        return df.withColumn("_k", F.row_number().over(Window.partitionBy("paper_id", "_key").orderBy(pos)))
+def _pairing(rows: DataFrame, key: Column, name: str) -> DataFrame:
+    """``rows(paper_id, side, pos)`` with ``name``: whether the k-th name with a key has a k-th candidate with it.
 
-    pairs = ranked(left, "name_pos").select("paper_id", "_key", "_k", "name_pos").join(
-        ranked(right, "cand_pos").select("paper_id", "_key", "_k", "cand_pos"), ["paper_id", "_key", "_k"]
-    )
-    return pairs.select("paper_id", "name_pos", "cand_pos", F.lit(tier).alias("tier"))
+    This is what greedy one-to-one assignment by equality does.  ``{name}_key`` and ``{name}_k`` are
+    equal for both of a pair.  The windows keep the rows' partitioning by paper.
+    """
+    rows = rows.withColumn(f"{name}_key", key)
+    own = Window.partitionBy("paper_id", f"{name}_key", "side").orderBy("pos")
+    both = Window.partitionBy("paper_id", f"{name}_key")
+    least = F.least(F.sum("side").over(both), F.sum(1 - F.col("side")).over(both))
+    rows = rows.withColumn(f"{name}_k", F.row_number().over(own))
+    return rows.withColumn(name, F.col(f"{name}_key").isNotNull() & (F.col(f"{name}_k") <= least))
 
 
-def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85) -> DataFrame:
+def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:
     """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): one-to-one matches in each paper.
 
     ``names(paper_id, name_pos, name)`` and ``candidates(paper_id, cand_pos, cand_id, cand_name)``.
     Tiers: equal normalised names, equal initials with equal last token, best similarity over
-    ``least``; within a tier by position.  The first two are joins; only what they leave, in papers
-    that have both names and candidates left, goes to the sequential third.  Candidates with blank
-    names are dropped.  (A tier for repeated names by position can never find anything after the
-    first, and has no plan here.)
+    ``least``; within a tier by position.  Names and candidates go in one table that is dealt by paper
+    once; the first two tiers are windows over it, and only what they leave, in papers that have both
+    names and candidates left, goes to the sequential third in Python, if ``tiers`` has it.  Candidates
+    with blank names are dropped.  (A tier for repeated names by position can never find anything
+    after the first, and has no plan here.)
     """
-    left = names.withColumn("norm", person_name(F.col("name")))
-    right = candidates.where(F.trim("cand_name") != "").withColumn("norm", person_name(F.col("cand_name")))
-    exact = rank_join(left, right, "norm", "exact")
-    left1 = left.join(exact.select("paper_id", "name_pos"), ["paper_id", "name_pos"], "left_anti")
-    right1 = right.join(exact.select("paper_id", "cand_pos"), ["paper_id", "cand_pos"], "left_anti")
-    short = rank_join(left1, right1, initials_key, "initials")
-    left2 = left1.join(short.select("paper_id", "name_pos"), ["paper_id", "name_pos"], "left_anti")
-    right2 = right1.join(short.select("paper_id", "cand_pos"), ["paper_id", "cand_pos"], "left_anti")
-    rest = left2.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("name_pos", "norm"))).alias("names")).join(
-        right2.groupBy("paper_id").agg(F.array_sort(F.collect_list(F.struct("cand_pos", "norm"))).alias("cands")), "paper_id"
-    )
+    id_type, paper_type = (df.schema[c].dataType.simpleString() for df, c in ((candidates, "cand_id"), (names, "paper_id")))
+    left = names.select("paper_id", F.col("name_pos").alias("pos"), F.lit(0).alias("side"), F.lit(None).cast(id_type).alias("cand_id"), F.col("name").alias("text"))
+    right = candidates.where(F.trim("cand_name") != "").select("paper_id", F.col("cand_pos").alias("pos"), F.lit(1).alias("side"), "cand_id", F.col("cand_name").alias("text"))
+    rows = left.unionByName(right).repartition("paper_id").withColumn("norm", person_name(F.col("text")))
+    rows = _pairing(rows, F.col("norm"), "exact")
+    if "initials" in tiers:
+        rows = _pairing(rows, F.when(~F.col("exact"), initials_key(F.col("norm"))), "initials")
+    else:
+        rows = rows.withColumns({"initials": F.lit(False), "initials_key": F.lit(None).cast("string"), "initials_k": F.lit(None).cast("int")})
+    rows = rows.withColumn("tier", F.when(F.col("exact"), "exact").when(F.col("initials"), "initials"))
+    pick = {c: F.when(F.col("exact"), F.col(f"exact_{c}")).otherwise(F.col(f"initials_{c}")) for c in ("key", "k")}
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    found = rows.where("tier IS NOT NULL").withColumns({"_key": pick["key"], "_k": pick["k"]}).groupBy("paper_id", "tier", "_key", "_k").agg(
+        of(0, "pos").alias("name_pos"), of(0, "text").alias("name"), of(1, "pos").alias("cand_pos"), of(1, "cand_id").alias("cand_id"), of(1, "text").alias("cand_name")
+    ).drop("_key", "_k")
+    if "similar" not in tiers:
+        return found
+    listed = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "norm"))))
+    rest = rows.where("tier IS NULL").groupBy("paper_id").agg(listed(0).alias("names"), listed(1).alias("cands")).where("size(names) > 0 AND size(cands) > 0")
 
     def greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        score_of = functools.lru_cache(1 << 16)(name_score)  # names meet again in other papers
         for batch in batches:
             out = []
             for paper, ns, cs in zip(batch.paper_id, batch.names, batch.cands, strict=True):
-                free = [(c["cand_pos"], c["norm"]) for c in cs]
+                free = [(c["pos"], c["norm"]) for c in cs]
                 for n in ns:
                     best, place = least, None
                     for k, (_, norm) in enumerate(free):
-                        if (score := name_score(n["norm"], norm)) > best:
+                        if (score := score_of(n["norm"], norm)) > best:
                             best, place = score, k
                     if place is not None:
-                        out.append((paper, n["name_pos"], free.pop(place)[0], "similar"))
+                        out.append((paper, n["pos"], free.pop(place)[0], "similar"))
             yield pd.DataFrame(out, columns=["paper_id", "name_pos", "cand_pos", "tier"])
 
-    kind = f"paper_id {names.schema['paper_id'].dataType.simpleString()}, name_pos int, cand_pos int, tier string"
-    similar = rest.mapInPandas(greedy, kind)
-    found = exact.unionByName(short).unionByName(similar)
-    return found.join(names, ["paper_id", "name_pos"]).join(candidates, ["paper_id", "cand_pos"])
+    similar = rest.mapInPandas(greedy, f"paper_id {paper_type}, name_pos int, cand_pos int, tier string")
+    similar = similar.join(names, ["paper_id", "name_pos"]).join(candidates, ["paper_id", "cand_pos"])
+    return found.unionByName(similar)
 
 
-def build_authorships(names: DataFrame, candidates: DataFrame) -> DataFrame:
+def build_authorships(names: DataFrame, candidates: DataFrame, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:
     """One row for each different name of a paper: its match, or unmatched; order: matches by tier, then the rest.
 
     Two equal names on a paper are one row and the later pair's match wins.
     """
-    tiers = F.when(F.col("tier") == "exact", 1).when(F.col("tier") == "initials", 3).when(F.col("tier") == "similar", 4)
-    all_names = names.join(match_authors(names, candidates).drop("name"), ["paper_id", "name_pos"], "left").withColumn("t", tiers)
+    place = F.create_map(*[F.lit(x) for pair in TIERS.items() for x in pair])[F.col("tier")]
+    all_names = names.join(match_authors(names, candidates, tiers=tiers).drop("name"), ["paper_id", "name_pos"], "left").withColumn("t", place)
     key = F.struct(F.coalesce("t", F.lit(0)), "name_pos")
     one = all_names.groupBy("paper_id", "name").agg(
         F.max(F.struct(key.alias("k"), "cand_id", "cand_name", "tier")).alias("m"),
@@ -161,32 +172,32 @@ def merge_cached(rows: DataFrame) -> DataFrame:
     """
     none = lambda c: F.nullif(c, F.lit(0))
     filled = F.when(F.col("url") != "", F.col("url"))
-    union = F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.filter("affiliations", lambda x: x != "")))))
-    return rows.groupBy("author_name").agg(
+    counts = rows.groupBy("author_name").agg(
         F.max_by(filled, F.when(filled.isNotNull(), F.col("updated_at"))).alias("homepage"),
-        F.nullif(F.array_join(union, ","), F.lit("")).alias("affiliations"),
         none(F.sum("paper_count")).alias("paper_count"),
         none(F.sum("citation_count")).alias("citation_count"),
         none(F.max("h_index")).alias("h_index"),
     )
+    each = rows.select("author_name", F.explode("affiliations").alias("_a")).where("_a <> ''").distinct()
+    union = each.groupBy(F.col("author_name").alias("_n")).agg(F.array_join(F.array_sort(F.collect_list("_a")), ",").alias("affiliations"))
+    joined = counts.join(union, F.col("author_name").eqNullSafe(F.col("_n")), "left")
+    return joined.select("author_name", "homepage", "affiliations", "paper_count", "citation_count", "h_index")
 
 
 def merge_fetched(rows: DataFrame) -> DataFrame:
-    """The same merge for fetched records in the order ``ord``: distinct homepages and affiliations joined (AG3)."""
-    aff = rows.withColumn("aff", F.filter(F.transform("affiliations", lambda x: F.trim(x)), lambda x: x != ""))
-    ordered = lambda c: F.array_sort(F.collect_list(F.struct("ord", c)))
-    trimmed = F.nullif(F.trim("url"), F.lit("")).alias("u")
-    out = aff.withColumn("u", trimmed).groupBy("author_name").agg(
-        ordered("u").alias("us"), ordered("aff").alias("as"), F.sum("paper_count").alias("s2_paper_count"),
-        F.sum("citation_count").alias("s2_citation_count"), F.max("h_index").alias("s2_h_index"),
-    )
-    join = lambda a: F.nullif(F.array_join(F.array_distinct(a), ","), F.lit(""))
-    return out.select(
-        "author_name",
-        join(F.transform("us", lambda x: x["u"])).alias("homepage"),
-        join(F.flatten(F.filter(F.transform("as", lambda x: x["aff"]), lambda x: x.isNotNull()))).alias("s2_affiliations"),
-        "s2_paper_count", "s2_citation_count", "s2_h_index",
-    )
+    """The same merge for fetched records in the order ``ord``: distinct homepages and affiliations joined (AG3).
+
+    Values are made distinct before they are collected.  A null name has no record.
+    """
+    rows = rows.where(F.col("author_name").isNotNull())
+    pages = rows.withColumn("_u", F.trim("url"))
+    each = rows.select("author_name", "ord", F.posexplode("affiliations").alias("_i", "_x")).select("author_name", F.struct("ord", "_i").alias("_at"), F.trim("_x").alias("_x"))
+    out = rows.groupBy("author_name").agg(
+        F.sum("paper_count").alias("remote_paper_count"), F.sum("citation_count").alias("remote_citation_count"), F.max("h_index").alias("remote_h_index")
+    )
+    out = out.join(joined_in_order(pages, "author_name", "_u", "ord", "homepage"), "author_name", "left")
+    out = out.join(joined_in_order(each, "author_name", "_x", "_at", "remote_affiliations"), "author_name", "left")
+    return out.select("author_name", "homepage", "remote_affiliations", "remote_paper_count", "remote_citation_count", "remote_h_index")
 
 
 def split_ids(profiles: DataFrame, ids: str = "author_ids") -> DataFrame:
@@ -214,26 +225,26 @@ def final_table(profiles: DataFrame, cached: DataFrame) -> DataFrame:
     text = lambda x: F.coalesce(F.col(x), F.lit(""))
     number = lambda x: F.coalesce(F.col(x), F.lit(0)).cast("int")
     return profiles.join(c, "author_name", "left").select(
-        F.col("author_name").alias("dblp_author"),
+        F.col("author_name").alias("byline_name"),
         F.lit("").alias("note"),
         F.lit("").alias("google_scholarid"),
-        text("author_name").alias("external_ids_dblp"),
-        text("_affiliations").alias("semantic_scholar_affiliations"),
-        F.lit("").alias("csrankings_affiliation"),
-        F.lit(0).alias("dblp_top_paper_total_paper_captured"),
-        F.lit(0).alias("dblp_top_paper_last_author_count"),
+        text("author_name").alias("external_ids_bibliography"),
+        text("_affiliations").alias("remote_affiliations"),
+        F.lit("").alias("ranked_affiliation"),
+        F.lit(0).alias("top_paper_total_paper_captured"),
+        F.lit(0).alias("top_paper_last_author_count"),
         number("first_author_count").alias("first_author_count"),
-        number("_paper_count").alias("semantic_scholar_paper_count"),
+        number("_paper_count").alias("remote_paper_count"),
         number("career_length").alias("career_length"),
         F.lit(None).cast("int").alias("last_author_percentage"),
         number("total_citations").alias("total_influential_citations"),
-        number("_citation_count").alias("semantic_scholar_citation_count"),
-        number("_h_index").alias("semantic_scholar_h_index"),
+        number("_citation_count").alias("remote_citation_count"),
+        number("_h_index").alias("remote_h_index"),
         text("author_name").alias("name"),
         text("author_name").alias("name_snapshot"),
         text("_affiliations").alias("affiliations_snapshot"),
         text("_homepage").alias("homepage"),
-        text("author_ids").alias("s2_author_id"),
+        text("author_ids").alias("remote_author_id"),
     )
 
 

@@ -87,3 +87,8 @@ def dedupe_clean(rows: DataFrame, key: str, title: str, order: list[Column | str
     for c in texts:
         good = good.withColumn(c, F.coalesce(c, F.lit("")))
     return first_of(good, [key], order)
+
+
+def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
+    """``n`` rows that ``seed`` decides through a hash of the key, whatever the partitions; a top-n, no full sort (SO6)."""
+    return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)

@@ -88,15 +88,15 @@ def parse_response(rows: DataFrame) -> DataFrame:
     ids = F.transform("authors", lambda a: a["authorId"])
     filled = lambda a: F.array_join(F.filter(a, lambda x: F.coalesce(x, F.lit("")) != ""), ";")
     field = lambda k: F.get("fieldsOfStudy", F.lit(k))
-    outside = {"doi": "DOI", "arxiv_id": "ArXiv", "mag_id": "MAG", "acl_id": "ACL", "corpus_id": "CorpusId", "pmid": "PubMed", "dblp_id": "DBLP"}
+    outside = {"doi": "DOI", "arxiv_id": "ArXiv", "mag_id": "MAG", "acl_id": "ACL", "corpus_id": "CorpusId", "pmid": "PubMed", "bibliography_id": "DBLP"}
     return rows.select(
-        F.col("paperId").alias("semantic_paper_id"),
-        F.col("title").alias("semantic_title"),
-        F.col("year").alias("semantic_year"),
-        F.col("citationCount").alias("semantic_citation_count"),
+        F.col("paperId").alias("remote_paper_id"),
+        F.col("title").alias("remote_title"),
+        F.col("year").alias("remote_year"),
+        F.col("citationCount").alias("remote_citation_count"),
         filled(names).alias("all_author_names"),
         filled(ids).alias("all_author_ids"),
-        F.get(ids, F.lit(0)).alias("first_author_semantic_id"),
+        F.get(ids, F.lit(0)).alias("first_author_remote_id"),
         F.coalesce(F.size("authors"), F.lit(0)).alias("all_authors_count"),
         *[F.col("externalIds")[key].alias(name) for name, key in outside.items()],
         field(0).alias("field_primary"),

@@ -183,7 +183,7 @@ def cosine(a: Column, b: Column) -> Column:
     return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
 
 
-def semantic_top1(rows: DataFrame, anchors: DataFrame, least: float) -> DataFrame:
+def cosine_top1(rows: DataFrame, anchors: DataFrame, least: float) -> DataFrame:
     """(id, conference, score): the most similar anchor at ``least`` or more; ties: the first anchor (TX16).
 
     ``rows(id, vector)``, ``anchors(conference, ord, vector)``; the anchors are the conference table.
@@ -193,10 +193,10 @@ def semantic_top1(rows: DataFrame, anchors: DataFrame, least: float) -> DataFram
     return best.where(F.col("b.score") >= least).select("id", "b.conference", "b.score")
 
 
-def two_layers(exact: DataFrame, semantic: DataFrame) -> DataFrame:
-    """(id, conference, score, method): exact matches at 1.0, else semantic ones (MT5)."""
+def two_layers(exact: DataFrame, by_cosine: DataFrame) -> DataFrame:
+    """(id, conference, score, method): exact matches at 1.0, else those by cosine (MT5)."""
     first = exact.select("id", "conference", F.lit(1.0).alias("score"), F.lit("exact").alias("method"))
-    rest = semantic.join(first.select("id"), "id", "left_anti").select("id", "conference", "score", F.lit("semantic").alias("method"))
+    rest = by_cosine.join(first.select("id"), "id", "left_anti").select("id", "conference", "score", F.lit("cosine").alias("method"))
     return first.unionByName(rest)
 
 

@@ -36,17 +36,17 @@ def enrich_papers(papers: DataFrame, dataset: DataFrame, enriched: DataFrame | N
     ``papers(paper_id, key, title, authors, year int, venue, updated_at)``; ``dataset`` as ``dataset_papers``.
     """
     if enriched is not None:
-        seen = enriched.select("paper_id", F.col("updated_at").alias("linked_at"), F.col("semantic_paper_id").alias("remote_id"))
+        seen = enriched.select("paper_id", F.col("updated_at").alias("linked_at"), F.col("remote_paper_id").alias("remote_id"))
         papers = incremental.missing_or_stale(papers, seen, "paper_id")
     links = linking.link_cascade(papers.select("paper_id", "year", "title"), dataset.select("corpus_id", "year", "title"), provider)
     d = dataset.select(
-        "corpus_id", F.col("paper_id").alias("semantic_paper_id"), F.col("title").alias("semantic_title"), F.col("year").alias("semantic_year"),
-        F.col("citation_count").alias("semantic_citation_count"), F.col("influential_citation_count").alias("influential"), F.col("authors").alias("semantic_authors"),
+        "corpus_id", F.col("paper_id").alias("remote_paper_id"), F.col("title").alias("remote_title"), F.col("year").alias("remote_year"),
+        F.col("citation_count").alias("remote_citation_count"), F.col("influential_citation_count").alias("influential"), F.col("authors").alias("remote_authors"),
     )
-    d = d.withColumn("first_author_semantic_id", F.get("semantic_authors", F.lit(0))["authorId"])
-    d = d.withColumn("last_author_semantic_id", F.try_element_at("semantic_authors", F.lit(-1))["authorId"])
+    d = d.withColumn("first_author_remote_id", F.get("remote_authors", F.lit(0))["authorId"])
+    d = d.withColumn("last_author_remote_id", F.try_element_at("remote_authors", F.lit(-1))["authorId"])
     out = papers.join(links, "paper_id").join(d, "corpus_id", "left")
-    required = ["semantic_paper_id", "semantic_title", "semantic_year", "authors", "venue", "title", "year"]
+    required = ["remote_paper_id", "remote_title", "remote_year", "authors", "venue", "title", "year"]
     return out.withColumn("data_completeness_score", linking.completeness([c for c in out.columns if c != "authors"], required).cast("decimal(5,3)"))
 
 
@@ -56,11 +56,11 @@ def author_pipeline(enriched: DataFrame, cached: DataFrame, as_of_year: int) ->
     ``cached(author_id, updated_at, url, affiliations, paper_count, citation_count, h_index)``.
     """
     names = enriched.select("paper_id", F.posexplode("authors").alias("name_pos", "name"))
-    cands = enriched.select("paper_id", F.posexplode("semantic_authors").alias("cand_pos", "c")).select(
+    cands = enriched.select("paper_id", F.posexplode("remote_authors").alias("cand_pos", "c")).select(
         "paper_id", "cand_pos", F.col("c.authorId").alias("cand_id"), F.col("c.name").alias("cand_name")
     )
     auth = authors.build_authorships(names, cands)
-    facts = enriched.select("paper_id", "influential", F.col("semantic_year").alias("year"), F.col("first_author_semantic_id").alias("first_id"), F.col("last_author_semantic_id").alias("last_id"))
+    facts = enriched.select("paper_id", "influential", F.col("remote_year").alias("year"), F.col("first_author_remote_id").alias("first_id"), F.col("last_author_remote_id").alias("last_id"))
     rows = auth.where("matched_id <> ''").join(facts, "paper_id", "left").select(
         "author_name", F.struct("paper_id", "match_order").alias("ord"), F.col("matched_id").alias("author_id"), "matched_name", "influential", "year", "first_id", "last_id"
     )

@@ -84,7 +84,7 @@ def conference_papers(papers: DataFrame, dimension: DataFrame, release_id: str)
     active = dimension.select(F.col("conference").alias("venue_normalized"))
     rows = papers.join(active, "venue_normalized", "left_semi")
     return rows.select(
-        "corpus_id", "paper_id", F.col("external_ids")["DBLP"].alias("dblp_id"), "title", "title_key", "abstract",
+        "corpus_id", "paper_id", F.col("external_ids")["DBLP"].alias("bibliography_id"), "title", "title_key", "abstract",
         F.col("venue_normalized").alias("venue"), F.col("venue").alias("venue_raw"), F.coalesce("year", F.lit(0)).alias("year"),
         "citation_count", "reference_count", "influential_citation_count", "authors", "fields_of_study", "is_open_access", "open_access_pdf",
         F.col("venue_normalized").alias("conference"), F.lit(release_id).alias("release_id"), "source_file",

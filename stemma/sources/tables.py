@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.operators import incremental
 
@@ -25,11 +25,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; one that a broken ``swap_in`` left beside it is put back first."""
+    old = f"{path}.old"
+    if not exists(spark, path) and exists(spark, old):
+        p = spark._jvm.org.apache.hadoop.fs.Path
+        p(old).getFileSystem(spark._jsc.hadoopConfiguration()).rename(p(old), p(path))
     return spark.read.parquet(path) if exists(spark, path) else None
 
 
 def swap_in(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite a table that ``df`` reads: written beside it, then renamed."""
+    """Overwrite a table that ``df`` reads: written beside it, then renamed.
+
+    A failure between the two renames leaves the old table at ``path.old``; ``read_or_none`` repairs it.
+    """
     new, old = f"{path}.new", f"{path}.old"
     df.write.mode("overwrite").parquet(new)
     p = spark._jvm.org.apache.hadoop.fs.Path
@@ -72,12 +80,40 @@ def restore(spark: SparkSession, copy: str, folder: str, rename: str | None = No
     return target
 
 
+#: First years of the partitions, and their names; from the last-but-one to the last, each year is one.
+YEAR_BOUNDS = [(1970, "0-1969"), (1990, "1970-1989"), (2001, "1990-2000")]
+LAST_YEAR = 2031
+
+
 def year_bucket(year: str = "year") -> Column:
     """The partition a year falls into."""
     y = F.col(year)
-    return (
-        F.when(y.isNull(), "null").when(y < 1970, "0-1969").when(y < 1990, "1970-1989").when(y < 2001, "1990-2000").when(y < 2031, y.cast("string")).otherwise("2031+")
-    )
+    out = F.when(y.isNull(), "null")
+    for bound, name in YEAR_BOUNDS:
+        out = out.when(y < bound, name)
+    return out.when(y < LAST_YEAR, y.cast("string")).otherwise(f"{LAST_YEAR}+")
+
+
+def bucket_names(first: int, last: int) -> list[str]:
+    """The partitions that hold the years ``first`` to ``last``."""
+    names, at = [], 0
+    for bound, name in YEAR_BOUNDS:
+        if first < bound and last >= at:
+            names.append(name)
+        at = bound
+    names += [str(y) for y in range(max(first, at), min(last, LAST_YEAR - 1) + 1)]
+    return names + [f"{LAST_YEAR}+"] * (last >= LAST_YEAR)
+
+
+def in_years(papers: DataFrame, first: int, last: int) -> DataFrame:
+    """Rows of a table that is partitioned by ``year_bucket``; other partitions are not read."""
+    return papers.where(F.col("year_bucket").isin(bucket_names(first, last)) & F.col("year").between(first, last))
+
+
+def bucket_shares(papers: DataFrame) -> DataFrame:
+    """(bucket, rows, first_year, last_year, share_pct) of the partitions, each single year apart (AG18)."""
+    counts = papers.groupBy(year_bucket().alias("bucket")).agg(F.count("*").alias("rows"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))
+    return counts.withColumn("share_pct", F.round(F.col("rows") * 100.0 / F.sum("rows").over(Window.partitionBy()), 2))
 
 
 def latest_run(runs: DataFrame, run_type: str) -> DataFrame:

@@ -125,8 +125,8 @@ def test_parsed_response(spark):
     kind = "paperId string, title string, year int, citationCount int, authors array<struct<authorId:string,name:string>>, externalIds map<string,string>, fieldsOfStudy array<string>, openAccessPdf struct<url:string,status:string,license:string>, citationStyles struct<bibtex:string>"
     row = ("p", "t", 2020, 3, [("1", "A"), (None, "B")], {"DOI": "d", "DBLP": "b"}, ["CS"], ("u", "s", None), ("bib",))
     r = linking.parse_response(spark.createDataFrame([row, ("q",) + (None,) * 8], kind)).collect()[0]
-    assert (r.all_author_names, r.all_author_ids, r.first_author_semantic_id, r.all_authors_count) == ("A;B", "1", "1", 2)
-    assert (r.doi, r.dblp_id, r.arxiv_id, r.field_primary, r.field_secondary, r.pdf_available) == ("d", "b", None, "CS", None, "TRUE")
+    assert (r.all_author_names, r.all_author_ids, r.first_author_remote_id, r.all_authors_count) == ("A;B", "1", "1", 2)
+    assert (r.doi, r.bibliography_id, r.arxiv_id, r.field_primary, r.field_secondary, r.pdf_available) == ("d", "b", None, "CS", None, "TRUE")
 
 
 def test_bloom(spark):

@@ -77,13 +77,13 @@ def test_pipelines_end_to_end(spark, tmp_path):
     at = pipelines.import_bulk(spark, str(tmp_path / "*.gz"), str(tmp_path / "t"), venues.conferences(spark), venues.conference_aliases(spark), "r1")
     papers = {r.corpus_id: r for r in spark.read.parquet(at["dataset_papers"]).collect()}
     assert {k: (r.venue, r.year, r.year_bucket) for k, r in papers.items()} == {1: ("ACL", 2020, "2020"), 2: ("EMNLP", 0, "0-1969"), 6: ("ACL", 0, "0-1969")}
-    assert papers[1].dblp_id == "conf/acl/A1" and papers[2].venue_raw == "Proceedings of EMNLP"
+    assert papers[1].bibliography_id == "conf/acl/A1" and papers[2].venue_raw == "Proceedings of EMNLP"
     assert sorted((r.corpus_id, r.author_id, r.author_sequence) for r in spark.read.parquet(at["dataset_author_papers"]).collect()) == [(1, "1", 0), (6, "9", 1)]
     loaded = spark.createDataFrame([("part.jsonl.gz",)], "source_file string")
     assert bulk.all_papers(spark, str(tmp_path / "*.gz"), spark.read.parquet(at["venue_mapping"]), loaded).count() == 0
     bib = spark.createDataFrame([(1, "conf/acl/A1", "paper 1", ["Ann 1"], 2020, "acl", datetime(2024, 1, 2)), (2, "conf/acl/A9", "nothing like it", ["Zed"], 2020, "acl", datetime(2024, 1, 2))], "paper_id bigint, key string, title string, authors array<string>, year int, venue string, updated_at timestamp_ntz")
     enriched = pipelines.enrich_papers(bib, spark.read.parquet(at["dataset_papers"]).withColumn("paper_id", F.concat(F.lit("s"), F.col("corpus_id").cast("string"))))
-    found = {r.paper_id: (r.corpus_id, r.validation_tier, r.semantic_paper_id) for r in enriched.collect()}
+    found = {r.paper_id: (r.corpus_id, r.validation_tier, r.remote_paper_id) for r in enriched.collect()}
     assert found == {1: (1, "Tier1_Dataset_High", "s1"), 2: (None, "Tier3_NoMatch", None)}
     again = pipelines.enrich_papers(bib, spark.read.parquet(at["dataset_papers"]), enriched.withColumn("updated_at", F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz")))
     assert [r.paper_id for r in again.collect()] == [2]
@@ -91,9 +91,9 @@ def test_pipelines_end_to_end(spark, tmp_path):
     auth, profiles, final = pipelines.author_pipeline(enriched, cached, 2025)
     assert {(r.author_name, r.matched_id) for r in auth.collect()} == {("Ann 1", "1"), ("Zed", "")}
     (row,) = final.collect()
-    assert (row.dblp_author, row.semantic_scholar_paper_count, row.semantic_scholar_h_index, row.homepage, row.career_length, row.first_author_count) == ("Ann 1", 10, 3, "home", 6, 1)
-    report = json.loads(pipelines.enrichment_report(enriched, ["semantic_paper_id", "title"]))
-    assert report["total_papers"] == 2 and report["fields"] == {"semantic_paper_id": 0.5, "title": 1.0}
+    assert (row.byline_name, row.remote_paper_count, row.remote_h_index, row.homepage, row.career_length, row.first_author_count) == ("Ann 1", 10, 3, "home", 6, 1)
+    report = json.loads(pipelines.enrichment_report(enriched, ["remote_paper_id", "title"]))
+    assert report["total_papers"] == 2 and report["fields"] == {"remote_paper_id": 0.5, "title": 1.0}
 
 
 def test_snapshots(spark, tmp_path):
