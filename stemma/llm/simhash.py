@@ -2,8 +2,9 @@
 
 Two fingerprints of b bytes that differ in at most d bits share at least b - d bytes at their
 positions.  Postings of single bytes would hold a 1/256 of the corpus each, so the index posts sets
-of byte positions instead; within a posting list the shared positional bytes of a pair are tallied,
-pairs with fewer than the minimum are dropped, and the rest is verified bit by bit.
+of byte positions instead, smaller than that minimum; within a posting list the shared positional
+bytes of a pair are tallied, pairs with fewer than the minimum are dropped, and the rest is verified
+bit by bit.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import connected_components, materialize, small_batches, table, text_bytes, trimmed
+from stemma.llm.common import connected_components, materialize, scratch, small_batches, table, text_bytes, trimmed
 
 SEED = 42
 #: Row b: the bits of byte value b, lowest first.
@@ -62,90 +63,100 @@ def fingerprints(docs: DataFrame, k: int = 3, keep: str = "doc_id") -> DataFrame
     return rows.mapInArrow(run, "id bigint, fp bigint").select(F.col("id").cast(kind).alias(keep), "fp")
 
 
-#: With at most two differing bits at most two of the eight bytes differ: the pairs of bytes left out.
-LEFT_OUT = list(combinations(range(8), 2))
+#: A posting is two of the four 16-bit words: with at most two differing bytes two words at least agree.
+WORDS = list(combinations(range(4), 2))
 MIN_SHARED, MAX_BITS, SHORT_RUN = 6, 2, 64
-#: What two bytes can differ by, in at most two bits.
-FLIPS = np.array([0, *(1 << i for i in range(16)), *(1 << i | 1 << j for i, j in combinations(range(16), 2))], np.uint64)
+#: Rows of a list beyond which it is dealt by two more bytes.
+LONG_LIST = 4096
 
 
-def _links(combo: np.ndarray, fp: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Verified pairs in posting lists: rows sorted by (combo, fp without the two bytes, fp)."""
+def _free_bytes(combo: int) -> list[int]:
+    return [b for b in range(8) if b // 2 not in WORDS[combo]]
+
+
+#: For each posting the ways to add two of the four bytes that it leaves out.
+MORE = [list(combinations(_free_bytes(c), 2)) for c in range(len(WORDS))]
+
+
+def _mask(positions: list[int] | tuple[int, ...]) -> int:
+    """Signed 64-bit mask of the bytes at ``positions``."""
+    return int(np.array(sum(255 << 8 * b for b in positions), "<u8").view("<i8"))
+
+
+def _tallied(combo: np.ndarray, more: np.ndarray, fp: np.ndarray, i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows i and j of one list that share MIN_SHARED positional bytes and differ in one or two bits.
+
+    A pair that meets in several lists is reported by the first.
+    """
+    apart = fp[i] ^ fp[j]
+    same = apart.view(np.uint8).reshape(-1, 8) == 0
+    kept = np.flatnonzero(same.sum(1) >= MIN_SHARED)
+    kept = kept[(np.bitwise_count(apart[kept]) <= MAX_BITS) & (apart[kept] != 0)]
+    i, j, same = i[kept], j[kept], same[kept]
+    words = same[:, ::2] & same[:, 1::2]
+    first = np.stack([words[:, a] & words[:, b] for a, b in WORDS], 1).argmax(1)
+    good = first == combo[i]
+    for c in range(len(WORDS)):
+        rows = np.flatnonzero((combo[i] == c) & (more[i] >= 0))
+        if len(rows):
+            good[rows] &= np.stack([same[rows, a] & same[rows, b] for a, b in MORE[c]], 1).argmax(1) == more[i[rows]]
+    return fp[i[good]], fp[j[good]]
+
+
+def _links(combo: np.ndarray, more: np.ndarray, fp: np.ndarray, start: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Verified pairs in posting lists: every two rows of each list, whose beginnings are ``start``."""
     size = np.diff(np.append(start, len(fp)))
     run = np.repeat(np.arange(len(start)), size)
-
-    def tally(i: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        apart = fp[i] ^ fp[j]
-        differ = apart.view(np.uint8).reshape(-1, 8) != 0
-        good = ((~differ).sum(1) >= MIN_SHARED) & (np.bitwise_count(apart) <= MAX_BITS) & (apart != 0)
-        i, j, differ = i[good], j[good], differ[good]
-        # a pair that differs in one byte stands in seven lists; the first of them reports it
-        first, many = differ.argmax(1), differ.sum(1)
-        a, b = np.array(LEFT_OUT).T
-        other = np.where(a[combo[i]] == first, b[combo[i]], a[combo[i]])
-        good = (many == 2) | (other == np.where(first == 0, 1, 0))
-        return fp[i[good]], fp[j[good]]
-
-    short = np.flatnonzero((size[run] > 1) & (size[run] <= SHORT_RUN))
-    for d in range(1, min(SHORT_RUN, int(size.max(initial=0)))):
-        i = short[short + d < len(fp)]
-        i = i[run[i] == run[i + d]]
-        if not len(i):
-            break
-        yield tally(i, i + d)
-    for r in np.flatnonzero(size > SHORT_RUN):  # at most 65,536 rows: two bytes are free
-        rows = np.arange(start[r], start[r] + size[r])
-        own, (a, b) = fp[rows], LEFT_OUT[combo[rows[0]]]
-        for flip in FLIPS[1:]:
-            other = own ^ ((flip & np.uint64(255)) << np.uint64(8 * a) | (flip >> np.uint64(8)) << np.uint64(8 * b))
-            at = np.minimum(np.searchsorted(own, other), len(own) - 1)
-            hit = (own[at] == other) & (own < other)
-            yield tally(rows[hit], rows[at[hit]])
+    rows = np.flatnonzero(size[run] > 1)
+    for d in range(1, int(size.max(initial=0))):
+        rows = rows[rows + d < len(fp)]
+        rows = rows[run[rows] == run[rows + d]]
+        yield _tallied(combo, more, fp, rows, rows + d)
 
 
 def link_fingerprints(distinct: DataFrame) -> DataFrame:
     """(a, b) for every two different fingerprints of ``distinct(fp)`` at most two bits apart.
 
-    28 postings for each fingerprint: all ways to leave out two of the eight bytes.  A list has at
-    most 2^16 different fingerprints, whatever the corpus, and pairs in it are found without trying
-    all of them.
+    Six postings for each fingerprint: two of the four 16-bit words.  A list of over ``LONG_LIST`` rows
+    is dealt again by two more bytes, six ways, so that no list holds more than 2^16 different
+    fingerprints, whatever the corpus.  Every pair of a list is tallied; a posting holds four bytes, of
+    which the tally asks six.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
-        def out(combo: np.ndarray, key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (combo[1:] != combo[:-1])))
-            for a, b in _links(combo, fp, new):
+        def out(combo: np.ndarray, more: np.ndarray, key: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (combo[1:] != combo[:-1]) | (more[1:] != more[:-1])))
+            for a, b in _links(combo, more, fp.view("<u8"), new):
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(a.view("<i8")), pa.array(b.view("<i8"))], schema=schema)
 
         held: list[tuple[np.ndarray, ...]] = []
         rows = 0
         for batch in batches:
-            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(3)))
+            held.append(tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in range(4)))
             rows += len(batch)
-            if rows >= 1 << 19:
-                combo, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-                last = np.flatnonzero((key != key[-1]) | (combo != combo[-1]))
+            if rows >= 1 << 18:
+                combo, more, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
+                last = np.flatnonzero((key != key[-1]) | (combo != combo[-1]) | (more != more[-1]))
                 cut = last[-1] + 1 if len(last) else 0
                 if cut:
-                    yield from out(combo[:cut], key[:cut], fp[:cut].view("<u8"))
-                held, rows = [(combo[cut:], key[cut:], fp[cut:])], len(fp) - cut
+                    yield from out(combo[:cut], more[:cut], key[:cut], fp[:cut])
+                held, rows = [(combo[cut:], more[cut:], key[cut:], fp[cut:])], len(fp) - cut
         if rows:
-            combo, key, fp = (np.concatenate(x) for x in zip(*held, strict=True))
-            yield from out(combo, key, fp.view("<u8"))
-
-    postings = F.array(
-        *[
-            F.struct(F.lit(c).alias("combo"), F.col("fp").bitwiseAND(F.lit(int(np.array(~(255 << 8 * a | 255 << 8 * b) & (1 << 64) - 1, "<u8").view("<i8")))).alias("key"))
-            for c, (a, b) in enumerate(LEFT_OUT)
-        ]
-    )
+            yield from out(*(np.concatenate(x) for x in zip(*held, strict=True)))
+
+    words = [_mask([2 * a, 2 * a + 1, 2 * b, 2 * b + 1]) for a, b in WORDS]
+    postings = F.array(*[F.struct(F.lit(c).alias("combo"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for c, m in enumerate(words)])
     posted = distinct.select("fp", F.explode(postings).alias("p")).select("p.combo", "p.key", "fp")
-    unsigned = F.col("fp").bitwiseXOR(F.lit(-(2**63)))
-    dealt = posted.repartition("combo", "key").sortWithinPartitions("combo", "key", unsigned)
-    return dealt.mapInArrow(run, "a bigint, b bigint")
+    long = materialize(posted.groupBy("combo", "key").count().where(F.col("count") > LONG_LIST).select("combo", "key", F.lit(True).alias("long")), "long-lists")
+    masks = F.array(*[F.lit(_mask(pair)) for pairs in MORE for pair in pairs])
+    ways = F.when(F.col("long"), F.sequence(F.lit(0), F.lit(len(MORE[0]) - 1))).otherwise(F.array(F.lit(-1)))
+    posted = posted.join(long, ["combo", "key"], "left").select("combo", F.explode(ways).alias("more"), "key", "fp")
+    extra = F.when(F.col("more") < 0, F.lit(0)).otherwise(F.get(masks, F.col("combo") * len(MORE[0]) + F.col("more")))
+    posted = posted.select("combo", "more", F.col("key").bitwiseOR(F.col("fp").bitwiseAND(extra)).alias("key"), "fp")
+    return posted.repartition("combo", "more", "key").sortWithinPartitions("combo", "more", "key").mapInArrow(run, "a bigint, b bigint")
 
 
 def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
@@ -157,15 +168,14 @@ def simhash_groups(docs: DataFrame, k: int = 3) -> DataFrame:
     rows.  Equal fingerprints are one node, so large groups of copies cost nothing in the index.
     """
     prints = materialize(fingerprints(docs, k), "fingerprints")
-    classes = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    classes = materialize(classes, "classes")
-    near = connected_components(link_fingerprints(classes.select("fp")))
-    roots = classes.join(near.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "low", F.coalesce("component", "fp").alias("root")
-    )
-    roots = materialize(roots, "roots")
-    lows = roots.groupBy("root").agg(F.min("low").alias("component_id"))
-    return prints.join(roots.join(lows, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    with scratch(docs.sparkSession):
+        classes = materialize(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "classes")
+        near = connected_components(link_fingerprints(classes.select("fp")))
+        roots = classes.join(near.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "low", F.coalesce("component", "fp").alias("root"))
+        roots = materialize(roots, "roots")
+        lows = materialize(roots.groupBy("root").agg(F.min("low").alias("component_id")), "lows")
+        roots = materialize(roots.join(lows, "root").select("fp", "component_id"), "roots", outlive=1)
+    return prints.join(roots, "fp").select("doc_id", "fp", "component_id")
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -49,7 +49,28 @@ def test_groups_equal_brute_force(spark, tmp_path, make):
     assert Counter(map(tuple, got)) == want
 
 
-def test_links_equal_brute_force_in_dense_lists(spark):
+def test_tally_rejects_what_shares_too_few_bytes():
+    """Rows of one list share four bytes; two more must agree, and then the bits count."""
+    low = 0x1122334400000000
+    fps = np.array([low, low | 0x0101, low | 0x010101, low | 0x7, low | 0x3], "<u8")
+    combo = np.full(len(fps), simhash.WORDS.index((2, 3)), np.int32)
+    pairs = {(int(a), int(b)) for x, y in simhash._links(combo, np.full(len(fps), -1), fps, np.array([0])) for a, b in zip(x, y)}
+    assert pairs == set()  # every close pair here agrees in an earlier list too
+    combo[:] = simhash.WORDS.index((1, 2))
+    fps = np.array([0x5500332211440000, 0x5600332211440001, 0x5600332211440101, 0x5500332211440100], "<u8")
+    i, j = (x.ravel() for x in np.triu_indices(4, 1))
+    apart = fps[i] ^ fps[j]
+    shared = (apart.view(np.uint8).reshape(-1, 8) == 0).sum(1)
+    assert (shared < simhash.MIN_SHARED).any() and (shared >= simhash.MIN_SHARED).any()
+    a, b = simhash._tallied(combo, np.full(4, -1), fps, i, j)
+    got = set(zip(a.tolist(), b.tolist()))
+    assert all((x ^ y).bit_count() <= 2 for x, y in got)
+    assert not got & {(int(fps[x]), int(fps[y])) for x, y, n in zip(i, j, shared) if n < simhash.MIN_SHARED}
+
+
+@pytest.mark.parametrize("longest", [20, 4096])
+def test_links_equal_brute_force_in_dense_lists(spark, monkeypatch, longest):
+    monkeypatch.setattr(simhash, "LONG_LIST", longest)
     rng = random.Random(5)
     base = [rng.getrandbits(64) for _ in range(40)]
     fps = {b ^ sum(1 << rng.randrange(64) for _ in range(rng.randint(0, 4))) & (1 << 64) - 1 for b in base for _ in range(20)}
