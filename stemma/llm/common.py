@@ -48,18 +48,18 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
     paths.clear()
 
 
-def materialize(df: DataFrame, tag: str, outlive: bool = False) -> DataFrame:
+def materialize(df: DataFrame, tag: str, outlive: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
-    The files go when the ``scratch`` block that they were written in ends, with ``outlive`` when the
-    one around it does; outside of blocks, when the driver's interpreter ends.
+    The files go when the ``scratch`` block that they were written in ends, or when the block that is
+    ``outlive`` steps further out does; outside of blocks, when the driver's interpreter ends.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
     blocks = _written.blocks
-    blocks[-2 if outlive and len(blocks) > 1 else -1].append(path)
+    blocks[max(0, len(blocks) - 1 - outlive)].append(path)
     if not any(x is blocks[0] for _, x in _left):
         _left.append((spark, blocks[0]))
     return spark.read.schema(schema).parquet(path)
@@ -152,33 +152,34 @@ def batches_of(rows: dict[str, list], schema: pa.Schema) -> Iterator[pa.RecordBa
         yield pa.RecordBatch.from_pydict(rows, schema=schema)
 
 
-def connected_components(edges: DataFrame, tag: str = "components", most_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, tag: str = "components", outlive: int = 0) -> DataFrame:
     """(node, component) for the nodes of ``edges(a, b)``: component is the smallest node reachable.
 
-    Alternating large-star and small-star rounds; each is two aggregations with map-side combine and
-    a join that adaptive execution may split, so one node with very many links is no single task.
-    Each round is written to the shared folder.  Loops and repeated edges are allowed; null ends are
-    dropped; an empty input gives an empty result.
+    Alternating large-star and small-star rounds until nothing changes; there is no limit of rounds,
+    and some ten are usual.  The smallest neighbours are aggregated with map-side combine and written,
+    so that both sides of the join behind are plain shuffles, which adaptive execution may split: one
+    node with very many links is no single task.  Loops and repeated edges are allowed; null ends are
+    dropped; an empty input gives an empty result.  The result is a table, see ``materialize``.
     """
+    spark = edges.sparkSession
     e = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    e = materialize(e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), tag)
-    before = None
-    for _ in range(most_rounds):
-        both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        # a node keeps its own link to the smallest neighbour
-        own = least.where("m < u").select("u", F.col("m").alias("v"))
-        e1 = materialize(large.unionAll(own).distinct(), tag)
-        low = e1.groupBy("u").agg(F.min("v").alias("m"))
-        small = e1.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), tag)
-        now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == before:
-            break
-        before = now
-    else:
-        raise RuntimeError("components did not settle")
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(
-        e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
-    )
+    e = e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    with scratch(spark):
+        e, before = materialize(e, tag), None
+        while True:
+            both = e.unionAll(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            least = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), tag)
+            large = both.join(least, "u").where("v > u AND v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            # a node keeps its own link to the smallest neighbour
+            own = least.where("m < u").select("u", F.col("m").alias("v"))
+            e1 = materialize(large.unionAll(own).distinct(), tag)
+            low = materialize(e1.groupBy("u").agg(F.min("v").alias("m")), tag)
+            small = e1.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            e = materialize(small.unionAll(low.select("u", F.col("m").alias("v"))).distinct(), tag)
+            now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if now == before:
+                break
+            before = now
+        roots = e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+        out = e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionAll(roots)
+        return materialize(out, tag, outlive + 1)

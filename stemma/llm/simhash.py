@@ -9,7 +9,7 @@ bit by bit.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import connected_components, materialize, scratch, small_batches, table, text_bytes, trimmed
+from stemma.llm.common import connected_components, materialize, numbered, scratch, small_batches, table, text_bytes, trimmed
 
 SEED = 42
 #: Row b: the bits of byte value b, lowest first.
@@ -196,12 +196,14 @@ SHARED, OF_ALL = 4, 5
 AGREE = 0.82
 #: Expected shared positional bytes at 0.849 are 138; less five deviations.
 MIN_TALLY = 85
-#: Differing bits of the 64 that are compared first: 10 are expected at 0.849, and five deviations more.
-MAX_APART = 26
+#: Differing bits of the 64, and of the 256, that are compared first: 10 and 39 are expected at 0.849, and five deviations more.
+MAX_APART, SOME_BYTES, SOME_APART = 24, 32, 67
 #: Rows of an Arrow batch with two texts each.
 TEXT_ROWS = 200
-#: Rows of a posting list that are compared in one task, at about twice as many.
+#: Rows of a posting list whose whole fingerprints are compared in one task, at about twice as many.
 BLOCK = 1024
+#: Rows of a posting list whose leading 256 bits are compared in one task; longer lists go in blocks there too.
+LIST_ROWS = 1 << 14
 
 
 def wide_fingerprints(sets: list[np.ndarray]) -> np.ndarray:
@@ -236,20 +238,29 @@ def _wide(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(len(column), WIDE // 8)
 
 
-def _pairs_of_lists(rows: DataFrame) -> DataFrame:
-    """(a, b): close pairs with different ``c`` in the lists of ``rows(g, b, c, fp, blocks)``.
+def _dealt(rows: DataFrame) -> DataFrame:
+    """``rows(g, b, c, blocks, ...)`` as (list, two blocks, own block, c, b, the last column), by list and blocks.
 
     A list of many blocks is dealt as pairs of blocks, so no task holds more than two of them.
     """
-    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    own = rows.withColumn("k", F.pmod(F.xxhash64("b"), F.col("blocks"))).withColumn("l", F.explode(F.expr("sequence(0L, blocks - 1)")))
+    dealt = own.select("g", F.least("k", "l").alias("i"), F.greatest("k", "l").alias("j"), "k", "c", "b", "blocks", rows.columns[-1])
+    return dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+
+
+def _compared(close: Callable[[np.ndarray, np.ndarray], np.ndarray], value: Callable[[pa.Array], np.ndarray], pairs: bool) -> Callable:
+    """For ``mapInArrow`` over ``_dealt`` rows: pairs (a, b) of each list with different ``c`` whose last columns are ``close``.
+
+    Without ``pairs``: (g, b, c, blocks) of the rows that stand in some such pair.
+    """
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def out(g: np.ndarray, rid: np.ndarray, fp: np.ndarray) -> Iterator[pa.RecordBatch]:
-            """Rows of ``g``: list, two blocks, own block, component."""
+            """Rows of ``g``: list, two blocks, own block, component, number of blocks."""
             ends = np.append(np.flatnonzero((g[1:, :3] != g[:-1, :3]).any(1)) + 1, len(g))
-            start, left, right = 0, [], []
+            start, left, right = 0, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
             for end in ends.tolist():
                 one = g[start, 1] == g[start, 2]
                 for r in range(start, end - 1):
@@ -257,15 +268,20 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
                     if not one:
                         other &= g[r + 1 : end, 3] != g[r, 3]
                     at = np.flatnonzero(other) + r + 1
-                    at = at[_close(fp[at], fp[r : r + 1])]
-                    left.append(np.minimum(rid[at], rid[r]))
-                    right.append(np.maximum(rid[at], rid[r]))
+                    at = at[close(fp[at], fp[r : r + 1])]
+                    left.append(np.full(len(at), r))
+                    right.append(at)
                 start = end
-            if left:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(left)), pa.array(np.concatenate(right))], schema=schema)
+            x, y = np.concatenate(left), np.concatenate(right)
+            if pairs:
+                columns, names = [np.minimum(rid[x], rid[y]), np.maximum(rid[x], rid[y])], ["a", "b"]
+            else:
+                rows = np.unique(np.append(x, y))
+                columns, names = [g[rows, 0], rid[rows], g[rows, 4], g[rows, 5]], ["g", "b", "c", "blocks"]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], names=names)
 
         for batch in batches:
-            new = [np.stack([batch.column(i).to_numpy() for i in range(5)], axis=1), batch.column(5).to_numpy(), _wide(batch.column(6))]
+            new = [np.stack([batch.column(i).to_numpy() for i in (0, 1, 2, 3, 4, 6)], axis=1), batch.column(5).to_numpy(), value(batch.column(7))]
             g, rid, fp = (np.concatenate(x) for x in zip(held, new, strict=True)) if held else new
             last = np.flatnonzero((g[:, :3] != g[-1, :3]).any(1))
             cut = last[-1] + 1 if len(last) else 0
@@ -275,9 +291,86 @@ def _pairs_of_lists(rows: DataFrame) -> DataFrame:
         if held:
             yield from out(*held)
 
-    own = rows.withColumn("k", F.pmod(F.xxhash64("b"), F.col("blocks"))).withColumn("l", F.explode(F.expr("sequence(0L, blocks - 1)")))
-    dealt = own.select("g", F.least("k", "l").alias("i"), F.greatest("k", "l").alias("j"), "k", "c", "b", "fp")
-    return dealt.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j").mapInArrow(trimmed(compare), "a bigint, b bigint").distinct()
+    return trimmed(compare)
+
+
+def _near(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether the leading 256 bits, four words in the last axis, are near."""
+    return np.bitwise_count(x ^ y).sum(-1, dtype=np.int64) <= SOME_APART
+
+
+def _some(column: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(len(column), SOME_BYTES // 8)
+
+
+def _with_partner(g: np.ndarray, c: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Which rows have a near row of another component in their list; rows are sorted by list."""
+    hit = np.zeros(len(g), bool)
+    start = np.flatnonzero(np.append(True, g[1:] != g[:-1]))
+    size = np.diff(np.append(start, len(g)))
+    short = np.flatnonzero(np.repeat(size <= SHORT_RUN, size))
+    for d in range(1, min(SHORT_RUN, int(size.max(initial=0)))):
+        short = short[short + d < len(g)]
+        short = short[g[short] == g[short + d]]
+        both = short[(c[short] != c[short + d]) & _near(w[short], w[short + d])]
+        hit[both] = hit[both + d] = True
+    for at, n in zip(start[size > SHORT_RUN].tolist(), size[size > SHORT_RUN].tolist(), strict=True):
+        own, bits = c[at : at + n], w[at : at + n]
+        _, kind, counts = np.unique(own, return_inverse=True, return_counts=True)
+        for r in np.array_split(others := np.flatnonzero(kind != counts.argmax()), 1 + len(others) * n // (1 << 19)):
+            good = (own[r, None] != own[None]) & _near(bits[r, None], bits[None])
+            hit[at + r[good.any(1)]] = True
+            hit[at : at + n] |= good.any(0)
+    return hit
+
+
+def _pairs_of_lists(rows: DataFrame, prints: DataFrame) -> DataFrame:
+    """(a, b): close pairs with different ``c`` in the lists of ``rows(g, b, c, v)``.
+
+    First by the 256 bits ``v``; only rows that have a partner there meet again with whole fingerprints.
+    """
+    schema = pa.schema([("g", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("blocks", pa.int64()), ("v", pa.binary()), ("long", pa.bool_())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows sorted by list: those with a partner, and all of a list of over LIST_ROWS."""
+        held, long = None, None
+        for batch in batches:
+            new = np.vstack([*(batch.column(i).to_numpy() for i in range(3)), _some(batch.column(3)).view("<i8").T])
+            rows = np.concatenate([held, new], axis=1) if held is not None else new
+            cut = int(np.searchsorted(rows[0], rows[0, -1]))  # where the last list begins
+            tail = rows[:, cut:]
+            if tail.shape[1] > LIST_ROWS or long == tail[0, 0]:
+                long, held, cut = int(tail[0, 0]), None, rows.shape[1]
+            else:
+                held = tail
+            yield from out(rows[:, :cut], long)
+        if held is not None:
+            yield from out(held, long)
+
+    def out(rows: np.ndarray, long: int | None) -> Iterator[pa.RecordBatch]:
+        all_of = rows[0] == long if long is not None else np.zeros(rows.shape[1], bool)
+        some = rows[:, ~all_of]
+        some = some[:, _with_partner(some[0], some[2], some[3:].T.view("<u8"))] if some.shape[1] else some
+        for part, flag in ((some, False), (rows[:, all_of], True)):
+            if n := part.shape[1]:
+                v = part[3:].T.tobytes()
+                v = [v[SOME_BYTES * k : SOME_BYTES * (k + 1)] for k in range(n)] if flag else [None] * n
+                _, own, size = np.unique(part[0], return_inverse=True, return_counts=True)
+                blocks = -(-size[own] // BLOCK)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x) for x in part[:3]), pa.array(blocks), pa.array(v, pa.binary()), pa.array(np.full(n, flag))], schema=schema)
+
+    dealt = rows.select("g", "b", "c", "v").repartition("g").sortWithinPartitions("g")
+    some = materialize(dealt.mapInArrow(trimmed(run), "g bigint, b bigint, c bigint, blocks bigint, v binary, long boolean"), "partners")
+    longer = some.where("long")
+    size = longer.groupBy("g").agg(F.ceil(F.count("*") / LIST_ROWS).cast("bigint").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    longer = longer.drop("blocks").join(materialize(size.select("g", F.col("n").alias("blocks")), "long-lists"), "g").select("g", "b", "c", "blocks", "v")
+    longer = _dealt(longer).mapInArrow(_compared(_near, _some, False), "g bigint, b bigint, c bigint, blocks bigint").distinct()
+    some = some.where("NOT long").select("g", "b", "c", "blocks").unionAll(longer.select("g", "b", "c", F.col("blocks") * (LIST_ROWS // BLOCK)))
+    # a row's fingerprint travels once, with all its lists
+    by_row = some.groupBy("b").agg(F.first("c").alias("c"), F.collect_list(F.struct("g", "blocks")).alias("lists"))
+    by_row = materialize(by_row, "rows-with-partners").join(prints.select(F.col("rid").alias("b"), "fp"), "b")
+    whole = by_row.select(F.explode("lists").alias("l"), "b", "c", "fp").select("l.g", "b", "c", "l.blocks", "fp")
+    return _dealt(whole).mapInArrow(_compared(_close, _wide, True), "a bigint, b bigint").distinct()
 
 
 def _similar(pairs: DataFrame, docs: DataFrame, k: int, tag: str) -> DataFrame:
@@ -326,13 +419,13 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
     Candidates share one of 340 sets of three positional bytes of the wide fingerprint; at similarity
     0.8 a pair shares one with probability 0.999, and what shares none is not found.  Candidates with
     ``AGREE`` of the bits and ``MIN_TALLY`` shared positional bytes are verified on the texts
-    themselves, so no link is below 0.8.  First each row of a list is compared with the list's first;
-    then, in lists whose other rows these links leave in different components, every two rows of
-    different components.  So all pairs of every list count, but pairs that links already join are
-    left out: the components are those of all pairs.
+    themselves, so no link is below 0.8.  First each row is compared with one other: with that which
+    leads most of its lists.  Then, in lists whose rows these links leave in different components,
+    every two rows of different components.  So all pairs of every list count, but pairs that links
+    already join are left out: the components are those of all pairs.
     """
     small_batches(docs.sparkSession)
-    prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("w", pa.int64()), ("fp", pa.binary())])
+    prints_schema = pa.schema([("rid", pa.int64()), ("same", pa.binary()), ("w", pa.int64()), ("v", pa.binary()), ("fp", pa.binary())])
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -343,12 +436,10 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
                 rid = batch.column(0).slice(at, len(sets))
                 same = [xxhash.xxh3_128_digest(h.tobytes()) for h in sets]
                 some = pa.array(np.ascontiguousarray(fps[:, 5::64]).view("<i8").ravel())
-                yield pa.RecordBatch.from_arrays([rid, pa.array(same, pa.binary()), some, pa.array([f.tobytes() for f in fps], pa.binary())], schema=prints_schema)
+                lead = [f.tobytes() for f in fps[:, 3 :: WIDE // 8 // SOME_BYTES]]
+                columns = [rid, pa.array(same, pa.binary()), some, pa.array(lead, pa.binary()), pa.array([f.tobytes() for f in fps], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema=prints_schema)
 
-    prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, same binary, w bigint, fp binary"), "wide")
-    low = prints.groupBy("same").agg(F.min("rid").alias("a"))
-    copies = materialize(prints.select("rid", "same").join(low, "same").where("rid <> a").select("a", F.col("rid").alias("b")), "copies")
-    heads = prints.select("rid", "fp").join(copies.select(F.col("b").alias("rid")), "rid", "left_anti")
     post_schema = pa.schema([("g", pa.int64()), ("rid", pa.int64())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -358,55 +449,62 @@ def near_copy_links(docs: DataFrame, k: int = 5) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column(0).to_numpy(), LISTS))], schema=post_schema)
 
     def lead(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Rows sorted by list and row number: each row of a list but the first, with the first."""
+        """Rows sorted by list and row number: each row of a list of two or more, with the list's first."""
         schema = pa.schema([("g", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
-        last = (-1, -1)
+        last = (-1, -1, False)  # list, its first row, and whether that has been given
         for batch in batches:
             g, rid = (batch.column(i).to_numpy() for i in range(2))
             new = np.append(g[0] != last[0], g[1:] != g[:-1])
             start = np.maximum.accumulate(np.where(new, np.arange(len(g)), -1))
             head = np.where(start >= 0, rid[start], last[1])
-            last = (int(g[-1]), int(head[-1]))
-            yield pa.RecordBatch.from_arrays([pa.array(x[~new]) for x in (g, head, rid)], schema=schema)
-
-    posted = heads.mapInArrow(trimmed(post), "g bigint, rid bigint").repartition("g").sortWithinPartitions("g", "rid")
-    members = materialize(posted.mapInArrow(trimmed(lead), "g bigint, a bigint, b bigint"), "members")
+            second = np.append(not new[0] and not last[2], ~new[1:] & new[:-1])
+            last = (int(g[-1]), int(head[-1]), bool(not new[-1]))
+            columns = [np.append(g[~new], g[second]), np.append(head[~new], head[second]), np.append(rid[~new], head[second])]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], schema=schema)
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = pa.array(_close(_wide(batch.column(2)), _wide(batch.column(3))))
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(rows), batch.column(1).filter(rows)], names=["a", "b"])
 
-    found = members.select("a", "b").distinct()
-    for c in "ab":
-        found = found.join(prints.select(F.col("rid").alias(c), F.col("w").alias(f"w_{c}")), c)
-    found = found.where(F.bit_count(F.col("w_a").bitwiseXOR(F.col("w_b"))) <= MAX_APART).select("a", "b")
-    with_a = found.join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
-    both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
-    first = _similar(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), docs, k, "first-links")
-
-    near = connected_components(first).select(F.col("node").alias("b"), "component")
-    rest = materialize(members.select("g", "b").join(near, "b", "left").select("g", "b", F.coalesce("component", "b").alias("c")), "rest")
-    unlike = rest.groupBy("g").agg(F.count("*").alias("n"), F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    unlike = unlike.select("g", F.ceil(F.col("n") / BLOCK).cast("bigint").alias("blocks"))
-    rows = rest.join(unlike, "g").join(prints.select(F.col("rid").alias("b"), "fp"), "b")
-    return copies.unionAll(first).unionAll(_similar(_pairs_of_lists(rows), docs, k, "list-links"))
+    with scratch(docs.sparkSession):
+        prints = materialize(docs.select("rid", "text").mapInArrow(trimmed(make), "rid bigint, same binary, w bigint, v binary, fp binary"), "wide")
+        low = materialize(prints.groupBy("same").agg(F.min("rid").alias("a")), "wide-classes")
+        copies = materialize(prints.select("rid", "same").join(low, "same").where("rid <> a").select("a", F.col("rid").alias("b")), "copies")
+        heads = prints.select("rid", "fp").join(low.select(F.col("a").alias("rid")), "rid", "left_semi")
+        posted = heads.mapInArrow(trimmed(post), "g bigint, rid bigint").repartition("g").sortWithinPartitions("g", "rid")
+        members = materialize(posted.mapInArrow(trimmed(lead), "g bigint, a bigint, b bigint"), "members")
+
+        found = members.where("a <> b").groupBy("a", "b").agg(F.count("*").alias("lists"))
+        found = found.groupBy("b").agg(F.max_by("a", F.struct("lists", -F.col("a"))).alias("a")).select("a", "b")
+        for c in "ab":
+            found = found.join(prints.select(F.col("rid").alias(c), F.col("w").alias(f"w_{c}")), c)
+        found = found.where(F.bit_count(F.col("w_a").bitwiseXOR(F.col("w_b"))) <= MAX_APART).select("a", "b")
+        with_a = found.join(prints.select(F.col("rid").alias("a"), F.col("fp").alias("x")), "a")
+        both = with_a.join(prints.select(F.col("rid").alias("b"), F.col("fp").alias("y")), "b")
+        first = _similar(both.select("a", "b", "x", "y").mapInArrow(trimmed(verify), "a bigint, b bigint"), docs, k, "first-links")
+
+        near = connected_components(first).select(F.col("node").alias("rid"), "component")
+        facts = prints.select("rid", "v").join(near, "rid", "left").select(F.col("rid").alias("b"), F.coalesce("component", "rid").alias("c"), "v")
+        rest = materialize(members.select("g", "b").join(facts, "b"), "rest")
+        links = copies.unionAll(first).unionAll(_similar(_pairs_of_lists(rest, prints), docs, k, "list-links"))
+        return materialize(links, "near-links", outlive=1)
 
 
 def keep_one_of_each_group(docs: DataFrame, k: int = 5) -> DataFrame:
     """The documents without near copies: of each group linked by ``near_copy_links`` one row stays.
 
-    It is the row with the smallest doc_id (nulls last), then the first read.  Texts without words
-    are copies of each other.  All columns stay; an empty table gives no rows.  ``docs`` must be a
-    scan: row numbers are given twice and must agree.
+    It is the row with the smallest doc_id (nulls last), then the first in the order of files.  Texts
+    without words are copies of each other.  All columns stay; an empty table gives no rows.
     """
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    links = near_copy_links(numbered.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text")), k)
-    near = connected_components(materialize(links, "near-links"))
-    order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("node"))
-    members = near.join(numbered.select(F.col("_rid").alias("node"), "doc_id"), "node").select("component", order.alias("o"))
-    members = materialize(members, "members")
-    best = members.groupBy("component").agg(F.min("o").alias("best"))
-    gone = members.join(best, "component").where("o <> best OR (o.doc_id IS NULL) AND o.node <> best.node")
-    gone = gone.select(F.col("o.node").alias("_rid"))
-    return numbered.join(gone, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    spark = docs.sparkSession
+    rows = numbered(docs)
+    with scratch(spark):
+        near = connected_components(near_copy_links(rows.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text")), k))
+        order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("node"))
+        members = near.join(rows.select(F.col("_rid").alias("node"), "doc_id"), "node").select("component", order.alias("o"))
+        members = materialize(members, "members")
+        best = materialize(members.groupBy("component").agg(F.min("o").alias("best")), "best")
+        gone = members.join(best, "component").where("o <> best OR (o.doc_id IS NULL) AND o.node <> best.node")
+        gone = materialize(gone.select(F.col("o.node").alias("_rid")), "gone", outlive=1)
+    return rows.join(gone, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -393,7 +393,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         spans = runs.join(whole.unionAll(by_array), ["g", "d1", "d2"]).groupBy("rid").agg(
             F.array_sort(F.flatten(F.collect_list(F.expr(f"transform(ranges, r -> struct(a + r.lo AS lo, a + r.hi + {LENGTH - 1} AS hi))")))).alias("spans")
         )
-        spans = materialize(spans.withColumnRenamed("rid", "_rid"), "spans", outlive=True)
+        spans = materialize(spans.withColumnRenamed("rid", "_rid"), "spans", outlive=1)
     joined = with_ids.join(spans, "_rid", "left")
     rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
     rest_type = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()

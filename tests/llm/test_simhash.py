@@ -120,9 +120,25 @@ def test_near_copies_found_and_others_left(spark):
     assert all(jaccard(texts[a], texts[b]) >= 0.72 for a, b in got)
 
 
+def test_partners_in_lists_equal_brute_force(monkeypatch):
+    rng = np.random.default_rng(3)
+    g = np.sort(np.append(rng.integers(0, 200, 900), np.full(300, 77)))
+    c = np.where(rng.random(len(g)) < 0.6, 5, rng.integers(0, 50, len(g)))
+    w = rng.integers(0, 1 << 63, (len(g), 4), dtype=np.uint64)
+    near = np.flatnonzero(rng.random(len(g)) < 0.3)
+    w[near] = w[near - 1] ^ np.uint64(0b1011)
+    want = np.zeros(len(g), bool)
+    for i in range(len(g)):
+        for j in range(i + 1, len(g)):
+            if g[i] == g[j] and c[i] != c[j] and sum(int(x).bit_count() for x in w[i] ^ w[j]) <= simhash.SOME_APART:
+                want[i] = want[j] = True
+    assert want.any() and (simhash._with_partner(g, c, w) == want).all()
+
+
 def test_near_copies_inside_a_template(spark, monkeypatch):
     """Each text is similar by 0.7 to all others and by 0.84 to one; long lists go in several blocks."""
     monkeypatch.setattr(simhash, "BLOCK", 8)
+    monkeypatch.setattr(simhash, "LIST_ROWS", 20)
     rng = random.Random(4)
     template, texts = words(rng, 165).split(), []
     for i in range(400):
