@@ -9,13 +9,13 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import small_batches, table, text_bytes, trimmed
+from stemma.llm.common import numbered, small_batches, table, text_bytes, trimmed
 
 WINDOW, REACH, MOST = 16, 24, 256
 GEAR = np.random.default_rng(20240607).integers(0, 1 << 32, 256, dtype=np.uint32)
-NONE = np.uint32(0xFFFFFFFF)
-#: Digests a task remembers; beyond, later repeats are found by the shuffle instead.
-REMEMBERED = 400_000
+NONE, NEVER = np.uint32(0xFFFFFFFF), 1 << 63
+#: Digests a task remembers; beyond, later repeats are found by the shuffle instead, with the same result.
+REMEMBERED = 200_000
 
 
 def gear_hash(data: np.ndarray) -> np.ndarray:
@@ -73,17 +73,17 @@ def boundaries(texts: list[bytes]) -> list[list[int]]:
 
 
 def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """``docs(rid, text)``, in ascending rid within each task, to (rid, ord): chunks that stand earlier too.
+    """``docs(rid, text)`` to (rid, ord): chunks that stand earlier too.
 
-    Earlier means in a row with a smaller rid, or before in the same text.  Each task posts the first
-    occurrence of a digest only and reports its own repeats itself, so that a chunk in a third of all
-    texts is one posting for each task in the shuffle.
+    Earlier means in a row with a smaller rid, or before in the same text.  Each task posts a digest
+    when it comes first, or with a smaller rid than before, and reports its own repeats itself; so a
+    chunk in a third of all texts is some postings for each task in the shuffle.
     """
-    small_batches(docs.sparkSession, 1000)
+    small_batches(docs.sparkSession, 500)
     schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("rid", pa.int64()), ("ord", pa.int32()), ("known", pa.bool_())])
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest, seen = xxhash.xxh3_128_digest, set()
+        digest, seen = xxhash.xxh3_128_digest, {}
         for batch in batches:
             texts = text_bytes(batch.column(1))
             digests, ords, counts = [], [], []
@@ -91,12 +91,14 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
                 digests += [digest(text[a:b]) for a, b in zip([0, *cut], cut, strict=False)]
                 ords += range(len(cut))
                 counts.append(len(cut))
+            rid = np.repeat(batch.column(0).to_numpy(), counts)
             known = []
-            for d in digests:
-                known.append(d in seen)
-                seen.add(d)
+            for d, r in zip(digests, rid.tolist(), strict=True):
+                again = seen.get(d, NEVER) <= r
+                known.append(again)
+                if not again:
+                    seen[d] = r
             h = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-            rid = np.repeat(batch.column(0).to_numpy(), counts)
             columns = (h[:, 0].copy(), h[:, 1].copy(), rid, np.array(ords, np.int32), np.array(known, bool))
             yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], schema=schema)
             if len(seen) > REMEMBERED:
@@ -159,16 +161,17 @@ def cut_repeats(joined: DataFrame, min_run: int) -> DataFrame:
 def dedup_chunks(docs: DataFrame, min_run: int = 64) -> DataFrame:
     """The documents with repeated passages cut out of ``text``, and ``_spans``, the byte runs removed.
 
-    Of each different chunk the first occurrence in reading order stays.  Later ones go where they
-    form a run of at least ``min_run`` bytes, so that a lone short chunk stays.  A null text stays
-    null; an empty text has no chunks; repeated rows lose all but the first; all columns stay; an
-    empty table gives no rows.  Chunks are compared by a 128-bit digest.  ``docs`` must be a scan: row
-    numbers are given twice and must agree.
+    Of each different chunk the first occurrence in the order of files and rows stays.  Later ones go
+    where they form a run of at least ``min_run`` bytes, so that a lone short chunk stays, and so do
+    copies of texts that are shorter.  Of a repeated passage what goes is its whole chunks, so that
+    its ends may stay as far as the next inner end of a chunk.  A null text stays null; an empty text
+    has no chunks; longer repeated rows lose all but the first; all columns stay; an empty table gives
+    no rows.  Chunks are compared by a 128-bit digest.
     """
-    numbered = docs.withColumn("_rid", F.monotonically_increasing_id())
-    texts = numbered.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
+    rows = numbered(docs)
+    texts = rows.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
     ords = repeated_chunks(texts).groupBy("rid").agg(F.collect_list("ord").alias("ords"))
-    packed = numbered.select("_rid", F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
+    packed = rows.select("_rid", F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
     cut = cut_repeats(packed.join(ords.withColumnRenamed("rid", "_rid"), "_rid", "left").select("text", "ords", "rest"), min_run)
     columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns]
     return cut.select(*columns, F.col("spans").alias("_spans"))

@@ -43,6 +43,27 @@ def test_equals_brute_force(spark, tmp_path, make):
     assert got == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("remembered", [5, 400_000])
+def test_result_does_not_depend_on_splits_or_memory(spark, tmp_path, monkeypatch, remembered):
+    """Several files in one task, one file in several tasks: the first row in the order of files keeps its chunks."""
+    monkeypatch.setattr(chunkdedup, "REMEMBERED", remembered)
+    sf = folder(spark, tmp_path, hard_docs(spark).repartition(5))
+    path = f"{sf}/documents.parquet"
+    rows = spark.read.parquet(path).select("text", "_metadata.file_path", "_metadata.row_index", "doc_id").collect()
+    rows.sort(key=lambda r: (r.file_path, r.row_index))
+    spans = brute([(i, (r.text or "").encode()) for i, r in enumerate(rows)])
+    want = sorted((str(r.doc_id), sum(b - a for a, b in spans[i])) for i, r in enumerate(rows))
+    for size in ("4000", "10000000"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        try:
+            got = chunkdedup.op2_substring_dedup(spark, sf).collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert sorted((str(r.doc_id), r.n_removed) for r in got) == want
+
+
 def test_passages_go_and_clean_documents_stay(spark):
     rng = random.Random(4)
     passage = words(rng, 60)

@@ -45,7 +45,7 @@ def test_whole_table_against_brute_force(spark, tmp_path):
     loose = brute_components(sets, [p for p, j in sims.items() if j >= 0.72])
     assert {loose[d] for d in second} == set(loose.values())
     # passages: as one pass over the texts in reading order
-    rows = two.collect()
+    rows = sorted(two.select("*", "_metadata.file_path", "_metadata.row_index").collect(), key=lambda r: (r.file_path, r.row_index))
     spans = brute([(0, r.text.encode()) for r in rows])
     got = {r.doc_id: r.text for r in three.collect()}
     assert len(got) == len(rows)
