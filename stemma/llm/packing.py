@@ -103,6 +103,7 @@ def pack_documents(
     group_tokens: int = 1 << 18,
     step_tokens: int = 1 << 15,
     most_words: int = MOST_WORDS,
+    batch_rows: int = 2000,
 ) -> DataFrame:
     """One row for each piece: where its ids lie in the document and in its sequence, and the ids.
 
@@ -110,10 +111,10 @@ def pack_documents(
     repeated rows are documents like any other; a null doc_id stays null; an empty table gives no
     rows.  No shuffle: each task packs its own documents, ``group_tokens`` at a time, and holds that
     many ids and one document at most.  ``step_id`` groups sequences into training steps of nearly
-    ``step_tokens`` ids each.  A worker remembers the ids of ``most_words`` words, which is memory
-    against time only.
+    ``step_tokens`` ids each.  A worker remembers the ids of ``most_words`` words and splits
+    ``batch_rows`` texts together, which is memory against time only.
     """
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, batch_rows)
     vocabulary = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
