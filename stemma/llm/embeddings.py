@@ -8,10 +8,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import connected_components, materialize, table
-from stemma.llm.vectors import as_matrix, sound, usual_size
+from stemma.llm.common import connected_components, materialize, scratch, table
+from stemma.llm.vectors import as_matrix, scaled, sizes_of, sound
 
 STEP, SPARSE, SLACK = 8, 0.05, 1e-9
+#: Rows of two tiles compared at a time, and bytes of a tile.
+BLOCK, MOST_BYTES = 1024, 1 << 26
 
 
 def principal_axes(classes: DataFrame, d: int) -> np.ndarray:
@@ -24,7 +26,7 @@ def principal_axes(classes: DataFrame, d: int) -> np.ndarray:
     def products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((d, d))
         for batch in batches:
-            x = as_matrix(batch.column(0), d)
+            x = scaled(as_matrix(batch.column(0), d))
             x /= np.linalg.norm(x, axis=1, keepdims=True)
             total += x.T @ x
         yield rows_of(dict(enumerate(total)))
@@ -49,8 +51,9 @@ def close_pairs(x: np.ndarray, y: np.ndarray, axes: np.ndarray, least: float, sa
 
     Leading principal coordinates first: what the others can add is at most the product of the
     suffix norms, and a pair is given up once that bound is below the threshold.  The pairs left are
-    computed from the vectors themselves in double precision.
+    computed from the vectors themselves in double precision, but for an exact power of two.
     """
+    x, y = scaled(x), scaled(y)
     nx, ny = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
     a, b = (x / nx[:, None]) @ axes, (y / ny[:, None]) @ axes
     d = a.shape[1]
@@ -87,82 +90,117 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
     return low
 
 
+def blocks_of_pairs(x: np.ndarray, y: np.ndarray | None, axes: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """``close_pairs`` of two tiles, or of one with itself, ``BLOCK`` rows of each at a time; rows of y follow those of x."""
+    i, j = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for at in range(0, len(x), BLOCK):
+        for to in range(at if y is None else 0, len(x if y is None else y), BLOCK):
+            own = y is None and at == to
+            p, q = close_pairs(x[at : at + BLOCK], (x if y is None else y)[to : to + BLOCK], axes, least, own)
+            i.append(p + at)
+            j.append(q + to + (0 if y is None else len(x)))
+    return np.concatenate(i), np.concatenate(j)
+
+
 def near_duplicates(vectors: DataFrame, least: float = 0.98, tile: int = 1024) -> DataFrame:
     """``vectors(vec_id, embedding, label)`` to (vec_id, n_links, component_id, kept), one row for each.
 
-    Rows with equal, not null labels link at cosine >= ``least``.  Vectors that are null, zero, hold
-    null or non-finite components or have another length than most link with nothing.  Equal vectors
-    are one class, linked by definition and compared once.  A pair at the threshold is at most
-    sqrt(2 - 2 least) apart on the first principal axis; so classes are cut into cells of that width,
-    cells into tiles of about ``tile`` rows by hash, and only tiles of the same or adjacent cells meet.
-    A tile reports the number of links of each row and a forest of its links, not the pairs.
+    Rows with equal, not null labels and vectors of one length link at cosine >= ``least``.  Vectors
+    that are null, zero, or hold null or non-finite components link with nothing; very small and very
+    large components are scaled by powers of two.  Equal vectors are one class, linked by definition
+    and compared once; 128-bit digests tell them, so that vectors travel once.  A pair at the threshold
+    is at most sqrt(2 - 2 least) apart on the first axis (the first principal one of the most frequent
+    length, the first component for others); so classes are cut into cells of that width, cells into
+    tiles by hash, and only tiles of the same or adjacent cells meet.  Tiles hold about ``tile`` rows,
+    in large cells more, so that a row is copied by the root of the cell's size.  A tile reports the
+    number of links of each row and a forest of its links, not the pairs.
     Repeated rows count as other vectors; component_id is the smallest vec_id reachable (a row
     without links has its own; null only where no row has one); kept is false for null.  An empty
     table gives no rows.
     """
     spark = vectors.sparkSession
-    rows = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>").alias("embedding"), "label")
-    d = usual_size(rows, "embedding")
-    good = sound("embedding") & F.col("label").isNotNull() & (F.size("embedding") == d)
+    plain = F.transform(F.col("embedding").cast("array<double>"), lambda x: x + 0.0)  # -0.0 is 0.0
+    rows = vectors.select(F.col("vec_id").cast("bigint"), plain.alias("embedding"), "label")
+    good = sound("embedding") & F.col("label").isNotNull()
     alone = rows.where(~F.coalesce(good, F.lit(False))).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")
     )
-    if not d:
-        return alone
-    classes = rows.where(good).groupBy("label", "embedding").agg(F.min("vec_id").alias("low"), F.count("*").alias("mult"))
-    classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
-    axes = principal_axes(classes, d)
-    width = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
-    first = F.array(*[F.lit(float(v)) for v in axes[:, 0]])
-    place = classes.withColumn("first", first).selectExpr(
-        "cls", "label", "mult", "embedding",
-        "aggregate(zip_with(embedding, first, (x, y) -> x * y), 0D, (s, x) -> s + x) / sqrt(aggregate(embedding, 0D, (s, x) -> s + x * x)) AS c",
-    )
-    place = place.withColumn("cell", F.floor((F.col("c") + 1) / width).cast("int")).drop("c")
-    tiles = place.groupBy("label", "cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"))
-    tiles = materialize(tiles, "tiles")
-    near = tiles
-    for name, shift in (("above", 1), ("below", -1)):
-        other = tiles.select("label", (F.col("cell") - shift).alias("cell"), F.col("tiles").alias(name))
-        near = near.join(other, ["label", "cell"], "left")
-    placed = place.join(near, ["label", "cell"]).withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
-    # the pairs of tiles a tile takes part in: (cell, tile, up, other tile)
-    as_left = "concat(transform(sequence(tile, tiles - 1), t -> named_struct('cell', cell, 'a', tile, 'up', 0, 'b', t)), if(above IS NULL, array(), transform(sequence(0, above - 1), t -> named_struct('cell', cell, 'a', tile, 'up', 1, 'b', t))))"
-    as_right = "concat(if(tile = 0, array(), transform(sequence(0, tile - 1), t -> named_struct('cell', cell, 'a', t, 'up', 0, 'b', tile))), if(below IS NULL, array(), transform(sequence(0, below - 1), t -> named_struct('cell', cell - 1, 'a', t, 'up', 1, 'b', tile))))"
-    key = ["label", "cell", "a", "up", "b"]
-
-    def side(pairs: str):
-        both = placed.selectExpr("label", "cls", "mult", "embedding", f"explode({pairs}) AS k")
-        fresh = [F.col(c).alias(c.removeprefix("k.")) for c in ("label", "k.cell", "k.a", "k.up", "k.b", "cls", "mult", "embedding")]
-        return both.select(*fresh).groupBy(*key)
-
-    out = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        same = not len(right)
-        x = as_matrix(left.column("embedding").combine_chunks(), d) if len(left) else np.zeros((0, d))
-        cls, mult = left.column("cls").to_numpy(), left.column("mult").to_numpy()
-        if same:
-            i, j = close_pairs(x, x, axes, least, True)
-        else:
-            y = as_matrix(right.column("embedding").combine_chunks(), d)
-            i, j = close_pairs(x, y, axes, least, False)
-            j = j + len(x)
-            cls, mult = np.append(cls, right.column("cls").to_numpy()), np.append(mult, right.column("mult").to_numpy())
-        links = np.bincount(i, mult[j], len(cls)) + np.bincount(j, mult[i], len(cls)) if len(i) else np.zeros(len(cls))
-        hit = links > 0
-        root = forest(len(cls), i, j)
-        return pa.Table.from_arrays([pa.array(cls[hit]), pa.array(links[hit].astype(np.int64)), pa.array(cls[root][hit])], schema=out)
-
-    met = side(as_left).cogroup(side(as_right)).applyInArrow(compare, "cls bigint, links bigint, root bigint")
-    met = materialize(met, "tile-links")
-    links = met.groupBy("cls").agg(F.sum("links").alias("links"))
-    near = connected_components(met.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
-    full = classes.select("cls", "label", "embedding", "low", "mult").join(links, "cls", "left").join(near.withColumnRenamed("node", "cls"), "cls", "left")
-    full = materialize(full.withColumn("component", F.coalesce("component", "cls")), "vector-components")
-    lows = full.groupBy("component").agg(F.min("low").alias("component_id"))
-    full = full.join(lows, "component").select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
-    linked = rows.where(good).join(full, ["label", "embedding"]).select(
+    kind = ["label", "size", "h1", "h2"]
+    digests = [F.xxhash64("embedding", F.lit(k)).alias(f"h{k}") for k in (1, 2)]
+    rows = rows.where(good).select("vec_id", "label", F.size("embedding").alias("size"), *digests, "embedding")
+    with scratch(spark):
+        classes = rows.groupBy(*kind).agg(F.min("vec_id").alias("low"), F.count("*").alias("mult"), F.first("embedding").alias("embedding"))
+        classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
+        sizes = sizes_of(classes, "embedding")
+        if not sizes:
+            return alone
+        d = sizes[0]
+        axes = principal_axes(classes.where(F.col("size") == d), d)
+        width = float(np.sqrt(max(0.0, 2 - 2 * least))) + SLACK
+        named = ["cls", "label", "size", "mult", "embedding"]
+
+        def cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lengths, out = batch.column("size").to_numpy(), np.zeros(len(batch), np.int32)
+                for size in np.unique(lengths).tolist():
+                    rows = lengths == size
+                    x = scaled(as_matrix(batch.column("embedding").filter(pa.array(rows)), size))
+                    c = (x @ axes[:, 0] if size == d else x[:, 0]) / np.linalg.norm(x, axis=1)
+                    out[rows] = np.floor((c + 1) / width)
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*named, "cell"])
+
+        types = ", ".join(f"{c} {classes.schema[c].dataType.simpleString()}" for c in named)
+        place = classes.select(*named).mapInArrow(cells, f"{types}, cell int")
+        n = F.count("*") / tile
+        most_rows = F.lit(MOST_BYTES / 8) / F.col("size")
+        fewest = F.greatest(F.least(F.ceil(n), F.ceil(4 * F.sqrt(n))), F.ceil(F.count("*") / most_rows))
+        tiles = materialize(place.groupBy("label", "size", "cell").agg(fewest.cast("int").alias("tiles")), "tiles")
+        near = tiles
+        for name, shift in (("above", 1), ("below", -1)):
+            other = tiles.select("label", "size", (F.col("cell") - shift).alias("cell"), F.col("tiles").alias(name))
+            near = near.join(other, ["label", "size", "cell"], "left")
+        near = materialize(near, "near-tiles")
+        placed = place.join(near, ["label", "size", "cell"]).withColumn("tile", F.pmod(F.xxhash64("cls"), F.col("tiles")).cast("int"))
+        # the pairs of tiles a tile takes part in: (cell, tile, up, other tile)
+        pair = "t -> named_struct('cell', {}, 'a', {}, 'up', {}, 'b', {})"
+        own_up = f"transform(sequence(tile, tiles - 1), {pair.format('cell', 'tile', 0, 't')})"
+        next_up = f"if(above IS NULL, array(), transform(sequence(0, above - 1), {pair.format('cell', 'tile', 1, 't')}))"
+        own_down = f"if(tile = 0, array(), transform(sequence(0, tile - 1), {pair.format('cell', 't', 0, 'tile')}))"
+        next_down = f"if(below IS NULL, array(), transform(sequence(0, below - 1), {pair.format('cell - 1', 't', 1, 'tile')}))"
+        key = ["label", "size", "cell", "a", "up", "b"]
+
+        def side(*pairs: str):
+            both = placed.selectExpr("label", "size", "cls", "mult", "embedding", f"explode(concat({', '.join(pairs)})) AS k")
+            fresh = [F.col(c).alias(c.removeprefix("k.")) for c in ("label", "size", "k.cell", "k.a", "k.up", "k.b", "cls", "mult", "embedding")]
+            return both.select(*fresh).groupBy(*key)
+
+        out = pa.schema([("cls", pa.int64()), ("links", pa.int64()), ("root", pa.int64())])
+
+        def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+            if not len(left):
+                return out.empty_table()
+            size = left.column("size")[0].as_py()
+            x = as_matrix(left.column("embedding").combine_chunks(), size)
+            y = as_matrix(right.column("embedding").combine_chunks(), size) if len(right) else None
+            cls, mult = left.column("cls").to_numpy(), left.column("mult").to_numpy()
+            i, j = blocks_of_pairs(x, y, axes if size == d else np.eye(size), least)
+            if y is not None:
+                cls, mult = np.append(cls, right.column("cls").to_numpy()), np.append(mult, right.column("mult").to_numpy())
+            links = np.bincount(i, mult[j], len(cls)) + np.bincount(j, mult[i], len(cls)) if len(i) else np.zeros(len(cls))
+            hit = links > 0
+            root = forest(len(cls), i, j)
+            return pa.Table.from_arrays([pa.array(cls[hit]), pa.array(links[hit].astype(np.int64)), pa.array(cls[root][hit])], schema=out)
+
+        met = side(own_up, next_up).cogroup(side(own_down, next_down)).applyInArrow(compare, "cls bigint, links bigint, root bigint")
+        met = materialize(met, "tile-links")
+        links = met.groupBy("cls").agg(F.sum("links").alias("links"))
+        near = connected_components(met.where("cls <> root").select(F.col("cls").alias("a"), F.col("root").alias("b")))
+        full = classes.select("cls", *kind, "low", "mult").join(links, "cls", "left").join(near.withColumnRenamed("node", "cls"), "cls", "left")
+        full = materialize(full.withColumn("component", F.coalesce("component", "cls")), "vector-components")
+        lows = materialize(full.groupBy("component").agg(F.min("low").alias("component_id")), "lows")
+        full = full.join(lows, "component").select(*kind, (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), "component_id")
+        full = materialize(full, "class-results", outlive=1)
+    linked = rows.select("vec_id", *kind).join(full, kind).select(
         "vec_id", "n_links", "component_id", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept")
     )
     return linked.unionAll(alone)

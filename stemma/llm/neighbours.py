@@ -9,9 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.llm.common import materialize, table
-from stemma.llm.vectors import as_matrix, sound, usual_size
+from stemma.llm.vectors import as_matrix, sizes_of, sound
 
 SEED = 5
+#: Queries that meet a group of rows in one task.
+QUERY_BLOCK = 16_384
 
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 8) -> np.ndarray:
@@ -36,6 +38,7 @@ class Index:
 
     def __init__(self, sample: np.ndarray, lists: int, spaces: int, codes: int = 256):
         self.coarse = kmeans(sample, lists)
+        self.probes, self.counts, self.least = len(self.coarse), np.zeros(len(self.coarse), np.int64), 0
         rest = sample - self.coarse[nearest(sample, self.coarse)]
         self.cuts = np.array_split(np.arange(sample.shape[1]), min(spaces, sample.shape[1]))
         self.books = [kmeans(rest[:, cut], codes) for cut in self.cuts]
@@ -46,20 +49,47 @@ class Index:
         rest = x - self.coarse[own]
         return own, np.stack([nearest(rest[:, cut], book) for cut, book in zip(self.cuts, self.books, strict=True)], 1).astype(np.uint8)
 
-    def approximate(self, queries: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Inner products of queries and coded residuals: one table for each query and subspace."""
-        out = np.zeros((len(queries), len(codes)), np.float32)
+    def probed(self, queries: np.ndarray) -> np.ndarray:
+        """[query, list]: whether the query visits the list; its centroid's inner product decides, ties: the first.
+
+        Beyond ``probes`` lists it visits others while those before hold no more than ``least`` rows.
+        """
+        best = np.argsort(-(queries @ self.coarse.T), axis=1, kind="stable")
+        held = self.counts[best]
+        visits = (np.arange(len(self.coarse)) < self.probes) | (np.cumsum(held, axis=1) - held <= self.least)
+        out = np.zeros(best.shape, bool)
+        np.put_along_axis(out, best, visits, axis=1)
+        return out
+
+    def approximate(self, queries: np.ndarray, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """Inner products of queries and coded rows: the centroid's, and one table for each query and subspace."""
+        out = np.take((queries @ self.coarse.T).astype(np.float32), own, axis=1)
         for m, (cut, book) in enumerate(zip(self.cuts, self.books, strict=True)):
             out += np.take((queries[:, cut] @ book.T).astype(np.float32), codes[:, m], axis=1)
         return out
 
 
+def groups_of(counts: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first group, number of groups) of each list: small lists share a group of about ``chunk`` rows, large ones have several."""
+    first, parts, at, held = np.zeros(len(counts), np.int64), np.maximum(1, -(-counts // chunk)), -1, chunk
+    for k in np.flatnonzero(parts == 1).tolist():
+        if held + counts[k] > chunk:
+            at, held = at + 1, 0
+        first[k], held = at, held + counts[k]
+    for k in np.flatnonzero(parts > 1).tolist():
+        first[k], at = at + 1, at + parts[k]
+    return first, parts
+
+
+KIND = "query_id bigint, rank int, vec_id bigint, score double"
+
+
 def search(
     vectors: DataFrame,
     is_query: Column | str = "vec_id % 20 = 0",
     k: int = 20,
-    lists: int = 64,
-    probes: int = 62,
+    lists: int | None = None,
+    probes: float = 0.5,
     spaces: int = 16,
     rerank: int = 100,
     sample_rows: int = 10_000,
@@ -67,25 +97,40 @@ def search(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k rows with the largest inner product found for each query.
 
-    Centroids and codebooks are fitted on the ``sample_rows`` vectors with the smallest hash of their
-    id; every row is indexed.  A query visits the ``probes`` lists whose centroids have the largest
-    inner product with it; in each, the ``rerank`` best by the tables are computed exactly, ties by the
-    smaller vec_id.  Lists are cut into chunks of about ``chunk`` rows and queries into blocks as
-    large, so that a list with a third of all rows is many tasks.  Vectors that are null, zero, hold
-    null or non-finite components, have no vec_id or another length than most take no part; a row
-    with the query's own vec_id is no candidate; repeated rows of one vec_id are candidates each.
-    Fewer candidates give fewer rows; an empty table gives none.
+    Vectors of each length have an index of their own and meet only each other.  Centroids and
+    codebooks are fitted on at most ``sample_rows`` vectors, those with the smallest hashes of their id;
+    every row is indexed.  There are four times the root of the rows lists, a quarter of the sample at
+    most.  A query visits the share ``probes`` of the lists, those whose centroids have the largest
+    inner product with it, and further ones until they hold over ``rerank`` rows.  Lists lie in groups of about ``chunk`` rows, a large list in several; a
+    query goes once to each group that holds some of its lists, and there the ``rerank`` best by the
+    tables are computed exactly, ties by the smaller vec_id.  So of all rows in its lists at least the
+    ``rerank`` best by the tables are computed, in whatever way they are dealt.  Vectors that are null,
+    zero, hold null or non-finite components or have no vec_id take no part; a row with the query's own
+    vec_id is no candidate; repeated rows of one vec_id are candidates each.  A query that stands in
+    several equal rows asks once; different vectors of one vec_id ask each and are ranked apart.  Fewer
+    candidates give fewer rows; an empty table gives none.
     """
-    spark = vectors.sparkSession
     rows = vectors.select(F.col("vec_id").cast("bigint"), F.col("embedding").cast("array<double>").alias("embedding"))
     rows = rows.where(sound("embedding") & F.col("vec_id").isNotNull())
-    d = usual_size(rows, "embedding")
-    if not d:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
-    rows = rows.where(F.size("embedding") == d)
-    sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample_rows).select("embedding").toArrow()
+    found = None
+    for d in sizes_of(rows, "embedding"):
+        some = _search(rows.where(F.size("embedding") == d), d, is_query, k, lists, probes, spaces, rerank, sample_rows, chunk)
+        found = some if found is None else found.unionAll(some)
+    return vectors.sparkSession.createDataFrame([], KIND) if found is None else found
+
+
+def _search(
+    rows: DataFrame, d: int, is_query: Column | str, k: int, lists: int | None, probes: float, spaces: int, rerank: int, sample_rows: int, chunk: int
+) -> DataFrame:
+    n = rows.count()
+    hashed = F.xxhash64("vec_id")
+    share = min(1 << 20, (1 << 20) * 2 * sample_rows // n)  # so that no task sends more than the sample needs
+    sample = rows.where(F.pmod(hashed, F.lit(1 << 20)) < share).orderBy(hashed, "vec_id").limit(sample_rows).select("embedding").toArrow()
+    if not len(sample):  # few different ids
+        sample = rows.orderBy(hashed, "vec_id").limit(sample_rows).select("embedding").toArrow()
+    lists = lists or min(int(4 * np.sqrt(n)), max(1, sample_rows // 4))
     index = Index(as_matrix(sample.column(0).combine_chunks(), d), lists, spaces)
-    probes = min(probes, len(index.coarse))
+    index.probes = max(1, int(np.ceil(probes * len(index.coarse))))
     coded = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64())), ("list", pa.int32()), ("codes", pa.binary())])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -95,57 +140,64 @@ def search(
                 [batch.column(0), batch.column(1).cast(coded.field(1).type), pa.array(own.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], schema=coded
             )
 
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("query_id", pa.int64()), ("query", pa.list_(pa.float64())), ("lists", pa.list_(pa.int32()))])
+    posted = materialize(rows.mapInArrow(assign, "vec_id bigint, embedding array<double>, list int, codes binary"), "inverted-file")
+    counts = np.zeros(len(index.coarse), np.int64)
+    for r in posted.groupBy("list").count().collect():  # one row for each list
+        counts[r[0]] = r[1]
+    index.counts, index.least = counts, rerank
+    first, parts = groups_of(counts, chunk)
+    queries = rows.where(is_query).select("vec_id", "embedding").distinct()
+    blocks = max(1, -(-queries.count() // QUERY_BLOCK))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Rows with their group."""
         for batch in batches:
-            q = as_matrix(batch.column(1), d)
-            best = np.argsort(-(q @ index.coarse.T), axis=1, kind="stable")[:, :probes].astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(schema.field(1).type), pa.array(list(best), pa.list_(pa.int32()))], schema=schema)
+            own, ids = batch.column("list").to_numpy(), batch.column("vec_id").to_numpy()
+            spread = (ids.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(33)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(first[own] + spread % parts[own]), *batch.columns], names=["group", *batch.schema.names])
 
-    posted = materialize(rows.mapInArrow(assign, "vec_id bigint, embedding array<double>, list int, codes binary"), "inverted-file")
-    queries = rows.where(is_query).select("vec_id", "embedding")
-    asked = max(1, -(-queries.count() // chunk))
-    chunks = posted.groupBy("list").agg(F.ceil(F.count("*") / chunk).cast("int").alias("chunks"))  # one row for each list
-    blocks = F.sequence(F.lit(0), F.lit(asked - 1))
-    left = (
-        posted.join(F.broadcast(chunks), "list")
-        .withColumn("chunk", F.pmod(F.xxhash64("vec_id"), F.col("chunks")).cast("int"))
-        .select("list", "chunk", F.explode(blocks).alias("block"), "vec_id", "embedding", "codes")
-    )
-    routed = queries.mapInArrow(route, "query_id bigint, query array<double>, lists array<int>")
-    right = (
-        routed.select("query_id", "query", F.explode("lists").alias("list"), F.pmod(F.xxhash64("query_id"), F.lit(asked)).cast("int").alias("block"))
-        .join(F.broadcast(chunks), "list")
-        .select("list", F.explode(F.expr("sequence(0, chunks - 1)")).alias("chunk"), "block", "query_id", "query")
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("query_id", pa.int64()), ("query", pa.list_(pa.float64())), ("groups", pa.list_(pa.int64()))])
+        for batch in batches:
+            visits = index.probed(as_matrix(batch.column(1), d)) & (counts > 0)
+            groups = [np.unique(np.concatenate([np.arange(first[j], first[j] + parts[j]) for j in np.flatnonzero(v)] or [first[:0]])) for v in visits]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(schema.field(1).type), pa.array(groups, pa.list_(pa.int64()))], schema=schema)
+
+    dealt = posted.mapInArrow(deal, "group bigint, vec_id bigint, embedding array<double>, list int, codes binary")
+    left = dealt.select("group", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vec_id", "embedding", "list", "codes")
+    routed = queries.mapInArrow(route, "query_id bigint, query array<double>, groups array<bigint>")
+    right = routed.select(
+        F.explode("groups").alias("group"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", F.xxhash64("query").alias("asker"), "query"
     )
-    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    out = pa.schema([("query_id", pa.int64()), ("asker", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
 
     def answer(held: pa.Table, asking: pa.Table) -> pa.Table:
         if not len(held) or not len(asking):
             return out.empty_table()
         held = held.sort_by("vec_id")
         ids, x = held.column("vec_id").to_numpy(), as_matrix(held.column("embedding").combine_chunks(), d)
-        codes = np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
-        names, q = asking.column("query_id").to_numpy(), as_matrix(asking.column("query").combine_chunks(), d)
+        own, codes = held.column("list").to_numpy(), np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
+        names, askers = asking.column("query_id").to_numpy(), asking.column("asker").to_numpy()
+        q = as_matrix(asking.column("query").combine_chunks(), d)
         found: list[tuple[np.ndarray, ...]] = []
         for at in range(0, len(q), 256):
-            for name, vector, guess in zip(names[at : at + 256], q[at : at + 256], index.approximate(q[at : at + 256], codes), strict=True):
+            guesses = index.approximate(q[at : at + 256], own, codes)
+            guesses[~np.take(index.probed(q[at : at + 256]), own, axis=1)] = -np.inf
+            for name, asker, vector, guess in zip(names[at : at + 256], askers[at : at + 256], q[at : at + 256], guesses, strict=True):
                 guess[ids == name] = -np.inf
-                if len(ids) > rerank:
-                    edge = np.partition(guess, len(ids) - rerank)[len(ids) - rerank]
+                some = np.flatnonzero(guess > -np.inf)
+                if len(some) > rerank:
+                    edge = np.partition(guess[some], len(some) - rerank)[len(some) - rerank]
                     over = np.flatnonzero(guess > edge)
                     some = np.append(over, np.flatnonzero(guess == edge)[: rerank - len(over)])  # ties: smaller vec_id
-                else:
-                    some = np.arange(len(ids))
-                some = some[ids[some] != name]
                 score = (x[some] * vector).sum(1)
                 best = np.lexsort((ids[some], -score))[:k]
-                found.append((np.full(len(best), name), ids[some][best], score[best]))
+                found.append((np.full(len(best), name), np.full(len(best), asker), ids[some][best], score[best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
 
-    key = ["list", "chunk", "block"]
-    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(answer, "query_id bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
+    key = ["group", "block"]
+    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(answer, "query_id bigint, asker bigint, vec_id bigint, score double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "asker").orderBy(F.desc("score"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
