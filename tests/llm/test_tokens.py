@@ -62,7 +62,8 @@ def test_wavelet_shard_answers():
     for token in (1, 2, 7, int(ids[17]), 49_999):
         where = np.flatnonzero(ids == token).tolist()
         assert shard.count(token) == len(where)
-        assert shard.occurrences(token)[:50] == where[:50]
+        assert shard.occurrences(token).tolist() == where
+        assert [shard.locate(token, k) for k in range(0, len(where), 41)] == where[::41]
         assert shard.rank(token, 777) == sum(x < 777 for x in where)
     assert [shard.access(i) for i in range(0, 5000, 97)] == ids[::97].tolist()
     assert shard.count(1 << 20) == 0
@@ -70,6 +71,30 @@ def test_wavelet_shard_answers():
     assert empty.decode().tolist() == [] and empty.count(3) == 0
 
 
+def test_wavelet_questions_open_few_frames():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 50_000, 400_000).astype("<u4")
+    payload = wavelet.build(ids, [7], [len(ids)])
+    shard = wavelet.WaveletShard(payload)
+    every = 1 + shard.levels * (1 + shard.chunks)
+    assert shard.chunks > 5 and shard.access(123_456) == ids[123_456]
+    assert shard.opened <= 1 + 2 * shard.levels < every // 2
+    shard = wavelet.WaveletShard(payload)
+    assert shard.count(int(ids[5])) == int((ids == ids[5]).sum())
+    assert shard.opened <= 1 + 3 * shard.levels < every
+    assert (shard.decode() == ids).all()
+
+
+def test_find_token_in_written_shards(spark):
+    docs = hard_docs(spark)
+    shards = wavelet.write_shards(docs.repartition(3), shard_tokens=50)
+    whole = [(r.doc_id, np.frombuffer(plain([r.text or ""])[0], "<u4")) for r in docs.collect()]
+    for token in (0, int(whole[0][1][0]), 49_000):
+        want = sorted(((d is None, d or 0, p) for d, ids in whole for p in np.flatnonzero(ids == token).tolist()))
+        got = wavelet.find_token(shards, token).collect()
+        assert sorted((r.doc_id is None, r.doc_id or 0, r.place) for r in got) == want
+
+
 @pytest.mark.parametrize("make", [hard_docs, clash_docs])
 def test_token_output_round_trip(spark, tmp_path, make):
     sf = folder(spark, tmp_path, make(spark).repartition(3))
