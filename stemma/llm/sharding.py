@@ -94,16 +94,19 @@ def ring_shards(
     vnodes: int = 64,
     cell_bits: int = 12,
     load_factor: float | None = None,
+    lanes: int = 16,
 ) -> DataFrame:
     """``keep`` columns of each row with ``shard`` and ``slot`` (gapless from 0 in each shard).
 
     Keys are hashed onto the ring; a shard holds at most its capacity and what overflows goes on
     clockwise.  ``load_factor`` c gives every shard room for c times the mean; None makes all shards
-    equal to within one row.  Null keys and repeated rows are rows like any other (a null hashes to
-    one place, and the capacity spreads it); an empty input gives an empty result.  Shuffles only
-    ``keep`` and the hash, by ring cell; raise ``cell_bits`` with the data so that a cell fits a task.
-    The two broadcast tables have at most ``n_shards * vnodes + 2 ** cell_bits`` and
-    ``n_shards ** 2 * vnodes`` rows.
+    equal to within one row.  Repeated rows are rows like any other, and rows of a null key are hashed
+    by their ``keep`` columns; an empty input gives an empty result.
+
+    Shuffles only ``keep`` and the hash, by ring cell and ``lanes`` hash classes of the row, so that
+    many rows of one key are no single task; only rows equal in all ``keep`` columns stay together.
+    Raise ``cell_bits`` with the data so that a cell fits a task.  The broadcast tables have at most
+    ``n_shards * vnodes + 2 ** cell_bits`` rows, ``lanes`` times that, and ``n_shards ** 2 * vnodes``.
     """
     spark = df.sparkSession
     keep = keep or df.columns
@@ -112,20 +115,20 @@ def ring_shards(
     cells = materialize(ring(spark, n_shards, vnodes, cell_bits), "ring")
     placed = rows.withColumn("cell", F.shiftright("pos", 64 - cell_bits)).join(
         F.broadcast(cells.select("cell", "lo", "hi", "arc", "part")), "cell"
-    ).where("pos BETWEEN lo AND hi").select("row", "pos", "cell", "arc", "part")
+    ).where("pos BETWEEN lo AND hi").select("row", "pos", "cell", "arc", "part", F.pmod(F.xxhash64("row"), F.lit(lanes)).alias("lane"))
     placed = materialize(placed, "placed")
     piece = ["arc", "part", "cell"]
-    sizes = cells.join(placed.groupBy(*piece).count(), piece, "left").select(
-        "shard", *piece, F.coalesce("count", F.lit(0)).cast("bigint").alias("n")
+    sizes = cells.join(placed.groupBy(*piece, "lane").count(), piece, "left").select(
+        "shard", *piece, F.coalesce("lane", F.lit(0)).alias("lane"), F.coalesce("count", F.lit(0)).cast("bigint").alias("n")
     )
     sizes = materialize(sizes, "cell-sizes")
     turns = allocate(sizes.groupBy("arc", "shard").agg(F.sum("n").alias("n")), n_shards, load_factor)
     turns = materialize(turns, "turns")
-    before = Window.partitionBy("arc").orderBy("part", "cell").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*piece, F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
-    ranked = placed.withColumn("in_cell", F.row_number().over(Window.partitionBy(*piece).orderBy("pos", "row")) - 1)
+    before = Window.partitionBy("arc").orderBy("part", "cell", "lane").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select(*piece, "lane", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    ranked = placed.withColumn("in_cell", F.row_number().over(Window.partitionBy(*piece, "lane").orderBy("pos", "row")) - 1)
     return (
-        ranked.join(F.broadcast(offsets), piece)
+        ranked.join(F.broadcast(offsets), [*piece, "lane"])
         .withColumn("rank", F.col("before") + F.col("in_cell"))
         .join(F.broadcast(turns), "arc")
         .where("rank >= lo AND rank < hi")
