@@ -252,3 +252,32 @@ def h_index(papers: DataFrame, author: str, citations: str) -> DataFrame:
     """Largest h with h papers of at least h citations (AG24)."""
     place = F.row_number().over(Window.partitionBy(author).orderBy(F.desc(citations)))
     return papers.withColumn("_p", place).groupBy(author).agg(F.count_if(F.col(citations) >= F.col("_p")).cast("int").alias("h_index"))
+
+
+#: What an author lacks when it is to be enriched.
+WANTED = ["homepage", "remote_affiliations", "remote_paper_count", "remote_citation_count", "remote_h_index"]
+
+
+def enrich_authors(profiles: DataFrame, fetched: DataFrame) -> DataFrame:
+    """One row for each author with ids and a null among ``WANTED``: the merged records and counters (LK5).
+
+    ``profiles(author_name, author_ids, WANTED)`` has comma-separated ids; ``fetched(author_id, url,
+    affiliations, paper_count, citation_count, h_index)`` is what a remote lookup would return, one row
+    for each id.  Records are merged in the order of the ids; an author none of whose ids is found is
+    not updated.  Repeated ids count once each as asked.
+    """
+    lacking = F.greatest(*[F.col(c).isNull() for c in WANTED])
+    ids = F.filter(F.transform(F.split("author_ids", ","), lambda x: F.trim(x)), lambda x: x != "")
+    asked = profiles.where(lacking & (F.size(ids) > 0)).select("author_name", F.posexplode(ids).alias("ord", "author_id"))
+    found = asked.join(fetched, "author_id", "left")
+    counts = found.withColumn("_hit", F.col("paper_count").isNotNull() | F.col("url").isNotNull() | F.col("affiliations").isNotNull())
+    counts = counts.groupBy("author_name").agg(F.count("*").alias("ids_asked"), F.count_if("_hit").alias("ids_found"))
+    merged = merge_fetched(asked.join(fetched, "author_id"))
+    return counts.join(merged, "author_name", "left").select("author_name", *WANTED, "ids_asked", "ids_found", (F.col("ids_found") > 0).alias("was_updated"))
+
+
+def enrichment_totals(enriched: DataFrame) -> DataFrame:
+    """One row of sums: authors, updated authors, ids asked and found (LK5)."""
+    return enriched.agg(
+        F.count("*").alias("authors"), F.count_if("was_updated").alias("updated"), F.coalesce(F.sum("ids_asked"), F.lit(0)).alias("ids_asked"), F.coalesce(F.sum("ids_found"), F.lit(0)).alias("ids_found")
+    )

@@ -92,3 +92,18 @@ def dedupe_clean(rows: DataFrame, key: str, title: str, order: list[Column | str
 def seeded_sample(rows: DataFrame, key: str, n: int, seed: int) -> DataFrame:
     """``n`` rows that ``seed`` decides through a hash of the key, whatever the partitions; a top-n, no full sort (SO6)."""
     return rows.orderBy(F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string"))), key).limit(n)
+
+
+def missing_keys(wanted: DataFrame, held: DataFrame, key: str) -> DataFrame:
+    """Different keys of ``wanted`` that ``held`` lacks; null is no key (ST2)."""
+    return wanted.select(key).where(F.col(key).isNotNull()).distinct().join(held.select(key), key, "left_anti")
+
+
+def id_ranges(rows: DataFrame, key: str, n: int) -> DataFrame:
+    """``rows`` with ``part``: which of ``n`` equally wide ranges of the ids, from the least to the greatest, holds it (SO5).
+
+    The last range takes the remainder; with fewer ids than ranges some parts are empty.
+    """
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    width = max(1, ((high or 0) - (low or 0)) // n)
+    return rows.withColumn("part", F.least(F.floor((F.col(key) - (low or 0)) / width), F.lit(n - 1)).cast("int"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from stemma.functions.similarity import title_similarity
 from stemma.functions.text import like_pattern, title_key
+from stemma.sources.schemas import BIBLIOGRAPHY_KEY
 
 #: Thresholds of the tiers.
 HIGH, MEDIUM = 0.85, 0.70
@@ -88,7 +89,7 @@ def parse_response(rows: DataFrame) -> DataFrame:
     ids = F.transform("authors", lambda a: a["authorId"])
     filled = lambda a: F.array_join(F.filter(a, lambda x: F.coalesce(x, F.lit("")) != ""), ";")
     field = lambda k: F.get("fieldsOfStudy", F.lit(k))
-    outside = {"doi": "DOI", "arxiv_id": "ArXiv", "mag_id": "MAG", "acl_id": "ACL", "corpus_id": "CorpusId", "pmid": "PubMed", "bibliography_id": "DBLP"}
+    outside = {"doi": "DOI", "arxiv_id": "ArXiv", "mag_id": "MAG", "acl_id": "ACL", "corpus_id": "CorpusId", "pmid": "PubMed", "bibliography_id": BIBLIOGRAPHY_KEY}
     return rows.select(
         F.col("paperId").alias("remote_paper_id"),
         F.col("title").alias("remote_title"),
@@ -113,3 +114,23 @@ def parse_response(rows: DataFrame) -> DataFrame:
 def primary_identifier() -> Column:
     """``ACL:x``, else ``DOI:x`` (PRJ19)."""
     return F.coalesce(F.concat(F.lit("ACL:"), F.col("acl_id")), F.concat(F.lit("DOI:"), F.col("doi")))
+
+
+def search_title(remote: str = "remote_title", own: str = "title") -> Column:
+    """The title to search for: the remote one, or where that is null or empty the paper's own (PRJ20)."""
+    return F.coalesce(F.nullif(F.col(remote), F.lit("")), F.col(own))
+
+
+def is_linked(remote_id: str = "remote_paper_id") -> Column:
+    """Whether a remote record is known; null and '' are none (PRJ20)."""
+    return F.coalesce(F.col(remote_id) != "", F.lit(False))
+
+
+#: What a tier means to a reader.
+TIER_TEXT = {"High": "high: titles agree", "Medium": "medium: titles resemble each other", "NoMatch": "bibliography only"}
+
+
+def tier_text(tier: str = "validation_tier") -> Column:
+    """A tier in words, by the last part of its name; 'unknown' for others and null (PRJ20)."""
+    words = F.create_map(*[F.lit(x) for pair in TIER_TEXT.items() for x in pair])
+    return F.coalesce(F.try_element_at(words, F.substring_index(tier, "_", -1)), F.lit("unknown"))

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.functions.text import has_context, has_year, is_short, venue_normal, whole_word
+from stemma.sources import tables
 
 #: Conference codes used when no list is given.
 CONFERENCES = [
@@ -77,6 +80,47 @@ PHRASES = {
 }
 
 
+#: Patterns or anchors that are broadcast at most; some hundred bytes each.
+MOST_PATTERNS = 50_000
+
+
+def _small(side: DataFrame, most: int | None = None) -> DataFrame:
+    """``side`` with a broadcast hint if it is counted as small; a larger one is left to the planner's distributed join."""
+    most = MOST_PATTERNS if most is None else most
+    return F.broadcast(side) if side.limit(most + 1).count() <= most else side
+
+
+def read_codes(spark: SparkSession, path: str | None = None, column: str = "Conference") -> list[str]:
+    """Different codes in a CSV file's column, by name; the fixed list without a file or where it holds none (SRC12)."""
+    if path is None:
+        return sorted(CONFERENCES)
+    rows = spark.read.option("header", True).csv(path)
+    if column not in rows.columns:
+        return sorted(CONFERENCES)
+    found = rows.select(F.trim(column).alias("code")).where("code <> ''").distinct().collect()  # a dimension: some hundred
+    return sorted(r.code for r in found) or sorted(CONFERENCES)
+
+
+def membership(rows: DataFrame, dimension: DataFrame, code: str) -> DataFrame:
+    """``rows`` with ``is_known``: the code is a conference, whatever its case (MT18)."""
+    known = dimension.select(F.lower("conference").alias("_code")).distinct().withColumn("is_known", F.lit(True))
+    joined = rows.join(known, F.lower(F.col(code)) == F.col("_code"), "left")
+    return joined.select(*[rows[c] for c in rows.columns], F.coalesce("is_known", F.lit(False)).alias("is_known"))
+
+
+def kept_vectors(spark: SparkSession, path: str, texts: DataFrame, embed: Callable[[DataFrame], DataFrame], rebuild: bool = False) -> DataFrame:
+    """(conference, text, vector) from the table at ``path``; made by ``embed`` when it is missing, of other texts, or on demand (MT6).
+
+    ``texts(conference, text)``; ``embed`` adds ``vector``.  Pairs are compared, so a changed text counts.
+    """
+    if not rebuild and (old := tables.read_or_none(spark, path)) is not None:
+        pairs = old.select("conference", "text")
+        if pairs.exceptAll(texts).isEmpty() and texts.exceptAll(pairs).isEmpty():
+            return old
+    tables.swap_in(spark, embed(texts).select("conference", "text", "vector"), path)
+    return tables.read_or_none(spark, path)
+
+
 def conferences(spark: SparkSession, codes: list[str] | None = None, full_names: dict[str, str] | None = None) -> DataFrame:
     """(conference, full_name, ord) of the dimension; ``ord`` is the load order, by name (MT8)."""
     full = full_names or {}
@@ -126,7 +170,7 @@ def resolve_venues(venues: DataFrame, patterns: DataFrame, venue: str = "venue_r
     0 full name equal, 1 full name inside, 2 code equal, 3 alias inside, 4 code inside, 5 the venue
     without its usual beginnings: full names, then codes.  Within a strategy the longest pattern
     first, then load order.  Venues are made distinct first; the pattern side is the dimension table,
-    some hundred rows that are broadcast, and each venue keeps one row through a map-side minimum.
+    some hundred rows, broadcast after a count, and each venue keeps one row through a map-side minimum.
     """
     v = venues.select(F.col(venue).alias("venue")).where("venue <> ''").distinct()
     v = v.withColumn("low", F.trim(F.lower("venue"))).withColumn("norm", venue_normal(F.col("venue")))
@@ -143,7 +187,7 @@ def resolve_venues(venues: DataFrame, patterns: DataFrame, venue: str = "venue_r
         .when((kind == "code") & again & _hit(norm, raw, False), 6)
     )
     rank = F.struct("strategy", (-F.length("pattern")).alias("short"), "ord")
-    joined = v.join(F.broadcast(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
+    joined = v.join(_small(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
     best = joined.groupBy("venue").agg(F.min_by(F.struct("conference", "strategy"), rank).alias("b"))
     return best.select("venue", "b.conference", F.least(F.col("b.strategy"), F.lit(5)).alias("strategy"))
 
@@ -159,7 +203,7 @@ def resolve_venues_simple(venues: DataFrame, patterns: DataFrame, venue: str = "
         .when((kind == "code") & F.contains(norm, pattern), 4)
     )
     rank = F.struct("strategy", (-F.length("pattern")).alias("short"), "pattern")
-    joined = v.join(F.broadcast(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
+    joined = v.join(_small(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
     return joined.groupBy("venue").agg(F.min_by("conference", rank).alias("conference"))
 
 
@@ -172,7 +216,7 @@ def pattern_join(papers: DataFrame, patterns: DataFrame, venue: str, key: str) -
     kind = F.when(F.col("match_type") == "exact", 0).when(F.col("match_type") == "alias", 1).otherwise(2)
     rank = F.struct(kind, -F.length("pattern"), "pattern", "conference")
     distinct = papers.select(F.col(venue)).distinct()
-    best = distinct.join(F.broadcast(patterns), (low == F.col("pattern")) | F.contains(low, F.col("pattern")))
+    best = distinct.join(_small(patterns), (low == F.col("pattern")) | F.contains(low, F.col("pattern")))
     best = best.groupBy(venue).agg(F.min_by("conference", rank).alias("conference"))
     return papers.join(best, venue)
 
@@ -188,7 +232,7 @@ def cosine_top1(rows: DataFrame, anchors: DataFrame, least: float) -> DataFrame:
 
     ``rows(id, vector)``, ``anchors(conference, ord, vector)``; the anchors are the conference table.
     """
-    scored = rows.join(F.broadcast(anchors.withColumnRenamed("vector", "anchor"))).select("id", "conference", "ord", cosine(F.col("vector"), F.col("anchor")).alias("score"))
+    scored = rows.join(_small(anchors.withColumnRenamed("vector", "anchor"))).select("id", "conference", "ord", cosine(F.col("vector"), F.col("anchor")).alias("score"))
     best = scored.groupBy("id").agg(F.max_by(F.struct("conference", "score"), F.struct("score", -F.col("ord"))).alias("b"))
     return best.where(F.col("b.score") >= least).select("id", "b.conference", "b.score")
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import json
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -47,3 +50,26 @@ def violations(table: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def repeated_keys(table: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that should be unique and are not (AG19)."""
     return table.groupBy(*keys).agg(F.count("*").alias("duplicate_count")).where("duplicate_count > 1")
+
+
+def column_facts(table: DataFrame) -> DataFrame:
+    """(column, kind, rows, filled) of every column, in one pass (V5)."""
+    counts = table.agg(F.count("*").alias("_rows"), *[F.count(F.col(f"`{c}`")).alias(f"_{k}") for k, c in enumerate(table.columns)])
+    facts = [F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"), F.col("_rows").alias("rows"), F.col(f"_{k}").alias("filled")) for k, f in enumerate(table.schema)]
+    return counts.select(F.inline(F.array(*facts)))
+
+
+def export_checks(checks: DataFrame, folder: str) -> str:
+    """Checks as CSV rows under ``folder/rows``, their pass rates as JSON under ``folder/fields``; the summary as text (SNK18)."""
+    checks.write.mode("overwrite").option("header", True).csv(f"{folder}/rows")
+    pass_rates(checks).coalesce(1).write.mode("overwrite").json(f"{folder}/fields")  # a row for each field
+    rates = checks.sparkSession.read.json(f"{folder}/fields").orderBy("field").collect()
+    asked, passed = sum(r.checked for r in rates), sum(r.passed for r in rates)
+    return json.dumps({"checked": asked, "passed": passed, "fields": {r.field: r.pass_rate_pct for r in rates}}, ensure_ascii=False)
+
+
+def phase_report(facts: dict[str, DataFrame], notes: dict[str, str]) -> str:
+    """One-row tables of statistics and notes as JSON, decimals as numbers (SNK17)."""
+    plain = lambda v: float(v) if isinstance(v, Decimal) else v.isoformat() if hasattr(v, "isoformat") else v
+    rows = {name: next(iter(df.limit(1).collect()), None) for name, df in facts.items()}
+    return json.dumps({"statistics": {n: {k: plain(v) for k, v in r.asDict().items()} if r else {} for n, r in rows.items()}, "notes": notes}, ensure_ascii=False)

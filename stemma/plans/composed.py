@@ -9,6 +9,7 @@ from stemma.operators import authors, bloom, incremental, linking, venues
 from stemma.plans.profiles import AS_OF_YEAR, AUTH_SQL
 from stemma.session import table
 from stemma.sources import tables
+from stemma.sources.schemas import BIBLIOGRAPHY_KEY
 
 Session = SparkSession
 ANCHORS, LEAST_COSINE = 10, 0.2
@@ -793,8 +794,8 @@ def open_access_fields(spark: Session, sf: str) -> DataFrame:
     n = F.col("page_id") % 4
     raw = F.when(n == 0, F.to_json(F.struct(F.col("url").alias("url")))).when(n == 1, F.concat(F.lit('"'), F.col("url"), F.lit('"'))).when(n == 2, F.lit(""))
     lists = [F.when(n == k, F.array(F.lit(f"field{k}"))) for k in (1, 2)]
-    ids = F.from_json(F.when(n == 3, F.lit("{}")).otherwise(F.concat(F.lit('{"DBLP": "key/'), F.col("page_id").cast("string"), F.lit('"}'))), "map<string,string>")
-    return p.select("page_id", tx.pdf_url(raw).alias("pdf"), F.array_join(tx.first_filled(*lists), ",").alias("fields"), ids["DBLP"].alias("bibliography_id"))
+    ids = F.from_json(F.when(n == 3, F.lit("{}")).otherwise(F.concat(F.lit(f'{{"{BIBLIOGRAPHY_KEY}": "key/'), F.col("page_id").cast("string"), F.lit('"}'))), "map<string,string>")
+    return p.select("page_id", tx.pdf_url(raw).alias("pdf"), F.array_join(tx.first_filled(*lists), ",").alias("fields"), ids[BIBLIOGRAPHY_KEY].alias("bibliography_id"))
 
 
 OPEN_SQL = """

@@ -6,9 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stemma.functions.text import first_filled, paper_id_of, pdf_url, title_key, true_text
 from stemma.operators.incremental import first_of
+from stemma.sources.schemas import BIBLIOGRAPHY_KEY
 
 
-def read_json_lines(spark: SparkSession, path: str) -> DataFrame:
+def dump_files(spark: SparkSession, folder: str) -> list[str]:
+    """The files of a dump by name: those that end in ``.jsonl.gz``, or else all that end in ``.gz`` (SRC7)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for ending in (".jsonl.gz", ".gz"):
+        if found := fs.globStatus(path(f"{folder}/*{ending}")):
+            return sorted(str(x.getPath()) for x in found)
+    return []
+
+
+def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """(value, source_file) of every line that is a JSON object; one task for each gz file.
 
     Values are taken by key from the text, as both spellings of a key occur in one dump.
@@ -35,8 +46,8 @@ def _json(kind: str, *keys: str) -> Column:
     return F.from_json(_text(*keys), kind)
 
 
-def paper_rows(spark: SparkSession, path: str, need_venue: bool = True) -> DataFrame:
-    """Papers of a dump (a path or glob): either spelling of keys, defaults 0, {} and []; typed.
+def paper_rows(spark: SparkSession, path: str | list[str], need_venue: bool = True) -> DataFrame:
+    """Papers of a dump (a path, glob or list): either spelling of keys, defaults 0, {} and []; typed.
 
     Rows without corpus id or title go, and without venue unless ``need_venue`` is false.  Numbers
     that do not parse are null.
@@ -80,11 +91,11 @@ def all_papers(spark: SparkSession, path: str, mapping: DataFrame, loaded_files:
 
 
 def conference_papers(papers: DataFrame, dimension: DataFrame, release_id: str) -> DataFrame:
-    """``dataset_papers``: papers of known conferences, the conference as venue, year null as 0, its DBLP id (PRJ15, T20, T26)."""
+    """``dataset_papers``: papers of known conferences, the conference as venue, year null as 0, its id in the bibliography (PRJ15, T20, T26)."""
     active = dimension.select(F.col("conference").alias("venue_normalized"))
     rows = papers.join(active, "venue_normalized", "left_semi")
     return rows.select(
-        "corpus_id", "paper_id", F.col("external_ids")["DBLP"].alias("bibliography_id"), "title", "title_key", "abstract",
+        "corpus_id", "paper_id", F.col("external_ids")[BIBLIOGRAPHY_KEY].alias("bibliography_id"), "title", "title_key", "abstract",
         F.col("venue_normalized").alias("venue"), F.col("venue").alias("venue_raw"), F.coalesce("year", F.lit(0)).alias("year"),
         "citation_count", "reference_count", "influential_citation_count", "authors", "fields_of_study", "is_open_access", "open_access_pdf",
         F.col("venue_normalized").alias("conference"), F.lit(release_id).alias("release_id"), "source_file",
@@ -99,7 +110,7 @@ def author_papers(papers: DataFrame) -> DataFrame:
     return first_of(rows, ["corpus_id", "author_id"], ["author_sequence"])
 
 
-def author_rows(spark: SparkSession, path: str) -> DataFrame:
+def author_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``dataset_authors``: lines with an id and a name; counts 0 by default, lists may be null (SRC6, PRJ6)."""
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("int")
     rows = read_json_lines(spark, path).select(

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+#: Fixed value: the key of the bibliography among a paper's outside ids.
+BIBLIOGRAPHY_KEY = "DBLP"
+
 AUTHOR = "struct<authorId:string,name:string>"
 #: One line of the bulk paper dump; both spellings of the keys occur.
 BULK_PAPER = (

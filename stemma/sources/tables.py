@@ -19,6 +19,18 @@ def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def from_database(spark: SparkSession, url: str, source: str, key: str | None = None, bounds: tuple[int, int] = (0, 0), parts: int = 8, **options: str) -> DataFrame:
+    """A table, or a query in brackets with a name, over JDBC (SRC10, SRC11).
+
+    With a numeric ``key`` and its ``bounds`` the read is dealt over ``parts`` connections; rows outside
+    the bounds and null keys belong to the outer ones.  Filters and columns are pushed to the database.
+    """
+    reader = spark.read.format("jdbc").options(url=url, dbtable=source, fetchsize="10000", **options)
+    if key:
+        reader = reader.options(partitionColumn=key, lowerBound=str(bounds[0]), upperBound=str(bounds[1]), numPartitions=str(parts))
+    return reader.load()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
@@ -70,6 +82,13 @@ def snapshot(spark: SparkSession, path: str, folder: str, at: datetime) -> str:
     return name
 
 
+def snapshots(spark: SparkSession, folder: str, table: str) -> list[str]:
+    """The snapshots of a table, oldest first (SNK22)."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path(f"{folder}/{table}_[0-9]*_[0-9]*")) or []
+    return sorted(str(x.getPath()) for x in found)
+
+
 def restore(spark: SparkSession, copy: str, folder: str, rename: str | None = None, replace: bool = False) -> str:
     """A snapshot back as a table, under its own name or another."""
     name = rename or copy.rstrip("/").rsplit("/", 1)[-1].rsplit("_", 2)[0]
