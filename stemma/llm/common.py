@@ -48,6 +48,16 @@ def _delete(spark: SparkSession, paths: list[str]) -> None:
     paths.clear()
 
 
+def own_path(spark: SparkSession, tag: str, outlive: int = 0) -> str:
+    """A new path in the shared folder; what is written there goes as the files of ``materialize`` do."""
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    blocks = _written.blocks
+    blocks[max(0, len(blocks) - 1 - outlive)].append(path)
+    if not any(x is blocks[0] for _, x in _left):
+        _left.append((spark, blocks[0]))
+    return path
+
+
 def materialize(df: DataFrame, tag: str, outlive: int = 0) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage, survives lost executors.
 
@@ -55,13 +65,9 @@ def materialize(df: DataFrame, tag: str, outlive: int = 0) -> DataFrame:
     ``outlive`` steps further out does; outside of blocks, when the driver's interpreter ends.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = own_path(spark, tag, outlive)
     schema = df.schema
     df.write.option("compression", "zstd").parquet(path)
-    blocks = _written.blocks
-    blocks[max(0, len(blocks) - 1 - outlive)].append(path)
-    if not any(x is blocks[0] for _, x in _left):
-        _left.append((spark, blocks[0]))
     return spark.read.schema(schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import chunkdedup, embeddings, neighbours, packing, pieces, quality, sharding, simhash, suffixes, wavelet
+from stemma.llm import chunkdedup, embeddings, neighbours, packing, pieces, quality, sharding, simhash, suffixes, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -19,6 +19,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_classifier": quality.op8_quality_classifier,
     "op9_simhash": simhash.op9_simhash,
     "op10_ann": neighbours.op10_ann,
+    "op11_warc": warc.op11_warc,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op11_warc": warc.OP11_SQL}
