@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.llm import chunkdedup, embeddings, neighbours, packing, pieces, quality, sharding, simhash, suffixes, warc, wavelet
+from stemma.llm import audit, chunkdedup, embeddings, neighbours, packing, phrases, pieces, quality, sharding, simhash, suffixes, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sentencepiece": pieces.op1_sentencepiece,
@@ -20,6 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash": simhash.op9_simhash,
     "op10_ann": neighbours.op10_ann,
     "op11_warc": warc.op11_warc,
+    "op12_filter_audit": audit.op12_filter_audit,
+    "op13_collocations": phrases.op13_collocations,
 }
 
-ORACLES: dict[str, str] = {"op11_warc": warc.OP11_SQL}
+ORACLES: dict[str, str] = {"op11_warc": warc.OP11_SQL, "op12_filter_audit": audit.OP12_SQL, "op13_collocations": phrases.OP13_SQL}
