@@ -108,7 +108,7 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tile: int = 1024) -
     Rows with equal, not null labels and vectors of one length link at cosine >= ``least``.  Vectors
     that are null, zero, or hold null or non-finite components link with nothing; very small and very
     large components are scaled by powers of two.  Equal vectors are one class, linked by definition
-    and compared once; 128-bit digests tell them, so that vectors travel once.  A pair at the threshold
+    and compared once; SHA-256 digests of all their digits tell them, so that vectors travel once.  A pair at the threshold
     is at most sqrt(2 - 2 least) apart on the first axis (the first principal one of the most frequent
     length, the first component for others); so classes are cut into cells of that width, cells into
     tiles by hash, and only tiles of the same or adjacent cells meet.  Tiles hold about ``tile`` rows,
@@ -125,9 +125,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.98, tile: int = 1024) -
     alone = rows.where(~F.coalesce(good, F.lit(False))).select(
         "vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"), F.col("vec_id").isNotNull().alias("kept")
     )
-    kind = ["label", "size", "h1", "h2"]
-    digests = [F.xxhash64("embedding", F.lit(k)).alias(f"h{k}") for k in (1, 2)]
-    rows = rows.where(good).select("vec_id", "label", F.size("embedding").alias("size"), *digests, "embedding")
+    kind = ["label", "size", "digest"]
+    digest = F.unhex(F.sha2(F.col("embedding").cast("string"), 256))  # a double's digits tell it from all others
+    rows = rows.where(good).select("vec_id", "label", F.size("embedding").alias("size"), digest.alias("digest"), "embedding")
     with scratch(spark):
         classes = rows.groupBy(*kind).agg(F.min("vec_id").alias("low"), F.count("*").alias("mult"), F.first("embedding").alias("embedding"))
         classes = materialize(classes.withColumn("cls", F.monotonically_increasing_id()), "vector-classes")
