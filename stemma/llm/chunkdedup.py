@@ -9,7 +9,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import numbered, small_batches, table, text_bytes, trimmed
+from stemma.llm.common import free_name, numbered, small_batches, table, text_bytes, trimmed
 
 WINDOW, REACH, MOST = 16, 24, 256
 GEAR = np.random.default_rng(20240607).integers(0, 1 << 32, 256, dtype=np.uint32)
@@ -158,23 +158,24 @@ def cut_repeats(joined: DataFrame, min_run: int) -> DataFrame:
     return joined.select("text", "ords", *[F.col(f"`{c}`") for c in rest]).mapInArrow(trimmed(run), f"text string, spans {kind}, {types}")
 
 
-def dedup_chunks(docs: DataFrame, min_run: int = 64) -> DataFrame:
-    """The documents with repeated passages cut out of ``text``, and ``_spans``, the byte runs removed.
+def dedup_chunks(docs: DataFrame, min_run: int = 64, spans: str = "_spans") -> DataFrame:
+    """The documents with repeated passages cut out of ``text``, and in the column ``spans`` the byte runs removed.
 
     Of each different chunk the first occurrence in the order of files and rows stays.  Later ones go
     where they form a run of at least ``min_run`` bytes, so that a lone short chunk stays, and so do
     copies of texts that are shorter.  Of a repeated passage what goes is its whole chunks, so that
     its ends may stay as far as the next inner end of a chunk.  A null text stays null; an empty text
-    has no chunks; longer repeated rows lose all but the first; all columns stay; an empty table gives
-    no rows.  Chunks are compared by a 128-bit digest.
+    has no chunks; longer repeated rows lose all but the first; all columns stay, but for one
+    named like ``spans``, which is replaced; an empty table gives no rows.  Chunks are compared by a 128-bit digest.
     """
-    rows = numbered(docs)
-    texts = rows.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
+    rid = free_name(docs, "_rid")
+    rows, names = numbered(docs, rid), [c for c in docs.columns if c.lower() != spans.lower()]
+    texts = rows.select(F.col(rid).alias("rid"), F.col("text").cast("string").alias("text"))
     ords = repeated_chunks(texts).groupBy("rid").agg(F.collect_list("ord").alias("ords"))
-    packed = rows.select("_rid", F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("rest"))
-    cut = cut_repeats(packed.join(ords.withColumnRenamed("rid", "_rid"), "_rid", "left").select("text", "ords", "rest"), min_run)
-    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns]
-    return cut.select(*columns, F.col("spans").alias("_spans"))
+    packed = rows.select(F.col(rid).alias("rid"), F.col("text").cast("string").alias("text"), F.struct(*[F.col(f"`{c}`") for c in names if c != "text"]).alias("rest"))
+    cut = cut_repeats(packed.join(ords, "rid", "left").select("text", "ords", "rest"), min_run)
+    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in names]
+    return cut.select(*columns, F.col("spans").alias(spans))
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

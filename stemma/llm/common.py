@@ -92,9 +92,19 @@ def _clean() -> None:
             _delete(spark, paths)
 
 
-def numbered(docs: DataFrame, name: str = "_rid") -> DataFrame:
+def free_name(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores behind it until no column of ``docs`` starts with it in any case of letters."""
+    taken = [c.lower() for c in docs.columns]
+    while any(c.startswith(name.lower()) for c in taken):
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
     """``docs`` with a row number that every plan over the same files gives alike, however it splits them.
 
+    ``name`` is the number's column, see ``free_name``.
+
     Rows count on from file to file in the order of their paths, and inside a file by their place in
     it.  The driver holds one path and one count for each file.  ``docs`` is a scan of files, perhaps
     with columns chosen; rows that come from no file are written to the shared folder first.

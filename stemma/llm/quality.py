@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import materialize, small_batches, table, text_bytes, trimmed
+from stemma.llm.common import free_name, materialize, small_batches, table, text_bytes, trimmed
 
 FEATURES, BINS, SEED = 256, 2000, 11
 #: Raw ridge scores are binned between these for calibration.
@@ -197,7 +197,7 @@ def keep_good_documents(docs: DataFrame, labels: DataFrame, least: float) -> Dat
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in names)
     columns = [F.col(f"`{c}`") for c in names]
-    return docs.select(F.col("text").cast("string").alias("_text"), *columns).mapInArrow(trimmed(run), kinds)
+    return docs.select(F.col("text").cast("string").alias(free_name(docs, "_text")), *columns).mapInArrow(trimmed(run), kinds)
 
 
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:

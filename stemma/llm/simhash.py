@@ -17,7 +17,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import connected_components, materialize, numbered, scratch, small_batches, table, text_bytes, trimmed
+from stemma.llm.common import connected_components, free_name, materialize, numbered, scratch, small_batches, table, text_bytes, trimmed
 
 SEED = 42
 #: Row b: the bits of byte value b, lowest first.
@@ -498,13 +498,14 @@ def keep_one_of_each_group(docs: DataFrame, k: int = 5) -> DataFrame:
     without words are copies of each other.  All columns stay; an empty table gives no rows.
     """
     spark = docs.sparkSession
-    rows = numbered(docs)
+    rid = free_name(docs, "_rid")
+    rows = numbered(docs, rid)
     with scratch(spark):
-        near = connected_components(near_copy_links(rows.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text")), k))
+        near = connected_components(near_copy_links(rows.select(F.col(rid).alias("rid"), F.col("text").cast("string").alias("text")), k))
         order = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("node"))
-        members = near.join(rows.select(F.col("_rid").alias("node"), "doc_id"), "node").select("component", order.alias("o"))
+        members = near.join(rows.select(F.col(rid).alias("node"), "doc_id"), "node").select("component", order.alias("o"))
         members = materialize(members, "members")
         best = materialize(members.groupBy("component").agg(F.min("o").alias("best")), "best")
         gone = members.join(best, "component").where("o <> best OR (o.doc_id IS NULL) AND o.node <> best.node")
-        gone = materialize(gone.select(F.col("o.node").alias("_rid")), "gone", outlive=1)
-    return rows.join(gone, "_rid", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+        gone = materialize(gone.select(F.col("o.node").alias(rid)), "gone", outlive=1)
+    return rows.join(gone, rid, "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

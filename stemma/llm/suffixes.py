@@ -16,7 +16,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from stemma.llm.common import materialize, numbered, scratch, small_batches, table, text_bytes
+from stemma.llm.common import free_name, materialize, numbered, scratch, small_batches, table, text_bytes
 
 LENGTH, GRAM = 400, 100
 #: Bytes looked at together, and bytes of one suffix array.
@@ -346,8 +346,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Bytes are the UTF-8 of ``text``; a null or empty text has none, and texts under 400 bytes keep all.
     Matches never cross documents; a string that starts twice in one text counts, overlaps too, and
-    repeated rows remove each other.  Strings are judged on the input.  All columns stay; an empty
-    table gives no rows.  Windows are equal when 128-bit digests of their surroundings are, or 64-bit
+    repeated rows remove each other.  Strings are judged on the input.  All columns stay, but for those
+    named like the four, which are replaced; an empty table gives no rows.  Windows are equal when 128-bit digests of their surroundings are, or 64-bit
     hashes of adjacent suffixes inside one suffix array.
 
     Runs of windows around one minimiser fall into classes of equal bytes; the windows of a class with
@@ -355,8 +355,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     array; a minimiser with too many different classes for one is made longer (``repeated_ranges``).
     """
     small_batches(docs.sparkSession, 1000)
-    with_ids = numbered(docs)
-    texts = with_ids.select(F.col("_rid").alias("rid"), F.col("text").cast("string").alias("text"))
+    rid = free_name(docs, "_rid")
+    with_ids = numbered(docs, rid)
+    texts = with_ids.select(F.col(rid).alias("rid"), F.col("text").cast("string").alias("text"))
     run_fields = [("rid", pa.int64()), ("a", pa.int32()), ("m", pa.int32()), ("o", pa.int32()), *CLASS]
     run_schema = pa.schema(run_fields)
 
@@ -393,9 +394,11 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         spans = runs.join(whole.unionAll(by_array), ["g", "d1", "d2"]).groupBy("rid").agg(
             F.array_sort(F.flatten(F.collect_list(F.expr(f"transform(ranges, r -> struct(a + r.lo AS lo, a + r.hi + {LENGTH - 1} AS hi))")))).alias("spans")
         )
-        spans = materialize(spans.withColumnRenamed("rid", "_rid"), "spans", outlive=1)
-    joined = with_ids.join(spans, "_rid", "left")
-    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"])
+        spans = materialize(spans, "spans", outlive=1)
+    names = [c for c in docs.columns if c.lower() not in ("kept", "n_bytes", "n_removed", "n_spans")]
+    rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"])
+    packed = with_ids.select(F.col(rid).alias("rid"), F.col("text").cast("string").alias("text"), rest.alias("rest"))
+    joined = packed.join(spans, "rid", "left")
     rest_type = docs.select(rest.alias("rest")).schema["rest"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -417,10 +420,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
                 names=["text", "rest", "kept", "n_bytes", "n_spans"],
             )
 
-    done = joined.select(F.col("text").cast("string").alias("text"), "spans", rest.alias("rest")).mapInArrow(
+    done = joined.select("text", "spans", "rest").mapInArrow(
         cut, f"text string, rest {rest_type}, kept binary, n_bytes bigint, n_spans bigint"
     )
-    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in docs.columns]
+    columns = [F.col("text") if c == "text" else F.col(f"rest.`{c}`") for c in names]
     return done.select(*columns, "kept", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed"), "n_spans")
 
 

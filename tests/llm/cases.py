@@ -5,7 +5,8 @@ import random
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 #: Columns whose names operators use inside.
-CLASH = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, cell string, row string, ids string, start string, fp string, g string, n string, u string, v string"
+CLASH = "doc_id bigint, text string, lang string, source string, n_chars bigint, shard string, cell string, row string, ids string, start string, fp string, g string, n string, u string, v string, _rid string, _rid_file string, _spans string, spans string, kept string, _text string, rest string"
+EXTRA = tuple("q" for _ in CLASH.split(", ")[5:])
 
 
 def words(rng, n, letters="abcdefghij"):
@@ -27,8 +28,7 @@ def hard_docs(spark, seed=1):
 
 
 def clash_docs(spark, seed=1):
-    extra = tuple("q" for _ in range(10))
-    return spark.createDataFrame([r + extra for r in hard_rows(seed)], CLASH)
+    return spark.createDataFrame([r + EXTRA for r in hard_rows(seed)], CLASH)
 
 
 def empty_docs(spark):
