@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stemma.llm.chunkdedup import dedup_chunks
-from stemma.llm.common import materialize, table
+from stemma.llm.common import free_name, materialize, table
 from stemma.llm.packing import pack_documents
 from stemma.llm.quality import keep_good_documents
 from stemma.llm.simhash import keep_one_of_each_group
@@ -30,10 +30,11 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that stand in an earlier one; ``n_chars`` follows the text."""
-    rows = dedup_chunks(docs)
+    spans = free_name(docs, "_spans")
+    rows = dedup_chunks(docs, spans=spans)
     return rows.select(
         *[
-            F.when(F.size("_spans") > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`")
+            F.when(F.size(spans) > 0, F.char_length("text")).otherwise(F.col("n_chars")).cast("bigint").alias("n_chars") if c == "n_chars" else F.col(f"`{c}`")
             for c in docs.columns
         ]
     )
