@@ -249,9 +249,21 @@ def final_table(profiles: DataFrame, cached: DataFrame) -> DataFrame:
 
 
 def h_index(papers: DataFrame, author: str, citations: str) -> DataFrame:
-    """Largest h with h papers of at least h citations (AG24)."""
-    place = F.row_number().over(Window.partitionBy(author).orderBy(F.desc(citations)))
-    return papers.withColumn("_p", place).groupBy(author).agg(F.count_if(F.col(citations) >= F.col("_p")).cast("int").alias("h_index"))
+    """Largest h with h papers of at least h citations (AG24).
+
+    Papers are counted by author and citations with map-side combine, so that what is sorted for an
+    author are different numbers of citations, not papers; null citations count as none.
+    """
+    cited = F.greatest(F.coalesce(F.col(citations), F.lit(0)), F.lit(0)).cast("bigint")
+    bins = papers.groupBy(author, cited.alias("_c")).agg(F.count("*").alias("_n"))
+    down = F.sort_array(F.collect_list(F.struct("_c", "_n")), asc=False)
+    start = F.struct(F.lit(0).cast("bigint").alias("papers"), F.lit(0).cast("bigint").alias("h"))
+
+    def add(held: Column, bin: Column) -> Column:
+        papers = held["papers"] + bin["_n"]
+        return F.struct(papers.alias("papers"), F.greatest(held["h"], F.least(papers, bin["_c"])).alias("h"))
+
+    return bins.groupBy(author).agg(F.aggregate(down, start, add, lambda held: held["h"]).cast("int").alias("h_index"))
 
 
 #: What an author lacks when it is to be enriched.

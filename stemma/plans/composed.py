@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from stemma.functions import text as tx
 from stemma.operators import authors, bloom, incremental, linking, venues
 from stemma.plans.profiles import AS_OF_YEAR, AUTH_SQL
-from stemma.session import table
+from stemma.session import shared_path, table
 from stemma.sources import tables
 from stemma.sources.schemas import BIBLIOGRAPHY_KEY
 
@@ -845,19 +845,29 @@ def _dimension_sql() -> str:
 PAPERS_SQL = "(SELECT o_orderkey AS paper_id, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(floor(o_totalprice / 1000) AS BIGINT) AS citations, o_orderpriority AS conference, o_orderstatus AS status, o_custkey AS author_id FROM orders)"
 
 
-def _papers(spark: Session, sf: str) -> DataFrame:
+def paper_facts(spark: Session, sf: str) -> DataFrame:
+    """Orders as papers."""
     return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("paper_id"), F.year("o_orderdate").alias("year"), F.floor(F.col("o_totalprice") / 1000).cast("bigint").alias("citations"),
         F.col("o_orderpriority").alias("conference"), F.col("o_orderstatus").alias("status"), F.col("o_custkey").alias("author_id"),
     )
 
 
+_years: dict[tuple[str, str], str] = {}
+
+
+def papers_by_year(spark: Session, sf: str) -> str:
+    """The path of the papers as a table partitioned by year, in the shared folder: written once for each session and input."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _years or not tables.exists(spark, f"{_years[key]}/_SUCCESS"):
+        _years[key] = shared_path(spark, "papers-by-year")
+        rows = paper_facts(spark, sf).withColumn("year_bucket", tables.year_bucket())
+        tables.overwrite(rows.repartition("year_bucket"), _years[key], "year_bucket")
+    return _years[key]
+
+
 def _by_year(spark: Session, sf: str) -> DataFrame:
-    """The papers as a table in the warehouse that is partitioned by year, written anew."""
-    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/papers_by_year_{sf.rstrip('/').rsplit('/', 1)[-1]}"
-    rows = _papers(spark, sf).withColumn("year_bucket", tables.year_bucket())
-    tables.overwrite(rows.repartition("year_bucket"), path, "year_bucket")
-    return spark.read.parquet(path)
+    return spark.read.parquet(papers_by_year(spark, sf))
 
 
 def partition_equality(spark: Session, sf: str) -> DataFrame:
@@ -893,7 +903,7 @@ def _bucket_sql() -> str:
 
 def year_shares(spark: Session, sf: str) -> DataFrame:
     """AG18, WN1, SO2: rows of each partition and their share of all, nulls first."""
-    return tables.bucket_shares(_papers(spark, sf)).orderBy(F.asc_nulls_first("first_year"))
+    return tables.bucket_shares(paper_facts(spark, sf)).orderBy(F.asc_nulls_first("first_year"))
 
 
 YEAR_SHARES_SQL = f"""
@@ -904,7 +914,7 @@ SELECT bucket, count(*) AS rows, min(year) AS first_year, max(year) AS last_year
 
 def author_h_index(spark: Session, sf: str) -> DataFrame:
     """AG24: the largest h with h papers of h citations."""
-    return authors.h_index(_papers(spark, sf), "author_id", "citations")
+    return authors.h_index(paper_facts(spark, sf), "author_id", "citations")
 
 
 H_SQL = f"""
@@ -915,7 +925,7 @@ SELECT author_id, CAST(coalesce(max(least(place, citations)) FILTER (citations >
 
 def tier_of_method(spark: Session, sf: str) -> DataFrame:
     """MT14: the tier of a method and a confidence."""
-    p = _papers(spark, sf).withColumn("confidence", (F.col("citations") % 100) / F.lit(100.0))
+    p = paper_facts(spark, sf).withColumn("confidence", (F.col("citations") % 100) / F.lit(100.0))
     return p.select("paper_id", F.when(F.col("status") == "O", "Tier3_NoMatch").otherwise(linking.tier_of(F.col("confidence"))).alias("tier"))
 
 
@@ -948,7 +958,7 @@ def rule_violations(spark: Session, sf: str) -> DataFrame:
     """V4: rows of the papers that break bounds, required columns or known values, and repeated keys."""
     from stemma.operators import verify
 
-    p = _papers(spark, sf)
+    p = paper_facts(spark, sf)
     found = verify.violations(p, {"year_bounds": F.col("year").between(1993, 1997), "has_conference": F.col("conference").isNotNull(), "known_status": F.col("status").isin("F", "O"), "cited": F.col("citations") > 50})
     doubles = verify.repeated_keys(table(spark, sf, "lineitem"), ["l_orderkey", "l_suppkey"]).agg(F.lit("unique_pairs").alias("rule"), F.count("*").alias("violations"))
     return found.unionByName(doubles)

@@ -7,14 +7,16 @@ import json
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stemma.operators import authors, incremental, linking, venues
-from stemma.sources import bibliography, bulk, tables
+from stemma.sources import bibliography, buckets, bulk, tables
 
 
 def import_bibliography(spark: SparkSession, dump: str, table: str, target_venues: tuple[str, ...] = bibliography.VENUES) -> dict[str, int]:
-    """P1: the dump's papers upserted by key; returns how many were inserted and updated."""
+    """P1: the dump's papers upserted by key into a bucketed table; returns how many were inserted and updated."""
     papers = incremental.first_of(bibliography.bibliography(spark, dump, target_venues), ["key"], ["title"])
-    counts = tables.upsert_table(spark, papers, table, ["key"]).first()
-    return {"inserted": counts.inserted, "updated": counts.updated}
+    if buckets.layout(spark, table) is None:
+        buckets.create(spark, table, papers, ["key"])
+    inserted, updated = buckets.upsert(spark, table, papers)
+    return {"inserted": inserted, "updated": updated}
 
 
 def import_bulk(spark: SparkSession, dump: str, folder: str, dimension: DataFrame, aliases: DataFrame, release_id: str) -> dict[str, str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stemma.operators import authors, incremental, linking, venues, verify
-from stemma.session import table
+from stemma.session import shared_path, table
 from stemma.sources import bulk
 
 KNOWN = ["1-Urgent", "2-HIGH", "7-NONE"]
@@ -124,9 +124,9 @@ UNION ALL SELECT 'lang', count(*), count(lang) FROM d UNION ALL SELECT 'quality'
 
 
 def _dump(spark: SparkSession, sf: str, name: str, rows: DataFrame) -> list[str]:
-    """``rows`` as a dump of gzipped JSON lines in the warehouse, written anew; its files."""
-    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}_{sf.rstrip('/').rsplit('/', 1)[-1]}"
-    rows.select(F.to_json(F.struct("*"))).write.mode("overwrite").option("compression", "gzip").text(path)
+    """``rows`` as a dump of gzipped JSON lines in the shared folder; its files."""
+    path = shared_path(spark, name)
+    rows.select(F.to_json(F.struct("*"))).write.option("compression", "gzip").text(path)
     return bulk.dump_files(spark, path)
 
 

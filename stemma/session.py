@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -26,3 +30,30 @@ def build_session(app: str = "stemma", master: str | None = None, **conf: str) -
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the parquet tables below ``sf_dir``; read through Spark only, so any store works."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+_written: list[tuple[SparkSession, str]] = []
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that the cluster names in ``spark.checkpoint.dir``; it goes when the interpreter ends.
+
+    Only a local master may do without that setting, and gets a folder of its own.
+    """
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        root = f"file://{tempfile.mkdtemp(prefix='stemma-')}"
+        spark.conf.set("spark.checkpoint.dir", root)
+    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    _written.append((spark, path))
+    return path
+
+
+@atexit.register
+def _clean() -> None:
+    for spark, path in _written:
+        if spark.sparkContext._jsc is not None:  # the session may have ended
+            where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)

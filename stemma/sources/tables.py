@@ -129,6 +129,50 @@ def in_years(papers: DataFrame, first: int, last: int) -> DataFrame:
     return papers.where(F.col("year_bucket").isin(bucket_names(first, last)) & F.col("year").between(first, last))
 
 
+def replace_partitions(rows: DataFrame, path: str, *partitions: str) -> None:
+    """Overwrite only the partitions that ``rows`` has; the files of all others stay (SNK10).
+
+    A partition that ``rows`` has no row of stays too: drop it to empty it.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
+
+
+def partition_folders(spark: SparkSession, path: str, column: str = "year_bucket") -> dict[str, str]:
+    """The partitions of a table by value, with their folders: one listing, no file is read (PQ5)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    found = p(path).getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(p(f"{path}/{column}=*")) or []
+    return {x.getPath().getName().split("=", 1)[1]: x.getPath().toString() for x in found}
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    fs = p(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.exists(p(target)):
+        raise FileExistsError(target)
+    fs.mkdirs(p(target).getParent())
+    if not fs.rename(p(source), p(target)):
+        raise FileNotFoundError(source)
+
+
+def detach_partition(spark: SparkSession, path: str, value: str, to: str) -> None:
+    """A year partition out of the table, as a table of its own at ``to``; no row is copied (PQ6)."""
+    _move(spark, f"{path}/year_bucket={value}", to)
+
+
+def attach_partition(spark: SparkSession, folder: str, path: str, value: str, year: str = "year") -> None:
+    """The table at ``folder`` becomes a year partition; rows of other years are refused, nothing is copied (PQ6)."""
+    strays = spark.read.parquet(folder).where(year_bucket(year) != value).limit(1).count()
+    if strays:
+        raise ValueError(f"{folder} holds years outside of {value}")
+    _move(spark, folder, f"{path}/year_bucket={value}")
+
+
+def drop_partition(spark: SparkSession, path: str, value: str) -> bool:
+    """Delete one year partition; whether there was one (PQ6)."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    return p(path).getFileSystem(spark._jsc.hadoopConfiguration()).delete(p(f"{path}/year_bucket={value}"), True)
+
+
 def bucket_shares(papers: DataFrame) -> DataFrame:
     """(bucket, rows, first_year, last_year, share_pct) of the partitions, each single year apart (AG18)."""
     counts = papers.groupBy(year_bucket().alias("bucket")).agg(F.count("*").alias("rows"), F.min("year").alias("first_year"), F.max("year").alias("last_year"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from stemma.operators import venues
 from stemma.plans import pipelines
-from stemma.sources import bibliography, bulk, tables
+from stemma.sources import bibliography, buckets, bulk, tables
 from stemma.streaming.files import upsert_stream
 
 XML = """<?xml version="1.0"?><!DOCTYPE dblp SYSTEM "dblp.dtd"><dblp>
@@ -52,7 +52,7 @@ def test_bibliography(spark, tmp_path):
     table = str(tmp_path / "papers")
     assert pipelines.import_bibliography(spark, str(tmp_path / "dump.xml.gz"), table) == {"inserted": 2, "updated": 0}
     assert pipelines.import_bibliography(spark, str(tmp_path / "dump.xml.gz"), table) == {"inserted": 0, "updated": 2}
-    assert [r.authors for r in bibliography.export_csv(spark.read.parquet(table)).collect()] == ["Jürgen M 0001|Bo Li", "Ann & Co"]
+    assert [r.authors for r in bibliography.export_csv(buckets.read(spark, table)).collect()] == ["Jürgen M 0001|Bo Li", "Ann & Co"]
 
 
 def test_bulk_papers(spark, tmp_path):
@@ -118,4 +118,4 @@ def test_stream_of_files(spark, tmp_path):
     upsert_stream(*args).awaitTermination()
     (folder / "b.json").write_text('{"k": 2, "v": "c"}\n')
     upsert_stream(*args).awaitTermination()
-    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [(1, "a"), (2, "c")]
+    assert sorted(map(tuple, buckets.read(spark, str(tmp_path / "out")).collect())) == [(1, "a"), (2, "c")]
