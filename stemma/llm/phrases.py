@@ -19,7 +19,9 @@ LONGEST, DEPTH, BLOCK = 5, 2, 1 << 16
 #: its words has a code point of its own.
 SHARD_BYTES, SHARD_WORDS = 8 << 20, 800_000
 #: A sketch has one cell for so many bytes of text, and no more than MOST_CELLS, so that a task can hold it.
-BYTES_A_CELL, LEAST_CELLS, MOST_CELLS = 128, 1 << 16, 1 << 24
+BYTES_A_CELL, LEAST_CELLS, MOST_CELLS = 256, 1 << 16, 1 << 26
+#: Phrases whose counts a task adds up before it sends them.
+REMEMBERED = 400_000
 
 #: Fixed by the contract: 0 belongs to a word, 1 ends a word, 2 ends a piece.
 KINDS = np.zeros(256, np.uint8)
@@ -97,22 +99,26 @@ def by_language(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Words]
 def sketch(texts: DataFrame, width: int, least: int, hashes: Callable[[Words], Iterator[np.ndarray]]) -> np.ndarray:
     """Bits: whether each cell of a count sketch reaches ``least``, over all ``hashes`` of all texts.
 
-    Each task counts in its own array and sends the cells that it has touched, in blocks; the blocks
-    are summed where they meet, and one bit for each cell is left, so that what the driver gets does
-    not depend on the texts.
+    Each task counts in its own array, up to ``least`` in the smallest type that holds it, and sends the
+    cells that it has touched, in blocks, dense or by place; the blocks are summed where they meet, and
+    one bit for each cell is left, so that what the driver gets does not depend on the texts.
     """
     schema = pa.schema([("block", pa.int32()), ("at", pa.binary()), ("counts", pa.binary())])
+    small = np.min_scalar_type(least)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(DEPTH * width, np.uint32)
+        total = np.zeros(DEPTH * width, small)
         for _, words in by_language(batches):
             for h in hashes(words):
                 for at in cells(h, width):
-                    np.add.at(total, at, np.uint32(1))
+                    own, times = np.unique(at, return_counts=True)
+                    total[own] = np.minimum(total[own] + times, least)
         for block in range(0, len(total), BLOCK):
-            some = np.flatnonzero(total[block : block + BLOCK])
+            part = total[block : block + BLOCK]
+            some = np.flatnonzero(part)
             if len(some):
-                row = [[block // BLOCK], [some.astype(np.uint16).tobytes()], [total[block + some].tobytes()]]
+                sparse = len(some) * (2 + part.itemsize) < part.nbytes
+                row = [[block // BLOCK], [some.astype(np.uint16).tobytes() if sparse else None], [(part[some] if sparse else part).tobytes()]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,7 +126,7 @@ def sketch(texts: DataFrame, width: int, least: int, hashes: Callable[[Words], I
         for batch in batches:
             for block, at, counts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 own = sums.setdefault(block, np.zeros(BLOCK, np.uint64))
-                own[np.frombuffer(at, np.uint16)] += np.frombuffer(counts, np.uint32)
+                own[slice(None) if at is None else np.frombuffer(at, np.uint16)] += np.frombuffer(counts, small)
         for block, own in sums.items():
             bits = np.packbits(own >= least, bitorder="little").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([bits])], names=["block", "bits"])
@@ -133,34 +139,61 @@ def sketch(texts: DataFrame, width: int, least: int, hashes: Callable[[Words], I
     return bits
 
 
-def candidates(words: Words, known: np.ndarray, pairs: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
+class Bounds:
+    """Which words, pairs of words and longer phrases may reach the threshold, by one sketch each."""
+
+    def __init__(self, single: np.ndarray, pairs: np.ndarray | None = None, longer: np.ndarray | None = None):
+        self.single, self.pairs, self.longer = single, pairs, longer
+
+    def words(self, words: Words) -> np.ndarray:
+        """Of each place."""
+        return frequent(self.single, words.hashes)[words.ids]
+
+    def twos(self, words: Words) -> np.ndarray:
+        """Of the two words from each place on: both words and, where its sketch is known, the pair."""
+        known = self.words(words)
+        both = known[:-1] & known[1:] & words.within(2) if len(known) > 1 else np.zeros(0, bool)
+        if self.pairs is not None:
+            at = np.flatnonzero(both)
+            both[at] = frequent(self.pairs, words.phrase_hashes(2, at))
+        return both
+
+    def longer_hashes(self, words: Words) -> Iterator[np.ndarray]:
+        """Of the phrases of three and more words whose pairs may all reach the threshold."""
+        alive = twos = self.twos(words)
+        for k in range(3, LONGEST + 1):
+            n = len(words.ids) - k + 1
+            if n <= 0:
+                break
+            alive = alive[:n] & twos[k - 2 : k - 2 + n]
+            yield words.phrase_hashes(k, np.flatnonzero(alive))
+
+
+def candidates(words: Words, bounds: Bounds, twos: np.ndarray, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
     """(place, length) of one occurrence of each different candidate that starts in lo to hi - 1.
 
-    A candidate's words, its upper bound and those of its parts all reach the threshold.  Phrases are
-    told apart by the ids of their words, one word more at a time.
+    A candidate's upper bound and those of its parts all reach the threshold (``twos`` are those of
+    pairs).  Phrases are told apart by the ids of their words, one word more at a time.
     """
-    n = len(words.ids)
-    known = known[words.ids[lo : min(n, hi + LONGEST)]]
-    alive = {k: np.zeros(0, bool) for k in range(1, LONGEST + 1)}
-    alive[1] = known
-    places, sizes, code, size = [], [], words.ids[lo : min(n, hi + LONGEST)], len(words.vocabulary)
+    ids = words.ids[lo : hi + LONGEST]
+    alive, code, size = twos[lo : hi + LONGEST - 1], ids, len(words.vocabulary)
+    places, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for k in range(2, LONGEST + 1):
-        count = len(known) - k + 1
+        count = len(ids) - k + 1
         if count <= 0:
             break
-        may = alive[k - 1][:count] & alive[k - 1][1 : count + 1] & (words.piece[lo : lo + count] == words.piece[lo + k - 1 : lo + k - 1 + count])
-        at = np.flatnonzero(may)
-        at = at[frequent(pairs, words.phrase_hashes(k, at + lo))]
-        alive[k] = np.zeros(count, bool)
-        alive[k][at] = True
-        _, first, inverse = np.unique(code[at] * size + words.ids[lo + at + k - 1], return_index=True, return_inverse=True)
+        if k > 2:
+            at = np.flatnonzero(alive[:count] & alive[1 : count + 1])
+            at = at[frequent(bounds.longer, words.phrase_hashes(k, at + lo))]
+            alive = np.zeros(count, bool)
+            alive[at] = True
+        at = np.flatnonzero(alive[:count])
+        _, first, inverse = np.unique(code[at] * size + ids[at + k - 1], return_index=True, return_inverse=True)
         code = np.zeros(count, np.int64)
         code[at] = inverse
         own = np.unique(inverse[at < hi - lo])  # the others start later
         places.append(at[first[own]] + lo)
         sizes.append(np.full(len(own), k))
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     return np.concatenate(places), np.concatenate(sizes)
 
 
@@ -190,11 +223,12 @@ def occurrences(words: Words, places: np.ndarray, sizes: np.ndarray, lo: int, hi
     return np.bincount(own, minlength=len(places))
 
 
-def shard_counts(words: Words, known: np.ndarray, pairs: np.ndarray, shard_words: int = SHARD_WORDS) -> Iterator[tuple[list[str], list[int], np.ndarray]]:
+def shard_counts(words: Words, bounds: Bounds, shard_words: int = SHARD_WORDS) -> Iterator[tuple[list[str], list[int], np.ndarray]]:
     """(phrases, sizes, occurrences) of the candidates of 2 and more words, for each shard of the words."""
+    twos = bounds.twos(words)
     for lo in range(0, len(words.ids), shard_words):
         hi = min(len(words.ids), lo + shard_words)
-        places, sizes = candidates(words, known, pairs, lo, hi)
+        places, sizes = candidates(words, bounds, twos, lo, hi)
         if len(places):
             names = [" ".join([words.vocabulary[i] for i in words.ids[p : p + k].tolist()]) for p, k in zip(places.tolist(), sizes.tolist(), strict=True)]
             yield names, sizes.tolist(), occurrences(words, places, sizes, lo, hi)
@@ -206,11 +240,11 @@ COUNTS = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.
 def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     """(totals(lang, n), counts(lang, phrase, size, f)): words of each language, and phrases of 1 to 5 words with f >= least.
 
-    Three scans.  The first counts words in a sketch; the second counts in another the phrases whose
-    words all reach ``least`` by the first.  The third compiles, for each shard of text, the phrases in
-    it that reach ``least`` by their upper bounds into an automaton, which counts them.  The counts of
-    the shards are summed, and those below ``least`` go: bounds are never too low, so the result is
-    exact; a narrow sketch only makes more candidates.
+    Four scans.  Three count in sketches: words; pairs whose words reach ``least`` by the first;
+    longer phrases whose pairs do by the second.  The fourth compiles, for each shard of text, the
+    phrases in it that reach ``least`` by all bounds into an automaton, which counts them; a task adds
+    up the counts of its shards.  Counts are summed, and those below ``least`` go: bounds are never
+    too low, so the result is exact; a narrow sketch only makes more candidates.
     """
     spark = docs.sparkSession
     small_batches(spark, 2000)
@@ -218,32 +252,31 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     size = texts.agg(F.sum(F.octet_length("text").cast("bigint"))).first()[0] or 0
     width = min(MOST_CELLS, max(LEAST_CELLS, 1 << (size // BYTES_A_CELL).bit_length()))
 
-    single = sketch(texts, width, least, lambda words: iter([words.hashes[words.ids]]))
-
-    def long(words: Words) -> Iterator[np.ndarray]:
-        every = known = frequent(single, words.hashes)[words.ids]
-        for k in range(2, min(LONGEST, len(words.ids)) + 1):
-            known = known[:-1] & every[k - 1 :]
-            yield words.phrase_hashes(k, np.flatnonzero(known & words.within(k)))
+    bounds = Bounds(sketch(texts, width, least, lambda words: iter([words.hashes[words.ids]])))
+    bounds = Bounds(bounds.single, sketch(texts, width, least, lambda words, b=bounds: iter([words.phrase_hashes(2, np.flatnonzero(b.twos(words)))])))
+    bounds = Bounds(bounds.single, bounds.pairs, sketch(texts, width, least, lambda words, b=bounds: b.longer_hashes(words)))
 
-    several = sketch(texts, width, least, long)
+    def rows(lang: str, held: dict[str, int]) -> pa.RecordBatch:
+        names = list(held)
+        columns = [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.string()), pa.array([x.count(" ") + 1 if x else 0 for x in names], pa.int32()), pa.array(held.values(), pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, schema=COUNTS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, dict[str, int]] = {}
         for lang, words in by_language(batches):
-            vocabulary, n = words.vocabulary, len(words.ids)
-            known = frequent(single, words.hashes)
-            once = np.bincount(words.ids, minlength=len(vocabulary))
-            some = np.flatnonzero(known)
-            names, sizes, counts = [vocabulary[i] for i in some.tolist()], [1] * len(some), [once[some]]
-            for phrases, lengths, occurring in shard_counts(words, known, several):
-                names += phrases
-                sizes += lengths
-                counts.append(occurring)
-            names.append("")  # all words of the language
-            sizes.append(0)
-            counts.append(np.array([n]))
-            columns = [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.string()), pa.array(sizes, pa.int32()), pa.array(np.concatenate(counts).astype(np.int64))]
-            yield pa.RecordBatch.from_arrays(columns, schema=COUNTS)
+            own = sums.setdefault(lang, {})
+            once = np.bincount(words.ids, minlength=len(words.vocabulary))
+            some = np.flatnonzero(frequent(bounds.single, words.hashes))
+            own[""] = own.get("", 0) + len(words.ids)  # all words of the language
+            for i, n in zip(some.tolist(), once[some].tolist(), strict=True):
+                own[words.vocabulary[i]] = own.get(words.vocabulary[i], 0) + n
+            for phrases, _, occurring in shard_counts(words, bounds):
+                for phrase, n in zip(phrases, occurring.tolist(), strict=True):
+                    own[phrase] = own.get(phrase, 0) + n
+            if sum(map(len, sums.values())) > REMEMBERED:
+                yield from (rows(x, held) for x, held in sums.items())
+                sums = {}
+        yield from (rows(x, held) for x, held in sums.items())
 
     found = texts.mapInArrow(trimmed(count), "lang string, phrase string, size int, f bigint")
     found = materialize(found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(f"size = 0 OR f >= {int(least)}"), "phrases", outlive=1)
