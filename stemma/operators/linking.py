@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stemma.functions.similarity import title_similarity
 from stemma.functions.text import like_pattern, title_key
+from stemma.operators.setjoin import containing
 from stemma.sources.schemas import BIBLIOGRAPHY_KEY
 
 #: Thresholds of the tiers.
@@ -18,26 +19,55 @@ def tier_of(similarity: Column) -> Column:
 
 
 def exact_links(papers: DataFrame, dataset: DataFrame, by_key: bool = False) -> DataFrame:
-    """(paper_id, corpus_id): equal titles in lower case, or equal title keys, in the same year; smallest corpus_id (MT10)."""
+    """(paper_id, corpus_id): equal titles in lower case, or equal title keys, in the same year; smallest corpus_id (MT10).
+
+    Titles leave the scan as SHA-256 digests.  Each side is aggregated by year and digest before they
+    meet, so that a title which many rows share is one row of the join; only its papers are spread
+    again.  Null years link with nothing.
+    """
     key = title_key if by_key else (lambda c: F.lower(c))
-    a = papers.select("paper_id", "year", key(F.col("title")).alias("k")).where("k <> ''")
-    b = dataset.select("corpus_id", "year", key(F.col("title")).alias("k"))
-    return a.join(b, ["year", "k"]).groupBy("paper_id").agg(F.min("corpus_id").alias("corpus_id"))
+
+    def digests(rows: DataFrame, number: str) -> DataFrame:
+        keyed = rows.select(number, "year", key(F.col("title")).alias("k")).where("k <> '' AND year IS NOT NULL")
+        return keyed.select(number, "year", F.unhex(F.sha2("k", 256)).alias("k"))
+
+    least = digests(dataset, "corpus_id").groupBy("year", "k").agg(F.min("corpus_id").alias("corpus_id"))
+    return digests(papers, "paper_id").join(least, ["year", "k"]).select("paper_id", "corpus_id")
+
+
+def letter_counts(title: Column) -> Column:
+    """How often each of a to z, 0 to 9 and space stands in a cleaned ASCII title; null for other titles, which have no bound."""
+    low = F.lower(title)
+    plain = F.regexp_replace(low, "[^a-z0-9 ]", "")
+    letters = F.array(*[F.lit(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789 "])
+    return F.when(title.rlike(r"^[\x00-\x7F]*$"), F.transform(letters, lambda c: F.length(plain) - F.length(F.replace(plain, c, F.lit("")))))
+
+
+def ratio_bound(a: Column, b: Column) -> Column:
+    """What the ratio of two titles with these letter counts cannot exceed: twice the letters they share over all; 1 without counts."""
+    total = lambda x: F.aggregate(x, F.lit(0), lambda s, v: s + v)
+    shared = total(F.zip_with(a, b, lambda x, y: F.least(x, y)))
+    return F.coalesce(F.try_divide(2.0 * shared, total(a) + total(b)), F.lit(1.0))
 
 
 def similar_links(papers: DataFrame, dataset: DataFrame, least: float = MEDIUM) -> DataFrame:
     """(paper_id, corpus_id, similarity): the best candidate of the year whose title holds the first long words in order.
 
-    Candidates share the year and, so that the pattern is no theta join, the first long word; ties go
-    to the smallest corpus_id.  All candidates are ranked, not a page of them (JN16, T13).
+    Different titles of a year meet once, whatever the number of rows that have them: candidates are
+    those whose title holds all of the first three long words (``containing``), in order, and whose
+    letters could reach ``least``; the ratio itself is computed for those alone.  Ties go to the
+    smallest corpus_id.  All candidates are ranked, not a page of them (JN16, T13).
     """
-    long = lambda t: F.filter(F.split(F.lower(t), " "), lambda w: F.length(w) > 3)
-    a = papers.select("paper_id", "year", "title", like_pattern(F.col("title")).alias("pattern"), F.get(long(F.col("title")), F.lit(0)).alias("w"))
-    b = dataset.select("corpus_id", "year", F.col("title").alias("other"), F.explode(F.array_distinct(long(F.col("title")))).alias("w"))
-    pairs = a.join(b, ["year", "w"]).where(F.expr("lower(other) LIKE pattern"))
-    scored = pairs.select("paper_id", "corpus_id", title_similarity("title", "other").alias("similarity")).where(F.col("similarity") >= least)
-    best = Window.partitionBy("paper_id").orderBy(F.desc("similarity"), "corpus_id")
-    return scored.withColumn("_p", F.row_number().over(best)).where("_p = 1").drop("_p")
+    words = F.slice(F.filter(F.split(F.lower("title"), " "), lambda w: F.length(w) > 3), 1, 3)
+    a = papers.where("year IS NOT NULL").select("year", "title").distinct()
+    a = a.select("year", "title", words.alias("needles"), like_pattern(F.col("title")).alias("pattern"), letter_counts(F.col("title")).alias("counts"))
+    b = dataset.where("year IS NOT NULL").groupBy("year", F.col("title").alias("other")).agg(F.min("corpus_id").alias("corpus_id"))
+    b = b.select("year", "other", F.lower("other").alias("text"), "corpus_id", letter_counts(F.col("other")).alias("other_counts"))
+    pairs = containing(a, b, ["year"], (4,)).where(F.expr("text LIKE pattern")).where(ratio_bound(F.col("counts"), F.col("other_counts")) >= least - 1e-9)
+    scored = pairs.select("year", "title", "corpus_id", title_similarity("title", "other").alias("similarity")).where(F.col("similarity") >= least)
+    best = scored.groupBy("year", "title").agg(F.min(F.struct((-F.col("similarity")).alias("s"), "corpus_id")).alias("b"))
+    found = papers.select("paper_id", "year", "title").join(best, ["year", "title"])
+    return found.select("paper_id", "b.corpus_id", (-F.col("b.s")).alias("similarity"))
 
 
 def link_cascade(papers: DataFrame, dataset: DataFrame, provider: DataFrame | None = None) -> DataFrame:
