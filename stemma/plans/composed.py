@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.functions import text as tx
-from stemma.operators import authors, bloom, incremental, linking, venues
+from stemma.operators import authors, bloom, incremental, linking, setjoin, venues
 from stemma.plans.profiles import AS_OF_YEAR, AUTH_SQL
 from stemma.session import shared_path, table
 from stemma.sources import tables
@@ -284,6 +284,58 @@ def tier_cascade(spark: Session, sf: str) -> DataFrame:
     return linking.link_cascade(papers, t.where("p_partkey % 2 = 1").withColumnRenamed("p_partkey", "corpus_id"))
 
 
+#: Longest common blocks, first in the left and then in the right title, and again on both sides of each: the ratio by recursion.
+TIER_SQL_TWIN = """
+WITH RECURSIVE t AS (
+    SELECT p_partkey, p_size AS year, p_name AS title, list_filter(string_split(lower(p_name), ' '), lambda x: length(x) > 3)[1:3] AS w FROM part
+), papers AS (SELECT p_partkey AS paper_id, year, title, '%' || array_to_string(list_transform(w, lambda x: regexp_replace(x, '([%_\\\\])', '\\\\\\1', 'g')), '%') || '%' AS pattern, len(w) AS words FROM t WHERE p_partkey % 2 = 0),
+dataset AS (SELECT p_partkey AS corpus_id, year, title AS other FROM t WHERE p_partkey % 2 = 1),
+exact AS (SELECT paper_id, min(corpus_id) AS corpus_id FROM papers p JOIN dataset d ON p.year = d.year AND lower(title) = lower(other) AND title <> '' GROUP BY paper_id),
+near AS (
+    SELECT paper_id, corpus_id, title, other FROM papers p JOIN dataset d ON p.year = d.year AND words > 0 AND lower(other) LIKE pattern ESCAPE '\\'
+    WHERE paper_id NOT IN (SELECT paper_id FROM exact)
+), pairs AS (
+    SELECT title, other, regexp_replace(lower(title), '[^a-z0-9 ]', '', 'g') AS x, regexp_replace(lower(other), '[^a-z0-9 ]', '', 'g') AS y FROM (SELECT DISTINCT title, other FROM near)
+), common AS (
+    SELECT title, other, i, j, k FROM pairs, range(1, 60) a(i), range(1, 60) b(j), range(1, 60) c(k)
+    WHERE i + k - 1 <= length(x) AND j + k - 1 <= length(y) AND substr(x, i, k) = substr(y, j, k)
+), parts AS (
+    SELECT title, other, 1 AS alo, length(x) AS ahi, 1 AS blo, length(y) AS bhi, 0 AS size FROM pairs
+    UNION ALL
+    SELECT title, other, CASE WHEN side = 0 THEN alo WHEN side = 1 THEN i + k ELSE 1 END, CASE WHEN side = 0 THEN i - 1 WHEN side = 1 THEN ahi ELSE 0 END,
+        CASE WHEN side = 0 THEN blo WHEN side = 1 THEN j + k ELSE 1 END, CASE WHEN side = 0 THEN j - 1 WHEN side = 1 THEN bhi ELSE 0 END, CASE WHEN side = 2 THEN k ELSE 0 END
+    FROM (
+        SELECT p.*, i, j, k FROM parts p JOIN common c ON c.title = p.title AND c.other = p.other AND i >= alo AND i + k - 1 <= ahi AND j >= blo AND j + k - 1 <= bhi
+        QUALIFY row_number() OVER (PARTITION BY p.title, p.other, alo, ahi, blo, bhi ORDER BY k DESC, i, j) = 1
+    ), (SELECT unnest([0, 1, 2]) AS side)
+), ratios AS (
+    SELECT p.title, p.other, 2.0E0 * sum(size) / (any_value(length(x)) + any_value(length(y))) AS s FROM parts q JOIN pairs p ON p.title = q.title AND p.other = q.other GROUP BY p.title, p.other
+), best AS (
+    SELECT paper_id, corpus_id, s FROM near n JOIN ratios r ON n.title = r.title AND n.other = r.other WHERE s >= 0.7
+    QUALIFY row_number() OVER (PARTITION BY paper_id ORDER BY s DESC, corpus_id) = 1
+), found AS (SELECT paper_id, corpus_id, 1.0E0 AS s FROM exact UNION ALL SELECT * FROM best)
+SELECT p.paper_id, f.corpus_id, CASE WHEN f.paper_id IS NULL THEN 'No Match' ELSE 'Dataset Match' END AS match_method, CAST(coalesce(s, 0) AS DECIMAL(5, 3)) AS match_confidence,
+    CASE WHEN s >= 0.85 THEN 'Tier1_Dataset_High' WHEN s IS NOT NULL THEN 'Tier1_Dataset_Medium' ELSE 'Tier3_NoMatch' END AS validation_tier
+FROM papers p LEFT JOIN found f ON p.paper_id = f.paper_id
+"""
+
+
+def title_set_pairs(spark: Session, sf: str) -> DataFrame:
+    """JN16, TX12: pairs of different page addresses whose sets of 4-grams are similar by 0.8 or more."""
+    titles = table(spark, sf, "pages").where("url <> ''").groupBy(F.lower("url").alias("title")).agg(F.min("page_id").alias("id"))
+    sets = titles.select("id", F.array_sort(setjoin.grams(F.col("title"), 4)).alias("tokens")).groupBy("tokens").agg(F.min("id").alias("id"))
+    return setjoin.similar_sets(sets, 0.8).select("a", "b", "shared", F.round("similarity", 6).alias("similarity"))
+
+
+SET_PAIRS_SQL = """
+WITH t AS (SELECT lower(url) AS title, min(page_id) AS id FROM pages WHERE url <> '' GROUP BY 1),
+g AS (SELECT id, list_sort(list_distinct(list_transform(range(1, greatest(1, length(title) - 3) + 1), lambda i: substr(title, i, 4)))) AS tokens FROM t),
+s AS (SELECT min(id) AS id, tokens FROM g GROUP BY tokens),
+p AS (SELECT x.id AS a, y.id AS b, len(list_intersect(x.tokens, y.tokens)) AS shared, len(x.tokens) + len(y.tokens) AS total FROM s x JOIN s y ON x.id < y.id)
+SELECT a, b, CAST(shared AS INTEGER) AS shared, round(shared / CAST(total - shared AS DOUBLE), 6) AS similarity FROM p WHERE shared / CAST(total - shared AS DOUBLE) >= 0.8
+"""
+
+
 def completeness_score(spark: Session, sf: str) -> DataFrame:
     """MT15, T11: required fields without a column count as missing."""
     d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
@@ -977,7 +1029,7 @@ QUERIES = {
     "title_key": title_keys, "name_normalize": person_names, "initialism_key": initials, "like_pattern": like_patterns, "venue_normalize": venues_normal,
     "venue_short_code": venue_codes, "identifier_parts": identifiers, "venue_resolve": venue_resolve, "venue_mapping_build": venue_mapping,
     "venue_mapping_stats": venue_mapping_stats, "venue_pattern_join": venue_pattern_join, "cosine_top1": cosine_top1, "two_layer_match": two_layer_match,
-    "exact_title_link": exact_title_link, "tier_cascade": tier_cascade, "completeness_score": completeness_score, "author_match_exact": author_match_exact,
+    "exact_title_link": exact_title_link, "tier_cascade": tier_cascade, "title_set_pairs": title_set_pairs, "completeness_score": completeness_score, "author_match_exact": author_match_exact,
     "author_match_initials": author_match_initials, "authorships": authorships, "match_statistics": match_statistics, "author_profile_by_name": author_profile_by_name,
     "cache_merge": cache_merge, "fetched_merge": fetched_merge, "contains_list_join": contains_list_join, "fill_only_missing": fill_only_missing,
     "final_author_table": final_author_table, "golden_checks": golden_checks, "author_explode": author_explode, "last_author_json": last_author_json,
@@ -996,7 +1048,7 @@ ORACLES = {
     "name_normalize": PERSON_SQL, "initialism_key": INITIALS_SQL, "like_pattern": LIKE_SQL, "venue_normalize": VENUE_SQL, "venue_short_code": CODES_SQL,
     "identifier_parts": IDENTIFIERS_SQL, "venue_resolve": _venue_resolve_sql(), "venue_mapping_build": _venue_mapping_sql(),
     "venue_mapping_stats": f"SELECT coalesce(conference, 'none') AS conference, count(*) AS venues FROM ({_venue_mapping_sql()}) GROUP BY 1 ORDER BY venues DESC, conference LIMIT 20",
-    "venue_pattern_join": PATTERN_SQL, "cosine_top1": COSINE_SQL, "two_layer_match": TWO_SQL, "exact_title_link": EXACT_SQL, "completeness_score": COMPLETE_SQL,
+    "venue_pattern_join": PATTERN_SQL, "cosine_top1": COSINE_SQL, "two_layer_match": TWO_SQL, "exact_title_link": EXACT_SQL, "tier_cascade": TIER_SQL_TWIN, "title_set_pairs": SET_PAIRS_SQL, "completeness_score": COMPLETE_SQL,
     "author_match_exact": MATCH1_SQL, "author_match_initials": MATCH3_SQL, "match_statistics": MATCH_STATS_SQL, "author_profile_by_name": PROFILE_NAME_SQL,
     "cache_merge": CACHE_SQL, "fetched_merge": FETCHED_SQL, "contains_list_join": CONTAINS_SQL, "fill_only_missing": FILL_SQL, "final_author_table": FINAL_SQL,
     "golden_checks": _golden_sql(), "author_explode": EXPLODE_SQL, "last_author_json": LAST_SQL, "json_props": JSON_SQL, "export_pipe_join": EXPORT_SQL,
