@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.functions.text import has_context, has_year, is_short, venue_normal, whole_word
+from stemma.operators.anchors import best_anchor
+from stemma.operators.setjoin import containing
 from stemma.sources import tables
 
 #: Conference codes used when no list is given.
@@ -80,14 +82,6 @@ PHRASES = {
 }
 
 
-#: Patterns or anchors that are broadcast at most; some hundred bytes each.
-MOST_PATTERNS = 50_000
-
-
-def _small(side: DataFrame, most: int | None = None) -> DataFrame:
-    """``side`` with a broadcast hint if it is counted as small; a larger one is left to the planner's distributed join."""
-    most = MOST_PATTERNS if most is None else most
-    return F.broadcast(side) if side.limit(most + 1).count() <= most else side
 
 
 def read_codes(spark: SparkSession, path: str | None = None, column: str = "Conference") -> list[str]:
@@ -145,6 +139,29 @@ def conference_patterns(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "conference string, pattern string, match_type string").distinct()
 
 
+def dimension_from(names: DataFrame, aliases: list[str], phrases: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The dimension of the different codes in a table: (conferences, aliases, patterns) as above (MT8, MT9).
+
+    ``names(code, ...)`` has other names of the code in the columns ``aliases`` and phrases in
+    ``phrases``; blank codes and names are none.  ``ord`` follows the codes' order and may have gaps: it comes from a
+    distributed sort, not from a window over the whole table.
+    """
+    rows = names.where("code <> ''")
+
+    def unpivot(columns: list[str], name: str) -> DataFrame:
+        found = rows.select(F.col("code").alias("conference"), F.explode(F.array(*[F.col(c) for c in columns])).alias(name)) if columns else None
+        return found.where(f"{name} <> ''").distinct() if columns else rows.select(F.col("code").alias("conference"), F.lit("").alias(name)).limit(0)
+
+    codes = rows.select(F.col("code").alias("conference")).distinct()
+    ordered = codes.orderBy("conference").select("conference", F.lit(None).cast("string").alias("full_name"), F.monotonically_increasing_id().alias("ord"))
+    other = unpivot(aliases, "alias").where("lower(alias) <> lower(conference)")
+    named = codes.select("conference", F.col("conference").alias("alias"), F.lit(100).alias("priority")).unionAll(other.select("conference", "alias", F.lit(50)))
+    patterns = codes.select("conference", F.lower("conference").alias("pattern"), F.lit("exact").alias("match_type"))
+    patterns = patterns.unionAll(other.select("conference", F.lower("alias"), F.lit("alias")).distinct())
+    patterns = patterns.unionAll(unpivot(phrases, "phrase").select("conference", F.lower("phrase"), F.lit("contains")).distinct())
+    return ordered, named, patterns
+
+
 def matcher_patterns(dimension: DataFrame, aliases: DataFrame) -> DataFrame:
     """(kind, pattern, conference, ord) in lower case: kind ``full``, ``code`` or ``alias``.
 
@@ -164,30 +181,37 @@ def _hit(text: Column, venue: Column, with_year: bool) -> Column:
     return F.when(is_short(F.col("pattern")), whole_word(text, F.col("pattern")) & shown).otherwise(F.contains(text, F.col("pattern")))
 
 
+def _hits(venues: DataFrame, patterns: DataFrame) -> DataFrame:
+    """``venues(venue, low, norm)`` with every pattern that their text holds: ``again`` when it is the norm, looked at where it differs."""
+    again = (F.col("norm") != "") & (F.col("norm") != F.col("low"))
+    two = F.array(F.struct(F.col("low").alias("text"), F.lit(False).alias("again")), F.struct(F.when(again, F.col("norm")).alias("text"), F.lit(True).alias("again")))
+    texts = venues.select("venue", F.explode(two).alias("t")).select("venue", "t.text", "t.again").where("text <> ''")
+    return containing(patterns.distinct().withColumn("needles", F.array("pattern")), texts, [])
+
+
 def resolve_venues(venues: DataFrame, patterns: DataFrame, venue: str = "venue_raw") -> DataFrame:
     """(venue, conference, strategy) of each different venue that some strategy resolves (MT3).
 
     0 full name equal, 1 full name inside, 2 code equal, 3 alias inside, 4 code inside, 5 the venue
     without its usual beginnings: full names, then codes.  Within a strategy the longest pattern
-    first, then load order.  Venues are made distinct first; the pattern side is the dimension table,
-    some hundred rows, broadcast after a count, and each venue keeps one row through a map-side minimum.
+    first, then load order.  Venues are made distinct first; a venue meets only patterns that stand in
+    it, found by their rarest grams (``containing``), and keeps one row through a map-side minimum.
     """
     v = venues.select(F.col(venue).alias("venue")).where("venue <> ''").distinct()
     v = v.withColumn("low", F.trim(F.lower("venue"))).withColumn("norm", venue_normal(F.col("venue")))
-    low, norm, raw, kind = F.col("low"), F.col("norm"), F.col("venue"), F.col("kind")
-    inside = _hit(low, raw, True)
-    again = (norm != "") & (norm != low)
+    text, raw, kind = F.col("text"), F.col("venue"), F.col("kind")
+    inside, shown = _hit(text, raw, True), ~F.col("again")
     strategy = (
-        F.when((kind == "full") & (low == F.col("pattern")), 0)
-        .when((kind == "full") & F.contains(low, F.col("pattern")), 1)
-        .when((kind == "code") & (low == F.col("pattern")), 2)
-        .when((kind == "alias") & inside, 3)
-        .when((kind == "code") & inside, 4)
-        .when((kind == "full") & again & F.contains(norm, F.col("pattern")), 5)
-        .when((kind == "code") & again & _hit(norm, raw, False), 6)
+        F.when(shown & (kind == "full") & (text == F.col("pattern")), 0)
+        .when(shown & (kind == "full"), 1)
+        .when(shown & (kind == "code") & (text == F.col("pattern")), 2)
+        .when(shown & (kind == "alias") & inside, 3)
+        .when(shown & (kind == "code") & inside, 4)
+        .when(~shown & (kind == "full"), 5)
+        .when(~shown & (kind == "code") & _hit(text, raw, False), 6)
     )
     rank = F.struct("strategy", (-F.length("pattern")).alias("short"), "ord")
-    joined = v.join(_small(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
+    joined = _hits(v, patterns).withColumn("strategy", strategy).where("strategy IS NOT NULL")
     best = joined.groupBy("venue").agg(F.min_by(F.struct("conference", "strategy"), rank).alias("b"))
     return best.select("venue", "b.conference", F.least(F.col("b.strategy"), F.lit(5)).alias("strategy"))
 
@@ -195,15 +219,16 @@ def resolve_venues(venues: DataFrame, patterns: DataFrame, venue: str = "venue_r
 def resolve_venues_simple(venues: DataFrame, patterns: DataFrame, venue: str = "venue_raw") -> DataFrame:
     """The older matcher: equal, code inside, alias inside, code in the normalised venue; longest first (MT4)."""
     v = venues.select(F.col(venue).alias("venue")).where("venue <> ''").distinct()
-    low, norm, pattern, kind = F.trim(F.lower("venue")), venue_normal(F.col("venue")), F.col("pattern"), F.col("kind")
+    v = v.withColumn("low", F.trim(F.lower("venue"))).withColumn("norm", venue_normal(F.col("venue")))
+    shown, kind = ~F.col("again"), F.col("kind")
     strategy = (
-        F.when((kind == "code") & (low == pattern), 1)
-        .when((kind == "code") & F.contains(low, pattern), 2)
-        .when((kind == "alias") & F.contains(low, pattern), 3)
-        .when((kind == "code") & F.contains(norm, pattern), 4)
+        F.when(shown & (kind == "code") & (F.col("text") == F.col("pattern")), 1)
+        .when(shown & (kind == "code"), 2)
+        .when(shown & (kind == "alias"), 3)
+        .when(~shown & (kind == "code"), 4)
     )
     rank = F.struct("strategy", (-F.length("pattern")).alias("short"), "pattern")
-    joined = v.join(_small(patterns), strategy.isNotNull()).withColumn("strategy", strategy)
+    joined = _hits(v, patterns).withColumn("strategy", strategy).where("strategy IS NOT NULL")
     return joined.groupBy("venue").agg(F.min_by("conference", rank).alias("conference"))
 
 
@@ -212,29 +237,20 @@ def pattern_join(papers: DataFrame, patterns: DataFrame, venue: str, key: str) -
 
     One row for each paper: exact before alias before contains, then the longest pattern.
     """
-    low = F.lower(F.col(venue))
     kind = F.when(F.col("match_type") == "exact", 0).when(F.col("match_type") == "alias", 1).otherwise(2)
     rank = F.struct(kind, -F.length("pattern"), "pattern", "conference")
-    distinct = papers.select(F.col(venue)).distinct()
-    best = distinct.join(_small(patterns), (low == F.col("pattern")) | F.contains(low, F.col("pattern")))
-    best = best.groupBy(venue).agg(F.min_by("conference", rank).alias("conference"))
+    texts = papers.select(F.col(venue).alias("venue"), F.lower(venue).alias("text")).where("text <> ''").distinct()
+    best = containing(patterns.select("conference", "pattern", "match_type").distinct().withColumn("needles", F.array("pattern")), texts, [])
+    best = best.groupBy("venue").agg(F.min_by("conference", rank).alias("conference")).withColumnRenamed("venue", venue)
     return papers.join(best, venue)
 
 
-def cosine(a: Column, b: Column) -> Column:
-    """Cosine of two number arrays in double precision, inside the JVM."""
-    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return dot(a, b) / (F.sqrt(dot(a, a)) * F.sqrt(dot(b, b)))
-
-
 def cosine_top1(rows: DataFrame, anchors: DataFrame, least: float) -> DataFrame:
     """(id, conference, score): the most similar anchor at ``least`` or more; ties: the first anchor (TX16).
 
-    ``rows(id, vector)``, ``anchors(conference, ord, vector)``; the anchors are the conference table.
+    ``rows(id, vector)``, ``anchors(conference, ord, vector)``; see ``anchors.best_anchor``.
     """
-    scored = rows.join(_small(anchors.withColumnRenamed("vector", "anchor"))).select("id", "conference", "ord", cosine(F.col("vector"), F.col("anchor")).alias("score"))
-    best = scored.groupBy("id").agg(F.max_by(F.struct("conference", "score"), F.struct("score", -F.col("ord"))).alias("b"))
-    return best.where(F.col("b.score") >= least).select("id", "b.conference", "b.score")
+    return best_anchor(rows, anchors, least)
 
 
 def two_layers(exact: DataFrame, by_cosine: DataFrame) -> DataFrame:

@@ -875,21 +875,45 @@ SELECT venue, conference FROM r WHERE place = 1
 
 
 def conference_dimension(spark: Session, sf: str) -> DataFrame:
-    """MT8, MT9, MT18: codes, aliases by priority and match types of the conference tables, counted."""
-    a = venues.conference_aliases(spark).select("conference", F.concat(F.lit("alias "), F.col("priority").cast("string")).alias("kind"))
-    rows = venues.conferences(spark).select("conference", F.lit("code").alias("kind")).unionByName(a)
-    rows = rows.unionByName(venues.conference_patterns(spark).select("conference", F.concat(F.lit("pattern "), F.col("match_type")).alias("kind")))
-    return rows.groupBy("kind").agg(F.count("*").alias("rows"), F.count_distinct("conference").alias("conferences"))
+    """MT8, MT9, MT18: codes, aliases by priority and match types of a dimension that is built from the pages' addresses, counted."""
+    names = table(spark, sf, "pages").select(F.regexp_extract("url", "//([^./]+)[.]", 1).alias("code"), F.regexp_extract("url", "//([^/]+)", 1).alias("alias"), F.regexp_extract("url", "//[^/]+/([^/]+)", 1).alias("phrase"))
+    d, a, p = venues.dimension_from(names, ["alias"], ["phrase"])
+    kinds = d.select("conference", F.lit("code").alias("kind"))
+    kinds = kinds.unionByName(a.select("conference", F.concat(F.lit("alias "), F.col("priority").cast("string")).alias("kind")))
+    kinds = kinds.unionByName(p.select("conference", F.concat(F.lit("pattern "), F.col("match_type")).alias("kind")))
+    return kinds.groupBy("kind").agg(F.count("*").alias("rows"), F.count_distinct("conference").alias("conferences"))
+
+
+DIMENSION_SQL = """
+WITH n AS (SELECT regexp_extract(url, '//([^./]+)[.]', 1) AS code, regexp_extract(url, '//([^/]+)', 1) AS alias, regexp_extract(url, '//[^/]+/([^/]+)', 1) AS phrase FROM pages),
+k AS (SELECT * FROM n WHERE code <> ''),
+r AS (SELECT code, 'code' AS kind, code AS value FROM k UNION SELECT code, 'alias 100', code FROM k UNION SELECT code, 'alias 50', alias FROM k WHERE alias <> '' AND lower(alias) <> lower(code)
+      UNION SELECT code, 'pattern exact', lower(code) FROM k UNION SELECT code, 'pattern alias', lower(alias) FROM k WHERE alias <> '' AND lower(alias) <> lower(code)
+      UNION SELECT code, 'pattern contains', lower(phrase) FROM k WHERE phrase <> '')
+SELECT kind, count(*) AS rows, count(DISTINCT code) AS conferences FROM r GROUP BY kind
+"""
 
 
-def _dimension_sql() -> str:
-    codes, both = venues.CONFERENCES, [(c, a) for c, names in venues.ALIASES.items() for a in names]
-    rows = [(c, "", "code") for c in codes] + [(c, c, "alias 100") for c in codes]
-    rows += [(c, a, "alias 50") for c, a in both if a.lower() != c.lower()]
-    rows += [(c, c.lower(), "pattern exact") for c in codes] + [(c, a.lower(), "pattern alias") for c, a in both]
-    rows += [(c, x, "pattern contains") for c, phrases in venues.PHRASES.items() for x in phrases]
-    values = ", ".join(f"({sql_text(c)}, {sql_text(a)}, {sql_text(k)})" for c, a, k in rows)
-    return f"SELECT kind, count(*) AS rows, count(DISTINCT conference) AS conferences FROM (SELECT DISTINCT * FROM (VALUES {values}) v(conference, alias, kind)) GROUP BY kind"
+def kept_anchor_match(spark: Session, sf: str) -> DataFrame:
+    """MT6, TX16: part names against the vectors kept of the largest parts' names, read back from their table."""
+    counts = lambda c: F.transform(linking.letter_counts(F.col(c)), lambda n: n.cast("double"))
+    parts = table(spark, sf, "part")
+    texts = parts.where("p_size = 50").groupBy(F.col("p_name").alias("text")).agg(F.min("p_partkey").cast("string").alias("conference")).select("conference", "text")
+    path, embed = shared_path(spark, "kept-vectors"), lambda t: t.withColumn("vector", counts("text"))
+    venues.kept_vectors(spark, path, texts, embed)
+    kept = venues.kept_vectors(spark, path, texts, embed)
+    anchors_ = kept.select("conference", F.col("conference").cast("bigint").alias("ord"), "vector")
+    rows = parts.select(F.col("p_partkey").alias("id"), counts("p_name").alias("vector"))
+    return venues.cosine_top1(rows, anchors_, 0.5).select("id", "conference", F.round("score", 4).alias("score"))
+
+
+KEPT_SQL = """
+WITH v AS (SELECT p_partkey, p_name, p_size, list_transform(string_split('abcdefghijklmnopqrstuvwxyz0123456789 ', ''), lambda c: CAST(length(lower(p_name)) - length(replace(lower(p_name), c, '')) AS DOUBLE)) AS v FROM part),
+a AS (SELECT min(p_partkey) AS ord, any_value(v) AS v FROM v WHERE p_size = 50 GROUP BY p_name)
+SELECT p_partkey AS id, CAST(ord AS VARCHAR) AS conference, round(s, 4) AS score FROM (
+  SELECT p_partkey, ord, list_cosine_similarity(v.v, a.v) AS s, row_number() OVER (PARTITION BY p_partkey ORDER BY round(list_cosine_similarity(v.v, a.v), 12) DESC, ord) AS place FROM v, a)
+WHERE place = 1 AND s >= 0.5
+"""
 
 
 # --- partitions, shares, tiers by the library's functions ----------------------------------------
@@ -1037,7 +1061,7 @@ QUERIES = {
     "insert_ignore": insert_ignore, "partial_overwrite": partial_overwrite, "upsert_counts": upsert_counts, "delete_release": delete_release,
     "dedupe_keep_first": dedupe_keep_first, "papers_needing_enrichment": papers_needing_enrichment, "papers_new_or_updated": papers_new_or_updated,
     "stale_cache_ids": stale_cache_ids, "resume_files": resume_files, "last_success": last_success, "bloom_sizing": bloom_sizing, "bloom_membership": bloom_membership,
-    "authorships_two_tiers": authorships_two_tiers, "open_access_fields": open_access_fields, "venue_resolve_simple": venue_resolve_simple, "conference_dimension": conference_dimension,
+    "authorships_two_tiers": authorships_two_tiers, "open_access_fields": open_access_fields, "venue_resolve_simple": venue_resolve_simple, "conference_dimension": conference_dimension, "kept_anchor_match": kept_anchor_match,
     "partition_equality": partition_equality, "partition_unpruned": partition_unpruned, "partition_range": partition_range, "partition_top_years": partition_top_years,
     "partition_listing": partition_listing, "year_distribution_pct": year_shares, "author_h_index": author_h_index, "tier_of_method": tier_of_method,
     "populated_share": populated_share, "seeded_sample": seeded_sample, "rule_violations": rule_violations,
@@ -1056,7 +1080,7 @@ ORACLES = {
     "partial_overwrite": OVERWRITE_SQL, "upsert_counts": COUNTS_SQL, "delete_release": "SELECT count(*) FILTER (o_orderstatus = 'F') AS deleted FROM orders",
     "dedupe_keep_first": DEDUPE_SQL, "papers_needing_enrichment": NEEDING_SQL, "papers_new_or_updated": NEW_SQL, "stale_cache_ids": STALE_SQL, "resume_files": RESUME_SQL,
     "last_success": LAST_SUCCESS_SQL, "bloom_sizing": BLOOM_SQL, "bloom_membership": BLOOM_ASKED_SQL,
-    "authorships_two_tiers": _two_tiers_sql(), "open_access_fields": OPEN_SQL, "venue_resolve_simple": _simple_sql(), "conference_dimension": _dimension_sql(),
+    "authorships_two_tiers": _two_tiers_sql(), "open_access_fields": OPEN_SQL, "venue_resolve_simple": _simple_sql(), "conference_dimension": DIMENSION_SQL, "kept_anchor_match": KEPT_SQL,
     "partition_equality": f"SELECT paper_id, citations FROM {PAPERS_SQL} WHERE year = 1997 AND conference = '1-URGENT'",
     "partition_unpruned": f"SELECT paper_id, year FROM {PAPERS_SQL} WHERE conference = '5-LOW'",
     "partition_range": f"SELECT year, count(*) AS papers FROM {PAPERS_SQL} WHERE year BETWEEN 1996 AND 1999 GROUP BY year",

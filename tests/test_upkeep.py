@@ -24,12 +24,18 @@ def test_codes_from_csv_or_fixed(spark, tmp_path):
     assert venues.read_codes(spark, str(tmp_path / "d.csv")) == venues.read_codes(spark) == sorted(venues.CONFERENCES)
 
 
-def test_large_pattern_tables_are_not_broadcast(spark, monkeypatch):
-    v = spark.createDataFrame([("icml 2020",), ("other",)], "venue_raw string")
-    p = venues.matcher_patterns(venues.conferences(spark, ["ICML", "CC"]), venues.conference_aliases(spark, ["ICML", "CC"], {}))
-    small = {tuple(r) for r in venues.resolve_venues(v, p).collect()}
-    monkeypatch.setattr(venues, "MOST_PATTERNS", 1)
-    assert {tuple(r) for r in venues.resolve_venues(v, p).collect()} == small == {("icml 2020", "ICML", 4)}
+def test_venues_meet_only_patterns_inside_them(spark):
+    """A hundred thousand patterns and no nested-loop join, as many codes as there are venues."""
+    codes = spark.range(100_000).select(F.concat(F.lit("conf"), F.lpad("id", 6, "0")).alias("conference"))
+    p = codes.select(F.lit("code").alias("kind"), F.col("conference").alias("pattern"), "conference", F.monotonically_increasing_id().alias("ord"))
+    v = spark.createDataFrame([("Proceedings of conf000123 2020",), ("conf099999",), ("other",)], "venue_raw string")
+    found = venues.resolve_venues(v, p)
+    assert {tuple(r) for r in found.collect()} == {("Proceedings of conf000123 2020", "conf000123", 4), ("conf099999", "conf099999", 2)}
+    joined = venues.pattern_join(v, p.select("conference", "pattern", F.lit("contains").alias("match_type")), "venue_raw", "venue_raw")
+    assert joined.count() == 2
+    for df in (found, venues.resolve_venues_simple(v, p), joined):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan
 
 
 def test_vectors_are_kept_until_texts_change(spark, tmp_path):
