@@ -19,7 +19,7 @@ LONGEST, DEPTH, BLOCK = 5, 2, 1 << 16
 #: its words has a code point of its own.
 SHARD_BYTES, SHARD_WORDS = 8 << 20, 800_000
 #: A sketch has one cell for so many bytes of text, and no more than MOST_CELLS, so that a task can hold it.
-BYTES_A_CELL, LEAST_CELLS, MOST_CELLS = 256, 1 << 16, 1 << 26
+BYTES_A_CELL, LEAST_CELLS, MOST_CELLS = 64, 1 << 16, 1 << 26
 #: Phrases whose counts a task adds up before it sends them.
 REMEMBERED = 400_000
 
