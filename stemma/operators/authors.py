@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from stemma.functions.similarity import name_score
+from stemma.functions.similarity import name_scores
 from stemma.functions.text import initials_key, person_name
 
 
@@ -30,17 +31,8 @@ def _pairing(rows: DataFrame, key: Column, name: str) -> DataFrame:
     return rows.withColumn(name, F.col(f"{name}_key").isNotNull() & (F.col(f"{name}_k") <= least))
 
 
-def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:
-    """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): one-to-one matches in each paper.
-
-    ``names(paper_id, name_pos, name)`` and ``candidates(paper_id, cand_pos, cand_id, cand_name)``.
-    Tiers: equal normalised names, equal initials with equal last token, best similarity over
-    ``least``; within a tier by position.  Names and candidates go in one table that is dealt by paper
-    once; the first two tiers are windows over it, and only what they leave, in papers that have both
-    names and candidates left, goes to the sequential third in Python, if ``tiers`` has it.  Candidates
-    with blank names are dropped.  (A tier for repeated names by position can never find anything
-    after the first, and has no plan here.)
-    """
+def _assigned(names: DataFrame, candidates: DataFrame, least: int, tiers: tuple[str, ...]) -> DataFrame:
+    """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): every name, with nulls where it has no match; see ``match_authors``."""
     id_type, paper_type = (df.schema[c].dataType.simpleString() for df, c in ((candidates, "cand_id"), (names, "paper_id")))
     left = names.select("paper_id", F.col("name_pos").alias("pos"), F.lit(0).alias("side"), F.lit(None).cast(id_type).alias("cand_id"), F.col("name").alias("text"))
     right = candidates.where(F.trim("cand_name") != "").select("paper_id", F.col("cand_pos").alias("pos"), F.lit(1).alias("side"), "cand_id", F.col("cand_name").alias("text"))
@@ -52,33 +44,86 @@ def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85, tier
         rows = rows.withColumns({"initials": F.lit(False), "initials_key": F.lit(None).cast("string"), "initials_k": F.lit(None).cast("int")})
     rows = rows.withColumn("tier", F.when(F.col("exact"), "exact").when(F.col("initials"), "initials"))
     pick = {c: F.when(F.col("exact"), F.col(f"exact_{c}")).otherwise(F.col(f"initials_{c}")) for c in ("key", "k")}
-    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
-    found = rows.where("tier IS NOT NULL").withColumns({"_key": pick["key"], "_k": pick["k"]}).groupBy("paper_id", "tier", "_key", "_k").agg(
-        of(0, "pos").alias("name_pos"), of(0, "text").alias("name"), of(1, "pos").alias("cand_pos"), of(1, "cand_id").alias("cand_id"), of(1, "text").alias("cand_name")
-    ).drop("_key", "_k")
-    if "similar" not in tiers:
-        return found
-    listed = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, F.struct("pos", "norm"))))
-    rest = rows.where("tier IS NULL").groupBy("paper_id").agg(listed(0).alias("names"), listed(1).alias("cands")).where("size(names) > 0 AND size(cands) > 0")
-
-    def greedy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        score_of = functools.lru_cache(1 << 16)(name_score)  # names meet again in other papers
-        for batch in batches:
-            out = []
-            for paper, ns, cs in zip(batch.paper_id, batch.names, batch.cands, strict=True):
-                free = [(c["pos"], c["norm"]) for c in cs]
-                for n in ns:
-                    best, place = least, None
-                    for k, (_, norm) in enumerate(free):
-                        if (score := score_of(n["norm"], norm)) > best:
-                            best, place = score, k
-                    if place is not None:
-                        out.append((paper, n["pos"], free.pop(place)[0], "similar"))
-            yield pd.DataFrame(out, columns=["paper_id", "name_pos", "cand_pos", "tier"])
-
-    similar = rest.mapInPandas(greedy, f"paper_id {paper_type}, name_pos int, cand_pos int, tier string")
-    similar = similar.join(names, ["paper_id", "name_pos"]).join(candidates, ["paper_id", "cand_pos"])
-    return found.unionByName(similar)
+    # one list for each paper: what the tiers have paired, by pair, and what they have left
+    link = F.when(F.col("tier").isNotNull(), F.concat_ws("\x00", "tier", pick["k"].cast("string"), pick["key"]))
+    entry = F.struct("pos", "norm", "cand_id", "text", "tier", link.alias("link"))
+    listed = lambda side: F.array_sort(F.collect_list(F.when(F.col("side") == side, entry)))
+    papers = rows.groupBy("paper_id").agg(listed(0).alias("names"), listed(1).alias("cands")).where("size(names) > 0")
+    partner = F.map_from_entries(F.transform(F.filter("cands", lambda c: c["link"].isNotNull()), lambda c: F.struct(c["link"], c)))
+    papers = papers.select("paper_id", "names", F.filter("cands", lambda c: c["link"].isNull()).alias("free"), partner.alias("partner"))
+    papers = papers.withColumn("asking", F.filter("names", lambda n: n["link"].isNull()))
+
+    def unmatched(df: DataFrame) -> DataFrame:
+        return df.withColumn("picks", F.transform("asking", lambda n: F.lit(-1)))
+
+    if "similar" in tiers:
+        # papers without a name or a candidate left do not visit Python
+        kind = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in papers.schema)
+        todo = (F.size("asking") > 0) & (F.size("free") > 0)
+        papers = unmatched(papers.where(~todo)).unionByName(papers.where(todo).mapInArrow(lambda batches: _greedy(batches, least), f"{kind}, picks array<int>"))
+    else:
+        papers = unmatched(papers)
+    paired = F.transform(F.filter("names", lambda n: n["link"].isNotNull()), lambda n: F.struct(n["pos"].alias("name_pos"), n["text"].alias("name"), F.col("partner")[n["link"]].alias("c"), n["tier"].alias("tier")))
+
+    def chosen(n: Column, k: Column) -> Column:
+        at = F.get("picks", k)
+        return F.struct(n["pos"].alias("name_pos"), n["text"].alias("name"), F.when(at >= 0, F.get("free", at)).alias("c"), F.when(at >= 0, "similar").alias("tier"))
+
+    out = papers.select("paper_id", F.explode(F.concat(paired, F.transform("asking", chosen))).alias("m"))
+    return out.select(
+        "paper_id", "m.name_pos", "m.name", F.col("m.c.pos").alias("cand_pos"), F.col("m.c.cand_id").alias("cand_id"), F.col("m.c.text").alias("cand_name"), "m.tier"
+    )
+
+
+def _greedy(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """Batches with ``picks``: for each name left, in order, the place of the free candidate most like it over ``least``, or -1.
+
+    All different pairs of a batch are scored together; the assignment only looks scores up.
+    """
+    for batch in batches:
+        asking, free = (batch.column(c) for c in ("asking", "free"))
+        texts = pa.concat_arrays([c.flatten().field("norm") for c in (asking, free)]).dictionary_encode()
+        codes = texts.indices.fill_null(-1).to_numpy()
+        names, cands = np.split(codes, [len(asking.flatten())])
+        n_sizes, c_sizes = (pc.list_value_length(c).to_numpy() for c in (asking, free))
+        n_ends, c_ends = np.cumsum(n_sizes), np.cumsum(c_sizes)
+        # every name left of a paper with every candidate left of it
+        paper = np.repeat(np.arange(len(batch)), n_sizes)
+        reps = c_sizes[paper]
+        a = np.repeat(names, reps)
+        first = np.cumsum(reps) - reps
+        b = cands[np.repeat((c_ends - c_sizes)[paper], reps) + np.arange(len(a)) - np.repeat(first, reps)]
+        different, back = np.unique(a * (len(texts.dictionary) + 1) + b, return_inverse=True)
+        words = [*texts.dictionary.to_pylist(), None]
+        x, y = different // (len(texts.dictionary) + 1), different % (len(texts.dictionary) + 1)
+        scores = name_scores([words[i] for i in x.tolist()], [words[i] for i in y.tolist()], least)[back]
+        picks: list[list[int]] = []
+        for p in range(len(batch)):
+            at, width = n_ends[p] - n_sizes[p], c_sizes[p]
+            own = scores[first[at] : first[at] + n_sizes[p] * width].reshape(n_sizes[p], width).copy() if n_sizes[p] else np.zeros((0, 0))
+            got = []
+            for row in own:
+                k = int(row.argmax())  # the first of the best
+                got.append(k if row[k] > least else -1)
+                if row[k] > least:
+                    own[:, k] = -1
+            picks.append(got)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(picks, pa.list_(pa.int32()))], names=[*batch.schema.names, "picks"])
+
+
+def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:
+    """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): one-to-one matches in each paper.
+
+    ``names(paper_id, name_pos, name)`` and ``candidates(paper_id, cand_pos, cand_id, cand_name)``.
+    Tiers: equal normalised names, equal initials with equal last token, best similarity over
+    ``least``; within a tier by position.  Names and candidates go in one table that is dealt by paper
+    once; the first two tiers are windows over it, and what they leave, in papers that have both names
+    and candidates left, goes to the sequential third in Arrow batches, if ``tiers`` has it.  A paper's names
+    and candidates are one list each, so nothing is joined afterwards.  Candidates
+    with blank names are dropped.  (A tier for repeated names by position can never find anything
+    after the first, and has no plan here.)
+    """
+    return _assigned(names, candidates, least, tiers).where("tier IS NOT NULL")
 
 
 def build_authorships(names: DataFrame, candidates: DataFrame, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:
@@ -87,7 +132,7 @@ def build_authorships(names: DataFrame, candidates: DataFrame, tiers: tuple[str,
     Two equal names on a paper are one row and the later pair's match wins.
     """
     place = F.create_map(*[F.lit(x) for pair in TIERS.items() for x in pair])[F.col("tier")]
-    all_names = names.join(match_authors(names, candidates, tiers=tiers).drop("name"), ["paper_id", "name_pos"], "left").withColumn("t", place)
+    all_names = _assigned(names, candidates, 85, tiers).withColumn("t", place)
     key = F.struct(F.coalesce("t", F.lit(0)), "name_pos")
     one = all_names.groupBy("paper_id", "name").agg(
         F.max(F.struct(key.alias("k"), "cand_id", "cand_name", "tier")).alias("m"),

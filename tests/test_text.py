@@ -92,3 +92,24 @@ def test_name_scores():
             for j, y in enumerate(b):
                 table[i + 1][j + 1] = table[i][j] + 1 if x == y else max(table[i][j + 1], table[i + 1][j])
         assert similarity.common_subsequence(a, b) == table[-1][-1]
+
+
+def test_scores_of_a_batch_equal_those_of_each_pair():
+    rng = random.Random(8)
+    parts = ["ann", "an", "bo", "li", "j", "j.", "garcia", "garcía", "lopez", "x" * 40, "李", "de", " ", "  "]
+    name = lambda: " ".join(rng.choice(parts) for _ in range(rng.randint(0, 5)))
+    a, b = ([name() if rng.random() < 0.95 else rng.choice([None, "", " "]) for _ in range(1500)] for _ in range(2))
+    a[:200] = ["".join(rng.choice("abcd .") for _ in range(rng.randint(0, 70))) for _ in range(200)]
+    b[:200] = ["".join(rng.choice("abcd .") for _ in range(rng.randint(0, 140))) for _ in range(200)]
+    want = [similarity.name_score(x, y) for x, y in zip(a, b, strict=True)]
+    assert similarity.name_scores(a, b).tolist() == want
+    for least in (60, 85, 95):
+        got = similarity.name_scores(a, b, least).tolist()
+        assert all(g == w if w > least else g <= least for g, w in zip(got, want, strict=True))
+
+
+def test_subsequences_of_a_batch():
+    rng = random.Random(2)
+    pairs = [("".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 90]))), "".join(rng.choice("abc") for _ in range(rng.randint(0, 100)))) for _ in range(400)]
+    a, b = map(list, zip(*pairs, strict=True))
+    assert similarity.common_subsequences(a, b).tolist() == [similarity.common_subsequence(x, y) for x, y in pairs]
