@@ -20,8 +20,9 @@ LONGEST, DEPTH, BLOCK = 5, 2, 1 << 16
 SHARD_BYTES, SHARD_WORDS = 8 << 20, 800_000
 #: A sketch has one cell for so many bytes of text, and no more than MOST_CELLS, so that a task can hold it.
 BYTES_A_CELL, LEAST_CELLS, MOST_CELLS = 64, 1 << 16, 1 << 26
-#: Phrases whose counts a task adds up before it sends them.
-REMEMBERED = 400_000
+#: Phrases whose counts a task adds up before it sends them, and blocks of phrases that they travel in:
+#: the counts of a language's block meet in one task.
+REMEMBERED, COUNT_BLOCKS = 400_000, 256
 
 #: Fixed by the contract: 0 belongs to a word, 1 ends a word, 2 ends a piece.
 KINDS = np.zeros(256, np.uint8)
@@ -243,7 +244,7 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     Four scans.  Three count in sketches: words; pairs whose words reach ``least`` by the first;
     longer phrases whose pairs do by the second.  The fourth compiles, for each shard of text, the
     phrases in it that reach ``least`` by all bounds into an automaton, which counts them; a task adds
-    up the counts of its shards.  Counts are summed, and those below ``least`` go: bounds are never
+    up the counts of its shards, and sends them in blocks of phrases.  Blocks are summed, and those below ``least`` go: bounds are never
     too low, so the result is exact; a narrow sketch only makes more candidates.
     """
     spark = docs.sparkSession
@@ -256,10 +257,17 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
     bounds = Bounds(bounds.single, sketch(texts, width, least, lambda words, b=bounds: iter([words.phrase_hashes(2, np.flatnonzero(b.twos(words)))])))
     bounds = Bounds(bounds.single, bounds.pairs, sketch(texts, width, least, lambda words, b=bounds: b.longer_hashes(words)))
 
-    def rows(lang: str, held: dict[str, int]) -> pa.RecordBatch:
-        names = list(held)
-        columns = [pa.array([lang] * len(names), pa.string()), pa.array(names, pa.string()), pa.array([x.count(" ") + 1 if x else 0 for x in names], pa.int32()), pa.array(held.values(), pa.int64())]
-        return pa.RecordBatch.from_arrays(columns, schema=COUNTS)
+    block = pa.schema([("lang", pa.string()), ("block", pa.int32()), ("phrases", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))])
+
+    def blocks(lang: str, held: dict[str, int]) -> pa.RecordBatch:
+        parts: list[tuple[list[str], list[int]]] = [([], []) for _ in range(COUNT_BLOCKS)]
+        for phrase, n in held.items():
+            names, counts = parts[xxhash.xxh3_64_intdigest(phrase.encode()) % COUNT_BLOCKS]
+            names.append(phrase)
+            counts.append(n)
+        some = [k for k, (names, _) in enumerate(parts) if names]
+        columns = [[lang] * len(some), some, [parts[k][0] for k in some], [parts[k][1] for k in some]]
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, block, strict=True)], schema=block)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, dict[str, int]] = {}
@@ -274,12 +282,25 @@ def phrase_counts(docs: DataFrame, least: int) -> tuple[DataFrame, DataFrame]:
                 for phrase, n in zip(phrases, occurring.tolist(), strict=True):
                     own[phrase] = own.get(phrase, 0) + n
             if sum(map(len, sums.values())) > REMEMBERED:
-                yield from (rows(x, held) for x, held in sums.items())
+                yield from (blocks(x, held) for x, held in sums.items())
                 sums = {}
-        yield from (rows(x, held) for x, held in sums.items())
+        yield from (blocks(x, held) for x, held in sums.items())
 
-    found = texts.mapInArrow(trimmed(count), "lang string, phrase string, size int, f bigint")
-    found = materialize(found.groupBy("lang", "phrase", "size").agg(F.sum("f").alias("f")).where(f"size = 0 OR f >= {int(least)}"), "phrases", outlive=1)
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[str, dict[str, int]] = {}
+        for batch in batches:
+            for lang, names, counts in zip(*(batch.column(c).to_pylist() for c in ("lang", "phrases", "counts")), strict=True):
+                own = sums.setdefault(lang, {})
+                for phrase, n in zip(names, counts, strict=True):
+                    own[phrase] = own.get(phrase, 0) + n
+        for lang, own in sums.items():
+            names = [x for x, n in own.items() if n >= least or not x]
+            columns = [[lang] * len(names), names, [x.count(" ") + 1 if x else 0 for x in names], [own[x] for x in names]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, COUNTS, strict=True)], schema=COUNTS)
+
+    counted = texts.mapInArrow(trimmed(count), "lang string, block int, phrases array<string>, counts array<bigint>")
+    found = counted.repartition("lang", "block").mapInArrow(trimmed(add), "lang string, phrase string, size int, f bigint")
+    found = materialize(found, "phrases", outlive=1)
     return found.where("size = 0").select("lang", F.col("f").alias("n")), found.where("size > 0")
 
 
