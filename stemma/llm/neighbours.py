@@ -61,12 +61,41 @@ class Index:
         np.put_along_axis(out, best, visits, axis=1)
         return out
 
-    def approximate(self, queries: np.ndarray, own: np.ndarray, codes: np.ndarray) -> np.ndarray:
-        """Inner products of queries and coded rows: the centroid's, and one table for each query and subspace."""
-        out = np.take((queries @ self.coarse.T).astype(np.float32), own, axis=1)
-        for m, (cut, book) in enumerate(zip(self.cuts, self.books, strict=True)):
-            out += np.take((queries[:, cut] @ book.T).astype(np.float32), codes[:, m], axis=1)
-        return out
+    def tables(self, queries: np.ndarray) -> list[np.ndarray]:
+        """For each subspace the inner products of each query with the codebook's entries."""
+        return [queries[:, cut] @ book.T for cut, book in zip(self.cuts, self.books, strict=True)]
+
+    def approximate(self, queries: np.ndarray, visits: np.ndarray, own: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(guesses, visited): inner products of queries and coded rows, for the lists that a query visits and for no other.
+
+        A list's rows lie together in ``own``, which ascends.  The centroid's product and one table entry
+        for each subspace are summed.
+        """
+        guesses, visited = np.zeros((len(queries), len(own))), np.zeros((len(queries), len(own)), bool)
+        coarse, tables = queries @ self.coarse.T, self.tables(queries)
+        lists, starts = np.unique(own, return_index=True)
+        for k, lo, hi in zip(lists.tolist(), starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True):
+            asking = np.flatnonzero(visits[:, k])
+            if not len(asking):
+                continue
+            sums = np.repeat(coarse[asking, k][:, None], hi - lo, axis=1)
+            for m, entries in enumerate(tables):
+                sums += entries[asking][:, codes[lo:hi, m]]
+            guesses[asking, lo:hi] = sums
+            visited[asking, lo:hi] = True
+        return guesses, visited
+
+
+def exact_products(x: np.ndarray, query: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """(score, order): inner products of rows and a query, and numbers that order them where the products overflow or vanish.
+
+    Both sides are brought near 1 by powers of two, which changes no digit; ``order`` is in units of 2 to the
+    power of ``scale``.
+    """
+    ex, eq = np.frexp(np.abs(x).max(axis=1, initial=0))[1], int(np.frexp(np.abs(query).max(initial=0))[1])
+    products = (np.ldexp(x, -ex[:, None]) * np.ldexp(query, -eq)).sum(1)
+    with np.errstate(over="ignore", under="ignore"):
+        return np.ldexp(products, ex + eq), np.ldexp(products, ex + eq - scale)
 
 
 def groups_of(counts: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,7 +120,7 @@ def search(
     lists: int | None = None,
     probes: float = 0.5,
     spaces: int = 16,
-    rerank: int = 100,
+    rerank: int = 400,
     sample_rows: int = 10_000,
     chunk: int = 4096,
 ) -> DataFrame:
@@ -106,7 +135,9 @@ def search(
     tables are computed exactly, ties by the smaller vec_id.  So of all rows in its lists at least the
     ``rerank`` best by the tables are computed, in whatever way they are dealt.  Vectors that are null,
     zero, hold null or non-finite components or have no vec_id take no part; a row with the query's own
-    vec_id is no candidate; repeated rows of one vec_id are candidates each.  A query that stands in
+    vec_id is no candidate; repeated rows of one vec_id are candidates each.  The index sees the table
+    times one power of two, so that components of any size are told apart; products that overflow or
+    vanish keep the order of the true ones.  A query that stands in
     several equal rows asks once; different vectors of one vec_id ask each and are ranked apart.  Fewer
     candidates give fewer rows; an empty table gives none.
     """
@@ -122,20 +153,25 @@ def search(
 def _search(
     rows: DataFrame, d: int, is_query: Column | str, k: int, lists: int | None, probes: float, spaces: int, rerank: int, sample_rows: int, chunk: int
 ) -> DataFrame:
-    n = rows.count()
+    n, largest = rows.agg(F.count("*"), F.max(F.array_max(F.transform("embedding", lambda x: F.abs(x))))).first()
+    scale = int(np.frexp(largest)[1])
+
+    def near_one(column: pa.Array) -> np.ndarray:
+        return np.ldexp(as_matrix(column, d), -scale)
+
     hashed = F.xxhash64("vec_id")
     share = min(1 << 20, (1 << 20) * 2 * sample_rows // n)  # so that no task sends more than the sample needs
     sample = rows.where(F.pmod(hashed, F.lit(1 << 20)) < share).orderBy(hashed, "vec_id").limit(sample_rows).select("embedding").toArrow()
     if not len(sample):  # few different ids
         sample = rows.orderBy(hashed, "vec_id").limit(sample_rows).select("embedding").toArrow()
     lists = lists or min(int(4 * np.sqrt(n)), max(1, sample_rows // 4))
-    index = Index(as_matrix(sample.column(0).combine_chunks(), d), lists, spaces)
+    index = Index(near_one(sample.column(0).combine_chunks()), lists, spaces)
     index.probes = max(1, int(np.ceil(probes * len(index.coarse))))
     coded = pa.schema([("vec_id", pa.int64()), ("embedding", pa.list_(pa.float64())), ("list", pa.int32()), ("codes", pa.binary())])
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, codes = index.assign(as_matrix(batch.column(1), d))
+            own, codes = index.assign(near_one(batch.column(1)))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1).cast(coded.field(1).type), pa.array(own.astype(np.int32)), pa.array([c.tobytes() for c in codes], pa.binary())], schema=coded
             )
@@ -159,7 +195,7 @@ def _search(
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("query_id", pa.int64()), ("query", pa.list_(pa.float64())), ("groups", pa.list_(pa.int64()))])
         for batch in batches:
-            visits = index.probed(as_matrix(batch.column(1), d)) & (counts > 0)
+            visits = index.probed(near_one(batch.column(1))) & (counts > 0)
             groups = [np.unique(np.concatenate([np.arange(first[j], first[j] + parts[j]) for j in np.flatnonzero(v)] or [first[:0]])) for v in visits]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(schema.field(1).type), pa.array(groups, pa.list_(pa.int64()))], schema=schema)
 
@@ -169,35 +205,34 @@ def _search(
     right = routed.select(
         F.explode("groups").alias("group"), F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("block"), "query_id", F.xxhash64("query").alias("asker"), "query"
     )
-    out = pa.schema([("query_id", pa.int64()), ("asker", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
+    out = pa.schema([("query_id", pa.int64()), ("asker", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64()), ("order", pa.float64())])
 
     def answer(held: pa.Table, asking: pa.Table) -> pa.Table:
         if not len(held) or not len(asking):
             return out.empty_table()
-        held = held.sort_by("vec_id")
+        held = held.sort_by([("list", "ascending"), ("vec_id", "ascending")])
         ids, x = held.column("vec_id").to_numpy(), as_matrix(held.column("embedding").combine_chunks(), d)
         own, codes = held.column("list").to_numpy(), np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
         names, askers = asking.column("query_id").to_numpy(), asking.column("asker").to_numpy()
         q = as_matrix(asking.column("query").combine_chunks(), d)
         found: list[tuple[np.ndarray, ...]] = []
         for at in range(0, len(q), 256):
-            guesses = index.approximate(q[at : at + 256], own, codes)
-            guesses[~np.take(index.probed(q[at : at + 256]), own, axis=1)] = -np.inf
-            for name, asker, vector, guess in zip(names[at : at + 256], askers[at : at + 256], q[at : at + 256], guesses, strict=True):
-                guess[ids == name] = -np.inf
-                some = np.flatnonzero(guess > -np.inf)
+            near = np.ldexp(q[at : at + 256], -scale)
+            guesses, visited = index.approximate(near, index.probed(near), own, codes)
+            for name, asker, vector, guess, mine in zip(names[at : at + 256], askers[at : at + 256], q[at : at + 256], guesses, visited, strict=True):
+                some = np.flatnonzero(mine & (ids != name))
                 if len(some) > rerank:
                     edge = np.partition(guess[some], len(some) - rerank)[len(some) - rerank]
-                    over = np.flatnonzero(guess > edge)
-                    some = np.append(over, np.flatnonzero(guess == edge)[: rerank - len(over)])  # ties: smaller vec_id
-                score = (x[some] * vector).sum(1)
-                best = np.lexsort((ids[some], -score))[:k]
-                found.append((np.full(len(best), name), np.full(len(best), asker), ids[some][best], score[best]))
+                    over, level = some[guess[some] > edge], some[guess[some] == edge]
+                    some = np.append(over, level[np.argsort(ids[level], kind="stable")[: rerank - len(over)]])  # ties: smaller vec_id
+                score, order = exact_products(x[some], vector, 2 * scale)
+                best = np.lexsort((ids[some], -order))[:k]
+                found.append((np.full(len(best), name), np.full(len(best), asker), ids[some][best], score[best], order[best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
 
     key = ["group", "block"]
-    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(answer, "query_id bigint, asker bigint, vec_id bigint, score double")
-    rank = F.row_number().over(Window.partitionBy("query_id", "asker").orderBy(F.desc("score"), "vec_id"))
+    hits = left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(answer, "query_id bigint, asker bigint, vec_id bigint, score double, order double")
+    rank = F.row_number().over(Window.partitionBy("query_id", "asker").orderBy(F.desc("order"), "vec_id"))
     return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 

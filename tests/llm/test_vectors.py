@@ -159,3 +159,19 @@ def test_few_rows(spark, rows):
     df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
     assert embeddings.near_duplicates(df).count() == len(rows)
     assert neighbours.search(df).count() == (2 if len(rows) == 2 else 0)
+
+
+@pytest.mark.parametrize("size", [1.0, 1e25, 1e160, 1e300, 1e-200, 1e-310])
+def test_search_of_any_magnitude(spark, size):
+    rng = np.random.default_rng(12)
+    plain = rng.normal(size=(60, 2)).round(3)
+    rows = [(i, (v * size).tolist()) for i, v in enumerate(plain)]
+    got = neighbours.search(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), probes=1.0).collect()
+    assert len(got) == 60
+    near = plain if size > 1e-300 else np.array([v for _, v in rows]) * 1e300 * 1e10  # digits are lost below 2e-308
+    for q in (0, 20, 40):
+        best = sorted((r.rank, r.vec_id, r.score) for r in got if r.query_id == q)
+        want = sorted((-float(near[q] @ near[i]), i) for i in range(60) if i != q)[:20]
+        assert [b[1] for b in best] == [w[1] for w in want]
+        with np.errstate(over="ignore", under="ignore"):
+            assert all(b[2] == np.float64(-w[0]) * size * size or abs(b[2] / (-w[0] * size * size) - 1) < 1e-12 for b, w in zip(best, want, strict=True))
