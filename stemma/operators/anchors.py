@@ -48,7 +48,7 @@ class Anchors:
         return np.sqrt((turned[:, self.lead :] ** 2).sum(1))
 
     def best(self, vectors: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-        """(place, score) of the best anchor of each row, ties to the smallest place; place -1 below ``least``."""
+        """(place, score) of the best anchor of each row; scores that agree in 12 digits are ties, to the smallest place; place -1 below ``least``."""
         unit = self._unit(vectors)
         turned = unit @ self.axes
         rest, edge = self._rest(turned), np.full(len(unit), least - SLACK)
@@ -70,7 +70,7 @@ class Anchors:
             i, j = i[near], j[near]
             x, a = scaled(vectors)[i], self.plain[j]
             exact = (x * a).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((a * a).sum(1)))
-            order = np.lexsort((self.places[j], -exact, i))
+            order = np.lexsort((self.places[j], -np.round(exact, 12), i))
             first = np.append(True, np.diff(i[order]) != 0) if len(order) else np.zeros(0, bool)
             top = order[first]
             place[i[top]], best[i[top]] = self.places[j[top]], exact[top]
@@ -114,5 +114,5 @@ def best_anchor(rows: DataFrame, anchors: DataFrame, least: float) -> DataFrame:
             found = part if found is None else found.unionAll(part)
     if found is None:
         return rows.select("id", F.lit(None).cast("string").alias("conference"), F.lit(None).cast("double").alias("score")).limit(0)
-    best = found.groupBy("id").agg(F.max(F.struct("score", (-F.col("ord")).alias("neg"))).alias("b")).select("id", (-F.col("b.neg")).alias("ord"), "b.score")
+    best = found.groupBy("id").agg(F.max(F.struct(F.round("score", 12).alias("s"), (-F.col("ord")).alias("neg"), "score")).alias("b")).select("id", (-F.col("b.neg")).alias("ord"), "b.score")
     return best.join(held.select("ord", "conference"), "ord").select("id", "conference", "score")

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from stemma.operators import maintained
+from stemma.plans import profiles
 from stemma.plans.composed import PAPERS_SQL, paper_facts
 from stemma.session import shared_path, table
-from stemma.sources import buckets, tables
+from stemma.sources import buckets, manifests, tables
 
 ORDER_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice"]
 
@@ -92,6 +94,42 @@ SELECT paper_id, year + 15 AS year, CASE WHEN year = 1995 THEN citations + 1 ELS
 FROM {PAPERS_SQL} WHERE year IS NULL OR (year <> 1992 AND (year <> 1995 OR paper_id % 3 <> 0))
 """
 
-QUERIES = {"bucket_upserts": bucket_upserts, "bucket_upsert_counts": bucket_upsert_counts, "bucket_upserts_filled": bucket_upserts_filled, "partition_maintenance": partition_maintenance}
+def profiles_after_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """AG1, IN1, IN2: profiles after three batches: four fifths of the papers, the others, changed and withdrawn ones."""
+    auth, papers = profiles.authorships(table(spark, sf, "lineitem")), profiles.papers(table(spark, sf, "orders"))
+    path = shared_path(spark, "profile-state")
+    of = lambda some, facts=papers: maintained.contributions(auth.where(some), facts)
+    maintained.change(spark, path, of("paper_id % 5 <> 0"), size=8)
+    maintained.change(spark, path, of("paper_id % 5 = 0"))
+    doubled = papers.withColumns({"citations": F.col("citations") * 2, "year": F.col("year") + 1})
+    maintained.change(spark, path, of("paper_id % 7 = 0 AND paper_id % 11 <> 0", doubled), of("paper_id % 7 = 0 OR paper_id % 11 = 0"))
+    return profiles.finished(maintained.yearly_totals(buckets.read(spark, path), profiles.AS_OF_YEAR), profiles.AS_OF_YEAR)
+
+
+CHANGED_SQL = (
+    profiles.PROFILE_SQL.replace("FROM lineitem GROUP", "FROM lineitem WHERE l_orderkey % 11 <> 0 GROUP")
+    .replace("CAST(year(o_orderdate) AS INTEGER) AS year", "CAST(year(o_orderdate) + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS INTEGER) AS year")
+    .replace("CAST(floor(o_totalprice / 1000) AS BIGINT) AS citations", "CAST(floor(o_totalprice / 1000) AS BIGINT) * CASE WHEN o_orderkey % 7 = 0 THEN 2 ELSE 1 END AS citations")
+)
+
+
+def manifest_restore(spark: SparkSession, sf: str) -> DataFrame:
+    """SNK21, SNK22: customers as restored from the first of two snapshots, the table having been overwritten between."""
+    path, store, back = (shared_path(spark, x) for x in ("customers", "snapshots", "customers-back"))
+    rows = table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal", "c_mktsegment")
+    tables.overwrite(rows.repartition(4), path)
+    manifests.snapshot(spark, path, store, "first")
+    tables.overwrite(rows.where("c_custkey % 2 = 0").repartition(2), path)
+    manifests.snapshot(spark, path, store, "second")
+    return manifests.restore(spark, store, "first", back)
+
+
+QUERIES = {
+    "bucket_upserts": bucket_upserts, "bucket_upsert_counts": bucket_upsert_counts, "bucket_upserts_filled": bucket_upserts_filled, "partition_maintenance": partition_maintenance,
+    "profiles_after_changes": profiles_after_changes, "manifest_restore": manifest_restore,
+}
 
-ORACLES = {"bucket_upserts": UPSERTS_SQL, "bucket_upsert_counts": UPSERT_COUNTS_SQL, "bucket_upserts_filled": FILLED_SQL, "partition_maintenance": PARTITIONS_SQL}
+ORACLES = {
+    "bucket_upserts": UPSERTS_SQL, "bucket_upsert_counts": UPSERT_COUNTS_SQL, "bucket_upserts_filled": FILLED_SQL, "partition_maintenance": PARTITIONS_SQL,
+    "profiles_after_changes": CHANGED_SQL, "manifest_restore": "SELECT c_custkey, c_name, c_acctbal, c_mktsegment FROM customer",
+}

@@ -53,6 +53,11 @@ def author_profile(auth: DataFrame, paper: DataFrame, as_of_year: int) -> DataFr
         share(F.col("author_id") == F.col("last_author_id")).alias("last_author_count"),
         share(F.col("year") >= as_of_year - 3).alias("recent"),
     )
+    return finished(counts, as_of_year)
+
+
+def finished(counts: DataFrame, as_of_year: int) -> DataFrame:
+    """Shares, scores and career length from the counts of each author."""
     n = F.col("paper_count").cast("double")
     first, last = F.col("first_author_count") / n, F.col("last_author_count") / n
     return counts.select(

@@ -84,16 +84,19 @@ def _merged(versions: DataFrame, about: Layout) -> DataFrame:
     return versions.withColumn("_place", place).where("_place = 1").drop("_place")
 
 
-def read(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table as of now, None where there is none: newest wins.  Buckets of one delta are scanned, the others merged."""
+def read(spark: SparkSession, path: str, only: list[int] | None = None) -> DataFrame | None:
+    """The table as of now, None where there is none: newest wins.  Buckets of one delta are scanned, the others merged.
+
+    With ``only`` nothing but these buckets is listed and read, see ``bucket_of``.
+    """
     about = layout(spark, path)
     if about is None:
         return None
-    held = deltas(spark, path)
+    held = {b: ds for b, ds in deltas(spark, path).items() if only is None or b in set(only)}
     if not held:
         return None
     several = [b for b, ds in held.items() if len(ds) > 1]
-    rows = _some(spark, path, None)
+    rows = _some(spark, path, None if only is None else sorted(held))
     if several:
         one, more = rows.where(~F.col(BUCKET).isin(several)), rows.where(F.col(BUCKET).isin(several))
         rows = one.unionByName(_merged(more, about)) if len(several) < len(held) else _merged(rows, about)

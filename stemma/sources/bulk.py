@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stemma.functions.text import first_filled, paper_id_of, pdf_url, title_key, true_text
@@ -20,57 +22,71 @@ def dump_files(spark: SparkSession, folder: str) -> list[str]:
 
 
 def read_json_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """(value, source_file) of every line that is a JSON object; one task for each gz file.
-
-    Values are taken by key from the text, as both spellings of a key occur in one dump.
-    """
+    """(value, source_file) of every line that may be a JSON object; one task for each gz file."""
     lines = spark.read.text(path).select("value", F.element_at(F.split(F.input_file_name(), "/"), -1).alias("source_file"))
-    return lines.where(F.from_json("value", "map<string,string>").isNotNull())
-
+    return lines.where(F.ltrim("value").startswith("{"))
 
-def _text(*keys: str) -> Column:
-    """The first filled value of the keys, as text."""
-    return F.coalesce(*[F.nullif(F.get_json_object("value", f"$.{k}"), F.lit("")) for k in keys])
 
+#: Keys of a paper and of an author with their types; both spellings of a key occur in one dump.  Texts
+#: take any value: numbers, flags and objects as they are written.
+PAPER_KEYS = {
+    "corpusid": "string", "corpusId": "string", "url": "string", "paperid": "string", "paperId": "string", "title": "string", "abstract": "string", "venue": "string", "year": "string",
+    "citationcount": "string", "citationCount": "string", "referencecount": "string", "referenceCount": "string", "influentialcitationcount": "string", "influentialCitationCount": "string",
+    "authors": "array<struct<authorId:string,name:string>>", "externalids": "map<string,string>", "externalIds": "map<string,string>", "fieldsOfStudy": "array<string>", "fieldsofstudy": "array<string>",
+    "s2fieldsofstudy": "array<struct<category:string>>", "s2FieldsOfStudy": "array<struct<category:string>>", "publicationtypes": "array<string>", "publicationTypes": "array<string>",
+    "isopenaccess": "string", "isOpenAccess": "string", "openaccesspdf": "string", "openAccessPdf": "string",
+}
+AUTHOR_KEYS = {
+    "authorid": "string", "name": "string", "aliases": "array<string>", "affiliations": "array<string>", "homepage": "string", "papercount": "string", "citationcount": "string",
+    "hindex": "string", "externalids": "map<string,string>", "url": "string",
+}
 
-def _number(*keys: str) -> Column:
-    return F.expr(f"try_cast({_sql_text(*keys)} AS bigint)")
 
+def parsed(lines: DataFrame, keys: dict[str, str]) -> tuple[DataFrame, Callable[..., Column]]:
+    """The lines with ``r``, all keys of each from one parse, and a function that gives the first filled value of some keys.
 
-def _sql_text(*keys: str) -> str:
-    parts = ", ".join(f"nullif(get_json_object(value, '$.{k}'), '')" for k in keys)
-    return f"coalesce({parts})"
+    Fields are named by place afterwards, as spellings that differ in capitals only cannot be told apart by name.
+    """
+    whole = F.from_json("value", ", ".join(f"`{k}` {kind}" for k, kind in keys.items()))
+    places = {k: f"f{n}" for n, k in enumerate(keys)}
+    named = whole.cast(f"struct<{','.join(f'{places[k]}:{kind}' for k, kind in keys.items())}>")
+    # exploded, so that filters on single fields are not pushed down as parses of their own
+    rows = lines.select(F.explode(F.array(named)).alias("r"), "source_file")
 
+    def first(*names: str) -> Column:
+        found = [F.col(f"r.{places[k]}") for k in names]
+        return F.coalesce(*[F.nullif(c, F.lit("")) if keys[k] == "string" else c for k, c in zip(names, found, strict=True)])
 
-def _json(kind: str, *keys: str) -> Column:
-    return F.from_json(_text(*keys), kind)
+    return rows, first
 
 
 def paper_rows(spark: SparkSession, path: str | list[str], need_venue: bool = True) -> DataFrame:
-    """Papers of a dump (a path, glob or list): either spelling of keys, defaults 0, {} and []; typed.
+    """Papers of a dump (a path, glob or list): either spelling of keys, defaults 0, {} and []; typed, from one parse of each line.
 
     Rows without corpus id or title go, and without venue unless ``need_venue`` is false.  Numbers
-    that do not parse are null.
+    that do not parse are null.  A value of another type than its key has is as if it were missing.
     """
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("int")
     strings = "array<string>"
-    rows = read_json_lines(spark, path).select(
-        _number("corpusid", "corpusId").alias("corpus_id"),
-        paper_id_of(F.coalesce(_text("url"), F.lit("")), _text("paperid", "paperId")).alias("paper_id"),
-        _text("title").alias("title"),
-        title_key(_text("title")).alias("title_key"),
-        F.coalesce(_text("abstract"), F.lit("")).alias("abstract"),
-        F.trim(F.coalesce(_text("venue"), F.lit(""))).alias("venue"),
-        _number("year").cast("int").alias("year"),
-        zero(_number("citationcount", "citationCount")).alias("citation_count"),
-        zero(_number("referencecount", "referenceCount")).alias("reference_count"),
-        zero(_number("influentialcitationcount", "influentialCitationCount")).alias("influential_citation_count"),
-        F.coalesce(_json("array<struct<authorId:string,name:string>>", "authors"), F.array().cast("array<struct<authorId:string,name:string>>")).alias("authors"),
-        F.coalesce(_json("map<string,string>", "externalids", "externalIds"), F.from_json(F.lit("{}"), "map<string,string>")).alias("external_ids"),
-        first_filled(_json(strings, "fieldsOfStudy"), _json(strings, "fieldsofstudy"), _json("array<struct<category:string>>", "s2fieldsofstudy")["category"], _json("array<struct<category:string>>", "s2FieldsOfStudy")["category"]).alias("fields_of_study"),
-        F.coalesce(_json(strings, "publicationtypes", "publicationTypes"), F.array().cast(strings)).alias("publication_types"),
-        true_text(_text("isopenaccess", "isOpenAccess")).alias("is_open_access"),
-        pdf_url(_text("openaccesspdf", "openAccessPdf")).alias("open_access_pdf"),
+    rows, first = parsed(read_json_lines(spark, path), PAPER_KEYS)
+    number = lambda *names: first(*names).try_cast("bigint")
+    rows = rows.select(
+        number("corpusid", "corpusId").alias("corpus_id"),
+        paper_id_of(F.coalesce(first("url"), F.lit("")), first("paperid", "paperId")).alias("paper_id"),
+        first("title").alias("title"),
+        title_key(first("title")).alias("title_key"),
+        F.coalesce(first("abstract"), F.lit("")).alias("abstract"),
+        F.trim(F.coalesce(first("venue"), F.lit(""))).alias("venue"),
+        number("year").try_cast("int").alias("year"),
+        zero(number("citationcount", "citationCount")).alias("citation_count"),
+        zero(number("referencecount", "referenceCount")).alias("reference_count"),
+        zero(number("influentialcitationcount", "influentialCitationCount")).alias("influential_citation_count"),
+        F.coalesce(first("authors"), F.array().cast("array<struct<authorId:string,name:string>>")).alias("authors"),
+        F.coalesce(first("externalids", "externalIds"), F.create_map().cast("map<string,string>")).alias("external_ids"),
+        first_filled(first("fieldsOfStudy"), first("fieldsofstudy"), first("s2fieldsofstudy")["category"], first("s2FieldsOfStudy")["category"]).alias("fields_of_study"),
+        F.coalesce(first("publicationtypes", "publicationTypes"), F.array().cast(strings)).alias("publication_types"),
+        true_text(first("isopenaccess", "isOpenAccess")).alias("is_open_access"),
+        pdf_url(first("openaccesspdf", "openAccessPdf")).alias("open_access_pdf"),
         "source_file",
     )
     rows = rows.where(F.col("corpus_id").isNotNull() & (F.col("corpus_id") != 0) & F.col("title").isNotNull() & (F.trim("title") != ""))
@@ -112,11 +128,11 @@ def author_papers(papers: DataFrame) -> DataFrame:
 
 def author_rows(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """``dataset_authors``: lines with an id and a name; counts 0 by default, lists may be null (SRC6, PRJ6)."""
-    zero = lambda c: F.coalesce(c, F.lit(0)).cast("int")
-    rows = read_json_lines(spark, path).select(
-        _text("authorid").alias("author_id"), _text("name").alias("name"), _json("array<string>", "aliases").alias("aliases"),
-        _json("array<string>", "affiliations").alias("affiliations"), _text("homepage").alias("homepage"), zero(_number("papercount")).alias("paper_count"),
-        zero(_number("citationcount")).alias("citation_count"), zero(_number("hindex")).alias("h_index"),
-        _json("map<string,string>", "externalids").alias("external_ids"), _text("url").alias("url"), "source_file",
+    rows, first = parsed(read_json_lines(spark, path), AUTHOR_KEYS)
+    count = lambda name: F.coalesce(first(name).try_cast("bigint"), F.lit(0)).cast("int")
+    rows = rows.select(
+        first("authorid").alias("author_id"), first("name").alias("name"), first("aliases").alias("aliases"), first("affiliations").alias("affiliations"), first("homepage").alias("homepage"),
+        count("papercount").alias("paper_count"), count("citationcount").alias("citation_count"), count("hindex").alias("h_index"), first("externalids").alias("external_ids"), first("url").alias("url"),
+        "source_file",
     )
     return first_of(rows.where("author_id IS NOT NULL AND name IS NOT NULL"), ["author_id"], ["source_file", "name"])
