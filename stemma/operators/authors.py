@@ -163,6 +163,19 @@ def joined_in_order(rows: DataFrame, by: str, value: str, order: str, name: str)
     return first.groupBy(by).agg(F.array_join(F.transform(listed, lambda x: x[value]), ",").alias(name))
 
 
+def rows_for_profiles(authorships: DataFrame, papers: DataFrame) -> DataFrame:
+    """Authorships with a matched id joined to their papers, rows for ``author_profiles``; unlinked papers give nulls (JN1).
+
+    ``authorships(paper_id, author_name, matched_id, match_order, ...)``, ``papers(paper_id, influential,
+    year, first_id, last_id)``; a missing ``matched_name`` is null.
+    """
+    name = F.col("matched_name") if "matched_name" in authorships.columns else F.lit(None).cast("string")
+    found = authorships.withColumn("matched_name", name).where("matched_id <> ''").join(papers, "paper_id", "left")
+    return found.select(
+        "author_name", F.struct("paper_id", "match_order").alias("ord"), F.col("matched_id").alias("author_id"), "matched_name", "influential", "year", "first_id", "last_id"
+    )
+
+
 def author_profiles(rows: DataFrame, as_of_year: int) -> DataFrame:
     """Profiles by ``author_name`` from (author_name, ord, author_id, matched_name, influential, year, first_id, last_id).
 

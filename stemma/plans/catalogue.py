@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stemma.plans import composed, maintenance, profiles, shared_sql, upkeep
+from stemma.plans import composed, loads, maintenance, profiles, shared_sql, upkeep
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "author_profile": profiles.author_profile_query,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     **shared_sql.QUERIES,
     **upkeep.QUERIES,
     **maintenance.QUERIES,
+    **loads.QUERIES,
 }
 
-ORACLES: dict[str, str] = {"author_profile": profiles.PROFILE_SQL, **composed.ORACLES, **shared_sql.ORACLES, **upkeep.ORACLES, **maintenance.ORACLES}
+ORACLES: dict[str, str] = {"author_profile": profiles.PROFILE_SQL, **composed.ORACLES, **shared_sql.ORACLES, **upkeep.ORACLES, **maintenance.ORACLES, **loads.ORACLES}

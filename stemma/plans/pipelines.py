@@ -63,9 +63,7 @@ def author_pipeline(enriched: DataFrame, cached: DataFrame, as_of_year: int) ->
     )
     auth = authors.build_authorships(names, cands)
     facts = enriched.select("paper_id", "influential", F.col("remote_year").alias("year"), F.col("first_author_remote_id").alias("first_id"), F.col("last_author_remote_id").alias("last_id"))
-    rows = auth.where("matched_id <> ''").join(facts, "paper_id", "left").select(
-        "author_name", F.struct("paper_id", "match_order").alias("ord"), F.col("matched_id").alias("author_id"), "matched_name", "influential", "year", "first_id", "last_id"
-    )
+    rows = authors.rows_for_profiles(auth, facts)
     profiles = authors.author_profiles(rows, as_of_year)
     own = authors.split_ids(profiles.select("author_name", "author_ids")).join(cached, "author_id")
     return auth, profiles, authors.final_table(profiles, authors.merge_cached(own))

@@ -187,3 +187,15 @@ def latest_run(runs: DataFrame, run_type: str) -> DataFrame:
 def create_release(releases: DataFrame | None, release: DataFrame) -> DataFrame:
     """A release is created once; a second time leaves it alone (SNK20)."""
     return release if releases is None else incremental.insert_ignore(releases, release, ["release_id"], ["created_at"])
+
+
+def release_status(releases: DataFrame, changes: DataFrame) -> DataFrame:
+    """Releases with the newest change of each applied: columns that a change leaves null stay as they are (SNK20).
+
+    ``changes(release_id, changed_at, ...)`` has some of the releases' columns; changes of unknown
+    releases are left out.
+    """
+    own = [c for c in changes.columns if c in releases.columns and c != "release_id"]
+    newest = changes.groupBy("release_id").agg(*[F.max_by(c, F.when(F.col(c).isNotNull(), F.col("changed_at"))).alias(f"_{c}") for c in own])
+    joined = releases.join(newest, "release_id", "left")
+    return joined.select(*[F.coalesce(f"_{c}", c).alias(c) if c in own else F.col(c) for c in releases.columns])
