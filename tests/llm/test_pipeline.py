@@ -40,9 +40,9 @@ def test_whole_table_against_brute_force(spark, tmp_path):
     sets = {r.doc_id: set(simhash.shingle_hashes(r.text.encode(), 5).tolist()) for r in first}
     sims = {(a, b): len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b])) for a, b in combinations(sorted(sets), 2) if sets[a] & sets[b] or sets[a] == sets[b]}
     second = {r.doc_id for r in two.collect()}
-    close = [p for p, j in sims.items() if j >= 0.82]
+    close = [p for p, j in sims.items() if j >= 0.8]
     assert sum(a in second and b in second for a, b in close) <= 0.05 * len(close)
-    loose = brute_components(sets, [p for p, j in sims.items() if j >= 0.72])
+    loose = brute_components(sets, [p for p, j in sims.items() if j >= 0.8])
     assert {loose[d] for d in second} == set(loose.values())
     # passages: as one pass over the texts in reading order
     rows = sorted(two.select("*", "_metadata.file_path", "_metadata.row_index").collect(), key=lambda r: (r.file_path, r.row_index))
