@@ -72,30 +72,36 @@ class Index:
         for each subspace are summed.
         """
         guesses, visited = np.zeros((len(queries), len(own))), np.zeros((len(queries), len(own)), bool)
-        coarse, tables = queries @ self.coarse.T, self.tables(queries)
+        coarse, tables = queries @ self.coarse.T, np.concatenate(self.tables(queries), axis=1)
+        entries = codes + np.cumsum([0, *(len(book) for book in self.books[:-1])])
         lists, starts = np.unique(own, return_index=True)
         for k, lo, hi in zip(lists.tolist(), starts.tolist(), [*starts[1:].tolist(), len(own)], strict=True):
             asking = np.flatnonzero(visits[:, k])
             if not len(asking):
                 continue
+            own_tables = tables[asking]
             sums = np.repeat(coarse[asking, k][:, None], hi - lo, axis=1)
-            for m, entries in enumerate(tables):
-                sums += entries[asking][:, codes[lo:hi, m]]
+            for column in entries[lo:hi].T:
+                sums += np.take(own_tables, column, axis=1)
             guesses[asking, lo:hi] = sums
             visited[asking, lo:hi] = True
         return guesses, visited
 
 
-def exact_products(x: np.ndarray, query: np.ndarray, scale: int) -> tuple[np.ndarray, np.ndarray]:
-    """(score, order): inner products of rows and a query, and numbers that order them where the products overflow or vanish.
+def near_ones(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row times a power of two that brings it near 1, which changes no digit, and the power taken out."""
+    powers = np.frexp(np.abs(x).max(axis=1, initial=0))[1]
+    return np.ldexp(x, -powers[:, None]), powers
 
-    Both sides are brought near 1 by powers of two, which changes no digit; ``order`` is in units of 2 to the
-    power of ``scale``.
+
+def exact_products(x: np.ndarray, powers: np.ndarray, query: np.ndarray, power: int, scale: int) -> tuple[np.ndarray, np.ndarray]:
+    """(score, order): inner products of rows and a query, both from ``near_ones``, and numbers that order them where the products overflow or vanish.
+
+    ``order`` is in units of 2 to the power of ``scale``.
     """
-    ex, eq = np.frexp(np.abs(x).max(axis=1, initial=0))[1], int(np.frexp(np.abs(query).max(initial=0))[1])
-    products = (np.ldexp(x, -ex[:, None]) * np.ldexp(query, -eq)).sum(1)
+    products = (x * query).sum(1)
     with np.errstate(over="ignore", under="ignore"):
-        return np.ldexp(products, ex + eq), np.ldexp(products, ex + eq - scale)
+        return np.ldexp(products, powers + power), np.ldexp(products, powers + power - scale)
 
 
 def groups_of(counts: np.ndarray, chunk: int) -> tuple[np.ndarray, np.ndarray]:
@@ -215,17 +221,19 @@ def _search(
         own, codes = held.column("list").to_numpy(), np.frombuffer(b"".join(held.column("codes").to_pylist()), np.uint8).reshape(len(ids), -1)
         names, askers = asking.column("query_id").to_numpy(), asking.column("asker").to_numpy()
         q = as_matrix(asking.column("query").combine_chunks(), d)
+        (rows, powers), (vectors, q_powers) = near_ones(x), near_ones(q)
         found: list[tuple[np.ndarray, ...]] = []
         for at in range(0, len(q), 256):
             near = np.ldexp(q[at : at + 256], -scale)
             guesses, visited = index.approximate(near, index.probed(near), own, codes)
-            for name, asker, vector, guess, mine in zip(names[at : at + 256], askers[at : at + 256], q[at : at + 256], guesses, visited, strict=True):
+            for n, (guess, mine) in enumerate(zip(guesses, visited, strict=True), at):
+                name, asker = names[n], askers[n]
                 some = np.flatnonzero(mine & (ids != name))
                 if len(some) > rerank:
                     edge = np.partition(guess[some], len(some) - rerank)[len(some) - rerank]
                     over, level = some[guess[some] > edge], some[guess[some] == edge]
                     some = np.append(over, level[np.argsort(ids[level], kind="stable")[: rerank - len(over)]])  # ties: smaller vec_id
-                score, order = exact_products(x[some], vector, 2 * scale)
+                score, order = exact_products(rows[some], powers[some], vectors[n], int(q_powers[n]), 2 * scale)
                 best = np.lexsort((ids[some], -order))[:k]
                 found.append((np.full(len(best), name), np.full(len(best), asker), ids[some][best], score[best], order[best]))
         return pa.Table.from_arrays([pa.array(np.concatenate(c)) for c in zip(*found, strict=True)], schema=out)
