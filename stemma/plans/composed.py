@@ -351,14 +351,17 @@ FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 # --- authors ---------------------------------------------------------------------------------
 
 
-def _bylines(spark: Session, sf: str) -> tuple[DataFrame, DataFrame]:
-    """Names of papers and candidates, both from lines: the candidates in another order and spelling."""
+def _bylines(spark: Session, sf: str, slips: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Names of papers and candidates, both from lines: the candidates in another order and spelling, with ``slips`` some with a letter too many."""
     auth = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("paper_id"), F.col("l_suppkey").alias("s")).agg(F.min("l_linenumber").alias("p"))
     pos = lambda o: (F.row_number().over(Window.partitionBy("paper_id").orderBy(*o)) - 1).cast("int")
     name = F.concat(F.lit("Ann Bo"), (F.col("s") % 7).cast("string"), F.lit(" Li"), (F.col("s") % 5).cast("string"))
     short = F.concat(F.lit("A. B. Li"), (F.col("s") % 5).cast("string"))
+    other = F.when(F.col("s") % 2 == 0, name).otherwise(short)
+    if slips:
+        other = F.when(F.col("s") % 7 == 2, F.replace(name, F.lit("Li"), F.lit("Lii"))).otherwise(other)
     names = auth.select("paper_id", pos(["p", "s"]).alias("name_pos"), name.alias("name"))
-    cands = auth.where("s % 3 <> 0").select("paper_id", pos([F.desc("s")]).alias("cand_pos"), F.col("s").cast("string").alias("cand_id"), F.when(F.col("s") % 2 == 0, name).otherwise(short).alias("cand_name"))
+    cands = auth.where("s % 3 <> 0").select("paper_id", pos([F.desc("s")]).alias("cand_pos"), F.col("s").cast("string").alias("cand_id"), other.alias("cand_name"))
     return names, cands
 
 
@@ -401,7 +404,7 @@ UNION ALL SELECT n3.paper_id, n3.name_pos, c3.cand_pos, 'initials' AS tier FROM
 
 def authorships(spark: Session, sf: str) -> DataFrame:
     """MT1, MT2, T6, T7: all tiers and the unmatched, one row for each name of every paper."""
-    return authors.build_authorships(*_bylines(spark, sf))
+    return authors.build_authorships(*_bylines(spark, sf, slips=True))
 
 
 def authorships_two_tiers(spark: Session, sf: str) -> DataFrame:
@@ -409,6 +412,60 @@ def authorships_two_tiers(spark: Session, sf: str) -> DataFrame:
     return authors.build_authorships(*_bylines(spark, sf), tiers=("exact", "initials"))
 
 
+#: What two tiers leave: distinct pairs of texts, their longest common subsequences row by row, the best of
+#: three ratios, and the assignment name by name.  Follows ``names``, ``cands`` and ``pairs``.
+SIMILAR_SQL = """
+n4 AS (SELECT paper_id, name_pos, norm, row_number() OVER (PARTITION BY paper_id ORDER BY name_pos) AS k FROM names ANTI JOIN pairs USING (paper_id, name_pos)),
+c4 AS (SELECT paper_id, cand_pos, norm FROM cands ANTI JOIN pairs USING (paper_id, cand_pos)),
+met AS (SELECT DISTINCT n4.norm AS a, c4.norm AS b FROM n4 JOIN c4 USING (paper_id)),
+tokens AS (SELECT a, b, list_sort(string_split(a, ' ')) AS p, list_sort(string_split(b, ' ')) AS q FROM met),
+sets AS (SELECT *, array_to_string(list_sort(list_distinct(list_intersect(p, q))), ' ') AS shared,
+         array_to_string(list_sort(list_distinct(list_filter(p, lambda x: NOT list_contains(q, x)))), ' ') AS one,
+         array_to_string(list_sort(list_distinct(list_filter(q, lambda x: NOT list_contains(p, x)))), ' ') AS two FROM tokens),
+asked AS (
+    SELECT a, b, 1 AS way, array_to_string(p, ' ') AS x, array_to_string(q, ' ') AS y FROM sets
+    UNION ALL SELECT a, b, 2, trim(shared || ' ' || one), trim(shared || ' ' || two) FROM sets
+    UNION ALL SELECT a, b, 2, shared, trim(shared || ' ' || unnest([one, two])) FROM sets WHERE shared <> ''
+    UNION ALL SELECT a, b, 3, least_, substr(longer, greatest(0, e - length(least_)) + 1, least(e, length(longer)) - greatest(0, e - length(least_)))
+    FROM (SELECT *, unnest(range(1, length(longer) + length(least_))) AS e FROM (SELECT a, b, CASE WHEN length(a) > length(b) THEN b ELSE a END AS least_, CASE WHEN length(a) > length(b) THEN a ELSE b END AS longer FROM met))
+    WHERE contains(least_, CASE WHEN e >= length(longer) THEN substr(longer, greatest(0, e - length(least_)) + 1, 1) ELSE substr(longer, e, 1) END)
+),
+rows_of AS (
+    SELECT x, y, 0 AS i, list_transform(range(length(y)), lambda t: 0) AS r FROM (SELECT DISTINCT x, y FROM asked WHERE x <> '' AND y <> '')
+    UNION ALL
+    SELECT x, y, i + 1, list_transform(range(1, length(y) + 1), lambda j: list_max(c[1:j])) FROM (
+        SELECT x, y, i, list_transform(range(1, length(y) + 1), lambda j: greatest(r[j], CASE WHEN j > 1 THEN r[j - 1] ELSE 0 END + CASE WHEN substr(x, i + 1, 1) = substr(y, j, 1) THEN 1 ELSE 0 END)) AS c
+        FROM rows_of WHERE i < length(x))
+),
+ratio AS (SELECT x, y, 200.0E0 * r[length(y)] / (length(x) + length(y)) AS s FROM rows_of WHERE i = length(x)),
+score AS (
+    SELECT asked.a, asked.b, CASE WHEN any_value(full_) THEN 100 ELSE CAST(max(round_even(coalesce(s, 0), 0)) AS INTEGER) END AS score
+    FROM asked LEFT JOIN ratio USING (x, y) JOIN (SELECT a, b, shared <> '' AND (one = '' OR two = '') AS full_ FROM sets) f ON f.a = asked.a AND f.b = asked.b GROUP BY 1, 2
+),
+good AS (SELECT n4.paper_id, k, name_pos, cand_pos, score FROM n4 JOIN c4 USING (paper_id) JOIN score ON a = n4.norm AND b = c4.norm WHERE score > 85),
+walk AS (
+    SELECT DISTINCT paper_id, CAST(1 AS BIGINT) AS k, CAST([] AS INTEGER[]) AS taken, CAST(NULL AS INTEGER) AS pick FROM good
+    UNION ALL
+    SELECT paper_id, k + 1, CASE WHEN cand_pos IS NULL THEN taken ELSE list_append(taken, cand_pos) END, cand_pos FROM (
+        SELECT w.paper_id, w.k, w.taken, g.cand_pos FROM walk w JOIN n4 ON n4.paper_id = w.paper_id AND n4.k = w.k
+        LEFT JOIN good g ON g.paper_id = w.paper_id AND g.k = w.k AND NOT list_contains(w.taken, g.cand_pos)
+        QUALIFY row_number() OVER (PARTITION BY w.paper_id ORDER BY g.score DESC NULLS LAST, g.cand_pos) = 1)
+),
+alike AS (SELECT walk.paper_id, n4.name_pos, pick AS cand_pos, 'similar' AS tier FROM walk JOIN n4 ON n4.paper_id = walk.paper_id AND n4.k = walk.k - 1 WHERE pick IS NOT NULL),
+"""
+
+
+def _authorships_sql() -> str:
+    two = _two_tiers_sql()
+    head, _, rest = two.partition("\nshown AS (")
+    rest = rest.replace("LEFT JOIN pairs USING (paper_id, name_pos)", "LEFT JOIN (SELECT * FROM pairs UNION ALL SELECT * FROM alike) pairs USING (paper_id, name_pos)")
+    rest = rest.replace("WHEN 'initials' THEN 3 END", "WHEN 'initials' THEN 3 WHEN 'similar' THEN 4 END")
+    whole = head.replace("WITH ", "WITH RECURSIVE ", 1) + SIMILAR_SQL + "shown AS (" + rest
+    for a, l in (("ann bo", "li"), ("Ann Bo", "Li")):
+        whole = whole.replace(f"CASE WHEN s % 2 = 0 THEN '{a}'", f"CASE WHEN s % 7 = 2 THEN '{a}' || (s % 7) || ' {l}i' || (s % 5) WHEN s % 2 = 0 THEN '{a}'")
+    return whole
+
+
 def _two_tiers_sql() -> str:
     names = """
 shown AS (SELECT paper_id, name_pos, 'Ann Bo' || split_part(substr(norm, 7), ' ', 1) || ' Li' || split_part(norm, ' li', 2) AS name FROM names),
@@ -1081,7 +1138,7 @@ ORACLES = {
     "partial_overwrite": OVERWRITE_SQL, "upsert_counts": COUNTS_SQL, "delete_release": "SELECT count(*) FILTER (o_orderstatus = 'F') AS deleted FROM orders",
     "dedupe_keep_first": DEDUPE_SQL, "papers_needing_enrichment": NEEDING_SQL, "papers_new_or_updated": NEW_SQL, "stale_cache_ids": STALE_SQL, "resume_files": RESUME_SQL,
     "last_success": LAST_SUCCESS_SQL, "bloom_sizing": BLOOM_SQL, "bloom_membership": BLOOM_ASKED_SQL,
-    "authorships_two_tiers": _two_tiers_sql(), "open_access_fields": OPEN_SQL, "venue_resolve_simple": _simple_sql(), "conference_dimension": DIMENSION_SQL, "kept_anchor_match": KEPT_SQL,
+    "authorships": _authorships_sql(), "authorships_two_tiers": _two_tiers_sql(), "open_access_fields": OPEN_SQL, "venue_resolve_simple": _simple_sql(), "conference_dimension": DIMENSION_SQL, "kept_anchor_match": KEPT_SQL,
     "partition_equality": f"SELECT paper_id, citations FROM {PAPERS_SQL} WHERE year = 1997 AND conference = '1-URGENT'",
     "partition_unpruned": f"SELECT paper_id, year FROM {PAPERS_SQL} WHERE conference = '5-LOW'",
     "partition_range": f"SELECT year, count(*) AS papers FROM {PAPERS_SQL} WHERE year BETWEEN 1996 AND 1999 GROUP BY year",
