@@ -381,7 +381,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, digest: bool = F
     A null or empty text gives no ids; U+2581 counts as a space, as in the library; a null doc_id stays
     null; ties and repeated rows are encoded alike; an empty table gives no rows.  No shuffle.  With
     ``digest`` the ids are decoded where they are made, and their numbers and unsigned crc32 and
-    ``round_trip``, whether the text came back, take the place of texts and ids.
+    ``round_trip``, whether the text came back from both segmentations, take the place of texts and ids.
     """
     small_batches(docs.sparkSession)
     path = model or default_model()
@@ -401,7 +401,7 @@ def encode_documents(docs: DataFrame, model: str | None = None, digest: bool = F
                     continue
                 numbers = [pa.array(x, pa.int64()) for x in (own[1], map(zlib.crc32, ids), best[1], map(zlib.crc32, best_ids))]
                 plain = pc.replace_substring(pc.fill_null(batch.column(1), ""), SPACE, " ").cast(pa.binary()).to_pylist()
-                same = [x == t for x, t in zip(pieces.decode_all(*own), plain, strict=True)]
+                same = [x == t == y for x, t, y in zip(pieces.decode_all(*own), plain, pieces.decode_all(*best), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), *numbers, pa.array(same)], schema=digests)
 
     rows = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
@@ -409,11 +409,11 @@ def encode_documents(docs: DataFrame, model: str | None = None, digest: bool = F
     return rows.mapInArrow(run, kinds if digest else "doc_id bigint, text string, ids binary, best_ids binary")
 
 
-def decode_documents(coded: DataFrame, model: str | None = None) -> DataFrame:
-    """``coded`` with ``decoded``, the text of its ``ids``; null ids give null."""
+def decode_documents(coded: DataFrame, model: str | None = None, column: str = "ids") -> DataFrame:
+    """``coded`` with ``decoded``, the text of the ids in ``column`` (``ids`` or ``best_ids``); null ids give null."""
     path = model or default_model()
     others = [c for c in coded.columns if c != "decoded"]
-    names = ["ids", *[c for c in others if c != "ids"]]
+    names = [column, *[c for c in others if c != column]]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model_at(path)

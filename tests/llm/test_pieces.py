@@ -82,4 +82,6 @@ def test_query_on_hard_rows(spark, tmp_path, make):
     assert all(r.round_trip for r in rows)
     back = pieces.decode_documents(pieces.encode_documents(docs)).collect()
     assert sorted((str(r.doc_id), r.decoded) for r in back) == sorted((str(r.doc_id), r.text or "") for r in docs.collect())
+    best = pieces.decode_documents(pieces.encode_documents(docs), column="best_ids").collect()
+    assert sorted((str(r.doc_id), r.decoded) for r in best) == sorted((str(r.doc_id), r.text or "") for r in docs.collect())
     assert sorted(len(r.best_ids) // 4 for r in back) == sorted(r.n_best_tokens for r in rows)
