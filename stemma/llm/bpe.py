@@ -172,6 +172,11 @@ def encoder(path: str, most_words: int = MOST_WORDS) -> Encoder:
     return _encoders[path]
 
 
+def forget(path: str) -> None:
+    """Drop the worker's encoder of a vocabulary; the next task makes a new one."""
+    _encoders.pop(path, None)
+
+
 def default_vocabulary() -> str:
     import public_tokenizers
 

@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from stemma.llm.bpe import MOST_WORDS, default_vocabulary, encoder
+from stemma.llm.bpe import MOST_WORDS, default_vocabulary, encoder, forget
 from stemma.llm.common import part_id, small_batches, table, trimmed
 
 END = b"\0\0\0\0"
@@ -104,6 +104,7 @@ def pack_documents(
     step_tokens: int = 1 << 15,
     most_words: int = MOST_WORDS,
     batch_rows: int = 2000,
+    keep: bool = True,
 ) -> DataFrame:
     """One row for each piece: where its ids lie in the document and in its sequence, and the ids.
 
@@ -112,7 +113,8 @@ def pack_documents(
     rows.  No shuffle: each task packs its own documents, ``group_tokens`` at a time, and holds that
     many ids and one document at most.  ``step_id`` groups sequences into training steps of nearly
     ``step_tokens`` ids each.  A worker remembers the ids of ``most_words`` words and splits
-    ``batch_rows`` texts together, which is memory against time only.
+    ``batch_rows`` texts together, which is memory against time only; so is ``keep``, whether it keeps
+    its encoder and words for the next task.
     """
     small_batches(docs.sparkSession, batch_rows)
     vocabulary = vocabulary or default_vocabulary()
@@ -149,6 +151,8 @@ def pack_documents(
                     yield from emit(False)
                     waiting = 0
         yield from emit(True)
+        if not keep:
+            forget(vocabulary)
 
     return docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(trimmed(run), SCHEMA)
 
