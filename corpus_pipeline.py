@@ -42,7 +42,7 @@ def passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of token ids in sequences of at most 1024, with their places and step groups."""
-    return pack_documents(docs, most_words=250_000, batch_rows=500)  # workers also hold what other stages leave
+    return pack_documents(docs, most_words=250_000, batch_rows=500, keep=False)  # workers serve other stages too
 
 
 STAGES = [("quality", quality), ("near_copies", near_copies), ("passages", passages), ("packing", packing)]
