@@ -25,7 +25,7 @@ def test_cached_encoding_equals_the_library():
 def test_packing_covers_every_id_once_without_padding(spark, make):
     docs = make(spark)
     whole = sorted((r.doc_id is None, r.doc_id or 0, ids) for r, ids in ((r, plain([r.text or ""])[0]) for r in docs.collect()))
-    rows = packing.pack_documents(docs.repartition(3), group_tokens=2000).collect()
+    rows = packing.pack_documents(docs.repartition(3), group_tokens=2000, keep=make is hard_docs).collect()
     sequences, pieces = {}, {}
     for r in rows:
         assert len(r.ids) == 4 * r.length > 0
