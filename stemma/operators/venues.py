@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stemma.functions.text import has_context, has_year, is_short, venue_normal, whole_word
 from stemma.operators.anchors import best_anchor
@@ -169,8 +169,9 @@ def matcher_patterns(dimension: DataFrame, aliases: DataFrame) -> DataFrame:
     """
     full = dimension.where("full_name <> ''").select(F.lit("full").alias("kind"), F.lower("full_name").alias("pattern"), "conference", F.col("ord").cast("long"))
     code = dimension.select(F.lit("code").alias("kind"), F.lower("conference").alias("pattern"), "conference", F.col("ord").cast("long"))
-    order = F.row_number().over(Window.orderBy(F.desc("priority"), "conference", "alias"))
-    other = aliases.where("lower(alias) <> lower(conference)").select("conference", F.lower("alias").alias("pattern"), order.alias("ord"))
+    # numbers that follow the order, from a distributed sort
+    other = aliases.where("lower(alias) <> lower(conference)").orderBy(F.desc("priority"), "conference", "alias")
+    other = other.select("conference", F.lower("alias").alias("pattern"), F.monotonically_increasing_id().alias("ord"))
     last = other.groupBy("pattern").agg(F.max_by("conference", "ord").alias("conference"), F.min("ord").cast("long").alias("ord"))
     return full.unionByName(code).unionByName(last.select(F.lit("alias").alias("kind"), "pattern", "conference", "ord"))
 

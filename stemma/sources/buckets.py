@@ -40,6 +40,8 @@ def create(spark: SparkSession, path: str, rows: DataFrame, keys: list[str], buc
     """
     if layout(spark, path):
         raise FileExistsError(path)
+    if taken := {BUCKET, DELTA} & {c.lower() for c in rows.columns}:
+        raise ValueError(f"the table needs {', '.join(sorted(taken))} for itself")
     about = {"keys": keys, "buckets": buckets, "filled": filled, "columns": rows.columns}
     spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.text(f"{path}/{ABOUT}")
 

@@ -77,6 +77,8 @@ def test_refusals(spark, tmp_path):
         buckets.create(spark, path, rows, ["k"])
     with pytest.raises(ValueError, match="repeated"):
         buckets.upsert(spark, path, rows)
+    with pytest.raises(ValueError, match="delta"):
+        buckets.create(spark, str(tmp_path / "u"), rows.withColumn("Delta", F.lit(1)), ["k"])
     assert buckets.read(spark, path) is None and buckets.layout(spark, path).keys == ("k",)
 
 
