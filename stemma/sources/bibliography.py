@@ -22,29 +22,40 @@ def resolve_entities(text: Column) -> Column:
     return F.aggregate(F.filter(found, lambda x: named[x].isNotNull()), text, lambda s, x: F.replace(s, x, named[x]))
 
 
+#: Elements of a record; each may stand several times.
+FIELDS = ("author", "title", "year", "pages", "ee", "booktitle")
+#: A character of private use in the place of ``<`` that is text, while tags are looked for.
+_LESS = "\ue000"
+
+
 def read_records(spark: SparkSession, path: str) -> DataFrame:
     """(key, title, authors, year, pages, ee, booktitle) of every record; compressed dumps by their ending.
 
-    The file is cut at the end of records, so that a dump that is not compressed is read by many tasks.
-    A title is the text before its first child element.
+    The file is cut at the end of records, so that a dump that is not compressed is read by many tasks,
+    and each record is parsed once.  Of an element that stands several times the first counts, of authors
+    all; its value is the text before its first child element.  A record that is not well formed gives nulls.
     """
     lines = spark.read.option("lineSep", END).text(path)
     body = F.concat(F.regexp_extract("value", r"(?s)(<inproceedings[\s>].*)$", 1), F.lit(END))
     # null, not filtered only: Catalyst may evaluate a shared expression before the filter
     body = F.when(F.regexp_like("value", F.lit(r"<inproceedings[\s>]")), body)
     rows = lines.select(resolve_entities(body).alias("x")).where("x IS NOT NULL")
-
-    def one(path_: str) -> Column:
-        return F.expr(f"xpath_string(x, '/inproceedings/{path_}')")
-
+    text = F.regexp_replace("x", "&(?:lt|#0*60|#[xX]0*3[cC]);", _LESS)
+    whole = F.from_xml(text, ", ".join(["_key string", *(f"{f} array<string>" for f in FIELDS)]))
+    # exploded, so that filters on single fields are not pushed down as parses of their own
+    rows = rows.select(F.explode(F.array(whole)).alias("r"))
+    plain = lambda c: F.replace(F.regexp_extract(c, "^[^<]*", 0), F.lit(_LESS), F.lit("<"))
+    first = lambda name: plain(F.get(F.col(f"r.{name}"), F.lit(0)))
+    filled = lambda name: F.nullif(F.trim(first(name)), F.lit(""))
+    authors = F.filter(F.transform("r.author", lambda a: clean_text(plain(a))), lambda a: a != "")
     return rows.select(
-        one("@key").alias("key"),
-        clean_text(one("title/text()[1]")).alias("title"),
-        F.filter(F.transform(F.expr("xpath(x, '/inproceedings/author/text()')"), lambda a: clean_text(a)), lambda a: a != "").alias("authors"),
-        F.nullif(F.trim(one("year")), F.lit("")).alias("year"),
-        F.nullif(F.trim(one("pages")), F.lit("")).alias("pages"),
-        F.nullif(F.trim(one("ee[1]")), F.lit("")).alias("ee"),
-        F.nullif(F.trim(one("booktitle")), F.lit("")).alias("booktitle"),
+        F.col("r._key").alias("key"),
+        F.coalesce(clean_text(first("title")), F.lit("")).alias("title"),
+        F.coalesce(authors, F.array().cast("array<string>")).alias("authors"),
+        filled("year").alias("year"),
+        filled("pages").alias("pages"),
+        filled("ee").alias("ee"),
+        filled("booktitle").alias("booktitle"),
     )
 
 

@@ -39,6 +39,25 @@ def write_lines(path, rows, bad=True):
         f.write("\n".join(json.dumps(r) for r in rows) + ("\n{broken\n" if bad else "\n"))
 
 
+def test_records_are_parsed_once_and_broken_ones_do_no_harm(spark, tmp_path):
+    records = [
+        '<inproceedings mdate="2020" key="conf/acl/A1"><author orcid="1">J &amp; M 0001</author><author>Bo <b>x</b></author><title>On 1 &lt; 2, &#60;nets&gt; and <i>deep</i> things</title><year> 2001 </year><ee type="oa">http://a</ee><ee>http://b</ee></inproceedings>',
+        '<inproceedings key="conf/acl/A2"><title><i>x</i> after</title><author>Q</author></inproceedings>',
+        '<inproceedings key="conf/acl/A3"><title>broken</inproceedings>',
+        '<inproceedings key="conf/acl/A4"><author> </author><title>T</title></inproceedings>',
+    ]
+    (tmp_path / "d.xml").write_text("<dblp>" + "\n".join(records) + "</dblp>")
+    found = bibliography.read_records(spark, str(tmp_path / "d.xml"))
+    rows = {r.key: r for r in found.collect()}
+    assert set(rows) == {"conf/acl/A1", "conf/acl/A2", None, "conf/acl/A4"}
+    a = rows["conf/acl/A1"]
+    assert (a.title, a.authors, a.year, a.ee, a.pages) == ("On 1 < 2, <nets> and", ["J & M 0001", "Bo"], "2001", "http://a", None)
+    assert rows["conf/acl/A2"].title == "" and rows["conf/acl/A4"].authors == []
+    kept = bibliography.bibliography(spark, str(tmp_path / "d.xml"))
+    assert [r.key for r in kept.collect()] == ["conf/acl/A1"]
+    assert kept._jdf.queryExecution().executedPlan().toString().count("from_xml") == 1
+
+
 def test_bibliography(spark, tmp_path):
     with gzip.open(tmp_path / "dump.xml.gz", "wt") as f:
         f.write(XML)
