@@ -16,7 +16,7 @@ def grams(text: Column, size: Column | int) -> Column:
     return F.when(F.length(text) > 0, F.array_distinct(F.transform(starts, lambda i: F.substring(text, i, n)))).otherwise(F.array().cast("array<string>"))
 
 
-def containing(needles: DataFrame, texts: DataFrame, by: list[str], sizes: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
+def containing(needles: DataFrame, texts: DataFrame, by: list[str], sizes: tuple[int, ...] = (1, 2, 3), few: bool = False) -> DataFrame:
     """Pairs of rows, equal in the columns ``by``, where the text holds every needle.
 
     ``needles(by, needles array<string>, ...)`` and ``texts(by, text, ...)``; their other columns come
@@ -24,8 +24,11 @@ def containing(needles: DataFrame, texts: DataFrame, by: list[str], sizes: tuple
     the fewest texts of its group (ties: the smallest); where a gram of its needles is in no text, no
     text is looked at.  A needle has grams of the largest of ``sizes`` that fits in it, and is never
     shorter than the smallest.  Nulls equal nothing; rows without needles, and empty needles, find
-    nothing.
+    nothing.  With ``few`` the needles are a dimension, which every task holds, and no gram of a text is
+    shuffled.  The grams of the texts are never broadcast: there are many more than estimated from the texts.
     """
+    if few:  # a short text makes many grams: it takes more tasks than its bytes ask for
+        texts = texts.repartition(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), "text")
     fit = lambda w: F.greatest(F.lit(min(sizes)), *[F.when(F.length(w) >= s, s) for s in sizes])
     cut = F.array_distinct(F.flatten(F.transform("needles", lambda w: grams(w, fit(w)))))
     whole = (F.size("needles") > 0) & F.forall("needles", lambda w: F.length(w) >= min(sizes))
@@ -34,12 +37,14 @@ def containing(needles: DataFrame, texts: DataFrame, by: list[str], sizes: tuple
     wanted = rows.select(*by, *own, F.explode(cut).alias("_gram"))
     every = F.flatten(F.array(*[F.when(F.length("text") >= s, grams(F.col("text"), s)).otherwise(F.array().cast("array<string>")) for s in sizes]))
     held = texts.select(*by, F.explode(every).alias("_gram"))
-    known = held.join(wanted.select(*by, "_gram").distinct(), [*by, "_gram"], "left_semi").groupBy(*by, "_gram").agg(F.count("*").alias("_texts"))
+    grams_wanted = wanted.select(*by, "_gram").distinct()
+    known = held.join(F.broadcast(grams_wanted) if few else grams_wanted, [*by, "_gram"], "left_semi").groupBy(*by, "_gram").agg(F.count("*").alias("_texts"))
     rated = wanted.join(known, [*by, "_gram"], "left")
     best = rated.groupBy(*by, *own).agg(F.count("*").alias("_all"), F.count("_texts").alias("_found"), F.min(F.struct("_texts", "_gram")).alias("_best"))
     keyed = best.where("_all = _found").select(*by, *own, F.col("_best._gram").alias("_gram"))
     placed = texts.select("*", F.explode(every).alias("_gram"))
-    return keyed.join(placed, [*by, "_gram"]).where(F.forall("needles", lambda w: F.contains(F.col("text"), w))).drop("_gram")
+    side = F.broadcast(keyed) if few else keyed.hint("merge")
+    return side.join(placed, [*by, "_gram"]).where(F.forall("needles", lambda w: F.contains(F.col("text"), w))).drop("_gram")
 
 
 def similar_sets(sets: DataFrame, least: float) -> DataFrame:

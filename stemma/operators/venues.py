@@ -187,7 +187,7 @@ def _hits(venues: DataFrame, patterns: DataFrame) -> DataFrame:
     again = (F.col("norm") != "") & (F.col("norm") != F.col("low"))
     two = F.array(F.struct(F.col("low").alias("text"), F.lit(False).alias("again")), F.struct(F.when(again, F.col("norm")).alias("text"), F.lit(True).alias("again")))
     texts = venues.select("venue", F.explode(two).alias("t")).select("venue", "t.text", "t.again").where("text <> ''")
-    return containing(patterns.distinct().withColumn("needles", F.array("pattern")), texts, [])
+    return containing(patterns.distinct().withColumn("needles", F.array("pattern")), texts, [], few=True)
 
 
 def resolve_venues(venues: DataFrame, patterns: DataFrame, venue: str = "venue_raw") -> DataFrame:
@@ -241,7 +241,7 @@ def pattern_join(papers: DataFrame, patterns: DataFrame, venue: str, key: str) -
     kind = F.when(F.col("match_type") == "exact", 0).when(F.col("match_type") == "alias", 1).otherwise(2)
     rank = F.struct(kind, -F.length("pattern"), "pattern", "conference")
     texts = papers.select(F.col(venue).alias("venue"), F.lower(venue).alias("text")).where("text <> ''").distinct()
-    best = containing(patterns.select("conference", "pattern", "match_type").distinct().withColumn("needles", F.array("pattern")), texts, [])
+    best = containing(patterns.select("conference", "pattern", "match_type").distinct().withColumn("needles", F.array("pattern")), texts, [], few=True)
     best = best.groupBy("venue").agg(F.min_by("conference", rank).alias("conference")).withColumnRenamed("venue", venue)
     return papers.join(best, venue)
 

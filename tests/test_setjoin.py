@@ -79,3 +79,15 @@ def test_exact_links_of_a_title_that_many_share(spark):
     papers = spark.range(2000).select(F.col("id").alias("paper_id"), F.lit(2000).alias("year"), F.when(F.col("id") % 2 == 0, "Same Title").otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("title"))
     links = linking.exact_links(papers, papers.withColumnRenamed("paper_id", "corpus_id").withColumn("title", F.upper("title")))
     assert links.count() == 2000 and links.where("paper_id % 2 = 0").agg(F.max("corpus_id")).first()[0] == 0
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_grams_of_texts_are_never_broadcast(spark, few):
+    """Their size is underestimated: each text has as many rows as grams."""
+    texts = spark.range(2000).select(F.concat(F.lit("common words "), F.lpad("id", 6, "0")).alias("text")).distinct()
+    needles = spark.range(0, 2000, 10).select(F.array(F.lpad("id", 6, "0")).alias("needles"))
+    df = setjoin.containing(needles, texts, [], (4,), few=few)
+    assert len(df.collect()) == 200
+    last = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    top = next(line for line in last.splitlines() if "Join" in line)
+    assert ("BroadcastHashJoin" in top and "BuildLeft" in top) if few else "SortMergeJoin" in top
