@@ -996,7 +996,7 @@ def papers_by_year(spark: Session, sf: str) -> str:
     if key not in _years or not tables.exists(spark, f"{_years[key]}/_SUCCESS"):
         _years[key] = shared_path(spark, "papers-by-year")
         rows = paper_facts(spark, sf).withColumn("year_bucket", tables.year_bucket())
-        tables.overwrite(rows.repartition("year_bucket"), _years[key], "year_bucket")
+        tables.overwrite(tables.dealt(rows, "year_bucket"), _years[key], "year_bucket")
     return _years[key]
 
 

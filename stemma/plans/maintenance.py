@@ -76,7 +76,7 @@ def partition_maintenance(spark: SparkSession, sf: str) -> DataFrame:
     """PQ6, SNK10: of papers by year (15 later, so that each is a partition), 2010 written anew, 2007 dropped, 2012 detached, changed and attached."""
     path = shared_path(spark, "papers-changed")
     papers = paper_facts(spark, sf).withColumn("year", F.col("year") + 15).withColumn("year_bucket", tables.year_bucket())
-    tables.overwrite(papers.repartition("year_bucket"), path, "year_bucket")
+    tables.overwrite(tables.dealt(papers, "year_bucket"), path, "year_bucket")
     some = tables.in_years(spark.read.parquet(path), 2010, 2010).where("paper_id % 3 <> 0").withColumn("citations", F.col("citations") + 1)
     aside = shared_path(spark, "papers-of-2010")
     some.write.parquet(aside)  # a partition cannot be read while it is written

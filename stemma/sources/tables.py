@@ -15,6 +15,11 @@ def overwrite(df: DataFrame, path: str, *partitions: str) -> None:
     (writer.partitionBy(*partitions) if partitions else writer).parquet(path)
 
 
+def dealt(df: DataFrame, *partitions: str) -> DataFrame:
+    """``df`` before it is written by ``partitions``: few files for each, and a large partition is split over several tasks."""
+    return df.hint("rebalance", *partitions)
+
+
 def append(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 

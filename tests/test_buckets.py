@@ -136,3 +136,14 @@ def test_h_index_of_an_author_with_many_papers(spark):
     many = spark.range(1_000_000).select(F.lit("x").alias("a"), (F.col("id") % 3000).alias("c"))
     found = authors.h_index(many, "a", "c")
     assert found.first().h_index == 2991 and "Window" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_large_year_partition_is_written_by_several_tasks(spark, tmp_path):
+    rows = spark.range(0, 200_000, 1, 8).select("id", F.sha1(F.col("id").cast("string")).alias("text"), F.when(F.col("id") < 10, "2005").otherwise("1990-2000").alias("year_bucket"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        tables.overwrite(tables.dealt(rows, "year_bucket"), str(tmp_path / "t"), "year_bucket")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    files = {v: len(list((tmp_path / "t" / f"year_bucket={v}").glob("*.parquet"))) for v in ("2005", "1990-2000")}
+    assert files["2005"] <= 2 < files["1990-2000"] and spark.read.parquet(str(tmp_path / "t")).count() == 200_000
