@@ -40,7 +40,9 @@ def letter_counts(title: Column) -> Column:
     low = F.lower(title)
     plain = F.regexp_replace(low, "[^a-z0-9 ]", "")
     letters = F.array(*[F.lit(c) for c in "abcdefghijklmnopqrstuvwxyz0123456789 "])
-    return F.when(title.rlike(r"^[\x00-\x7F]*$"), F.transform(letters, lambda c: F.length(plain) - F.length(F.replace(plain, c, F.lit("")))))
+    # the cleaned title is an element of its own, so that it is made once and not for each letter
+    counts = F.transform(F.array(plain), lambda p: F.transform(letters, lambda c: F.length(p) - F.length(F.replace(p, c, F.lit("")))))
+    return F.when(title.rlike(r"^[\x00-\x7F]*$"), F.get(counts, F.lit(0)))
 
 
 def ratio_bound(a: Column, b: Column) -> Column:

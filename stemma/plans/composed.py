@@ -953,7 +953,7 @@ SELECT kind, count(*) AS rows, count(DISTINCT code) AS conferences FROM r GROUP
 
 
 def kept_anchor_match(spark: Session, sf: str) -> DataFrame:
-    """MT6, TX16: part names against the vectors kept of the largest parts' names, read back from their table."""
+    """MT6, TX16: part names against the vectors kept of the largest parts' names, read back from their table; a name is asked for once."""
     counts = lambda c: F.transform(linking.letter_counts(F.col(c)), lambda n: n.cast("double"))
     parts = table(spark, sf, "part")
     texts = parts.where("p_size = 50").groupBy(F.col("p_name").alias("text")).agg(F.min("p_partkey").cast("string").alias("conference")).select("conference", "text")
@@ -961,8 +961,10 @@ def kept_anchor_match(spark: Session, sf: str) -> DataFrame:
     venues.kept_vectors(spark, path, texts, embed)
     kept = venues.kept_vectors(spark, path, texts, embed)
     anchors_ = kept.select("conference", F.col("conference").cast("bigint").alias("ord"), "vector")
-    rows = parts.select(F.col("p_partkey").alias("id"), counts("p_name").alias("vector"))
-    return venues.cosine_top1(rows, anchors_, 0.5).select("id", "conference", F.round("score", 4).alias("score"))
+    # vectors of an aggregate: filters on them stay behind it
+    names = parts.groupBy("p_name").agg(F.max("p_name").alias("text")).select(F.col("p_name").alias("id"), counts("text").alias("vector"))
+    best = venues.cosine_top1(names, anchors_, 0.5).withColumnRenamed("id", "p_name")
+    return parts.join(best, "p_name").select(F.col("p_partkey").alias("id"), "conference", F.round("score", 4).alias("score"))
 
 
 KEPT_SQL = """

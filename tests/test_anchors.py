@@ -53,3 +53,12 @@ def test_many_anchors_are_left_out_by_their_bounds(spark):
     assert own.skipped > own.seen / 2
     df = anchors.best_anchor(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(asked)], ROWS), spark.createDataFrame([(str(k), k, v) for k, v in enumerate(vectors[:20_000].tolist())], HELD), 0.5)
     assert df.count() == 100
+
+
+def test_a_part_name_is_turned_into_a_vector_once(spark):
+    """The letters are counted above the aggregate by name, not for each part."""
+    from stemma.plans import composed
+    from tests.oracle import SF
+
+    plan = composed.kept_anchor_match(spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("MapInArrow")[1]
+    assert "Aggregate [p_name" in plan and "abcdef" not in plan.split("Aggregate [p_name")[1] and "replace(" not in plan.split("Aggregate [p_name")[1].split("Relation")[0]
