@@ -47,14 +47,31 @@ def containing(needles: DataFrame, texts: DataFrame, by: list[str], sizes: tuple
     return side.join(placed, [*by, "_gram"]).where(F.forall("needles", lambda w: F.contains(F.col("text"), w))).drop("_gram")
 
 
+#: Words of 64 bits in a signature.
+WORDS = 4
+
+
+def signature(tokens: Column) -> Column:
+    """A bit for each token, by its hash: two sets differ in as many tokens, at least, as their bits differ."""
+    places = F.transform(tokens, lambda t: F.pmod(F.xxhash64(t), F.lit(64 * WORDS)).cast("int"))
+
+    def word(w: int) -> Column:
+        own = F.filter(places, lambda p: F.floor(p / 64) == w)
+        return F.aggregate(own, F.lit(0).cast("long"), lambda held, p: held.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), p % 64)))
+
+    return F.struct(*[word(w).alias(f"w{w}") for w in range(WORDS)])
+
+
 def similar_sets(sets: DataFrame, least: float) -> DataFrame:
     """(a, b, shared, similarity), a < b: all pairs of sets with a Jaccard similarity of at least ``least``.
 
     ``sets(id, tokens)``: ids and sets are distinct (give equal sets one id), tokens of a set too;
     nulls and empty sets are like nothing.  Tokens are put in the order of their frequency, rare ones
-    first.  Two similar sets share a token among the first n - ceil(least n) + 1 of each (prefix), their
-    sizes differ by the factor ``least`` at most (length), and from their first common token on enough
-    tokens are left (position).  What passes is counted exactly.
+    first.  Two similar sets of n and m tokens share at least ceil((n + m) least / (1 + least)); so their
+    first common token stands where each has that many left.  A set is entered under its first tokens
+    for each size that a similar set can have, as many tokens as that size asks for, and meets only sets of that size with
+    the same token there.  Of those, sets whose bits differ in more places than similar sets can differ in tokens are
+    left out.  What passes is counted exactly.
     """
     if not 0 < least <= 1:
         raise ValueError("least must be above 0 and at most 1")
@@ -64,14 +81,25 @@ def similar_sets(sets: DataFrame, least: float) -> DataFrame:
     order = Window.partitionBy("id").orderBy("often", "token")
     placed = spread.join(often, "token").where("often > 1 OR n > 1").withColumn("pos", F.row_number().over(order))
     slack = F.lit(1e-9)  # of products with ``least``: a bound is never too strict
-    prefix = F.col("n") - F.ceil(F.col("n") * least - slack) + 1
-    heads = placed.where(F.col("pos") <= prefix).where("often > 1").select("id", "n", "token", "pos")
-    left = heads.select(F.col("id").alias("a"), F.col("n").alias("na"), "token", F.col("pos").alias("pa"))
-    right = heads.select(F.col("id").alias("b"), F.col("n").alias("nb"), "token", F.col("pos").alias("pb"))
-    lengths = (F.least("na", "nb") >= F.greatest("na", "nb") * least - slack) & (F.col("a") < F.col("b"))
-    first = left.join(right, "token").where(lengths).groupBy("a", "b", "na", "nb").agg(F.min(F.struct("pa", "pb")).alias("at"))
-    need = F.ceil((F.col("na") + F.col("nb")) * (least / (1 + least)) - slack)
-    may = first.where(1 + F.least(F.col("na") - F.col("at.pa"), F.col("nb") - F.col("at.pb")) >= need).select("a", "b")
+    need = lambda x, y: F.ceil((x + y) * (least / (1 + least)) - slack)
+    n = F.col("n")
+    heads = placed.where(F.col("pos") <= n - F.ceil(n * least - slack) + 1).where("often > 1")
+    heads = heads.join(some.select("id", signature(F.col("tokens")).alias("bits")), "id")
+
+    def entries(longer: bool) -> DataFrame:
+        """What a set is found under by sets of each size that is not smaller, or with ``longer`` not larger, than its own."""
+        sizes = F.sequence(F.ceil(n * least - slack), n) if longer else F.sequence(n, F.floor(n / least + slack))
+        each = heads.withColumn("m", F.explode(sizes)).where(F.col("pos") <= n - need(n, F.col("m")) + 1)
+        pair = ("m", "n") if longer else ("n", "m")
+        c = "b" if longer else "a"
+        return each.select(F.xxhash64("token", *[F.col(x).cast("long") for x in pair]).alias("key"), F.col("id").alias(c), n.alias(f"n{c}"), F.col("bits").alias(f"bits{c}"))
+
+    apart = sum((F.bit_count(F.col(f"bitsa.w{w}").bitwiseXOR(F.col(f"bitsb.w{w}"))) for w in range(1, WORDS)), F.bit_count(F.col("bitsa.w0").bitwiseXOR(F.col("bitsb.w0"))))
+    near = apart <= F.col("na") + F.col("nb") - 2 * need(F.col("na"), F.col("nb"))
+    once = (F.col("na") < F.col("nb")) | (F.col("a") < F.col("b"))
+    # hinted: a few entries of each set make many pairs, so neither side is broadcast whole
+    met = entries(False).hint("merge").join(entries(True), "key").where(once & near)
+    may = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     own = lambda c: some.select(F.col("id").alias(c), F.col("tokens").alias(f"t{c}"))
     pairs = may.join(own("a"), "a").join(own("b"), "b")
     shared = F.size(F.array_intersect("ta", "tb"))

@@ -91,3 +91,28 @@ def test_grams_of_texts_are_never_broadcast(spark, few):
     last = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
     top = next(line for line in last.splitlines() if "Join" in line)
     assert ("BroadcastHashJoin" in top and "BuildLeft" in top) if few else "SortMergeJoin" in top
+
+
+def _joined(plan):
+    """The largest number of rows that a join of a plan which has run made."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _joined(plan.executedPlan())
+    most = plan.metrics().apply("numOutputRows").value() if "Join" in plan.nodeName() else 0
+    inner = [plan.plan()] if "QueryStage" in plan.nodeName() else [plan.children().apply(i) for i in range(plan.children().size())]
+    return max([most, *map(_joined, inner)])
+
+
+def test_sets_with_many_tokens_in_common_make_few_pairs(spark):
+    """36 tokens of 45 are common to all sets: not alike, yet each was paired with each by the tenth token."""
+    rows = [(k, sorted([f"c{i}" for i in range(36)] + [f"o{k // 2}-{i}" for i in range(8)] + [f"x{k}"])) for k in range(400)]
+    df = setjoin.similar_sets(spark.createDataFrame(rows, "id bigint, tokens array<string>"), 0.8)
+    assert sorted((r.a, r.b) for r in df.collect()) == [(k, k + 1) for k in range(0, 400, 2)]
+    assert _joined(df._jdf.queryExecution().executedPlan()) <= 400 * 45
+
+
+def test_signatures_differ_no_more_than_sets(spark):
+    rng = random.Random(2)
+    pairs = [([f"t{rng.randint(0, 60)}" for _ in range(30)], [f"t{rng.randint(0, 60)}" for _ in range(30)]) for _ in range(200)]
+    df = spark.createDataFrame(pairs, "a array<string>, b array<string>").select("a", "b", setjoin.signature(F.array_distinct("a")).alias("x"), setjoin.signature(F.array_distinct("b")).alias("y"))
+    apart = [(sum(bin((p ^ q) & (1 << 64) - 1).count("1") for p, q in zip(r.x, r.y, strict=True)), len(set(r.a) ^ set(r.b))) for r in df.collect()]
+    assert all(bits <= tokens for bits, tokens in apart) and any(bits > 15 for bits, _ in apart)
