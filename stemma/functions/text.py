@@ -52,8 +52,19 @@ def transliterate(text: Column) -> Column:
     return F.translate(text, ACCENTED, PLAIN)
 
 
+def _is_plain(name: Column) -> Column:
+    """Words of ASCII letters, digits and dots between single spaces, no title among them, no short number at the end."""
+    titles = "|".join(sorted(NAME_TITLES))
+    return name.rlike(rf"^(?!.* [0-9]{{1,4}}\z)(?!(?:.* )?(?i:{titles})(?: |\z))[A-Za-z0-9.]+(?: [A-Za-z0-9.]+)*\z")
+
+
 def person_name(name: Column) -> Column:
     """A name for comparing: first name first, no numbers or titles at the end, ASCII, lower case (TX3)."""
+    return F.when(_is_plain(name), F.lower(name)).otherwise(_any_person_name(name))
+
+
+def _any_person_name(name: Column) -> Column:
+    """``person_name`` step by step, for any text."""
     swapped = F.when(
         F.instr(name, ",") > 0,
         F.concat(F.trim(F.regexp_replace(name, r"(?s)^[^,]*,", "")), F.lit(" "), F.trim(F.substring_index(name, ",", 1))),

@@ -113,3 +113,12 @@ def test_subsequences_of_a_batch():
     pairs = [("".join(rng.choice("abc") for _ in range(rng.choice([0, 1, 5, 63, 64, 65, 90]))), "".join(rng.choice("abc") for _ in range(rng.randint(0, 100)))) for _ in range(400)]
     a, b = map(list, zip(*pairs, strict=True))
     assert similarity.common_subsequences(a, b).tolist() == [similarity.common_subsequence(x, y) for x, y in pairs]
+
+
+def test_plain_names_take_the_short_way_to_the_same_result(spark):
+    rng = random.Random(8)
+    words = ["Ann", "bo7", "Li", "Jr", "PhD", "iv", "V", "V.", "Jra", "A.", "12", "1234", "12345", "7", "O'Neil", "Smith-Jones", "José", "x,y", "", "\n", "\t", "٣", "ſ", "K"]
+    names = [" ".join(rng.choice(words) for _ in range(rng.randint(1, 5))) for _ in range(3000)] + ["", None, "Ann\n", "Ann Li 12\n", " Ann", "Ann  Li", "12", "Jr", "jr."]
+    df = spark.createDataFrame([(n,) for n in names], "n string").select(tx.person_name(F.col("n")).alias("a"), tx._any_person_name(F.col("n")).alias("b"), tx._is_plain(F.col("n")).alias("plain"))
+    rows = df.collect()
+    assert all(r.a == r.b for r in rows) and 100 < sum(bool(r.plain) for r in rows) < 2000
