@@ -31,8 +31,8 @@ def _pairing(rows: DataFrame, key: Column, name: str) -> DataFrame:
     return rows.withColumn(name, F.col(f"{name}_key").isNotNull() & (F.col(f"{name}_k") <= least))
 
 
-def _assigned(names: DataFrame, candidates: DataFrame, least: int, tiers: tuple[str, ...]) -> DataFrame:
-    """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): every name, with nulls where it has no match; see ``match_authors``."""
+def _keyed(names: DataFrame, candidates: DataFrame, tiers: tuple[str, ...]) -> tuple[DataFrame, dict[str, Column]]:
+    """Names and candidates in one table dealt by paper, with what the first two tiers decide; key and number that both of a pair have."""
     id_type, paper_type = (df.schema[c].dataType.simpleString() for df, c in ((candidates, "cand_id"), (names, "paper_id")))
     left = names.select("paper_id", F.col("name_pos").alias("pos"), F.lit(0).alias("side"), F.lit(None).cast(id_type).alias("cand_id"), F.col("name").alias("text"))
     right = candidates.where(F.trim("cand_name") != "").select("paper_id", F.col("cand_pos").alias("pos"), F.lit(1).alias("side"), "cand_id", F.col("cand_name").alias("text"))
@@ -44,6 +44,12 @@ def _assigned(names: DataFrame, candidates: DataFrame, least: int, tiers: tuple[
         rows = rows.withColumns({"initials": F.lit(False), "initials_key": F.lit(None).cast("string"), "initials_k": F.lit(None).cast("int")})
     rows = rows.withColumn("tier", F.when(F.col("exact"), "exact").when(F.col("initials"), "initials"))
     pick = {c: F.when(F.col("exact"), F.col(f"exact_{c}")).otherwise(F.col(f"initials_{c}")) for c in ("key", "k")}
+    return rows, pick
+
+
+def _assigned(names: DataFrame, candidates: DataFrame, least: int, tiers: tuple[str, ...]) -> DataFrame:
+    """(paper_id, name_pos, name, cand_pos, cand_id, cand_name, tier): every name, with nulls where it has no match; see ``match_authors``."""
+    rows, pick = _keyed(names, candidates, tiers)
     # one list for each paper: what the tiers have paired, by pair, and what they have left
     link = F.when(F.col("tier").isNotNull(), F.concat_ws("\x00", "tier", pick["k"].cast("string"), pick["key"]))
     entry = F.struct("pos", "norm", "cand_id", "text", "tier", link.alias("link"))
@@ -123,7 +129,14 @@ def match_authors(names: DataFrame, candidates: DataFrame, least: int = 85, tier
     with blank names are dropped.  (A tier for repeated names by position can never find anything
     after the first, and has no plan here.)
     """
-    return _assigned(names, candidates, least, tiers).where("tier IS NOT NULL")
+    if "similar" in tiers:
+        return _assigned(names, candidates, least, tiers).where("tier IS NOT NULL")
+    # both of a pair are one group where they lie, without lists; columns that are not asked for fall away
+    rows, pick = _keyed(names, candidates, tiers)
+    of = lambda side, c: F.max(F.when(F.col("side") == side, F.col(c)))
+    pairs = rows.where("tier IS NOT NULL").groupBy("paper_id", "tier", pick["key"].alias("_key"), pick["k"].alias("_k"))
+    found = pairs.agg(of(0, "pos").alias("name_pos"), of(0, "text").alias("name"), of(1, "pos").alias("cand_pos"), of(1, "cand_id").alias("cand_id"), of(1, "text").alias("cand_name"))
+    return found.select("paper_id", "name_pos", "name", "cand_pos", "cand_id", "cand_name", "tier")
 
 
 def build_authorships(names: DataFrame, candidates: DataFrame, tiers: tuple[str, ...] = tuple(TIERS)) -> DataFrame:

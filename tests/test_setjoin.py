@@ -116,3 +116,18 @@ def test_signatures_differ_no_more_than_sets(spark):
     df = spark.createDataFrame(pairs, "a array<string>, b array<string>").select("a", "b", setjoin.signature(F.array_distinct("a")).alias("x"), setjoin.signature(F.array_distinct("b")).alias("y"))
     apart = [(sum(bin((p ^ q) & (1 << 64) - 1).count("1") for p, q in zip(r.x, r.y, strict=True)), len(set(r.a) ^ set(r.b))) for r in df.collect()]
     assert all(bits <= tokens for bits, tokens in apart) and any(bits > 15 for bits, _ in apart)
+
+
+def test_equal_names_are_paired_without_lists(spark):
+    from stemma.operators import authors
+
+    rng = random.Random(12)
+    name = lambda: rng.choice(["Ann Li", "A. Li", "Bo Chen", "B. Chen", "ann  li", "", "Cy", None])
+    names = spark.createDataFrame([(p, k, name()) for p in range(40) for k in range(rng.randint(0, 6))], "paper_id int, name_pos int, name string")
+    cands = spark.createDataFrame([(p, k, f"id{k}", name()) for p in range(40) for k in range(rng.randint(0, 6))], "paper_id int, cand_pos int, cand_id string, cand_name string")
+    for tiers in (("exact",), ("exact", "initials")):
+        found = authors.match_authors(names, cands, tiers=tiers)
+        want = authors._assigned(names, cands, 85, tiers).where("tier IS NOT NULL")
+        got = sorted(map(tuple, found.collect()), key=str)
+        assert got == sorted(map(tuple, want.collect()), key=str) and got
+        assert "collect_list" not in found._jdf.queryExecution().optimizedPlan().toString()
