@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import StructType
 
 from stemma.functions.similarity import name_scores
 from stemma.functions.text import initials_key, person_name
@@ -171,11 +172,29 @@ def joined_in_order(rows: DataFrame, by: str, value: str, order: str, name: str)
 
     Values are made distinct first, so a list is as long as there are values, not rows.
     """
-    first = rows.where(F.col(value) != "").groupBy(by, value).agg(F.min(order).alias("_o"))
+    first = first_seen(rows.where(F.col(value) != ""), [by, value], order).groupBy(by, value).agg(F.min("_o").alias("_o"))
     listed = F.array_sort(F.collect_list(F.struct("_o", value)))
     return first.groupBy(by).agg(F.array_join(F.transform(listed, lambda x: x[value]), ",").alias(name))
 
 
+def first_seen(rows: DataFrame, by: list[str], order: str, sums: dict[str, Column] | None = None) -> DataFrame:
+    """(by, _o, sums): the smallest ``order`` of the rows that agree in ``by`` and in all fields of a struct ``order`` but the first.
+
+    The minimum of a struct takes a sort of all rows, that of its first field does not; so what is left
+    for the minimum of the whole is a few rows of each group, unless the other fields differ everywhere.
+    """
+    sums = sums or {}
+    made = [c.alias(k) for k, c in sums.items()]
+    kind = rows.schema[order].dataType
+    if not isinstance(kind, StructType):
+        return rows.groupBy(*by).agg(F.min(order).alias("_o"), *made)
+    first, *rest = kind.names
+    missing = F.when(F.col(order).isNull(), 2).when(F.col(order)[first].isNull(), 1).otherwise(0)  # null comes first, no order at all does not count
+    found = rows.groupBy(*by, missing.alias("_missing"), *[F.col(order)[c].alias(f"_o{i}") for i, c in enumerate(rest)]).agg(F.min(F.col(order)[first]).alias("_least"), *made)
+    least = F.struct(F.col("_least").alias(first), *[F.col(f"_o{i}").alias(c) for i, c in enumerate(rest)])
+    return found.select(*by, F.when(F.col("_missing") < 2, least).alias("_o"), *sums)
+
+
 def rows_for_profiles(authorships: DataFrame, papers: DataFrame) -> DataFrame:
     """Authorships with a matched id joined to their papers, rows for ``author_profiles``; unlinked papers give nulls (JN1).
 
@@ -196,19 +215,30 @@ def author_profiles(rows: DataFrame, as_of_year: int) -> DataFrame:
     meaning of the counts.
     """
     most = F.lit(2147483647)
-    flag = lambda c: F.count_if(c).cast("int")
+    sums = {
+        "n": F.count("*"),
+        "cites": F.sum("influential"),
+        "first_year": F.min("year"),
+        "latest_year": F.max("year"),
+        "first_author_count": F.count_if(F.col("author_id") == F.col("first_id")),
+        "last_author_count": F.count_if(F.col("author_id") == F.col("last_id")),
+        "recent": F.count_if(F.col("year") >= as_of_year - 3),
+    }
     rows = rows.where(F.col("author_name").isNotNull())
-    out = rows.groupBy("author_name").agg(
-        F.count("*").alias("n"),
-        F.coalesce(F.sum("influential"), F.lit(0)).cast("bigint").alias("cites"),
-        F.min("year").alias("first_year"),
-        F.max("year").alias("latest_year"),
-        flag(F.col("author_id") == F.col("first_id")).alias("first_author_count"),
-        flag(F.col("author_id") == F.col("last_id")).alias("last_author_count"),
-        flag(F.col("year") >= as_of_year - 3).alias("recent"),
-    )
-    out = out.join(joined_in_order(rows, "author_name", "author_id", "ord", "author_ids"), "author_name", "left")
-    out = out.join(joined_in_order(rows, "author_name", "matched_name", "ord", "matched_names"), "author_name", "left")
+    few = first_seen(rows, ["author_name", "author_id", "matched_name"], "ord", sums)
+    # each stands once for its id, with the counts, and once for its name
+    once = F.struct(F.lit(True).alias("is_id"), F.col("author_id").alias("value"), *[F.col(c) for c in sums])
+    again = F.struct(F.lit(False).alias("is_id"), F.col("matched_name").alias("value"), *[F.lit(None).alias(c) for c in sums])
+    each = few.select("author_name", "_o", F.inline(F.array(once, again)))
+    total = {c: {"first_year": F.min, "latest_year": F.max}.get(c, F.sum)(c).alias(c) for c in sums}
+    values = each.groupBy("author_name", "is_id", "value").agg(F.min("_o").alias("_o"), *total.values())
+
+    def listed(is_id: bool) -> Column:
+        some = F.collect_list(F.when((F.col("is_id") == is_id) & (F.col("value") != ""), F.struct("_o", "value")))
+        return F.nullif(F.array_join(F.transform(F.array_sort(some), lambda x: x["value"]), ","), F.lit(""))
+
+    out = values.groupBy("author_name").agg(listed(True).alias("author_ids"), listed(False).alias("matched_names"), *total.values())
+    out = out.withColumns({"cites": F.coalesce("cites", F.lit(0)).cast("bigint"), **{c: F.col(c).cast("int") for c in ("first_author_count", "last_author_count", "recent")}})
     n, first, last = F.col("n").cast("double"), F.col("first_author_count"), F.col("last_author_count")
     career = F.when(F.col("first_year") != 0, F.lit(as_of_year) - F.col("first_year") + 1)
     has_id = F.col("author_ids").isNotNull()

@@ -503,7 +503,7 @@ def _profile_rows(spark: Session, sf: str) -> DataFrame:
     from stemma.plans import profiles
 
     auth = profiles.authorships(table(spark, sf, "lineitem"))
-    rows = auth.join(profiles.byline_ends(auth), "paper_id").join(profiles.papers(table(spark, sf, "orders")), "paper_id", "left")
+    rows = profiles.with_byline_ends(auth).join(profiles.papers(table(spark, sf, "orders")), "paper_id", "left")
     brand = (F.col("author_id") % 10).cast("string")
     return rows.select(
         brand.alias("author_name"), F.struct("paper_id", "author_id").alias("ord"), F.col("author_id").cast("string").alias("author_id"),

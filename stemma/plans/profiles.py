@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from stemma.session import table
 
@@ -10,18 +10,23 @@ AS_OF_YEAR = 2001
 
 
 def authorships(lines: DataFrame) -> DataFrame:
-    """(paper, author, position): one row for each author of a paper, at the first position."""
-    return lines.groupBy(F.col("l_orderkey").alias("paper_id"), F.col("l_suppkey").alias("author_id")).agg(
-        F.min("l_linenumber").alias("position")
-    )
+    """(paper, author, position): one row for each author of a paper, at the first position.
 
+    Lines are dealt and sorted by paper once; what is asked of whole papers later needs no other shuffle or sort.
+    """
+    rows = lines.select(F.col("l_orderkey").alias("paper_id"), F.col("l_suppkey").alias("author_id"), F.col("l_linenumber").alias("position"))
+    same = Window.partitionBy("paper_id", "author_id").orderBy(F.asc_nulls_last("position"))
+    return rows.repartition("paper_id").withColumn("_k", F.row_number().over(same)).where("_k = 1").drop("_k")
 
-def byline_ends(auth: DataFrame) -> DataFrame:
-    """(paper, first author, last author); ties in position go to the smaller / larger author id."""
-    key = F.struct("position", "author_id")
-    return auth.groupBy("paper_id").agg(
-        F.min(key)["author_id"].alias("first_author_id"), F.max(key)["author_id"].alias("last_author_id")
-    )
+
+def with_byline_ends(auth: DataFrame) -> DataFrame:
+    """Authorships with first and last author of their paper; ties in position go to the smaller / larger author id.
+
+    Papers without a number are left out.
+    """
+    key, paper = F.struct("position", "author_id"), Window.partitionBy("paper_id")
+    ends = auth.where(F.col("paper_id").isNotNull()).withColumns({"_first": F.min(key).over(paper), "_last": F.max(key).over(paper)})
+    return ends.select(*auth.columns, F.col("_first.author_id").alias("first_author_id"), F.col("_last.author_id").alias("last_author_id"))
 
 
 def papers(orders: DataFrame) -> DataFrame:
@@ -39,7 +44,7 @@ def author_profile(auth: DataFrame, paper: DataFrame, as_of_year: int) -> DataFr
     last); it is kept, as downstream readers expect it.  The career length runs to ``as_of_year``,
     never to the clock.
     """
-    rows = auth.join(byline_ends(auth), "paper_id").join(paper, "paper_id", "left")
+    rows = with_byline_ends(auth).join(paper, "paper_id", "left")
 
     def share(flag: Column) -> Column:
         return F.count_if(flag).cast("bigint")

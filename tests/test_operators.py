@@ -81,6 +81,26 @@ def test_profile_of_hand_made_rows(spark):
     assert (r.author_ids, r.matched_names, r.match_confidence, r.data_completeness_score) == ("a1,a2", "Ann L,A. L", "high", 1.0)
 
 
+def test_first_seen_is_the_smallest_order(spark):
+    rng = random.Random(3)
+    some = lambda *v: rng.choice([None, *v])
+    rows = [(rng.choice("xy"), some(1, 2, 3), some(1, 2), rng.randint(0, 2) > 0) for _ in range(60)] + [("z", 1, 1, False)]
+    df = spark.createDataFrame(rows, "k string, a int, b int, there boolean").withColumn("ord", F.when(F.col("there"), F.struct("a", "b")))
+    want = {r.k: (r.o, r.n) for r in df.groupBy("k").agg(F.min("ord").alias("o"), F.count("*").alias("n")).collect()}
+    few = authors.first_seen(df, ["k"], "ord", {"n": F.count("*")})
+    assert few.groupBy("k", "_o").count().where("count > 1").isEmpty()
+    assert {r.k: (r.o, r.n) for r in few.groupBy("k").agg(F.min("_o").alias("o"), F.sum("n").alias("n")).collect()} == want
+
+
+def test_profiles_read_their_rows_once_and_sort_no_rows_for_them(spark):
+    from stemma.plans import composed
+
+    for query in (composed.author_profile_by_name, composed.contains_list_join):
+        plan = query(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("lineitem.parquet") == 1
+        assert plan.count("SortAggregate") <= 2  # those of the few rows of each value
+
+
 def test_merge_of_cached_records(spark):
     rows = [("x", "2025-01-02", None, ["X"], 3, 0, 1), ("x", "2025-01-01", "u2", ["Y", "X"], 2, None, 4)]
     df = spark.createDataFrame(rows, "author_name string, updated_at string, url string, affiliations array<string>, paper_count int, citation_count int, h_index int")
