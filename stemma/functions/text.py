@@ -40,9 +40,9 @@ def title_key(title: Column) -> Column:
     prefixes = "|".join(quote(p) for p in sorted(TITLE_PREFIXES, key=len, reverse=True))
     t = F.regexp_replace(F.coalesce(title, F.lit("")), r"(?U)^\s+", "")
     t = F.regexp_replace(t, f"(?iu)^(?:{prefixes})", "")
-    t = F.regexp_replace(t, r"(?s)^[^:]*:", "")
-    t = F.regexp_replace(t, r"(?s)^[^：]*：", "")
-    return F.regexp_replace(F.lower(t), "[^a-z0-9]", "")
+    for colon in (":", "："):
+        t = F.element_at(F.split(t, colon, 2), -1)
+    return F.regexp_replace(F.lower(t), "[^a-z0-9]+", "")
 
 
 def transliterate(text: Column) -> Column:

@@ -23,13 +23,18 @@ def exact_links(papers: DataFrame, dataset: DataFrame, by_key: bool = False) ->
 
     Titles leave the scan as SHA-256 digests.  Each side is aggregated by year and digest before they
     meet, so that a title which many rows share is one row of the join; only its papers are spread
-    again.  Null years link with nothing.
+    again.  Null years link with nothing.  Keys are dear: digests of them are dealt by number, and where
+    both sides are the same rows Spark makes and deals them once.
     """
     key = title_key if by_key else (lambda c: F.lower(c))
+    empty = F.sha2(F.lit(""), 256)
 
     def digests(rows: DataFrame, number: str) -> DataFrame:
-        keyed = rows.select(number, "year", key(F.col("title")).alias("k")).where("k <> '' AND year IS NOT NULL")
-        return keyed.select(number, "year", F.unhex(F.sha2("k", 256)).alias("k"))
+        # the digest is an element of its own, so that the filters on it do not make it again
+        made = F.explode(F.array(F.sha2(key(F.col("title")), 256)))
+        keyed = rows.where("year IS NOT NULL").select(number, "year", made.alias("k")).where(F.col("k") != empty)
+        keyed = keyed.select(number, "year", F.unhex("k").alias("k"))
+        return keyed.repartition(number) if by_key else keyed
 
     least = digests(dataset, "corpus_id").groupBy("year", "k").agg(F.min("corpus_id").alias("corpus_id"))
     return digests(papers, "paper_id").join(least, ["year", "k"]).select("paper_id", "corpus_id")

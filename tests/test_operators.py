@@ -101,6 +101,17 @@ def test_profiles_read_their_rows_once_and_sort_no_rows_for_them(spark):
         assert plan.count("SortAggregate") <= 2  # those of the few rows of each value
 
 
+def test_keys_of_exact_links_are_made_once(spark, tmp_path):
+    from stemma.plans import composed
+
+    rows = [(1, "On a: Tree", "en"), (2, "tree", "de"), (3, None, "en"), (4, "", "en"), (5, ":", "en"), (6, "a：b:tree", "en"), (7, "tree", None), (8, "tree", "abc"), (9, "x:：", "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    links = composed.exact_title_link(spark, str(tmp_path))
+    assert sorted(map(tuple, links.collect())) == [(1, 1), (2, 1), (6, 1), (8, 8)]
+    made = links._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert made.count("FileScan parquet") == 1 and made.count("sha2(") == 1
+
+
 def test_merge_of_cached_records(spark):
     rows = [("x", "2025-01-02", None, ["X"], 3, 0, 1), ("x", "2025-01-01", "u2", ["Y", "X"], 2, None, 4)]
     df = spark.createDataFrame(rows, "author_name string, updated_at string, url string, affiliations array<string>, paper_count int, citation_count int, h_index int")
